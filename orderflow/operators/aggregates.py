@@ -58,22 +58,22 @@ def windowed_revenue(orders: DataFrame, duration: str = "10 minutes") -> DataFra
     )
 
 
-def revenue_rollup(orders: DataFrame) -> DataFrame:
+def revenue_rollup(orders: DataFrame, *extra: Column, within: tuple[str, ...] = ()) -> DataFrame:
     """Daily, product and hourly revenue from a single scan.
 
-    One row per key of each kind; ``revenue_key`` names the kind. Use
-    ``rollup_part`` to read one of them. Orders are clean here, so each row
-    counts and the id column need not be read.
+    One row per key of each kind (and per value of ``within``); ``revenue_key``
+    names the kind. Orders are clean here, so each row counts and the id
+    column need not be read. ``rollup_part`` picks one kind.
     """
     keys = [F.col(k) for k in REVENUE_KEYS]
-    kind = F.element_at(
-        F.array(*[F.lit(k) for k in REVENUE_KEYS]),
-        F.when(F.grouping("order_date") == 0, 1).when(F.grouping("product_id") == 0, 2).otherwise(3),
-    )
-    return orders.groupingSets([[k] for k in keys], *keys).agg(
+    fixed = [F.col(c) for c in within]
+    number = F.when(F.grouping("order_date") == 0, 1).when(F.grouping("product_id") == 0, 2)
+    kind = F.element_at(F.array(*[F.lit(k) for k in REVENUE_KEYS]), number.otherwise(3))
+    return orders.groupingSets([[*fixed, k] for k in keys], *fixed, *keys).agg(
         kind.alias("revenue_key"),
         F.count(F.lit(1)).alias("total_orders"),
         F.sum("total_amount").alias("total_revenue"),
+        *extra,
     )
 
 

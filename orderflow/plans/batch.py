@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
-from orderflow.operators.aggregates import by_revenue, revenue_rollup, rollup_part
+from orderflow.operators.aggregates import REVENUE_KEYS, by_revenue, revenue_rollup, rollup_part
 from orderflow.operators.dedupe import dedupe_orders
 from orderflow.operators.derive import classify_orders, derive_columns, normalize_status
 from orderflow.operators.enrich import (
@@ -18,13 +17,19 @@ from orderflow.operators.enrich import (
     enrich_with_dimensions,
     enriched_layout,
 )
-from orderflow.operators.metrics import row_count
+from orderflow.operators.metrics import long_form
 from orderflow.operators.quality import rejected_orders, valid_orders
 from orderflow.plans.scratch import scratch_dir
-from orderflow.sinks.files import read_quarantine, write_parquet, write_quarantine
+from orderflow.sinks.files import read_quarantine, rebalanced, write_parquet, write_quarantine
 
 _LAYOUT = ["order_class", "order_date"]
-_DERIVED = ["order_date", "order_day_of_week", "hour_of_day", "total_amount"]
+_ADDED = [
+    column
+    for ddl in (S.CUSTOMERS, S.PRODUCTS)
+    for column in ddl.split(", ")
+    if column.split()[0] not in ("customer_id", "product_id")
+]
+ORDERS_TABLE = ", ".join([S.ORDERS, S.DERIVED, *_ADDED, "n_copies bigint, order_class string"])
 
 
 @dataclass(frozen=True)
@@ -45,7 +50,11 @@ class BatchTables:
 
     def all_orders(self) -> DataFrame:
         """Every kept order with its class and the number of copies seen."""
-        return self.spark.read.parquet(self.orders_path)
+        return self.spark.read.schema(ORDERS_TABLE).parquet(self.orders_path)
+
+    def rollup(self) -> DataFrame:
+        """Orders, revenue and copies per class and day, product or hour."""
+        return self.spark.read.parquet(f"{self.root}/revenue_rollup")
 
     def _of_class(self, name: str) -> DataFrame:
         return self.all_orders().filter(F.col("order_class") == name)
@@ -55,7 +64,9 @@ class BatchTables:
         return enriched_layout(self._of_class(S.ACTIVE))
 
     def cancelled(self) -> DataFrame:
-        return self._of_class(S.CANCELLED).select(*S.column_names(S.ORDERS), *_DERIVED)
+        return self._of_class(S.CANCELLED).select(
+            *S.column_names(S.ORDERS), *S.column_names(S.DERIVED)
+        )
 
     def daily_revenue(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/daily_revenue")
@@ -73,40 +84,46 @@ class BatchTables:
         """Rows per stage, read from the written tables.
 
         Counters kept while a job runs may count a repeated task twice; tables
-        do not. Copies per order were stored with the order, so nothing of the
-        input is read again.
+        do not. The roll-up holds the copies seen per order, so neither the
+        input nor the orders are read again.
         """
+        reason = F.col("reject_reason")
         rejects = self.quarantine().agg(
             *[
-                F.count_if(F.col("reject_reason") == reason).alias(reason)
-                for reason in (S.MISSING_ORDER_ID, S.INVALID_VALUES, S.INDETERMINATE_VALUES)
+                F.count_if(reason == name).alias(name)
+                for name in (S.MISSING_ORDER_ID, S.INVALID_VALUES, S.INDETERMINATE_VALUES)
             ]
         )
-        kept = self.all_orders().agg(
-            F.coalesce(F.sum("n_copies"), F.lit(0)).alias("before_dedupe"),
-            F.count(F.lit(1)).alias("after_dedupe"),
-            F.coalesce(F.sum(F.col("n_copies") - 1), F.lit(0)).alias("duplicates"),
+        by_day = F.col("revenue_key") == "order_date"
+        is_active = F.col("order_class") == S.ACTIVE
+        n_orders, n_copies = F.col("total_orders"), F.col("n_copies")
+
+        def total(value: Column, when: Column = F.lit(True)) -> Column:
+            return F.coalesce(F.sum(F.when(by_day & when, value)), F.lit(0))
+
+        kept = self.rollup().agg(
+            total(n_copies).alias("before_dedupe"),
+            total(n_orders).alias("after_dedupe"),
+            total(n_copies - n_orders).alias("duplicates"),
             *[
-                F.count_if(F.col("order_class") == name).alias(name)
+                total(n_orders, F.col("order_class") == name).alias(name)
                 for name in (S.CANCELLED, S.UNCLASSIFIED, S.ACTIVE)
             ],
+            *[
+                F.count_if((F.col("revenue_key") == key) & is_active & F.col(key).isNotNull()).alias(name)
+                for key, name in zip(REVENUE_KEYS, ("revenue_days", "revenue_products", "revenue_hours"))
+            ],
         )
-        parts = [frame.unpivot([], frame.columns, "stage", "n_rows") for frame in (rejects, kept)]
+        counts = long_form(rejects).unionByName(long_form(kept))
         entered = ["before_dedupe", S.MISSING_ORDER_ID, S.INVALID_VALUES, S.INDETERMINATE_VALUES]
-        both = reduce(DataFrame.unionByName, parts)
-        total = both.agg(
-            F.sum(F.when(F.col("stage").isin(entered), F.col("n_rows"))).alias("n_rows")
-        ).select(F.lit("input").alias("stage"), "n_rows")
-        groups = [
-            row_count(self.daily_revenue(), "revenue_days"),
-            row_count(self.product_revenue(), "revenue_products"),
-            row_count(self.hourly_revenue(), "revenue_hours"),
-        ]
+        total_in = counts.agg(F.sum(F.when(F.col("stage").isin(entered), F.col("n_rows"))).alias("n_rows"))
         dims = self.spark.createDataFrame(
             [("customers", self.n_customers), ("products", self.n_products)],
             "stage string, n_rows bigint",
         )
-        return reduce(DataFrame.unionByName, [total, both, *groups, dims])
+        return (
+            total_in.select(F.lit("input").alias("stage"), "n_rows").unionByName(counts).unionByName(dims)
+        )
 
 
 def run_batch(
@@ -121,8 +138,8 @@ def run_batch(
     The input is read twice, once for the rejects and once for the clean
     orders, and shuffled by id once. Active and cancelled orders go into one
     table with a directory per class, so they need no common intermediate
-    copy; only active orders are enriched. The reports come from a single
-    scan of four columns of that table.
+    copy; only active orders are enriched. Reports and counts come from a
+    roll-up, made in a single scan of a few columns of that table.
     """
     spark = orders.sparkSession
     customers_dim = check_dimension(customers, "customer_id")
@@ -137,7 +154,7 @@ def run_batch(
     if is_small:
         # Lay rows out for the writer first: broadcast joins keep the layout
         # and the shuffle carries no dimension columns.
-        kept = kept.hint("rebalance", *[F.col(c) for c in _LAYOUT])
+        kept = rebalanced(kept, _LAYOUT)
     else:
         # The skew-safe joins read their input several times.
         staged = scratch_dir(spark, "kept-orders")
@@ -150,16 +167,16 @@ def run_batch(
         only=F.col("order_class") == S.ACTIVE,
         broadcast_limit=broadcast_limit,
     )
-    columns = [*S.ENRICHED_COLUMNS, "order_class", "n_copies"]
+    columns = S.column_names(ORDERS_TABLE)
     write_parquet(enriched.select(*columns), tables.orders_path, _LAYOUT, rebalance=not is_small)
 
-    active = tables.all_orders().filter(F.col("order_class") == S.ACTIVE)
-    rollup_path = scratch_dir(spark, "revenue-rollup")
-    write_parquet(revenue_rollup(active), rollup_path, "revenue_key")
-    rollup = spark.read.parquet(rollup_path)
-    daily = rollup_part(rollup, "order_date").orderBy("order_date")
+    copies = F.sum("n_copies").alias("n_copies")
+    rollup = revenue_rollup(tables.all_orders(), copies, within=("order_class",))
+    write_parquet(rollup, f"{output}/revenue_rollup", "revenue_key")
+    active = tables.rollup().filter(F.col("order_class") == S.ACTIVE)
+    daily = rollup_part(active, "order_date").orderBy("order_date")
     write_parquet(daily, f"{output}/daily_revenue")
-    write_parquet(by_revenue(rollup_part(rollup, "product_id")), f"{output}/product_revenue")
-    hourly = rollup_part(rollup, "hour_of_day").orderBy("hour_of_day")
+    write_parquet(by_revenue(rollup_part(active, "product_id")), f"{output}/product_revenue")
+    hourly = rollup_part(active, "hour_of_day").orderBy("hour_of_day")
     write_parquet(hourly, f"{output}/hourly_revenue")
     return tables

@@ -84,10 +84,19 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return read_quarantine(spark, path)
 
 
-def cancelled_orders(spark: SparkSession, sf: str) -> DataFrame:
+def _event_kept(spark: SparkSession, sf: str) -> DataFrame:
+    valid = quality.valid_orders(retail.event_orders(spark, sf))
+    return dedupe.dedupe_orders(derive.normalize_status(valid))
+
+
+def _event_active(spark: SparkSession, sf: str) -> DataFrame:
+    return derive.derive_columns(quality.split_cancelled(_event_kept(spark, sf)).active)
+
+
+def cancelled_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Cancelled orders written by day and read back."""
     path = scratch_dir(spark, "cancelled")
-    cancelled = _cancelled(spark, sf)
+    cancelled = derive.derive_columns(quality.split_cancelled(_event_kept(spark, sf)).cancelled)
     write_cancelled_orders(cancelled, path)
     return spark.read.schema(cancelled.schema).parquet(path)
 
@@ -95,7 +104,9 @@ def cancelled_orders(spark: SparkSession, sf: str) -> DataFrame:
 def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched orders written by day and read back."""
     path = scratch_dir(spark, "enriched")
-    enriched = enrich_dimensions(spark, sf)
+    enriched = enrich.enrich_with_dimensions(
+        _event_active(spark, sf), retail.customers(spark, sf), retail.products(spark, sf)
+    )
     write_parquet(enriched, path, partition_by="order_date", rebalance=True)
     return spark.read.schema(enriched.schema).parquet(path).select(*enriched.columns)
 
@@ -143,15 +154,23 @@ def dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return counts
 
 
-def _batch(spark: SparkSession, sf: str) -> BatchTables:
+def _batch(orders: DataFrame, sf: str) -> BatchTables:
+    spark = orders.sparkSession
     return run_batch(
-        retail.orders_raw(spark, sf),
-        retail.customers(spark, sf),
-        retail.products(spark, sf),
-        scratch_dir(spark, "batch"),
+        orders, retail.customers(spark, sf), retail.products(spark, sf), scratch_dir(spark, "batch")
     )
 
 
+def batch_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole batch job over the order lines; returns its stage counts."""
+    return _batch(retail.orders_raw(spark, sf), sf).stage_counts()
+
+
+def batch_job_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole batch job over a month of events; returns the enriched orders."""
+    return _batch(retail.event_orders(spark, sf), sf).orders()
+
+
 def rollup(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.revenue_rollup(_active(spark, sf))
 
@@ -166,7 +185,7 @@ def _run_to_table(
     root = scratch_dir(frame.sparkSession, name)
     path = f"{root}/out"
     query = start_query(
-        frame, None, mode, make_handler(path), f"{root}/checkpoint", {"availableNow": True}
+        frame, name, mode, make_handler(path), f"{root}/checkpoint", {"availableNow": True}
     )
     wait_and_stop([query], all_must_end=True)
     return path
@@ -250,11 +269,8 @@ def stream_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Streamed totals against batch totals of the same events."""
-    kept = dedupe.dedupe_orders(
-        derive.normalize_status(quality.valid_orders(retail.event_orders(spark, sf)))
-    )
-    active = derive.derive_columns(quality.split_cancelled(kept).active)
-    return compare_totals(aggregates.product_totals(active), stream_product_totals(spark, sf))
+    batch = aggregates.product_totals(_event_active(spark, sf))
+    return compare_totals(batch, stream_product_totals(spark, sf))
 
 
 def _windowed_batch(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,7 +315,8 @@ QUERIES: dict[str, Query] = {
     "dedupe_orders": _kept,
     "derive_columns": lambda s, d: derive.derive_columns(_kept(s, d)),
     "active_orders": _active,
-    "cancelled_orders": cancelled_orders,
+    "cancelled_orders": _cancelled,
+    "cancelled_roundtrip": cancelled_roundtrip,
     "enrich_customers": enrich_customers,
     "enrich_products": enrich_products,
     "enrich_dimensions": enrich_dimensions,
@@ -313,8 +330,8 @@ QUERIES: dict[str, Query] = {
     "batch_event_stats": lambda s, d: metrics.event_stats(retail.event_orders(s, d)),
     "windowed_revenue_batch": _windowed_batch,
     "parquet_roundtrip": parquet_roundtrip,
-    "run_batch": lambda s, d: _batch(s, d).stage_counts(),
-    "run_batch_orders": lambda s, d: _batch(s, d).orders(),
+    "run_batch": batch_job,
+    "run_batch_events": batch_job_events,
     "kafka_decode": lambda s, d: kafka.decode_orders(retail.event_records(s, d)),
     "kafka_roundtrip": kafka_roundtrip,
     "kafka_dead_letter": lambda s, d: kafka.dead_letters(retail.event_records(s, d), "offset"),

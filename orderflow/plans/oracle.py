@@ -66,6 +66,7 @@ DERIVED = """derived AS (
          quantity * price AS total_amount
   FROM kept)"""
 
+CANCELLED = "SELECT * FROM derived WHERE status = 'cancelled'"
 ACTIVE = "active AS (SELECT * FROM derived WHERE status <> 'cancelled')"
 
 CUSTOMERS = """customers AS (
@@ -93,15 +94,12 @@ def _revenue(key: str) -> str:
     return f"SELECT {key}, {REVENUE} FROM active GROUP BY {key}"
 
 
-def _windows(where: str = "") -> str:
-    return f"""SELECT time_bucket(INTERVAL '10 minutes', order_timestamp) AS window_start,
+WINDOWS = """SELECT time_bucket(INTERVAL '10 minutes', order_timestamp) AS window_start,
   time_bucket(INTERVAL '10 minutes', order_timestamp) + INTERVAL '10 minutes' AS window_end,
   product_id, count(order_id) AS orders_count, round(sum(total_amount), 2) AS total_revenue
-FROM active WHERE order_timestamp IS NOT NULL GROUP BY ALL {where}"""
-
-
+FROM active WHERE order_timestamp IS NOT NULL GROUP BY 1, 2, 3"""
 # Append mode emits a window once it ends at or before the last watermark.
-CLOSED = """HAVING time_bucket(INTERVAL '10 minutes', order_timestamp) + INTERVAL '10 minutes'
+CLOSED_WINDOWS = f"""SELECT * FROM ({WINDOWS}) WHERE window_end
   <= (SELECT max(order_timestamp) FROM normal) - INTERVAL '30 minutes'"""
 
 STAGES = [
@@ -135,9 +133,13 @@ DECODED = """SELECT
   CASE WHEN event_id % 97 = 3 THEN NULL ELSE event_type END AS status
 FROM events"""
 
-# The payload's numbers and times are written as text by Spark, so the lost
-# records are compared by offset and reason; see the query's column list.
 DEAD = """SELECT event_id AS "offset",
+  CASE WHEN event_id % 97 = 3 THEN '{bad' ELSE
+    '{"order_id": ' || CASE WHEN event_id % 101 = 0 THEN 'NaN' ELSE '"o' || event_id || '"' END
+    || ', "customer_id": "c' || user_id || '", "order_timestamp": "'
+    || CASE WHEN event_id % 83 = 6 THEN 'garbage' ELSE CAST(ts AS VARCHAR) END
+    || '", "quantity": ' || CASE WHEN event_id % 89 = 4 THEN '"x"' ELSE CAST(1 + event_id % 10 AS VARCHAR) END
+    || ', "price": ' || value || ', "status": "' || event_type || '"}' END AS payload,
   CASE WHEN event_id % 97 = 3 OR event_id % 89 = 4 THEN 'malformed_json' ELSE 'bad_timestamp' END AS reason
 FROM events WHERE event_id % 97 = 3 OR event_id % 89 = 4 OR event_id % 83 = 6"""
 
@@ -221,7 +223,7 @@ _ACTIVE = _with(*LINES)
 _ENRICHED = _with(*LINES, CUSTOMERS, PRODUCTS)
 _STREAM = _with(*STREAM)
 _TOTALS = _STREAM + _revenue("product_id")
-_CANCELLED = _ACTIVE + "SELECT * FROM derived WHERE status = 'cancelled'"
+_EVENTS_ENRICHED = _with(*STREAM, CUSTOMERS, PRODUCTS) + f"SELECT {FULL} FROM active {LOOKUPS}"
 _COUNTS = _ACTIVE + COUNTS
 _STREAM_CLEAN = _STREAM + f"SELECT {ORDER} FROM active"
 
@@ -242,7 +244,8 @@ ORACLE: dict[str, str] = {
     "dedupe_orders": _with(RAW, TAGGED, NORMAL, KEPT) + "SELECT * FROM kept",
     "derive_columns": _with(RAW, TAGGED, NORMAL, KEPT, DERIVED) + "SELECT * FROM derived",
     "active_orders": _ACTIVE + "SELECT * FROM active",
-    "cancelled_orders": _CANCELLED,
+    "cancelled_orders": _ACTIVE + CANCELLED,
+    "cancelled_roundtrip": _STREAM + CANCELLED,
     "enrich_customers": _ENRICHED
     + f"SELECT active.*, {CUSTOMER} FROM active LEFT JOIN customers USING (customer_id)",
     "enrich_products": _ENRICHED
@@ -264,18 +267,18 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
     "batch_event_stats": _with(EVENTS)
     + """SELECT count(*) AS n_rows, min(order_timestamp) AS min_event_time,
   max(order_timestamp) AS max_event_time FROM raw""",
-    "windowed_revenue_batch": _ACTIVE + _windows(),
-    "parquet_roundtrip": _ENRICHED + f"SELECT {FULL} FROM active {LOOKUPS}",
+    "windowed_revenue_batch": _ACTIVE + WINDOWS,
+    "parquet_roundtrip": _EVENTS_ENRICHED,
     "run_batch": _COUNTS,
-    "run_batch_orders": _ENRICHED + f"SELECT {FULL} FROM active {LOOKUPS}",
+    "run_batch_events": _EVENTS_ENRICHED,
     "kafka_decode": DECODED,
     "kafka_roundtrip": _with(EVENTS) + "SELECT * FROM raw",
     "kafka_dead_letter": DEAD,
     "stream_clean": _STREAM_CLEAN,
     "stream_clean_thinned": _STREAM_CLEAN,
     "stream_dedupe": _with(EVENTS) + "SELECT DISTINCT * FROM raw WHERE order_id IS NOT NULL",
-    "stream_enrich": _with(*STREAM, CUSTOMERS, PRODUCTS) + f"SELECT {FULL} FROM active {LOOKUPS}",
-    "stream_windowed_revenue": _STREAM + _windows(CLOSED),
+    "stream_enrich": _EVENTS_ENRICHED,
+    "stream_windowed_revenue": _STREAM + CLOSED_WINDOWS,
     "stream_product_totals": _TOTALS,
     "stream_top_products": _TOTALS + " ORDER BY sum(total_amount) DESC, product_id LIMIT 10",
     "snapshot_latest": _TOTALS,

@@ -13,6 +13,7 @@ PRODUCTS = (
     "product_id string, product_name string, category string, "
     "brand string, list_price double"
 )
+DERIVED = "order_date date, order_day_of_week int, hour_of_day int, total_amount double"
 # JSON payloads carry the event time as text.
 ORDERS_JSON = ORDERS.replace("order_timestamp timestamp", "order_timestamp string")
 

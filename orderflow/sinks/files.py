@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_parquet(
     frame: DataFrame,
     path: str,
@@ -22,11 +35,19 @@ def write_parquet(
     """
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if rebalance and keys:
-        frame = frame.hint("rebalance", *[F.col(k) for k in keys])
+        frame = rebalanced(frame, keys)
     writer = frame.write.mode(mode).option("partitionOverwriteMode", "static")
     if keys:
         writer = writer.partitionBy(*keys)
-    writer.parquet(path)
+    # Opening files dominates when many directories hold little data each:
+    # without this, adaptive execution would merge such data into one task.
+    with _setting(frame.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB"):
+        writer.parquet(path)
+
+
+def rebalanced(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """Bring rows of a directory together, as far as sizes allow."""
+    return frame.hint("rebalance", *[F.col(k) for k in keys])
 
 
 def write_quarantine(rejects: DataFrame, path: str, reason: str | None = None) -> None:

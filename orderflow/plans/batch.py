@@ -31,6 +31,10 @@ _ADDED = [
 ]
 ORDERS_TABLE = ", ".join([S.ORDERS, S.DERIVED, *_ADDED, "n_copies bigint, order_class string"])
 
+_TOTALS = "total_orders bigint, total_revenue double"
+_KEY_TYPES = "order_date date, product_id string, hour_of_day int"
+ROLLUP_TABLE = f"order_class string, {_KEY_TYPES}, {_TOTALS}, n_copies bigint, revenue_key string"
+
 
 @dataclass(frozen=True)
 class BatchTables:
@@ -54,7 +58,10 @@ class BatchTables:
 
     def rollup(self) -> DataFrame:
         """Orders, revenue and copies per class and day, product or hour."""
-        return self.spark.read.parquet(f"{self.root}/revenue_rollup")
+        return self.spark.read.schema(ROLLUP_TABLE).parquet(f"{self.root}/revenue_rollup")
+
+    def _report(self, name: str, key: str) -> DataFrame:
+        return self.spark.read.schema(f"{key}, {_TOTALS}").parquet(f"{self.root}/{name}")
 
     def _of_class(self, name: str) -> DataFrame:
         return self.all_orders().filter(F.col("order_class") == name)
@@ -69,13 +76,13 @@ class BatchTables:
         )
 
     def daily_revenue(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/daily_revenue")
+        return self._report("daily_revenue", "order_date date")
 
     def product_revenue(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/product_revenue")
+        return self._report("product_revenue", "product_id string")
 
     def hourly_revenue(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/hourly_revenue")
+        return self._report("hourly_revenue", "hour_of_day int")
 
     def top_products(self, n: int = 10) -> DataFrame:
         return by_revenue(self.product_revenue()).limit(n)

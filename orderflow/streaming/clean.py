@@ -13,33 +13,36 @@ WATERMARK_DELAY = "30 minutes"
 
 
 def thin_copies(orders: DataFrame) -> DataFrame:
-    """Drop copies of an order that sit in the same Arrow batch of one task.
-
-    Streaming deduplication sends every copy of an id to one task. Keeping one
-    row per id and batch, the one with the latest event time, bounds what a
-    hot id sends there. Which copy "arrives first" in a micro-batch is open, so
-    this only picks one of the allowed results: the latest copy is never late
-    unless all of them are, and the watermark, a maximum, stays the same.
+    """Thin out copies of an order that sit in the same Arrow batch of a task.
+
+    Streaming deduplication sends every copy of an id to one task. Per id and
+    batch this keeps two rows at most, the first and the one with the latest
+    event time, which bounds what a hot id sends there. The first row is the
+    one that survives anyway; should it be too late, the latest one survives,
+    which is late only if all copies are. The watermark, a maximum, stays the
+    same.
     """
 
-    def latest_per_id(batches: Iterator) -> Iterator:
+    def first_and_latest(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            order = pc.sort_indices(
-                rows, sort_keys=[("order_timestamp", "descending")], null_placement="at_end"
-            )
-            ranked = pa.table(
-                {"id": rows["order_id"].take(order), "rank": pa.array(range(len(rows)), pa.int64())}
+            keys = pa.table(
+                {"id": rows["order_id"], "at": rows["order_timestamp"], "row": pa.array(range(len(rows)))}
             )
-            best = ranked.group_by("id").aggregate([("rank", "min")])["rank_min"]
-            if len(best) < len(rows):
-                rows = rows.take(pc.take(order, best))
+            if pc.count_distinct(keys["id"], mode="all").as_py() < len(rows):
+                newest = keys.sort_by([("at", "descending"), ("row", "ascending")])
+                ends = [
+                    part.group_by("id", use_threads=False).aggregate([("row", "first")])["row_first"]
+                    for part in (keys, newest)
+                ]
+                kept = pc.unique(pa.chunked_array([c for end in ends for c in end.chunks]))
+                rows = rows.take(kept.take(pc.sort_indices(kept)))
             yield from rows.to_batches()
 
-    return orders.mapInArrow(latest_per_id, orders.schema)
+    return orders.mapInArrow(first_and_latest, orders.schema)
 
 
 def clean_stream(

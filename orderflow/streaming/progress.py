@@ -33,7 +33,8 @@ class _Totals:
 class ProgressLog(StreamingQueryListener):
     """Adds up the progress of named queries without extra jobs.
 
-    Counts are input rows, and event times are those Spark saw for the
+    Counts are rows that leave the source scan (a scan that filters by itself
+    leaves out what it drops), and event times are those Spark saw for the
     watermark. One small record per query is kept, however long it runs.
     """
 

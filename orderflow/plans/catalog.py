@@ -182,10 +182,17 @@ def _run_to_table(
     frame: DataFrame, name: str, mode: str, make_handler: Callable[[str], sinks.Handler]
 ) -> str:
     """Run one query over all available input; returns where it stored rows."""
-    root = scratch_dir(frame.sparkSession, name)
+    spark = frame.sparkSession
+    root = scratch_dir(spark, name)
     path = f"{root}/out"
     query = start_query(
-        frame, name, mode, make_handler(path), f"{root}/checkpoint", {"availableNow": True}
+        frame,
+        name,
+        mode,
+        make_handler(path),
+        f"{root}/checkpoint",
+        {"availableNow": True},
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     wait_and_stop([query], all_must_end=True)
     return path
@@ -208,6 +215,12 @@ def stream_clean_thinned(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(rows, "stream-thinned")
 
 
+def stream_clean_kafka(spark: SparkSession, sf: str) -> DataFrame:
+    """Same rows when the stream carries JSON records."""
+    records = kafka.encode_orders(retail.event_orders_stream(spark, sf))
+    return _streamed(clean_stream(kafka.decode_orders(records)), "stream-kafka")
+
+
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Watermark and deduplication alone, on rows with an id."""
     rows = quality.split_missing_id(retail.event_orders_stream(spark, sf)).valid
@@ -263,6 +276,7 @@ def stream_job(spark: SparkSession, sf: str) -> DataFrame:
         f"{root}/out",
         f"{root}/checkpoint",
         available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     return tables.product_totals()
 
@@ -337,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "kafka_dead_letter": lambda s, d: kafka.dead_letters(retail.event_records(s, d), "offset"),
     "stream_clean": stream_clean,
     "stream_clean_thinned": stream_clean_thinned,
+    "stream_clean_kafka": stream_clean_kafka,
     "stream_dedupe": stream_dedupe,
     "stream_enrich": stream_enrich,
     "stream_windowed_revenue": stream_windowed_revenue,

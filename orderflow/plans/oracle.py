@@ -276,6 +276,7 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
     "kafka_dead_letter": DEAD,
     "stream_clean": _STREAM_CLEAN,
     "stream_clean_thinned": _STREAM_CLEAN,
+    "stream_clean_kafka": _STREAM_CLEAN,
     "stream_dedupe": _with(EVENTS) + "SELECT DISTINCT * FROM raw WHERE order_id IS NOT NULL",
     "stream_enrich": _EVENTS_ENRICHED,
     "stream_windowed_revenue": _STREAM + CLOSED_WINDOWS,

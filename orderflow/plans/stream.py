@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from orderflow.operators.aggregates import product_totals, windowed_revenue
+from orderflow.settings import session_setting
+from orderflow.sources.files import stream_orders_csv
+from orderflow.sources.kafka import stream_orders_kafka
 from orderflow.streaming import sinks
 from orderflow.streaming.clean import WATERMARK_DELAY, clean_and_derive, rejected_stream
 from orderflow.streaming.progress import ProgressLog
 
 ALL_QUERIES = ("console", "windowed_revenue", "product_totals", "snapshots")
+KAFKA_QUERIES = ("console", "windowed_revenue", "product_totals")
 
 
 @dataclass(frozen=True)
@@ -39,10 +43,19 @@ def start_query(
     handler: sinks.Handler,
     checkpoint: str,
     trigger: dict,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start one query that hands its batches to ``handler``."""
+    """Start one query that hands its batches to ``handler``.
+
+    ``state_partitions`` sets how far the state is spread, else the session's
+    shuffle partitions do. The first start fixes it for the checkpoint, so it
+    should fit the cluster: about one per core.
+    """
     writer = frame.writeStream.queryName(name).outputMode(mode).foreachBatch(handler)
-    return writer.option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger).start()
+    writer = writer.option("checkpointLocation", f"{checkpoint}/{name}").trigger(**trigger)
+    partitions = None if state_partitions is None else str(state_partitions)
+    with session_setting(frame.sparkSession, "spark.sql.shuffle.partitions", partitions):
+        return writer.start()
 
 
 def start_queries(
@@ -52,13 +65,15 @@ def start_queries(
     names: tuple[str, ...] = ALL_QUERIES,
     delay: str = WATERMARK_DELAY,
     window: str = "10 minutes",
-    thin: bool = False,
+    thin: bool = True,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the named queries; each has its own checkpoint and state.
 
     Totals and windows need no dimension columns, and dimension keys are
-    unique, so the aggregates read the orders before any lookup.
+    unique, so the aggregates read the orders before any lookup. ``thin``
+    guards against ids that hold much of a micro-batch.
     """
     rows = clean_and_derive(orders, delay, thin)
     windows, totals = windowed_revenue(rows, window), product_totals(rows)
@@ -82,7 +97,9 @@ def start_queries(
     for name in names:
         frame, mode, handler, every = known[name]
         trigger = {"availableNow": True} if available_now else {"processingTime": every}
-        started.append(start_query(frame, name, mode, handler, checkpoint, trigger))
+        started.append(
+            start_query(frame, name, mode, handler, checkpoint, trigger, state_partitions)
+        )
     return started
 
 
@@ -125,3 +142,30 @@ def run_stream(
         return StreamTables(spark, output, progress.summary(spark))
     finally:
         spark.streams.removeListener(progress)
+
+
+def run_file_stream(
+    spark: SparkSession,
+    directory: str,
+    output: str,
+    checkpoint: str,
+    max_files_per_trigger: int | None = 2,
+    **options,
+) -> StreamTables:
+    """The streaming job over CSV files that arrive in a directory."""
+    orders = stream_orders_csv(spark, directory, max_files_per_trigger)
+    return run_stream(orders, output, checkpoint, **options)
+
+
+def run_kafka_stream(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    output: str,
+    checkpoint: str,
+    source: dict | None = None,
+    **options,
+) -> StreamTables:
+    """The streaming job over a Kafka topic; runs without end by default."""
+    orders = stream_orders_kafka(spark, servers, topic, **(source or {}))
+    return run_stream(orders, output, checkpoint, **{"names": KAFKA_QUERIES, **options})

@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
+from orderflow.settings import session_setting
 
-
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+_MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
 def write_parquet(
@@ -41,7 +31,7 @@ def write_parquet(
         writer = writer.partitionBy(*keys)
     # Opening files dominates when many directories hold little data each:
     # without this, adaptive execution would merge such data into one task.
-    with _setting(frame.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB"):
+    with session_setting(frame.sparkSession, _MIN_PARTITION, "64KB"):
         writer.parquet(path)
 
 

@@ -15,7 +15,13 @@ from orderflow.operators.dedupe import dedupe_orders
 from orderflow.operators.derive import derive_columns, normalize_status
 from orderflow.operators.enrich import enrich_with_dimensions
 from orderflow.operators.quality import split_cancelled, valid_orders
-from orderflow.plans.stream import run_stream, start_queries, start_query, wait_and_stop
+from orderflow.plans.stream import (
+    run_file_stream,
+    run_kafka_stream,
+    start_queries,
+    start_query,
+    wait_and_stop,
+)
 from orderflow.sources.files import stream_orders_csv
 from orderflow.streaming import sinks
 from orderflow.streaming.clean import clean_and_derive, clean_stream, rejected_stream, thin_copies
@@ -266,10 +272,10 @@ def test_stream_enrichment(spark, tmp_path, limit):
 
 
 def test_whole_job(spark, tmp_path, capsys):
-    frame = source(spark, feed(tmp_path / "in", DEDUPE), per_trigger=2)
+    folder = feed(tmp_path / "in", DEDUPE)
     lines = []
-    tables = run_stream(
-        frame, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True, log=lines.append,
+    tables = run_file_stream(
+        spark, folder, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True, log=lines.append,
         names=("console", "windowed_revenue", "product_totals", "snapshots", "quarantine"),
     )
     assert values(tables.product_totals(), "product_id", "total_orders", "total_revenue")[1] == ("p2", 2, 68.0)
@@ -286,6 +292,21 @@ def test_whole_job(spark, tmp_path, capsys):
     assert not spark.streams.active
 
 
+def test_state_is_spread_as_asked(spark, stream, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    frame = clean_stream(stream)
+    query = start_query(frame, "spread", "append", lambda b, i: b.count(), str(tmp_path / "cp"), NOW, 3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    query.awaitTermination()
+    assert {op["numShufflePartitions"] for p in query.recentProgress for op in p.stateOperators} == {3}
+
+
+def test_kafka_job_needs_the_connector(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        run_kafka_stream(spark, "localhost:1", "orders", str(tmp_path / "o"), str(tmp_path / "c"))
+    assert not spark.streams.active
+
+
 def test_triggered_queries_stop_after_the_timeout(spark, tmp_path):
     frame = source(spark, feed(tmp_path / "in", DEDUPE[:1]))
     queries = start_queries(frame, str(tmp_path / "out"), str(tmp_path / "cp"), names=("snapshots",))

@@ -65,30 +65,44 @@ def _join(orders: DataFrame, frame: DataFrame, key: str, only: Column | None) ->
     return orders.join(lookup, matches, "left").drop("_dim_key")
 
 
-def hot_keys(orders: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Every key above ``share`` of the rows, perhaps with a few others.
+def hot_keys(orders: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, list]:
+    """Per key column, every value above ``share`` of the rows, perhaps with
+    a few others; one pass over those columns.
 
-    The frequent-items sketch misses no key above the share and returns at
+    The frequent-items sketch misses no value above the share and returns at
     most 1/share of them, so the result is bounded however large the table is.
     """
-    found = orders.freqItems([key], share).first()[0]
-    return [k for k in found if k is not None]
+    found = orders.freqItems(list(keys), share).first()
+    return {key: [v for v in items if v is not None] for key, items in zip(keys, found)}
 
 
-def _join_large(orders: DataFrame, dim: Dimension, only: Column | None) -> DataFrame:
-    """Join a dimension that is too large to broadcast.
+def _join_large(orders: DataFrame, dim: Dimension, only: Column | None, hot: list) -> DataFrame:
+    """Join a dimension that is too large to broadcast, in one pass.
 
-    Orders of hot keys (and of no key at all) never enter the shuffle: they
-    meet a broadcast of just the hot dimension rows, at most 1/HOT_SHARE of
-    them because keys are unique. All other orders take a shuffled join.
+    The shuffle is by key and ``_spread``. Rows of a hot key, or of no key,
+    get a spread of their own values: they scatter over all tasks and match
+    nothing there. Afterwards the hot keys meet a broadcast of their dimension
+    rows, at most 1/HOT_SHARE of them because keys are unique. Each order
+    matches in one of the two joins at most, and the columns are merged.
     """
     key = F.col(dim.key)
-    hot = hot_keys(orders, dim.key)
+    added = [c for c in dim.frame.columns if c != dim.key]
     is_hot = key.isNull() | key.isin(hot)
-    hot_rows = F.broadcast(dim.frame.filter(key.isin(hot)))
-    return _join(orders.filter(is_hot), hot_rows, dim.key, only).unionByName(
-        _join(orders.filter(~is_hot), dim.frame.hint("shuffle_merge"), dim.key, only)
-    )
+    scattered = F.xxhash64(*orders.columns).bitwiseOR(F.lit(1))
+    routed = orders.withColumn("_spread", F.when(is_hot, scattered).otherwise(0))
+    cold_rows = dim.frame.withColumnRenamed(dim.key, "_dim_key").withColumn("_dim_spread", F.lit(0))
+    matches = (key == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
+    if only is not None:
+        matches = matches & only
+    joined = routed.join(cold_rows.hint("shuffle_merge"), matches, "left")
+    joined = joined.drop("_spread", "_dim_key", "_dim_spread")
+    if not hot:
+        return joined
+    renamed = {c: f"_hot_{c}" for c in added}
+    hot_rows = dim.frame.filter(key.isin(hot)).withColumnsRenamed(renamed)
+    both = _join(joined, F.broadcast(hot_rows), dim.key, only)
+    merged = {c: F.coalesce(f"_hot_{c}", c) for c in added}
+    return both.withColumns(merged).drop(*renamed.values())
 
 
 def _join_large_stream(orders: DataFrame, dim: Dimension, only: Column | None) -> DataFrame:
@@ -111,10 +125,13 @@ def left_lookup(
     key: str,
     only: Column | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
     """Add a dimension's columns; orders without a match keep NULLs.
 
-    ``only`` restricts which orders are looked up at all.
+    ``only`` restricts which orders are looked up at all. ``hot`` holds the
+    result of ``hot_keys`` if the caller has it; else a large dimension costs
+    an extra pass over the key column. It affects speed, never the result.
     """
     dim = _checked(dimension, key)
     if dim.size_bytes <= broadcast_limit:
@@ -122,7 +139,8 @@ def left_lookup(
     elif orders.isStreaming:
         joined = _join_large_stream(orders, dim, only)
     else:
-        joined = _join_large(orders, dim, only)
+        hot = hot_keys(orders, key) if hot is None else hot
+        joined = _join_large(orders, dim, only, hot[key])
     added = [c for c in dim.frame.columns if c != key]
     rest = [c for c in orders.columns if c != key]
     return joined.select(key, *rest, *added)

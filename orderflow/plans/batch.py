@@ -16,10 +16,10 @@ from orderflow.operators.enrich import (
     check_dimension,
     enrich_with_dimensions,
     enriched_layout,
+    hot_keys,
 )
 from orderflow.operators.metrics import long_form
 from orderflow.operators.quality import rejected_orders, valid_orders
-from orderflow.plans.scratch import scratch_dir
 from orderflow.sinks.files import read_quarantine, rebalanced, write_parquet, write_quarantine
 
 _LAYOUT = ["order_class", "order_date"]
@@ -158,21 +158,20 @@ def run_batch(
     kept = dedupe_orders(normalize_status(valid_orders(orders)), copies="n_copies")
     kept = derive_columns(classify_orders(kept))
     is_small = max(customers_dim.size_bytes, products_dim.size_bytes) <= broadcast_limit
+    hot = None
     if is_small:
         # Lay rows out for the writer first: broadcast joins keep the layout
         # and the shuffle carries no dimension columns.
         kept = rebalanced(kept, _LAYOUT)
     else:
-        # The skew-safe joins read their input several times.
-        staged = scratch_dir(spark, "kept-orders")
-        write_parquet(kept, staged)
-        kept = spark.read.parquet(staged)
+        hot = hot_keys(orders, "customer_id", "product_id")
     enriched = enrich_with_dimensions(
         kept,
         customers_dim,
         products_dim,
         only=F.col("order_class") == S.ACTIVE,
         broadcast_limit=broadcast_limit,
+        hot=hot,
     )
     columns = S.column_names(ORDERS_TABLE)
     write_parquet(enriched.select(*columns), tables.orders_path, _LAYOUT, rebalance=not is_small)

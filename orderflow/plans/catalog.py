@@ -134,13 +134,13 @@ def enrich_dimensions(spark: SparkSession, sf: str) -> DataFrame:
 
 def enrich_large_dimensions(spark: SparkSession, sf: str) -> DataFrame:
     """The same result by the joins for dimensions too large to broadcast."""
-    path = scratch_dir(spark, "active")
-    write_parquet(_active(spark, sf), path)
+    hot = enrich.hot_keys(retail.orders_raw(spark, sf), "customer_id", "product_id")
     return enrich.enrich_with_dimensions(
-        spark.read.parquet(path),
+        _active(spark, sf),
         retail.customers(spark, sf),
         retail.products(spark, sf),
         broadcast_limit=0,
+        hot=hot,
     )
 
 

@@ -22,6 +22,7 @@ from orderflow.operators.quality import rejected_orders
 from orderflow.operators.reconcile import reconcile
 from orderflow.plans.batch import run_batch
 from orderflow.plans.scratch import scratch_dir
+from orderflow.settings import session_setting
 from orderflow.sinks.files import read_quarantine, write_cancelled_orders, write_parquet, write_quarantine
 from orderflow.sources.files import read_customers_csv, read_orders_csv, read_products_csv, write_csv
 
@@ -83,7 +84,7 @@ def test_dimension_size_bounds_the_choice_of_join(spark, customers, products):
 def test_hot_keys_find_every_frequent_key(spark):
     key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id")))
     frame = spark.range(0, 20_000, 1, 8).select(key.alias("customer_id"))
-    found = hot_keys(frame, "customer_id", 0.01)
+    found = hot_keys(frame, "customer_id", share=0.01)["customer_id"]
     assert "hot" in found and len(found) <= 100
 
 
@@ -94,9 +95,25 @@ def test_hot_key_join_on_a_skewed_table(spark):
         F.concat(F.lit("c"), "id").alias("customer_id"), F.concat(F.lit("n"), "id").alias("customer_name")
     )
     small = enrich_with_customers(frame, dim)
-    large = enrich_with_customers(frame, dim, broadcast_limit=0)
-    assert small.count() == 6_000
-    assert values(large, *large.columns) == values(small, *small.columns)
+    expected = values(small, *small.columns)
+    assert len(expected) == 6_000
+    for hot in (None, {"customer_id": []}, {"customer_id": ["c7", "c8", "absent"]}):
+        large = enrich_with_customers(frame, dim, broadcast_limit=0, hot=hot)
+        assert values(large, *large.columns) == expected
+
+
+def test_hot_rows_scatter_over_the_shuffle(spark):
+    frame = spark.range(4_000).select("id", F.when(F.col("id") % 4 != 0, F.lit("c7")).alias("customer_id"))
+    dim = spark.createDataFrame([("c7", "n7")], "customer_id string, customer_name string")
+    hot = {"customer_id": ["c7"]}
+    large = enrich_with_customers(frame, dim, broadcast_limit=0, hot=hot)
+    plan = plan_of(large)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+    assert plan.count("Range (") == 1
+    with session_setting(spark, "spark.sql.adaptive.enabled", "false"):
+        large = enrich_with_customers(frame, dim, broadcast_limit=0, hot=hot)
+        sizes = [r["count"] for r in large.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4_000 and max(sizes) < 1_500
 
 
 def test_only_limits_the_lookup(spark, customers):

@@ -90,7 +90,10 @@ def _join_large(orders: DataFrame, dim: Dimension, only: Column | None, hot: lis
     is_hot = key.isNull() | key.isin(hot)
     scattered = F.xxhash64(*orders.columns).bitwiseOR(F.lit(1))
     routed = orders.withColumn("_spread", F.when(is_hot, scattered).otherwise(0))
-    cold_rows = dim.frame.withColumnRenamed(dim.key, "_dim_key").withColumn("_dim_spread", F.lit(0))
+    # Zero, but not a literal: a constant would leave the join keys, and with
+    # it the shuffle would be by the dimension key alone.
+    zero = F.xxhash64(dim.key).bitwiseAND(F.lit(0))
+    cold_rows = dim.frame.withColumn("_dim_spread", zero).withColumnRenamed(dim.key, "_dim_key")
     matches = (key == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
     if only is not None:
         matches = matches & only

@@ -22,6 +22,16 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def over_all_cores(frame: DataFrame, key: str) -> DataFrame:
+    """Spread a table whose files give fewer scan tasks than there are cores.
+
+    Larger tables are left as they are; a file of one row group would keep all
+    later work up to the next shuffle in one task.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
+
+
 def _negated_if(value: Column, condition: Column) -> Column:
     return F.when(condition, -value).otherwise(value)
 
@@ -40,7 +50,7 @@ def orders_raw(spark: SparkSession, directory: str) -> DataFrame:
     spelling = ((key + line) % len(LINE_STATUSES) + 1).cast("int")
 
     owners = table(spark, directory, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, directory, "lineitem")
+    lines = over_all_cores(table(spark, directory, "lineitem"), "l_orderkey")
     return lines.join(owners, key == F.col("o_orderkey"), "left").select(
         F.when(~missing, F.concat(F.lit("o"), key, F.lit("-"), line)).alias("order_id"),
         _numbered("c", F.col("o_custkey")).alias("customer_id"),
@@ -93,7 +103,7 @@ def _event_orders(events: DataFrame) -> DataFrame:
 
 def event_orders(spark: SparkSession, directory: str) -> DataFrame:
     """One raw order per event, some of them twice."""
-    return _event_orders(table(spark, directory, "events"))
+    return _event_orders(over_all_cores(table(spark, directory, "events"), "event_id"))
 
 
 def event_orders_stream(

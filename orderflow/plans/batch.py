@@ -20,6 +20,7 @@ from orderflow.operators.enrich import (
 )
 from orderflow.operators.metrics import long_form
 from orderflow.operators.quality import rejected_orders, valid_orders
+from orderflow.settings import session_setting
 from orderflow.sinks.files import read_quarantine, rebalanced, write_parquet, write_quarantine
 
 _LAYOUT = ["order_class", "order_date"]
@@ -139,9 +140,29 @@ def run_batch(
     products: DataFrame,
     output: str,
     broadcast_limit: int = BROADCAST_LIMIT,
+    shuffle_partitions: int | None = None,
 ) -> BatchTables:
     """Run the whole job and return its tables.
 
+    ``shuffle_partitions`` replaces the session's number while the job runs.
+    The deduplication cannot split a partition, so plan for a few GB each at
+    most; adaptive execution merges what turns out small.
+    """
+    spark = orders.sparkSession
+    partitions = None if shuffle_partitions is None else str(shuffle_partitions)
+    with session_setting(spark, "spark.sql.shuffle.partitions", partitions):
+        return _run_batch(orders, customers, products, output, broadcast_limit)
+
+
+def _run_batch(
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    output: str,
+    broadcast_limit: int,
+) -> BatchTables:
+    """The steps of the job.
+
     The input is read twice, once for the rejects and once for the clean
     orders, and shuffled by id once. Active and cancelled orders go into one
     table with a directory per class, so they need no common intermediate

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderflow.operators.aggregates import product_totals, windowed_revenue
 from orderflow.settings import session_setting
 from orderflow.sources.files import stream_orders_csv
-from orderflow.sources.kafka import stream_orders_kafka
+from orderflow.sources.kafka import dead_letters, decode_orders, stream_records
 from orderflow.streaming import sinks
 from orderflow.streaming.clean import WATERMARK_DELAY, clean_and_derive, rejected_stream
 from orderflow.streaming.progress import ProgressLog
@@ -68,9 +68,13 @@ def start_queries(
     thin: bool = True,
     available_now: bool = False,
     state_partitions: int | None = None,
+    records: DataFrame | None = None,
 ) -> list[StreamingQuery]:
     """Start the named queries; each has its own checkpoint and state.
 
+    Besides the usual ones there are ``quarantine`` (rejected orders) and, for
+    orders decoded from ``records``, ``dead_letters`` (what decoding lost).
+
     Totals and windows need no dimension columns, and dimension keys are
     unique, so the aggregates read the orders before any lookup. ``thin``
     guards against ids that hold much of a micro-batch.
@@ -93,6 +97,9 @@ def start_queries(
             "10 seconds",
         ),
     }
+    if records is not None:
+        lost = sinks.store_batches(f"{output}/dead_letters", "reason")
+        known["dead_letters"] = (dead_letters(records), "append", lost, "10 seconds")
     started = []
     for name in names:
         frame, mode, handler, every = known[name]
@@ -167,5 +174,11 @@ def run_kafka_stream(
     **options,
 ) -> StreamTables:
     """The streaming job over a Kafka topic; runs without end by default."""
-    orders = stream_orders_kafka(spark, servers, topic, **(source or {}))
-    return run_stream(orders, output, checkpoint, **{"names": KAFKA_QUERIES, **options})
+    records = stream_records(spark, servers, topic, **(source or {}))
+    return run_record_stream(records, output, checkpoint, **options)
+
+
+def run_record_stream(records: DataFrame, output: str, checkpoint: str, **options) -> StreamTables:
+    """The streaming job over any stream of JSON records in ``value``."""
+    options = {"names": KAFKA_QUERIES, "records": records, **options}
+    return run_stream(decode_orders(records), output, checkpoint, **options)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,19 +111,28 @@ def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 def latest_batch(spark: SparkSession, path: str, pattern: str) -> int | None:
     """Highest batch id among the directories below ``path``; reads only names."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     number = F.regexp_extract("path", f"/{pattern}(\\d+)/", 1).cast("bigint")
     return files.agg(F.max(number)).first()[0]
 
 
 def read_latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest CSV snapshot."""
+    """Rows of the newest CSV snapshot; none before the first batch."""
     newest = latest_batch(spark, path, "batch_")
+    if newest is None:
+        return spark.createDataFrame([], TOTALS)
     reader = spark.read.schema(TOTALS).option("header", True)
     return reader.csv(f"{path}/batch_{newest:04d}")
 
 
 def read_latest_batch(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Rows of the newest Parquet batch."""
+    """Rows of the newest Parquet batch; none before the first batch."""
     newest = latest_batch(spark, path, "batch_id=")
+    if newest is None:
+        return spark.createDataFrame([], ddl)
     return spark.read.schema(ddl).parquet(f"{path}/batch_id={newest}")

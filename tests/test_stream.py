@@ -18,11 +18,13 @@ from orderflow.operators.quality import split_cancelled, valid_orders
 from orderflow.plans.stream import (
     run_file_stream,
     run_kafka_stream,
+    run_record_stream,
     start_queries,
     start_query,
     wait_and_stop,
 )
 from orderflow.sources.files import stream_orders_csv
+from orderflow.sources.kafka import encode_orders
 from orderflow.streaming import sinks
 from orderflow.streaming.clean import clean_and_derive, clean_stream, rejected_stream, thin_copies
 from orderflow.streaming.progress import ProgressLog
@@ -307,6 +309,26 @@ def test_kafka_job_needs_the_connector(spark, tmp_path):
     assert not spark.streams.active
 
 
+def test_record_stream_keeps_dead_letters(spark, tmp_path):
+    good = [order("a", "10:00", price=2.0), order("b", "10:01", price=3.0), order("a", "10:00", price=2.0)]
+    payloads = encode_orders(orders(spark, good)).unionByName(
+        spark.createDataFrame([(bytearray(b"{bad"),)], "value binary")
+    )
+    payloads.coalesce(1).write.parquet(str(tmp_path / "in"))
+    records = spark.readStream.schema("value binary").parquet(str(tmp_path / "in"))
+    names = ("snapshots", "dead_letters")
+    run_record_stream(records, str(tmp_path / "out"), str(tmp_path / "cp"), names=names, available_now=True)
+    totals = sinks.read_latest_snapshot(spark, str(tmp_path / "out/product_totals_snapshots"))
+    assert values(totals, *totals.columns) == [("p1", 2, 5.0)]
+    lost = sinks.read_batches(spark, str(tmp_path / "out/dead_letters"), "payload string")
+    assert values(lost, "payload") == [("{bad",)]
+
+
+def test_nothing_stored_yet(spark, tmp_path):
+    assert sinks.read_latest_snapshot(spark, str(tmp_path / "none")).count() == 0
+    assert sinks.read_latest_batch(spark, str(tmp_path / "none"), sinks.TOTALS).count() == 0
+
+
 def test_triggered_queries_stop_after_the_timeout(spark, tmp_path):
     frame = source(spark, feed(tmp_path / "in", DEDUPE[:1]))
     queries = start_queries(frame, str(tmp_path / "out"), str(tmp_path / "cp"), names=("snapshots",))

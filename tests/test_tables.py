@@ -289,7 +289,8 @@ def test_batch_job_without_any_order(spark, customers, products, tmp_path):
 
 def test_second_run_replaces_the_first(spark, customers, products, tmp_path):
     run_batch(orders(spark, RAW), customers, products, str(tmp_path))
-    tables = run_batch(orders(spark, [order("only")]), customers, products, str(tmp_path))
+    tables = run_batch(orders(spark, [order("only")]), customers, products, str(tmp_path), shuffle_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert values(tables.orders(), "order_id") == [("only",)]
     assert tables.quarantine().count() == 0 and tables.cancelled().count() == 0
     assert enriched_layout(tables.orders()).count() == 1

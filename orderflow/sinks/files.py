@@ -24,7 +24,7 @@ def write_parquet(
     files; adaptive execution splits directories that hold many rows.
     """
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    if rebalance and keys:
+    if rebalance:
         frame = rebalanced(frame, keys)
     writer = frame.write.mode(mode).option("partitionOverwriteMode", "static")
     if keys:
@@ -36,7 +36,8 @@ def write_parquet(
 
 
 def rebalanced(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """Bring rows of a directory together, as far as sizes allow."""
+    """Bring rows of a directory together (or just even out the files of an
+    unpartitioned table), as far as sizes allow."""
     return frame.hint("rebalance", *[F.col(k) for k in keys])
 
 

@@ -61,10 +61,14 @@ def show_top_products(n: int = 10) -> Handler:
 
 
 def store_batches(path: str, partition_by: str | None = None) -> Handler:
-    """Parquet under ``path/batch_id=<id>``."""
+    """Parquet under ``path/batch_id=<id>``.
+
+    A batch has as many partitions as its scan or its state; rebalancing keeps
+    it from leaving as many small files at every trigger.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_parquet(batch, f"{path}/batch_id={batch_id}", partition_by)
+        write_parquet(batch, f"{path}/batch_id={batch_id}", partition_by, rebalance=True)
 
     return when_not_empty(store)
 
@@ -76,7 +80,7 @@ def store_windows(path: str, partition_by: str = "window_date") -> Handler:
     def store(batch: DataFrame, batch_id: int) -> None:
         if partition_by == "window_date":
             batch = batch.withColumn("window_date", F.to_date("window_start"))
-        write_parquet(batch, f"{path}/batch_id={batch_id}", partition_by)
+        write_parquet(batch, f"{path}/batch_id={batch_id}", partition_by, rebalance=True)
 
     return when_not_empty(store)
 

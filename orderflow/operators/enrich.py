@@ -109,8 +109,9 @@ def _join_large(orders: DataFrame, dim: Dimension, only: Column | None, hot: lis
 
 
 def _join_large_stream(orders: DataFrame, dim: Dimension, only: Column | None) -> DataFrame:
-    """Stream form of the large join: hot keys cannot be looked up ahead of
-    the data, so each key is spread over a fixed number of salts instead."""
+    """Stream form of the large join while hot keys are unknown: every key is
+    spread over a fixed number of salts, at the price of repeating the
+    dimension that often per micro-batch."""
     salt = F.pmod(F.xxhash64(*orders.columns), F.lit(STREAM_SALTS)).cast("int")
     salted = dim.frame.withColumnRenamed(dim.key, "_dim_key").withColumn(
         "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1)))
@@ -133,13 +134,14 @@ def left_lookup(
     """Add a dimension's columns; orders without a match keep NULLs.
 
     ``only`` restricts which orders are looked up at all. ``hot`` holds the
-    result of ``hot_keys`` if the caller has it; else a large dimension costs
-    an extra pass over the key column. It affects speed, never the result.
+    result of ``hot_keys`` if the caller has it, for a stream from its stored
+    past. Without it a large dimension costs an extra pass over the key column,
+    or salting on a stream. It affects speed, never the result.
     """
     dim = _checked(dimension, key)
     if dim.size_bytes <= broadcast_limit:
         joined = _join(orders, F.broadcast(dim.frame), key, only)
-    elif orders.isStreaming:
+    elif orders.isStreaming and hot is None:
         joined = _join_large_stream(orders, dim, only)
     else:
         hot = hot_keys(orders, key) if hot is None else hot

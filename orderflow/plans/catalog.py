@@ -30,10 +30,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(frame: DataFrame) -> DataFrame:
-    """Zone-free times and revenue in whole cents."""
+    """Zone-free times and revenue in whole cents; adding zero drops the sign
+    of a difference that rounds to it."""
     fixed = {n: F.col(n).cast("timestamp_ntz") for n, t in frame.dtypes if t == "timestamp"}
     fixed |= {
-        c: F.round(c, 2) for c in ("total_revenue", "revenue_diff") if c in frame.columns
+        c: F.round(c, 2) + F.lit(0.0) for c in ("total_revenue", "revenue_diff") if c in frame.columns
     }
     return frame.withColumns(fixed) if fixed else frame
 

@@ -28,8 +28,8 @@ def over_all_cores(frame: DataFrame, key: str) -> DataFrame:
     Larger tables are left as they are; a file of one row group would keep all
     later work up to the next shuffle in one task.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
+    cores, tasks = frame.sparkSession.sparkContext.defaultParallelism, frame.rdd.getNumPartitions()
+    return frame if tasks >= cores else frame.repartition(min(cores, 8 * tasks), key)
 
 
 def _negated_if(value: Column, condition: Column) -> Column:

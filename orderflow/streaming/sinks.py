@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.aggregates import by_revenue
+from orderflow.operators.enrich import Dimension, enrich_with_dimensions
 from orderflow.sinks.files import write_parquet
 from orderflow.sources.files import write_csv
 
@@ -40,6 +41,19 @@ def when_not_empty(handle: Handler) -> Handler:
     return run
 
 
+def enriching(handle: Handler, customers: Dimension, products: Dimension, **how) -> Handler:
+    """Add the dimensions to each batch before it is handled.
+
+    For dimensions too large to broadcast: a batch is a static frame, so its
+    own hot keys are found and adaptive execution applies.
+    """
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        handle(enrich_with_dimensions(batch, customers, products, **how), batch_id)
+
+    return when_not_empty(enrich)
+
+
 def show_rows(n: int = 20) -> Handler:
     """Print the first rows of each batch."""
 

@@ -13,7 +13,7 @@ from orderflow import schema as S
 from orderflow.operators import aggregates as agg
 from orderflow.operators.dedupe import dedupe_orders
 from orderflow.operators.derive import derive_columns, normalize_status
-from orderflow.operators.enrich import enrich_with_dimensions
+from orderflow.operators.enrich import check_dimension, enrich_with_dimensions
 from orderflow.operators.quality import split_cancelled, valid_orders
 from orderflow.plans.stream import (
     run_file_stream,
@@ -259,18 +259,39 @@ def test_stream_equals_batch_on_one_micro_batch(spark, tmp_path):
     assert seen[0] == values(batch, *batch.columns)
 
 
-@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 0])
-def test_stream_enrichment(spark, tmp_path, limit):
+LOOKUPS = {
+    "broadcast": {},
+    "salted": {"broadcast_limit": 0},
+    "known hot keys": {"broadcast_limit": 0, "hot": {"customer_id": ["c1"], "product_id": []}},
+}
+
+
+def lookup_stream(spark, tmp_path):
     customers = spark.createDataFrame([("c1", "Ann", None, "VIP", None)], S.CUSTOMERS)
     products = spark.createDataFrame([("p1", "Lamp", "Home", "BrandA", 9.5)], S.PRODUCTS)
     batches = [[order(f"o{i}", "10:00", "p1" if i % 2 else "p0", customer="c1" if i < 5 else None) for i in range(8)]]
     rows = clean_and_derive(source(spark, feed(tmp_path / "in", batches)))
-    frame = enrich_with_dimensions(rows, customers, products, broadcast_limit=limit)
+    expected = sorted((f"o{i}", "Ann" if i < 5 else None, "Lamp" if i % 2 else None) for i in range(8))
+    return rows, customers, products, expected
+
+
+@pytest.mark.parametrize("how", LOOKUPS)
+def test_stream_enrichment(spark, tmp_path, how):
+    rows, customers, products, expected = lookup_stream(spark, tmp_path)
+    frame = enrich_with_dimensions(rows, customers, products, **LOOKUPS[how])
     assert frame.columns == S.ENRICHED_COLUMNS
     seen = collect(frame, "append", tmp_path / "cp", ["order_id", "customer_name", "product_name"])
-    assert seen[0] == sorted(
-        (f"o{i}", "Ann" if i < 5 else None, "Lamp" if i % 2 else None) for i in range(8)
-    )
+    assert seen[0] == expected
+
+
+def test_enrichment_of_each_batch(spark, tmp_path):
+    rows, customers, products, expected = lookup_stream(spark, tmp_path)
+    dims = check_dimension(customers, "customer_id"), check_dimension(products, "product_id")
+    handler = sinks.enriching(sinks.store_batches(str(tmp_path / "out")), *dims, broadcast_limit=0)
+    query = start_query(rows, "enriching", "append", handler, str(tmp_path / "cp"), NOW)
+    query.awaitTermination()
+    out = sinks.read_batches(spark, str(tmp_path / "out"), "order_id string, customer_name string, product_name string")
+    assert values(out, *out.columns) == expected
 
 
 def test_whole_job(spark, tmp_path, capsys):

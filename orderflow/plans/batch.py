@@ -21,7 +21,13 @@ from orderflow.operators.enrich import (
 from orderflow.operators.metrics import long_form
 from orderflow.operators.quality import rejected_orders, valid_orders
 from orderflow.settings import session_setting
-from orderflow.sinks.files import read_quarantine, rebalanced, write_parquet, write_quarantine
+from orderflow.sinks.files import (
+    read_parquet,
+    read_quarantine,
+    rebalanced,
+    write_parquet,
+    write_quarantine,
+)
 
 _LAYOUT = ["order_class", "order_date"]
 _ADDED = [
@@ -55,14 +61,14 @@ class BatchTables:
 
     def all_orders(self) -> DataFrame:
         """Every kept order with its class and the number of copies seen."""
-        return self.spark.read.schema(ORDERS_TABLE).parquet(self.orders_path)
+        return read_parquet(self.spark, self.orders_path, ORDERS_TABLE)
 
     def rollup(self) -> DataFrame:
         """Orders, revenue and copies per class and day, product or hour."""
-        return self.spark.read.schema(ROLLUP_TABLE).parquet(f"{self.root}/revenue_rollup")
+        return read_parquet(self.spark, f"{self.root}/revenue_rollup", ROLLUP_TABLE)
 
     def _report(self, name: str, key: str) -> DataFrame:
-        return self.spark.read.schema(f"{key}, {_TOTALS}").parquet(f"{self.root}/{name}")
+        return read_parquet(self.spark, f"{self.root}/{name}", f"{key}, {_TOTALS}")
 
     def _of_class(self, name: str) -> DataFrame:
         return self.all_orders().filter(F.col("order_class") == name)

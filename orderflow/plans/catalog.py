@@ -222,6 +222,14 @@ def stream_clean_kafka(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(clean_stream(kafka.decode_orders(records)), "stream-kafka")
 
 
+def stream_clean_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Same rows when they arrive as CSV files."""
+    path = scratch_dir(spark, "events-csv")
+    files.write_csv(retail.event_orders(spark, sf), path)
+    orders = files.stream_orders_csv(spark, path, max_files_per_trigger=None)
+    return _streamed(clean_stream(orders), "stream-csv")
+
+
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Watermark and deduplication alone, on rows with an id."""
     rows = quality.split_missing_id(retail.event_orders_stream(spark, sf)).valid
@@ -307,6 +315,13 @@ def synth_defects(spark: SparkSession, sf: str) -> DataFrame:
     return synth.inject_defects(synth_orders(spark, sf))
 
 
+def microbatch_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Defective orders split into files by arrival and read back."""
+    path = scratch_dir(spark, "microbatches")
+    synth.split_microbatches(synth_defects(spark, sf), path, rows_per_file=100_000)
+    return files.read_orders_csv(spark, path)
+
+
 def synth_customers(spark: SparkSession, sf: str) -> DataFrame:
     return synth.synth_customers(_ids(spark, sf, "customer", "c_custkey"))
 
@@ -352,6 +367,7 @@ QUERIES: dict[str, Query] = {
     "kafka_dead_letter": lambda s, d: kafka.dead_letters(retail.event_records(s, d), "offset"),
     "stream_clean": stream_clean,
     "stream_clean_thinned": stream_clean_thinned,
+    "stream_clean_csv": stream_clean_csv,
     "stream_clean_kafka": stream_clean_kafka,
     "stream_dedupe": stream_dedupe,
     "stream_enrich": stream_enrich,
@@ -364,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "reconcile": reconcile,
     "synth_orders": synth_orders,
     "synth_defects": synth_defects,
+    "microbatch_files": microbatch_files,
     "synth_customers": synth_customers,
     "synth_products": synth_products,
 }

@@ -276,6 +276,7 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
     "kafka_dead_letter": DEAD,
     "stream_clean": _STREAM_CLEAN,
     "stream_clean_thinned": _STREAM_CLEAN,
+    "stream_clean_csv": _STREAM_CLEAN,
     "stream_clean_kafka": _STREAM_CLEAN,
     "stream_dedupe": _with(EVENTS) + "SELECT DISTINCT * FROM raw WHERE order_id IS NOT NULL",
     "stream_enrich": _EVENTS_ENRICHED,
@@ -292,6 +293,7 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
 FROM active GROUP BY product_id""",
     "synth_orders": _with(SYNTH) + "SELECT * FROM clean",
     "synth_defects": _with(SYNTH, DEFECTS) + SYNTH_DEFECTS,
+    "microbatch_files": _with(SYNTH, DEFECTS) + f"SELECT {ORDER} FROM ({SYNTH_DEFECTS})",
     "synth_customers": "WITH " + SYNTH_CUSTOMERS,
     "synth_products": "WITH " + SYNTH_PRODUCTS,
 }

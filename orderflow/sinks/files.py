@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderflow import schema as S
 from orderflow.settings import session_setting
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 _MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
@@ -59,7 +60,15 @@ def write_cancelled_orders(cancelled: DataFrame, path: str) -> None:
     write_parquet(cancelled, path, partition_by="order_date", rebalance=True)
 
 
+def read_parquet(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Read a table with a fixed schema. Many directories are listed by one
+    task per core instead of one task each."""
+    cores = str(spark.sparkContext.defaultParallelism)
+    with session_setting(spark, _LISTING, cores):
+        return spark.read.schema(ddl).parquet(path)
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Read back all reasons; the schema is fixed because directory names
     carry no types."""
-    return spark.read.schema(f"{S.ORDERS}, reject_reason string").parquet(path)
+    return read_parquet(spark, path, f"{S.ORDERS}, reject_reason string")

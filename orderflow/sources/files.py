@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderflow import schema as S
 
@@ -39,4 +40,9 @@ def stream_orders_csv(
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    frame.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """Write CSV with a header. Times are written as text like
+    ``2026-01-01 10:00:00``, with a fraction only where there is one; the
+    writer's own format would cut them to milliseconds."""
+    times = {n: F.col(n).cast("string") for n, t in frame.dtypes if t == "timestamp"}
+    text = frame.withColumns(times) if times else frame
+    text.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)

@@ -204,6 +204,15 @@ def test_dimension_csv(spark, customers, products, tmp_path):
     assert read.dtypes == products.dtypes and values(read, *read.columns) == values(products, *read.columns)
 
 
+def test_csv_keeps_whole_times(spark, tmp_path):
+    frame = orders(spark, [order("a", "10:00:00"), order("b", "10:00:00.123456"), order("c", None)])
+    write_csv(frame, str(tmp_path / "o"))
+    back = read_orders_csv(spark, str(tmp_path / "o"))
+    assert values(back, *back.columns) == values(frame, *frame.columns)
+    text = "".join(f.read_text() for f in (tmp_path / "o").glob("*.csv"))
+    assert "2026-01-01 10:00:00," in text
+
+
 def test_overwrite_leaves_no_stale_rows(spark, tmp_path):
     path = str(tmp_path / "q")
     frame = rejected_orders(orders(spark, [order(None), order("b", quantity=0), order("c")]))

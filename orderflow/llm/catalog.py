@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderflow.llm import mixing
+from orderflow.llm import block_names, line_runs, mixing, quality_rules, rule_ensemble, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,66 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def line_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
+    return line_runs.without_repeated_lines(_documents(spark, sf).select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def exact_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
+    return block_names.duplicate_classes(_documents(spark, sf)).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256")
+    )
+
+
+def quality_rules_query(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.judged(_documents(spark, sf)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def mixing_query(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(_documents(spark, sf)).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
     )
 
 
+#: Documents that score less are rejected.
+LEAST_SCORE = 0.7
+
+
+def quality_classifier_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    ensemble = rule_ensemble.fit_ensemble(docs, labels)
+    return rule_ensemble.scored(docs.select("doc_id", "text"), ensemble).select(
+        "doc_id",
+        rule_ensemble.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"),
+    )
+
+
+def warc_query(spark: SparkSession, sf: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    return warc.round_trip(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op7_mixing": mixing_query}
+    return {
+        "op3_line_dedup": line_dedup_query,
+        "op4_exact_dedup": exact_dedup_query,
+        "op5_quality_rules": quality_rules_query,
+        "op7_mixing": mixing_query,
+        "op9_quality_classifier": quality_classifier_query,
+        "op10_warc": warc_query,
+    }

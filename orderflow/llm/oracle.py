@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderflow.llm.quality_rules import STOP_WORDS
+
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -47,5 +49,101 @@ LEFT JOIN edges e ON d.source IS NOT DISTINCT FROM e.source
 """
 
 
+#: Trim and lower-case as the operators do, on ASCII only.
+_KEY = r"""translate(trim({0}, e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+LINE_DEDUP = rf"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM docs),
+keyed AS (SELECT *, {_KEY.format("line")} AS k FROM lines),
+found AS (
+  SELECT k, max(doc_id) AS top FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT keyed.*, found.k IS NOT NULL AND doc_id <> top AS gone
+  FROM keyed LEFT JOIN found USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+EXACT_DEDUP = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '{SPACE}+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM docs WINDOW same AS (PARTITION BY t)
+"""
+
+
+QUALITY_RULES = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '{WORD}')) AS ls
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM docs WHERE len(w) >= 5),
+repeated AS (
+  SELECT doc_id, i, count(*) OVER (
+           PARTITION BY doc_id, list_slice(w, i, i + 4)) AS n FROM windows),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS p FROM repeated WHERE n > 1) GROUP BY doc_id),
+stats AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+         length(regexp_replace(t, '{SPACE}', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))::BIGINT AS n_capitals,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+         len(list_filter(w, lambda x: list_contains({{stop}}, lower(rtrim(x, '.,;:'))))) AS n_stop,
+         len(ls) AS n_lines,
+         len(list_filter(ls, lambda x: x LIKE '%...' OR x LIKE '%…')) AS n_ellipsis,
+         len(list_filter(ls, lambda x: regexp_matches(x, '^{SPACE}*[-*•]'))) AS n_bullet
+  FROM docs LEFT JOIN covered USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words
+       AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.1::DOUBLE
+       AND (n_stop / n_words >= 0.02::DOUBLE OR n_words < 50)
+       AND n_capitals / word_chars <= 0.3::DOUBLE
+       AND (n_dup_lines / n_lines <= 0.5::DOUBLE OR n_words < 50)
+       AND n_ellipsis / n_lines <= 0.3::DOUBLE AND n_bullet / n_lines <= 0.9::DOUBLE AS kept
+FROM stats
+"""
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"((('0x' || substr(h, {5 * group + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
+    for group in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+WARC = f"""
+WITH digests AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM digests)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+def _stop_words() -> str:
+    known = sorted(set().union(*STOP_WORDS.values()))
+    return "[" + ", ".join(f"'{word}'" for word in known) + "]"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": MIXING}
+    return {
+        "op3_line_dedup": LINE_DEDUP,
+        "op4_exact_dedup": EXACT_DEDUP,
+        "op5_quality_rules": QUALITY_RULES.replace("{stop}", _stop_words()),
+        "op7_mixing": MIXING,
+        "op10_warc": WARC,
+    }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,35 +50,47 @@ def running_sum(values: Column) -> Column:
 
     Doubling steps, so n elements cost n log n and nothing leaves the row.
     """
-    steps = F.ceil(F.log2(F.greatest(F.size(values), F.lit(2)))).cast("int")
 
-    def add(sums: Column, step: Column) -> Column:
-        reach = F.pow(F.lit(2), step).cast("int")
+    def add(sums: Column, reach: Column) -> Column:
         return F.transform(
             sums,
             lambda v, i: v + F.when(i >= reach, F.get(sums, i - reach)).otherwise(F.lit(0)),
         )
 
-    start = F.transform(values, lambda v: v.cast("int"))
-    return F.aggregate(F.sequence(F.lit(0), steps - 1), start, add)
+    def sums(start: Column) -> Column:
+        steps = F.ceil(F.log2(F.greatest(F.size(start), F.lit(2)))).cast("int")
+        reaches = F.transform(
+            F.sequence(F.lit(0), steps - 1), lambda k: F.pow(F.lit(2), k).cast("int")
+        )
+        return F.aggregate(reaches, start, add)
+
+    return bound(values, sums)
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, also where body uses it in a lambda."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def located(text: Column, pattern: str) -> Column:
     """Leftmost, non-overlapping matches: array of (value, start, stop) in code points."""
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    n = F.size(found)
-    lengths = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.length(F.get(between, i)) + F.length(F.get(found, i)),
-    )
-    empty = F.array().cast("array<struct<value:string,start:int,stop:int>>")
-    return F.when(n == 0, empty).otherwise(
-        F.zip_with(
+
+    def place(found: Column, between: Column) -> Column:
+        lengths = F.zip_with(
+            F.slice(between, F.lit(1), F.size(found)), found, lambda b, f: F.length(b) + F.length(f)
+        )
+        return F.zip_with(
             found,
             running_sum(lengths),
             lambda v, e: F.struct(
                 v.alias("value"), (e - F.length(v)).alias("start"), e.alias("stop")
             ),
         )
+
+    none = F.array().cast("array<struct<value:string,start:int,stop:int>>")
+    return bound(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda found: F.when(F.size(found) == 0, none).otherwise(
+            bound(F.split(text, pattern, -1), lambda between: place(found, between))
+        ),
     )

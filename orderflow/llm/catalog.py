@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import block_names, line_runs, mixing, quality_rules, rule_ensemble, warc
+from orderflow.llm import (
+    block_names,
+    line_runs,
+    mixing,
+    piece_counts,
+    piece_dropout,
+    quality_rules,
+    rule_ensemble,
+    warc,
+)
+
+#: Files of public tokenizers.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +29,14 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def sentencepiece_query(spark: SparkSession, sf: str) -> DataFrame:
+    return piece_dropout.round_trip(_documents(spark, sf), PIECE_MODEL)
+
+
+def token_counts_query(spark: SparkSession, sf: str) -> DataFrame:
+    return piece_counts.token_counts(_documents(spark, sf), WORD_VOCABULARY)
+
+
 def line_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
     return line_runs.without_repeated_lines(_documents(spark, sf).select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -72,6 +93,8 @@ def warc_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentencepiece": sentencepiece_query,
+        "op2_token_counts": token_counts_query,
         "op3_line_dedup": line_dedup_query,
         "op4_exact_dedup": exact_dedup_query,
         "op5_quality_rules": quality_rules_query,

@@ -11,6 +11,7 @@ from orderflow.llm import (
     block_names,
     line_runs,
     mixing,
+    near_dups,
     piece_counts,
     piece_dropout,
     quality_rules,
@@ -68,6 +69,13 @@ def mixing_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def near_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
+    near = near_dups.Near(words=4, percent=80)
+    return near_dups.near_duplicates(_documents(spark, sf), near).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 #: Documents that score less are rejected.
 LEAST_SCORE = 0.7
 
@@ -99,6 +107,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_dedup": exact_dedup_query,
         "op5_quality_rules": quality_rules_query,
         "op7_mixing": mixing_query,
+        "op8_near_dedup": near_dedup_query,
         "op9_quality_classifier": quality_classifier_query,
         "op10_warc": warc_query,
     }

@@ -115,6 +115,27 @@ FROM stats
 """
 
 
+NEAR_DEDUP = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '{WORD}+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 2),
+                lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM docs),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+edges AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b
+    ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM docs
+  UNION SELECT reach.doc_id, e.b FROM reach JOIN edges e ON reach.r = e.a),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
+
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
     f"((('0x' || substr(h, {5 * group + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
@@ -145,5 +166,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_dedup": EXACT_DEDUP,
         "op5_quality_rules": QUALITY_RULES.replace("{stop}", _stop_words()),
         "op7_mixing": MIXING,
+        "op8_near_dedup": NEAR_DEDUP,
         "op10_warc": WARC,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm import (
     block_names,
+    disclosure,
     line_runs,
     mixing,
     near_dups,
@@ -63,6 +64,17 @@ def quality_rules_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pii_query(spark: SparkSession, sf: str) -> DataFrame:
+    found = disclosure.spans(_documents(spark, sf))
+    counts = [disclosure.of_kind(F.col("base"), k).alias(f"n_{k}") for k in disclosure.PATTERNS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(disclosure.written(F.col("base")), 256).alias("base_sha256"),
+        disclosure.written(F.col("spans")).alias("spans"),
+    )
+
+
 def mixing_query(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(_documents(spark, sf)).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -106,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op3_line_dedup": line_dedup_query,
         "op4_exact_dedup": exact_dedup_query,
         "op5_quality_rules": quality_rules_query,
+        "op6_pii": pii_query,
         "op7_mixing": mixing_query,
         "op8_near_dedup": near_dedup_query,
         "op9_quality_classifier": quality_classifier_query,

@@ -45,26 +45,25 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def running_sum(values: Column) -> Column:
-    """Sums up to and including each element of an array of integers.
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` of all elements up to and including each one, for an associative join.
 
     Doubling steps, so n elements cost n log n and nothing leaves the row.
     """
 
-    def add(sums: Column, reach: Column) -> Column:
+    def step(done: Column, reach: Column) -> Column:
         return F.transform(
-            sums,
-            lambda v, i: v + F.when(i >= reach, F.get(sums, i - reach)).otherwise(F.lit(0)),
+            done, lambda v, i: F.when(i >= reach, join(F.get(done, i - reach), v)).otherwise(v)
         )
 
-    def sums(start: Column) -> Column:
+    def scan(start: Column) -> Column:
         steps = F.ceil(F.log2(F.greatest(F.size(start), F.lit(2)))).cast("int")
         reaches = F.transform(
             F.sequence(F.lit(0), steps - 1), lambda k: F.pow(F.lit(2), k).cast("int")
         )
-        return F.aggregate(reaches, start, add)
+        return F.aggregate(reaches, start, step)
 
-    return bound(values, sums)
+    return bound(values, scan)
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -72,22 +71,34 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Leftmost, non-overlapping matches: array of (value, start, stop) in code points."""
+def located(text: Column, pattern: str, reach: int = 0) -> Column:
+    """Leftmost, non-overlapping matches: array of (value, start, stop, before, after).
+
+    start and stop are in code points; before and after are up to ``reach`` code
+    points next to the match, not beyond a neighbouring one.
+    """
 
     def place(found: Column, between: Column) -> Column:
         lengths = F.zip_with(
             F.slice(between, F.lit(1), F.size(found)), found, lambda b, f: F.length(b) + F.length(f)
         )
-        return F.zip_with(
-            found,
-            running_sum(lengths),
-            lambda v, e: F.struct(
-                v.alias("value"), (e - F.length(v)).alias("start"), e.alias("stop")
-            ),
-        )
 
-    none = F.array().cast("array<struct<value:string,start:int,stop:int>>")
+        def spans(ends: Column) -> Column:
+            return F.transform(
+                found,
+                lambda v, i: F.struct(
+                    v.alias("value"),
+                    (F.get(ends, i) - F.length(v)).alias("start"),
+                    F.get(ends, i).alias("stop"),
+                    F.right(F.get(between, i), F.lit(reach)).alias("before"),
+                    F.left(F.get(between, i + 1), F.lit(reach)).alias("after"),
+                ),
+            )
+
+        return bound(running(lengths, lambda a, b: a + b), spans)
+
+    fields = "value:string,start:int,stop:int,before:string,after:string"
+    none = F.array().cast(f"array<struct<{fields}>>")
     return bound(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda found: F.when(F.size(found) == 0, none).otherwise(

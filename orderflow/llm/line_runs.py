@@ -162,7 +162,7 @@ class LineRuns:
 
 
 def repeated_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """Positions of the lines to drop: __id, __mark, positions."""
+    """Positions of the lines to drop: __id, __mark, __positions."""
     spark = docs.sparkSession
     path = scratch_dir(spark, "lines")
     lines = (
@@ -185,7 +185,7 @@ def repeated_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame
         lines.join(popular, "hash")
         .where("id <> top")
         .groupBy(F.col("id").alias("__id"), F.col("mark").alias("__mark"))
-        .agg(F.collect_set("pos").alias("positions"))
+        .agg(F.collect_set("pos").alias("__positions"))
     )
 
 
@@ -196,10 +196,10 @@ def without_repeated_lines(docs: DataFrame, rules: LineRules = LineRules()) -> D
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
 
     def keep(lines: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("positions"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__positions"))
         return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
 
-    kept = F.when(F.col("positions").isNull(), text).otherwise(bound(split_lines(text), keep))
+    kept = F.when(F.col("__positions").isNull(), text).otherwise(bound(split_lines(text), keep))
     return (
         docs.withColumns(_row_key())
         .join(gone, ["__id", "__mark"], "left")
@@ -207,8 +207,8 @@ def without_repeated_lines(docs: DataFrame, rules: LineRules = LineRules()) -> D
             {
                 "kept_text": kept,
                 "n_lines": n_lines.cast("long"),
-                "n_dropped": F.coalesce(F.size("positions"), F.lit(0)).cast("long"),
+                "n_dropped": F.coalesce(F.size("__positions"), F.lit(0)).cast("long"),
             }
         )
-        .drop("__id", "__mark", "positions")
+        .drop("__id", "__mark", "__positions")
     )

@@ -289,7 +289,8 @@ def encoded(
     key: str = "doc_id",
     into: str = "ids",
 ) -> DataFrame:
-    """The documents with an array of ids; other columns unchanged."""
+    """The documents with an array of ids; other columns unchanged, one of that name replaced."""
+    docs = docs.drop(into)
     names = docs.columns
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +309,9 @@ def encoded(
 def decoded(
     frame: DataFrame, model_path: str, ids: str = "ids", into: str = "decoded"
 ) -> DataFrame:
-    """The rows with the text of an array of ids; other columns unchanged."""
+    """The rows with the text of an array of ids; other columns unchanged, one of that
+    name replaced."""
+    frame = frame.drop(into)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)

@@ -64,8 +64,13 @@ class Archive:
 
 
 def surt(url: str | None) -> str:
-    """Sort key of a URL: host labels reversed, then the rest, all lower case."""
-    parts = urlsplit(re.sub(r"[\x00-\x20]", "", url or "").lower())
+    """Sort key of a URL: host labels reversed, then the rest, all lower case; what
+    is no URL is its own key."""
+    plain = re.sub(r"[\x00-\x20]", "", url or "").lower()
+    try:
+        parts = urlsplit(plain)
+    except ValueError:
+        return plain
     host, _, port = parts.netloc.rpartition("@")[2].partition(":")
     labels = ",".join(reversed(host.split(".")))
     query = f"?{parts.query}" if parts.query else ""

@@ -17,16 +17,7 @@ DERIVED = "order_date date, order_day_of_week int, hour_of_day int, total_amount
 # JSON payloads carry the event time as text.
 ORDERS_JSON = ORDERS.replace("order_timestamp timestamp", "order_timestamp string")
 
-STATUSES = ["completed", "cancelled", "pending", "processing"]
 STATUS_SYNONYMS = {"complete": "completed", "done": "completed", "canceled": "cancelled"}
-STATUS_SPELLINGS = [
-    "completed", "Completed", "COMPLETED", "Complete",
-    "cancelled", "Cancelled", "CANCELLED", "canceled",
-    "pending", "Pending", "PENDING",
-    "processing", "Processing", "PROCESSING",
-    "Done", "done",
-]
-
 MISSING_ORDER_ID = "missing_order_id"
 INVALID_VALUES = "invalid_values"
 INDETERMINATE_VALUES = "indeterminate_values"

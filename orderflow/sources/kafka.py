@@ -76,14 +76,32 @@ def decode_orders(records: DataFrame) -> DataFrame:
 
 
 def dead_letters(records: DataFrame, *keep: str) -> DataFrame:
-    """Records that lose content in decoding, with the payload and a reason."""
-    at = F.col("order.order_timestamp")
-    bad_time = at.isNotNull() & at.try_cast("timestamp").isNull()
-    reason = F.when(F.col("order._corrupt").isNotNull(), "malformed_json").when(bad_time, "bad_timestamp")
+    """Records that lose content in decoding, with the payload and a reason:
+    empty, malformed_json, trailing_content (text behind the first object),
+    no_known_field or bad_timestamp, the first that holds."""
+    payload, at = F.col("payload"), F.col("order.order_timestamp")
+    # One object and nothing else makes a list of one.
+    listed = F.from_json(
+        F.concat(F.lit("["), payload, F.lit("]")), f"array<struct<{_fields(S.ORDERS_JSON)}>>"
+    )
+    known = F.array(*map(F.lit, S.column_names(S.ORDERS_JSON)))
+    keys = F.map_keys(F.from_json(payload, "map<string,string>"))
+    fields = F.coalesce(F.size(F.array_intersect(keys, known)), F.lit(0))
+    reason = (
+        F.when(payload.isNull() | (F.trim(payload) == ""), "empty")
+        .when(F.col("order._corrupt").isNotNull(), "malformed_json")
+        .when(F.coalesce(F.size(listed), F.lit(-1)) != 1, "trailing_content")
+        .when(fields < 1, "no_known_field")
+        .when(at.isNotNull() & at.try_cast("timestamp").isNull(), "bad_timestamp")
+    )
     tagged = _parsed(records, *keep).select(*keep, "payload", reason.alias("reason"))
     return tagged.filter(F.col("reason").isNotNull())
 
 
+def _fields(ddl: str) -> str:
+    return ", ".join(":".join(field.split()) for field in ddl.split(","))
+
+
 def encode_orders(orders: DataFrame, key: str | None = None) -> DataFrame:
     """Order rows to records with a JSON ``value`` (and ``key``, if named).
 

@@ -22,16 +22,6 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def over_all_cores(frame: DataFrame, key: str) -> DataFrame:
-    """Spread a table whose files give fewer scan tasks than there are cores.
-
-    Larger tables are left as they are; a file of one row group would keep all
-    later work up to the next shuffle in one task.
-    """
-    cores, tasks = frame.sparkSession.sparkContext.defaultParallelism, frame.rdd.getNumPartitions()
-    return frame if tasks >= cores else frame.repartition(min(cores, 8 * tasks), key)
-
-
 def _negated_if(value: Column, condition: Column) -> Column:
     return F.when(condition, -value).otherwise(value)
 
@@ -50,7 +40,7 @@ def orders_raw(spark: SparkSession, directory: str) -> DataFrame:
     spelling = ((key + line) % len(LINE_STATUSES) + 1).cast("int")
 
     owners = table(spark, directory, "orders").select("o_orderkey", "o_custkey")
-    lines = over_all_cores(table(spark, directory, "lineitem"), "l_orderkey")
+    lines = table(spark, directory, "lineitem")
     return lines.join(owners, key == F.col("o_orderkey"), "left").select(
         F.when(~missing, F.concat(F.lit("o"), key, F.lit("-"), line)).alias("order_id"),
         _numbered("c", F.col("o_custkey")).alias("customer_id"),
@@ -103,7 +93,7 @@ def _event_orders(events: DataFrame) -> DataFrame:
 
 def event_orders(spark: SparkSession, directory: str) -> DataFrame:
     """One raw order per event, some of them twice."""
-    return _event_orders(over_all_cores(table(spark, directory, "events"), "event_id"))
+    return _event_orders(table(spark, directory, "events"))
 
 
 def event_orders_stream(
@@ -111,33 +101,62 @@ def event_orders_stream(
 ) -> DataFrame:
     """The same orders as a stream. The pattern matches one file as well as a
     directory of files."""
+    return _event_orders(_events_stream(spark, directory, max_files_per_trigger))
+
+
+def _events_stream(
+    spark: SparkSession, directory: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     reader = spark.readStream.schema(table(spark, directory, "events").schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _event_orders(reader.parquet(f"{directory}/events.parquet*"))
+    return reader.parquet(f"{directory}/events.parquet*")
 
 
 def event_records(spark: SparkSession, directory: str) -> DataFrame:
+    """Events as records of a topic (see ``_event_records``)."""
+    return _event_records(table(spark, directory, "events"))
+
+
+def event_records_stream(spark: SparkSession, directory: str) -> DataFrame:
+    """The same records as a stream."""
+    return _event_records(_events_stream(spark, directory))
+
+
+def _event_records(events: DataFrame) -> DataFrame:
     """Events as the JSON records a topic would hold, some of them broken.
 
-    By event number: no JSON at all, a quantity that is no number, an
+    By event number: no JSON at all, nothing, blanks, text or a second record
+    behind the first, no known field, a quantity that is no number, an
     unreadable time, or a missing id written as NaN.
     """
     event = F.col("event_id")
-    broken = event % 97 == 3
     quantity = F.when(event % 89 == 4, '"x"').otherwise((event % 10 + 1).cast("string"))
     at = F.when(event % 83 == 6, "garbage").otherwise(F.col("ts").cast("string"))
     order_id = F.when(event % 101 == 0, "NaN").otherwise(
         F.concat(F.lit('"o'), event, F.lit('"'))
     )
+    product = F.from_json("props", "k int")["k"]
     json = F.concat(
         F.lit('{"order_id": '), order_id,
         F.lit(', "customer_id": "c'), F.col("user_id"),
+        F.lit('", "product_id": "p'), product,
         F.lit('", "order_timestamp": "'), at,
         F.lit('", "quantity": '), quantity,
         F.lit(', "price": '), F.col("value"),
         F.lit(', "status": "'), F.col("event_type"), F.lit('"}'),
     )
-    return table(spark, directory, "events").select(
-        event.alias("offset"), F.when(broken, "{bad").otherwise(json).cast("binary").alias("value")
+    kind = event % 97
+    payload = (
+        F.when(kind == 3, "{bad")
+        .when(kind == 13, F.lit(None))
+        .when(kind == 23, "  ")
+        .when(kind == 33, F.concat(json, F.lit(" trailing")))
+        .when(kind == 43, F.concat(json, json))
+        .when(kind == 53, "{}")
+        .when(kind == 63, F.concat(F.lit('{"Order_ID": "o'), event, F.lit('"}')))
+        .otherwise(json)
+    )
+    return events.select(
+        event.alias("offset"), payload.cast("binary").alias("value")
     )

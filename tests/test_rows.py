@@ -34,6 +34,11 @@ VALUE_ROWS = [
     order("i", quantity=None, price=None),
 ]
 
+STATUS_SPELLINGS = [
+    "completed", "Completed", "COMPLETED", "Complete", "cancelled", "Cancelled", "CANCELLED", "canceled",
+    "pending", "Pending", "PENDING", "processing", "Processing", "PROCESSING", "Done", "done",
+]
+
 
 def test_missing_id_split(spark):
     split = split_missing_id(orders(spark, [order("a"), order(None), order("")]))
@@ -79,8 +84,8 @@ def test_status_words(spark):
 
 
 def test_all_known_spellings_become_valid_statuses(spark):
-    frame = orders(spark, [order(w, status=w) for w in S.STATUS_SPELLINGS])
-    assert {s for (s,) in values(normalize_status(frame), "status")} == set(S.STATUSES)
+    frame = orders(spark, [order(w, status=w) for w in STATUS_SPELLINGS])
+    assert {s for (s,) in values(normalize_status(frame), "status")} == {"completed", "cancelled", "pending", "processing"}
 
 
 def test_cancelled_split_and_class(spark):

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
-# A key with more than this share of the orders is hot. At most 1/share keys
-# can be, which bounds both the list on the driver and the broadcast rows.
-HOT_SHARE = 0.001
-STREAM_SALTS = 32
 
 
 class DuplicateKeyError(ValueError):
@@ -65,62 +61,59 @@ def _join(orders: DataFrame, frame: DataFrame, key: str, only: Column | None) ->
     return orders.join(lookup, matches, "left").drop("_dim_key")
 
 
-def hot_keys(orders: DataFrame, *keys: str, share: float = HOT_SHARE) -> dict[str, list]:
-    """Per key column, every value above ``share`` of the rows, perhaps with
-    a few others; one pass over those columns.
+def hot_share(spark: SparkSession) -> float:
+    """A key with more rows than an average shuffle task is hot."""
+    return 1 / max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    The frequent-items sketch misses no value above the share and returns at
-    most 1/share of them, so the result is bounded however large the table is.
+
+def hot_keys(orders: DataFrame, *keys: str, share: float | None = None) -> dict[str, list]:
+    """Per key column, the values above ``share`` of the rows.
+
+    A sketch finds candidates, missing none, and a count removes those that are
+    below. At most 1/share values remain, so the result is bounded however large
+    the table is. Both are passes over those columns only.
     """
+    share = hot_share(orders.sparkSession) if share is None else share
     found = orders.freqItems(list(keys), share).first()
-    return {key: [v for v in items if v is not None] for key, items in zip(keys, found)}
+    candidates = {k: [v for v in items if v is not None] for k, items in zip(keys, found)}
+    flags = [
+        F.count_if(F.col(key) == F.lit(value)).alias(f"n_{k}_{i}")
+        for k, key in enumerate(keys)
+        for i, value in enumerate(candidates[key])
+    ]
+    counts = orders.agg(F.count(F.lit(1)).alias("n_rows"), *flags).first()
+    return {
+        key: [v for i, v in enumerate(candidates[key]) if counts[f"n_{k}_{i}"] > share * counts.n_rows]
+        for k, key in enumerate(keys)
+    }
 
 
 def _join_large(orders: DataFrame, dim: Dimension, only: Column | None, hot: list) -> DataFrame:
-    """Join a dimension that is too large to broadcast, in one pass.
+    """Join a dimension that is too large to broadcast.
 
-    The shuffle is by key and ``_spread``. Rows of a hot key, or of no key,
-    get a spread of their own values: they scatter over all tasks and match
-    nothing there. Afterwards the hot keys meet a broadcast of their dimension
-    rows, at most 1/HOT_SHARE of them because keys are unique. Each order
-    matches in one of the two joins at most, and the columns are merged.
+    Orders of a hot key, or of none, stay where they are and meet a broadcast of
+    the hot keys' dimension rows, one per key; all others are shuffled by key.
+    Both branches read the same source, so an exchange below is computed once.
     """
     key = F.col(dim.key)
-    added = [c for c in dim.frame.columns if c != dim.key]
-    is_hot = key.isNull() | key.isin(hot)
-    scattered = F.xxhash64(*orders.columns).bitwiseOR(F.lit(1))
-    routed = orders.withColumn("_spread", F.when(is_hot, scattered).otherwise(0))
-    # Zero, but not a literal: a constant would leave the join keys, and with
-    # it the shuffle would be by the dimension key alone.
-    zero = F.xxhash64(dim.key).bitwiseAND(F.lit(0))
-    cold_rows = dim.frame.withColumn("_dim_spread", zero).withColumnRenamed(dim.key, "_dim_key")
-    matches = (key == F.col("_dim_key")) & (F.col("_spread") == F.col("_dim_spread"))
-    if only is not None:
-        matches = matches & only
-    joined = routed.join(cold_rows.hint("shuffle_merge"), matches, "left")
-    joined = joined.drop("_spread", "_dim_key", "_dim_spread")
     if not hot:
-        return joined
-    renamed = {c: f"_hot_{c}" for c in added}
-    hot_rows = dim.frame.filter(key.isin(hot)).withColumnsRenamed(renamed)
-    both = _join(joined, F.broadcast(hot_rows), dim.key, only)
-    merged = {c: F.coalesce(f"_hot_{c}", c) for c in added}
-    return both.withColumns(merged).drop(*renamed.values())
-
-
-def _join_large_stream(orders: DataFrame, dim: Dimension, only: Column | None) -> DataFrame:
-    """Stream form of the large join while hot keys are unknown: every key is
-    spread over a fixed number of salts, at the price of repeating the
-    dimension that often per micro-batch."""
-    salt = F.pmod(F.xxhash64(*orders.columns), F.lit(STREAM_SALTS)).cast("int")
-    salted = dim.frame.withColumnRenamed(dim.key, "_dim_key").withColumn(
-        "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1)))
-    )
-    matches = (F.col(dim.key) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
-    if only is not None:
-        matches = matches & only
-    joined = orders.withColumn("_salt", salt).join(salted.hint("shuffle_merge"), matches, "left")
-    return joined.drop("_salt", "_dim_key", "_dim_salt")
+        # Rows without a key match nothing; they need no shuffle either.
+        is_hot = key.isNull()
+        hot_rows = dim.frame.limit(0)
+    else:
+        is_hot = key.isNull() | key.isin(hot)
+        hot_rows = dim.frame.filter(key.isin(hot))
+    cold = _join(orders.filter(~is_hot), dim.frame.hint("shuffle_merge"), dim.key, only)
+    return cold.unionByName(_join(orders.filter(is_hot), F.broadcast(hot_rows), dim.key, only))
+
+
+def reduced_dimension(dim: Dimension, orders: DataFrame, path: str) -> Dimension:
+    """The dimension's rows for the keys of some orders, written to ``path`` and
+    measured. Its key is unique already."""
+    keys = orders.select(dim.key).distinct()
+    dim.frame.join(keys, dim.key, "left_semi").write.mode("overwrite").parquet(path)
+    frame = dim.frame.sparkSession.read.schema(dim.frame.schema).parquet(path)
+    return check_dimension(frame, dim.key)
 
 
 def left_lookup(
@@ -134,15 +127,17 @@ def left_lookup(
     """Add a dimension's columns; orders without a match keep NULLs.
 
     ``only`` restricts which orders are looked up at all. ``hot`` holds the
-    result of ``hot_keys`` if the caller has it, for a stream from its stored
-    past. Without it a large dimension costs an extra pass over the key column,
-    or salting on a stream. It affects speed, never the result.
+    result of ``hot_keys`` if the caller has it; without it a large dimension
+    costs extra passes over the key column. It affects speed, never the result.
+
+    A stream cannot be looked up in a large dimension directly: its batches are
+    (``streaming.sinks.enriching``), each against the dimension rows it needs.
     """
     dim = _checked(dimension, key)
     if dim.size_bytes <= broadcast_limit:
         joined = _join(orders, F.broadcast(dim.frame), key, only)
-    elif orders.isStreaming and hot is None:
-        joined = _join_large_stream(orders, dim, only)
+    elif orders.isStreaming:
+        raise ValueError(f"the dimension of {key} is too large for a stream; enrich its batches")
     else:
         hot = hot_keys(orders, key) if hot is None else hot
         joined = _join_large(orders, dim, only, hot[key])

@@ -147,17 +147,25 @@ def run_batch(
     output: str,
     broadcast_limit: int = BROADCAST_LIMIT,
     shuffle_partitions: int | None = None,
+    hot: dict[str, list] | None = None,
+    min_partition_size: str | None = None,
 ) -> BatchTables:
     """Run the whole job and return its tables.
 
     ``shuffle_partitions`` replaces the session's number while the job runs.
     The deduplication cannot split a partition, so plan for a few GB each at
     most; adaptive execution merges what turns out small.
+
+    ``hot`` names the dimension keys of many orders, if known (``hot_keys``); it
+    matters for dimensions above ``broadcast_limit`` only. ``min_partition_size``
+    is for the order table (see ``write_parquet``).
     """
     spark = orders.sparkSession
     partitions = None if shuffle_partitions is None else str(shuffle_partitions)
     with session_setting(spark, "spark.sql.shuffle.partitions", partitions):
-        return _run_batch(orders, customers, products, output, broadcast_limit)
+        return _run_batch(
+            orders, customers, products, output, broadcast_limit, hot, min_partition_size
+        )
 
 
 def _run_batch(
@@ -166,11 +174,14 @@ def _run_batch(
     products: DataFrame,
     output: str,
     broadcast_limit: int,
+    hot: dict[str, list] | None,
+    min_partition_size: str | None,
 ) -> BatchTables:
     """The steps of the job.
 
     The input is read twice, once for the rejects and once for the clean
-    orders, and shuffled by id once. Active and cancelled orders go into one
+    orders, and shuffled by id once. Above ``broadcast_limit`` the clean orders
+    are first written as they are, and hot keys come from their key columns. Active and cancelled orders go into one
     table with a directory per class, so they need no common intermediate
     copy; only active orders are enriched. Reports and counts come from a
     roll-up, made in a single scan of a few columns of that table.
@@ -185,13 +196,15 @@ def _run_batch(
     kept = dedupe_orders(normalize_status(valid_orders(orders)), copies="n_copies")
     kept = derive_columns(classify_orders(kept))
     is_small = max(customers_dim.size_bytes, products_dim.size_bytes) <= broadcast_limit
-    hot = None
     if is_small:
         # Lay rows out for the writer first: broadcast joins keep the layout
         # and the shuffle carries no dimension columns.
         kept = rebalanced(kept, _LAYOUT)
     else:
-        hot = hot_keys(orders, "customer_id", "product_id")
+        write_parquet(kept, f"{output}/kept")
+        kept = spark.read.schema(kept.schema).parquet(f"{output}/kept")
+        active = kept.filter(F.col("order_class") == S.ACTIVE)
+        hot = hot_keys(active, "customer_id", "product_id") if hot is None else hot
     enriched = enrich_with_dimensions(
         kept,
         customers_dim,
@@ -201,7 +214,13 @@ def _run_batch(
         hot=hot,
     )
     columns = S.column_names(ORDERS_TABLE)
-    write_parquet(enriched.select(*columns), tables.orders_path, _LAYOUT, rebalance=not is_small)
+    write_parquet(
+        enriched.select(*columns),
+        tables.orders_path,
+        _LAYOUT,
+        rebalance=not is_small,
+        min_partition_size=min_partition_size,
+    )
 
     copies = F.sum("n_copies").alias("n_copies")
     rollup = revenue_rollup(tables.all_orders(), copies, within=("order_class",))

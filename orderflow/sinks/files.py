@@ -18,11 +18,15 @@ def write_parquet(
     partition_by: str | list[str] | None = None,
     mode: str = "overwrite",
     rebalance: bool = False,
+    min_partition_size: str | None = None,
 ) -> None:
     """Write a table, replacing all of it by default, also when it is empty.
 
     ``rebalance`` shuffles rows so that each directory gets few, evenly sized
     files; adaptive execution splits directories that hold many rows.
+    ``min_partition_size`` is the least that adaptive execution gives a task
+    while it writes; else the session's setting holds. Lower it where many
+    directories hold little data each, as opening files then takes the time.
     """
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if rebalance:
@@ -30,9 +34,7 @@ def write_parquet(
     writer = frame.write.mode(mode).option("partitionOverwriteMode", "static")
     if keys:
         writer = writer.partitionBy(*keys)
-    # Opening files dominates when many directories hold little data each:
-    # without this, adaptive execution would merge such data into one task.
-    with session_setting(frame.sparkSession, _MIN_PARTITION, "64KB"):
+    with session_setting(frame.sparkSession, _MIN_PARTITION, min_partition_size):
         writer.parquet(path)
 
 
@@ -55,9 +57,13 @@ def write_quarantine(rejects: DataFrame, path: str, reason: str | None = None) -
         write_parquet(rejects, path, partition_by="reject_reason", rebalance=True)
 
 
-def write_cancelled_orders(cancelled: DataFrame, path: str) -> None:
+def write_cancelled_orders(
+    cancelled: DataFrame, path: str, min_partition_size: str | None = None
+) -> None:
     """Store cancelled orders with their derived columns, by day."""
-    write_parquet(cancelled, path, partition_by="order_date", rebalance=True)
+    write_parquet(
+        cancelled, path, "order_date", rebalance=True, min_partition_size=min_partition_size
+    )
 
 
 def read_parquet(spark: SparkSession, path: str, ddl: str) -> DataFrame:

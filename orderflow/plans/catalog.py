@@ -8,14 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orderflow import schema as S
+from orderflow.functions.draws import draw_chance
 from orderflow.operators import aggregates, dedupe, derive, enrich, metrics, quality, synth
 from orderflow.operators.reconcile import reconcile as compare_totals
 from orderflow.plans.batch import BatchTables, run_batch
 from orderflow.plans.scratch import scratch_dir
-from orderflow.plans.stream import run_stream, start_query, wait_and_stop
+from orderflow.plans.stream import (
+    StreamTables,
+    run_record_stream,
+    run_stream,
+    start_query,
+    wait_and_stop,
+)
 from orderflow.sinks.files import (
     read_quarantine,
     write_cancelled_orders,
@@ -24,10 +32,20 @@ from orderflow.sinks.files import (
 )
 from orderflow.sources import files, kafka, retail
 from orderflow.streaming import sinks
-from orderflow.streaming.clean import clean_and_derive, clean_stream, rejected_stream
+from orderflow.streaming.clean import (
+    clean_and_derive,
+    clean_stream,
+    dedupe_stream,
+    rejected_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The test tables hold little data per day, spread over thousands of days.
+SMALL_DAYS = "64KB"
+#: No key of the test tables holds the share of a shuffle task; these few are the largest.
+HOT_SHARE = 0.001
+
 
 def comparable(frame: DataFrame) -> DataFrame:
     """Zone-free times and revenue in whole cents; adding zero drops the sign
@@ -94,24 +112,45 @@ def _event_active(spark: SparkSession, sf: str) -> DataFrame:
     return derive.derive_columns(quality.split_cancelled(_event_kept(spark, sf)).active)
 
 
-def cancelled_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Cancelled orders written by day and read back."""
+def _cancelled_stored(cancelled: DataFrame) -> DataFrame:
+    spark = cancelled.sparkSession
     path = scratch_dir(spark, "cancelled")
-    cancelled = derive.derive_columns(quality.split_cancelled(_event_kept(spark, sf)).cancelled)
-    write_cancelled_orders(cancelled, path)
+    write_cancelled_orders(cancelled, path, SMALL_DAYS)
     return spark.read.schema(cancelled.schema).parquet(path)
 
 
-def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Enriched orders written by day and read back."""
+def cancelled_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Cancelled orders written by day and read back."""
+    return _cancelled_stored(_cancelled(spark, sf))
+
+
+def cancelled_roundtrip_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over a month of events."""
+    return _cancelled_stored(
+        derive.derive_columns(quality.split_cancelled(_event_kept(spark, sf)).cancelled)
+    )
+
+
+def _enriched_stored(active: DataFrame, sf: str) -> DataFrame:
+    spark = active.sparkSession
     path = scratch_dir(spark, "enriched")
     enriched = enrich.enrich_with_dimensions(
-        _event_active(spark, sf), retail.customers(spark, sf), retail.products(spark, sf)
+        active, retail.customers(spark, sf), retail.products(spark, sf)
     )
-    write_parquet(enriched, path, partition_by="order_date", rebalance=True)
+    write_parquet(enriched, path, "order_date", rebalance=True, min_partition_size=SMALL_DAYS)
     return spark.read.schema(enriched.schema).parquet(path).select(*enriched.columns)
 
 
+def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched orders written by day and read back."""
+    return _enriched_stored(_active(spark, sf), sf)
+
+
+def parquet_roundtrip_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over a month of events."""
+    return _enriched_stored(_event_active(spark, sf), sf)
+
+
 def kafka_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return kafka.decode_orders(kafka.encode_orders(retail.event_orders(spark, sf)))
 
@@ -134,10 +173,12 @@ def enrich_dimensions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_large_dimensions(spark: SparkSession, sf: str) -> DataFrame:
-    """The same result by the joins for dimensions too large to broadcast."""
-    hot = enrich.hot_keys(retail.orders_raw(spark, sf), "customer_id", "product_id")
+    """The same result by the joins for dimensions too large to broadcast, with
+    few hot keys and many others."""
+    active = _active(spark, sf)
+    hot = enrich.hot_keys(active, "customer_id", "product_id", share=HOT_SHARE)
     return enrich.enrich_with_dimensions(
-        _active(spark, sf),
+        active,
         retail.customers(spark, sf),
         retail.products(spark, sf),
         broadcast_limit=0,
@@ -158,7 +199,11 @@ def dq_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def _batch(orders: DataFrame, sf: str) -> BatchTables:
     spark = orders.sparkSession
     return run_batch(
-        orders, retail.customers(spark, sf), retail.products(spark, sf), scratch_dir(spark, "batch")
+        orders,
+        retail.customers(spark, sf),
+        retail.products(spark, sf),
+        scratch_dir(spark, "batch"),
+        min_partition_size=SMALL_DAYS,
     )
 
 
@@ -167,6 +212,24 @@ def batch_job(spark: SparkSession, sf: str) -> DataFrame:
     return _batch(retail.orders_raw(spark, sf), sf).stage_counts()
 
 
+def batch_job_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The same job; returns the enriched orders."""
+    return _batch(retail.orders_raw(spark, sf), sf).orders()
+
+
+def batch_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The same job; returns its written revenue by day."""
+    return _batch(retail.orders_raw(spark, sf), sf).daily_revenue()
+
+
+def batch_products(spark: SparkSession, sf: str) -> DataFrame:
+    return _batch(retail.orders_raw(spark, sf), sf).product_revenue()
+
+
+def batch_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return _batch(retail.orders_raw(spark, sf), sf).hourly_revenue()
+
+
 def batch_job_events(spark: SparkSession, sf: str) -> DataFrame:
     """The whole batch job over a month of events; returns the enriched orders."""
     return _batch(retail.event_orders(spark, sf), sf).orders()
@@ -233,9 +296,25 @@ def stream_clean_csv(spark: SparkSession, sf: str) -> DataFrame:
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Watermark and deduplication alone, on rows with an id."""
     rows = quality.split_missing_id(retail.event_orders_stream(spark, sf)).valid
-    marked = rows.withWatermark("order_timestamp", "30 minutes")
-    return _streamed(marked.dropDuplicatesWithinWatermark(["order_id"]), "stream-dedupe")
+    return _streamed(dedupe_stream(rows), "stream-dedupe")
+
+
+def stream_enrich_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches enriched one by one, as for dimensions too large to broadcast."""
+    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
+    dimensions = (
+        enrich.check_dimension(retail.customers(spark, sf), "customer_id"),
+        enrich.check_dimension(retail.products(spark, sf), "product_id"),
+    )
 
+    def handler(path: str) -> sinks.Handler:
+        store = sinks.store_batches(path)
+        return sinks.enriching(store, *dimensions, f"{path}-staging", broadcast_limit=0)
+
+    path = _run_to_table(rows, "stream-enrich-large", "append", handler)
+    ddl = f"{S.ORDERS}, {S.DERIVED}, {S.CUSTOMERS}, {S.PRODUCTS}"
+    fields = {field.split()[0]: field for field in ddl.split(", ")}
+    return sinks.read_batches(spark, path, ", ".join(fields[c] for c in S.ENRICHED_COLUMNS))
 
 
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,7 +329,17 @@ def stream_windowed_revenue(spark: SparkSession, sf: str) -> DataFrame:
     rows = clean_and_derive(retail.event_orders_stream(spark, sf))
     frame = aggregates.windowed_revenue(rows)
     path = _run_to_table(frame, "stream-windows", "append", sinks.store_windows)
-    return sinks.read_batches(spark, path, sinks.WINDOWS)
+    return sinks.read_batches(spark, path, sinks.WINDOWS, "window_date date")
+
+
+def stream_windows_by_product(spark: SparkSession, sf: str) -> DataFrame:
+    """The same windows stored in a directory per product."""
+    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
+    frame = aggregates.windowed_revenue(rows)
+    path = _run_to_table(
+        frame, "stream-products", "append", lambda p: sinks.store_windows(p, "product_id")
+    )
+    return sinks.read_batches(spark, path, sinks.WINDOWS, "product_id string")
 
 
 def _stream_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,17 +366,152 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(rejected_stream(retail.event_orders_stream(spark, sf)), "stream-rejects")
 
 
-def stream_job(spark: SparkSession, sf: str) -> DataFrame:
-    """All queries of the streaming job at once; returns the final totals."""
+def _job(spark: SparkSession, sf: str, **options) -> StreamTables:
     root = scratch_dir(spark, "stream-job")
-    tables = run_stream(
+    return run_stream(
         retail.event_orders_stream(spark, sf),
         f"{root}/out",
         f"{root}/checkpoint",
         available_now=True,
         state_partitions=spark.sparkContext.defaultParallelism,
+        **options,
+    )
+
+
+def stream_job(spark: SparkSession, sf: str) -> DataFrame:
+    """All queries of the streaming job at once; returns the final totals."""
+    return _job(spark, sf).product_totals()
+
+
+def stream_job_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same job; returns its windows."""
+    return _job(spark, sf).windowed_revenue().drop("window_date")
+
+
+def stream_quarantine_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects as the job stores them by reason."""
+    return _job(spark, sf, names=("quarantine",)).quarantine()
+
+
+def stream_dead_letters_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Dead letters as the job stores them by reason."""
+    root = scratch_dir(spark, "stream-dead-letters")
+    return run_record_stream(
+        retail.event_records_stream(spark, sf),
+        f"{root}/out",
+        f"{root}/checkpoint",
+        available_now=True,
+        names=("dead_letters",),
+    ).dead_letters()
+
+
+# --- streams of several batches ---------------------------------------------
+
+SLICE_SECONDS = 3 * 86_400
+LAST_SLICE = 9
+FILES_PER_SLICE = 4
+DELAYED_SHARE = 0.1
+#: The batch at which the restarted stream goes on.
+RESTART_AT = 6
+
+
+def _deliveries(orders: DataFrame) -> DataFrame:
+    """Adds the batch that an order arrives in: its slice of the month by arrival
+    time, or, for some, two batches later."""
+    start = F.unix_seconds(F.lit("2026-01-01").cast("timestamp"))
+    place = F.floor((F.unix_seconds("arrival_time") - start) / SLICE_SECONDS)
+    key = [F.col("order_id"), F.unix_micros("arrival_time")]
+    delayed = draw_chance(42, "delayed", DELAYED_SHARE, *key)
+    return orders.withColumn(
+        "delivery", (F.least(place, F.lit(LAST_SLICE)) + F.when(delayed, 2).otherwise(0)).cast("int")
+    )
+
+
+def _deliver(deliveries: DataFrame, directory: str, batches: range) -> None:
+    """Files of the batches, written one batch after the other."""
+    for batch in batches:
+        rows = deliveries.where(F.col("delivery") == batch).select(*S.column_names(S.ORDERS))
+        files.write_csv(rows.repartition(FILES_PER_SLICE), f"{directory}/b{batch:02d}")
+
+
+def _with_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored_deliveries(synth_defects(spark, sf))
+
+
+def _without_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    rows = synth.inject_negative(synth_orders(spark, sf), "quantity")
+    return _stored_deliveries(synth.inject_late(rows))
+
+
+def _stored_deliveries(orders: DataFrame) -> DataFrame:
+    path = scratch_dir(orders.sparkSession, "deliveries")
+    rows = _deliveries(orders)
+    rows.write.parquet(path)
+    return orders.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _clean_runs(spark: SparkSession, sf: str, parts: list[range], fresh: bool) -> DataFrame:
+    """Orders that a cleaned stream lets through, fed part by part; each part is a
+    new start of the query. With ``fresh``, a last start from nothing reads all."""
+    root = scratch_dir(spark, "stream-parts")
+    deliveries = _with_repeats(spark, sf)
+    orders = None
+
+    def start(out: str) -> None:
+        query = start_query(
+            clean_stream(orders),
+            "stream-parts",
+            "append",
+            sinks.store_batches(f"{root}/{out}"),
+            f"{root}/checkpoint-{out}",
+            {"availableNow": True},
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
+        wait_and_stop([query], all_must_end=True)
+
+    for part in parts:
+        _deliver(deliveries, f"{root}/in", part)
+        orders = files.stream_orders_csv(spark, f"{root}/in/*", FILES_PER_SLICE)
+        start("out")
+    if fresh:
+        start("replayed")
+    found = sinks.read_batches(spark, f"{root}/{'replayed' if fresh else 'out'}", S.ORDERS)
+    # Which copy of an order comes first within a batch is open; they differ in time only.
+    return found.drop("order_timestamp").distinct()
+
+
+ALL_BATCHES = range(LAST_SLICE + 3)
+
+
+def stream_late_dropped(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream with rows that arrive too late."""
+    return _clean_runs(spark, sf, [ALL_BATCHES], fresh=False)
+
+
+def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stream, stopped and started again on its checkpoint."""
+    parts = [ALL_BATCHES[:RESTART_AT], ALL_BATCHES[RESTART_AT:]]
+    return _clean_runs(spark, sf, parts, fresh=False)
+
+
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The restarted stream's files read once more from the beginning."""
+    parts = [ALL_BATCHES[:RESTART_AT], ALL_BATCHES[RESTART_AT:]]
+    return _clean_runs(spark, sf, parts, fresh=True)
+
+
+def stream_windows_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The last state of every window that update mode reports, late rows dropped."""
+    directory = f"{scratch_dir(spark, 'stream-updates')}/in"
+    _deliver(_without_repeats(spark, sf), directory, ALL_BATCHES)
+    orders = files.stream_orders_csv(spark, f"{directory}/*", FILES_PER_SLICE)
+    frame = aggregates.windowed_revenue(clean_and_derive(orders))
+    path = _run_to_table(frame, "stream-updates", "update", sinks.store_batches)
+    rows = sinks.read_batches(spark, path, f"{sinks.WINDOWS}, batch_id bigint")
+    return rows.groupBy("window_start", "window_end", "product_id").agg(
+        F.max_by("orders_count", "batch_id").alias("orders_count"),
+        F.max_by("total_revenue", "batch_id").alias("total_revenue"),
     )
-    return tables.product_totals()
 
 
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
@@ -315,11 +539,30 @@ def synth_defects(spark: SparkSession, sf: str) -> DataFrame:
     return synth.inject_defects(synth_orders(spark, sf))
 
 
+ROWS_PER_FILE = 100
+
+
 def microbatch_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Defective orders split into files by arrival and read back."""
+    """Defective orders split into files by time and read back, with two flags:
+    whether the row's file is within its size and whether no earlier file, by
+    name, holds a later time."""
     path = scratch_dir(spark, "microbatches")
-    synth.split_microbatches(synth_defects(spark, sf), path, rows_per_file=100_000)
-    return files.read_orders_csv(spark, path)
+    synth.split_microbatches(
+        synth_defects(spark, sf), path, rows_per_file=ROWS_PER_FILE, order_by="order_timestamp"
+    )
+    rows = files.read_orders_csv(spark, path).withColumn("file", F.col("_metadata.file_name"))
+    per_file = rows.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("order_timestamp").alias("first"),
+        F.max("order_timestamp").alias("last"),
+    )
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    flags = per_file.select(
+        "file",
+        (F.col("n_rows") <= ROWS_PER_FILE).alias("size_kept"),
+        F.coalesce(F.max("last").over(earlier) <= F.col("first"), F.lit(True)).alias("order_kept"),
+    )
+    return rows.join(flags, "file").drop("file")
 
 
 def synth_customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -347,6 +590,7 @@ QUERIES: dict[str, Query] = {
     "active_orders": _active,
     "cancelled_orders": _cancelled,
     "cancelled_roundtrip": cancelled_roundtrip,
+    "cancelled_roundtrip_events": cancelled_roundtrip_events,
     "enrich_customers": enrich_customers,
     "enrich_products": enrich_products,
     "enrich_dimensions": enrich_dimensions,
@@ -360,8 +604,13 @@ QUERIES: dict[str, Query] = {
     "batch_event_stats": lambda s, d: metrics.event_stats(retail.event_orders(s, d)),
     "windowed_revenue_batch": _windowed_batch,
     "parquet_roundtrip": parquet_roundtrip,
+    "parquet_roundtrip_events": parquet_roundtrip_events,
     "run_batch": batch_job,
+    "run_batch_orders": batch_job_orders,
     "run_batch_events": batch_job_events,
+    "batch_daily": batch_daily,
+    "batch_products": batch_products,
+    "batch_hourly": batch_hourly,
     "kafka_decode": lambda s, d: kafka.decode_orders(retail.event_records(s, d)),
     "kafka_roundtrip": kafka_roundtrip,
     "kafka_dead_letter": lambda s, d: kafka.dead_letters(retail.event_records(s, d), "offset"),
@@ -371,12 +620,21 @@ QUERIES: dict[str, Query] = {
     "stream_clean_kafka": stream_clean_kafka,
     "stream_dedupe": stream_dedupe,
     "stream_enrich": stream_enrich,
+    "stream_enrich_large": stream_enrich_large,
     "stream_windowed_revenue": stream_windowed_revenue,
+    "stream_windows_by_product": stream_windows_by_product,
+    "stream_windows_update": stream_windows_update,
+    "stream_late_dropped": stream_late_dropped,
+    "stream_restart": stream_restart,
+    "stream_replay": stream_replay,
     "stream_product_totals": stream_product_totals,
     "stream_top_products": stream_top_products,
     "snapshot_latest": snapshot_latest,
     "stream_quarantine": stream_quarantine,
+    "stream_quarantine_stored": stream_quarantine_stored,
+    "stream_dead_letters_stored": stream_dead_letters_stored,
     "run_stream": stream_job,
+    "run_stream_windows": stream_job_windows,
     "reconcile": reconcile,
     "synth_orders": synth_orders,
     "synth_defects": synth_defects,

@@ -122,26 +122,36 @@ STAGES = [
 ]
 COUNTS = "\nUNION ALL ".join(f"SELECT '{name}' AS stage, ({sql}) AS n_rows" for name, sql in STAGES)
 
-DECODED = """SELECT
-  CASE WHEN event_id % 97 = 3 OR event_id % 101 = 0 THEN NULL ELSE 'o' || event_id END AS order_id,
-  CASE WHEN event_id % 97 = 3 THEN NULL ELSE 'c' || user_id END AS customer_id,
-  CAST(NULL AS VARCHAR) AS product_id,
-  CASE WHEN event_id % 97 = 3 OR event_id % 83 = 6 THEN NULL ELSE ts END AS order_timestamp,
-  CASE WHEN event_id % 97 = 3 OR event_id % 89 = 4 THEN NULL
+# Payloads without JSON or without any known field decode to nothing.
+_LOST = "event_id % 97 IN (3, 13, 23, 53, 63)"
+DECODED = f"""SELECT
+  CASE WHEN {_LOST} OR event_id % 101 = 0 THEN NULL ELSE 'o' || event_id END AS order_id,
+  CASE WHEN {_LOST} THEN NULL ELSE 'c' || user_id END AS customer_id,
+  CASE WHEN {_LOST} THEN NULL ELSE 'p' || json_extract_string(props, '$.k') END AS product_id,
+  CASE WHEN {_LOST} OR event_id % 83 = 6 THEN NULL ELSE ts END AS order_timestamp,
+  CASE WHEN {_LOST} OR event_id % 89 = 4 THEN NULL
        ELSE CAST(1 + event_id % 10 AS INTEGER) END AS quantity,
-  CASE WHEN event_id % 97 = 3 THEN NULL ELSE value END AS price,
-  CASE WHEN event_id % 97 = 3 THEN NULL ELSE event_type END AS status
+  CASE WHEN {_LOST} THEN NULL ELSE value END AS price,
+  CASE WHEN {_LOST} THEN NULL ELSE event_type END AS status
 FROM events"""
 
-DEAD = """SELECT event_id AS "offset",
-  CASE WHEN event_id % 97 = 3 THEN '{bad' ELSE
+DEAD = """WITH texts AS (SELECT *,
     '{"order_id": ' || CASE WHEN event_id % 101 = 0 THEN 'NaN' ELSE '"o' || event_id || '"' END
-    || ', "customer_id": "c' || user_id || '", "order_timestamp": "'
+    || ', "customer_id": "c' || user_id || '", "product_id": "p' || json_extract_string(props, '$.k')
+    || '", "order_timestamp": "'
     || CASE WHEN event_id % 83 = 6 THEN 'garbage' ELSE CAST(ts AS VARCHAR) END
     || '", "quantity": ' || CASE WHEN event_id % 89 = 4 THEN '"x"' ELSE CAST(1 + event_id % 10 AS VARCHAR) END
-    || ', "price": ' || value || ', "status": "' || event_type || '"}' END AS payload,
-  CASE WHEN event_id % 97 = 3 OR event_id % 89 = 4 THEN 'malformed_json' ELSE 'bad_timestamp' END AS reason
-FROM events WHERE event_id % 97 = 3 OR event_id % 89 = 4 OR event_id % 83 = 6"""
+    || ', "price": ' || value || ', "status": "' || event_type || '"}' AS json FROM events),
+found AS (SELECT event_id AS "offset",
+  CASE event_id % 97 WHEN 3 THEN '{bad' WHEN 13 THEN NULL WHEN 23 THEN '  '
+       WHEN 33 THEN json || ' trailing' WHEN 43 THEN json || json WHEN 53 THEN '{}'
+       WHEN 63 THEN '{"Order_ID": "o' || event_id || '"}' ELSE json END AS payload,
+  CASE WHEN event_id % 97 IN (13, 23) THEN 'empty' WHEN event_id % 97 = 3 THEN 'malformed_json'
+       WHEN event_id % 97 IN (53, 63) THEN 'no_known_field'
+       WHEN event_id % 89 = 4 THEN 'malformed_json'
+       WHEN event_id % 97 IN (33, 43) THEN 'trailing_content'
+       WHEN event_id % 83 = 6 THEN 'bad_timestamp' END AS reason
+  FROM texts)"""
 
 
 # --- synthesis --------------------------------------------------------------
@@ -203,22 +213,55 @@ SYNTH_CUSTOMERS = f"""named AS (
          {_item('last_name', synth.LAST_NAMES, 'c_custkey')} AS last
   FROM customer)
 SELECT 'c' || id AS customer_id, first || ' ' || last AS customer_name,
-  lower(first || '.' || last) || id || '@email.com' AS customer_email,
+  lower(first || '.' || last) || id || '@{synth.MAIL_DOMAIN}' AS customer_email,
   {_item('segment', synth.SEGMENTS, 'id')} AS customer_segment,
   strftime(DATE '2026-01-31' - CAST({_int('registered', 1, 730, 'id')} AS INTEGER), '%Y-%m-%d')
     AS registration_date
 FROM named"""
-_KINDS = "[" + ", ".join(_list(items) for items in synth.PRODUCT_TYPES.values()) + "]"
 SYNTH_PRODUCTS = f"""drawn AS (
-  SELECT p_partkey AS id, {_int('category', 1, 10, 'p_partkey')} AS kind,
-         {_item('brand', synth.BRANDS, 'p_partkey')} AS brand
+  SELECT p_partkey AS id, {_item('category', synth.CATEGORIES, 'p_partkey')} AS category,
+         {_item('brand', synth.BRANDS, 'p_partkey')} AS brand,
+         {_item('type', synth.ITEMS, 'p_partkey')} AS item
   FROM part)
-SELECT 'p' || id AS product_id,
-  brand || ' ' || ({_KINDS})[kind][{_int('type', 1, 5, 'id')}] AS product_name,
-  ({_list(list(synth.PRODUCT_TYPES))})[kind] AS category, brand,
-  {_int('list_price', 1000, 60000, 'id')} / 100.0::DOUBLE AS list_price
+SELECT 'p' || id AS product_id, brand || ' ' || item || ' ' || category AS product_name,
+  category, brand, {_int('list_price', 1000, 60000, 'id')} / 100.0::DOUBLE AS list_price
 FROM drawn"""
 
+# --- streams of several batches ---------------------------------------------
+
+_DELIVERY = f"""least(floor((epoch(arrival_time) - epoch(TIMESTAMP '2026-01-01')) / 259200), 9)::INT
+  + CASE WHEN {_chance('delayed', 0.1, 'order_id', 'epoch_us(arrival_time)')} THEN 2 ELSE 0 END"""
+_SINGLE = f"""single AS (
+  SELECT * REPLACE (CASE WHEN {_chance('negative_quantity', 0.05, *_ROW)} THEN -abs(quantity)
+                         ELSE quantity END AS quantity) FROM clean)"""
+_SINGLE_LATE = f"""SELECT * REPLACE (CASE WHEN {_chance('late', 0.05, *_ROW)}
+  THEN order_timestamp - to_seconds(60 * {_int('late_minutes', 1, 60, *_ROW)})
+  ELSE order_timestamp END AS order_timestamp), order_timestamp AS arrival_time FROM single"""
+
+
+def _on_time(rows: str, restart: int | None = None) -> str:
+    """Valid rows not behind the watermark. A batch drops by the watermark of the one
+    before, so by what arrived two batches ago. A start on a checkpoint comes after a
+    batch without rows, which has caught up by one."""
+    back = f"CASE WHEN r.b = {restart} THEN 1 ELSE 2 END" if restart else "2"
+    return f"""delivered AS (SELECT *, {_DELIVERY} AS b FROM ({rows})),
+raw AS (SELECT * FROM delivered),
+{TAGGED},
+good AS (
+  SELECT * REPLACE (CASE WHEN lower(trim(status, ' ')) IN ('complete', 'done') THEN 'completed'
+              WHEN lower(trim(status, ' ')) = 'canceled' THEN 'cancelled'
+              ELSE lower(trim(status, ' ')) END AS status)
+  FROM tagged WHERE reject_reason IS NULL),
+marks AS (SELECT b, max(order_timestamp) AS latest FROM good GROUP BY b),
+active AS (
+  SELECT r.* EXCLUDE (b, reject_reason, arrival_time), quantity * price AS total_amount
+  FROM good r
+  WHERE status <> 'cancelled' AND coalesce(order_timestamp > (
+    SELECT max(latest) FROM marks WHERE marks.b <= r.b - {back}) - INTERVAL '30 minutes', true))"""
+
+
+_LATE = "SELECT DISTINCT order_id, customer_id, product_id, quantity, price, status FROM active"
+
 _ACTIVE = _with(*LINES)
 _ENRICHED = _with(*LINES, CUSTOMERS, PRODUCTS)
 _STREAM = _with(*STREAM)
@@ -245,7 +288,8 @@ ORACLE: dict[str, str] = {
     "derive_columns": _with(RAW, TAGGED, NORMAL, KEPT, DERIVED) + "SELECT * FROM derived",
     "active_orders": _ACTIVE + "SELECT * FROM active",
     "cancelled_orders": _ACTIVE + CANCELLED,
-    "cancelled_roundtrip": _STREAM + CANCELLED,
+    "cancelled_roundtrip": _ACTIVE + CANCELLED,
+    "cancelled_roundtrip_events": _STREAM + CANCELLED,
     "enrich_customers": _ENRICHED
     + f"SELECT active.*, {CUSTOMER} FROM active LEFT JOIN customers USING (customer_id)",
     "enrich_products": _ENRICHED
@@ -268,32 +312,49 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
     + """SELECT count(*) AS n_rows, min(order_timestamp) AS min_event_time,
   max(order_timestamp) AS max_event_time FROM raw""",
     "windowed_revenue_batch": _ACTIVE + WINDOWS,
-    "parquet_roundtrip": _EVENTS_ENRICHED,
+    "parquet_roundtrip": _ENRICHED + f"SELECT {FULL} FROM active {LOOKUPS}",
+    "parquet_roundtrip_events": _EVENTS_ENRICHED,
     "run_batch": _COUNTS,
+    "run_batch_orders": _ENRICHED + f"SELECT {FULL} FROM active {LOOKUPS}",
+    "batch_daily": _ACTIVE + _revenue("order_date"),
+    "batch_products": _ACTIVE + _revenue("product_id"),
+    "batch_hourly": _ACTIVE + _revenue("hour_of_day"),
     "run_batch_events": _EVENTS_ENRICHED,
     "kafka_decode": DECODED,
     "kafka_roundtrip": _with(EVENTS) + "SELECT * FROM raw",
-    "kafka_dead_letter": DEAD,
+    "kafka_dead_letter": DEAD + " SELECT * FROM found WHERE reason IS NOT NULL",
     "stream_clean": _STREAM_CLEAN,
     "stream_clean_thinned": _STREAM_CLEAN,
     "stream_clean_csv": _STREAM_CLEAN,
     "stream_clean_kafka": _STREAM_CLEAN,
     "stream_dedupe": _with(EVENTS) + "SELECT DISTINCT * FROM raw WHERE order_id IS NOT NULL",
     "stream_enrich": _EVENTS_ENRICHED,
+    "stream_enrich_large": _EVENTS_ENRICHED,
     "stream_windowed_revenue": _STREAM + CLOSED_WINDOWS,
+    "stream_windows_by_product": _STREAM + CLOSED_WINDOWS,
+    "stream_windows_update": _with(SYNTH, _SINGLE, _on_time(_SINGLE_LATE)) + WINDOWS,
+    "stream_late_dropped": _with(SYNTH, DEFECTS, _on_time(SYNTH_DEFECTS)) + _LATE,
+    "stream_restart": _with(SYNTH, DEFECTS, _on_time(SYNTH_DEFECTS, restart=6)) + _LATE,
+    "stream_replay": _with(SYNTH, DEFECTS, _on_time(SYNTH_DEFECTS)) + _LATE,
     "stream_product_totals": _TOTALS,
     "stream_top_products": _TOTALS + " ORDER BY sum(total_amount) DESC, product_id LIMIT 10",
     "snapshot_latest": _TOTALS,
     "stream_quarantine": _with(EVENTS, TAGGED)
     + "SELECT * FROM tagged WHERE reject_reason IS NOT NULL",
+    "stream_quarantine_stored": _with(EVENTS, TAGGED)
+    + "SELECT * FROM tagged WHERE reject_reason IS NOT NULL",
+    "stream_dead_letters_stored": DEAD
+    + " SELECT payload, reason FROM found WHERE reason IS NOT NULL",
     "run_stream": _TOTALS,
+    "run_stream_windows": _STREAM + CLOSED_WINDOWS,
     "reconcile": _STREAM
     + """SELECT product_id, count(order_id) AS batch_orders, count(order_id) AS stream_orders,
   CAST(0 AS BIGINT) AS orders_diff, CAST(0 AS DOUBLE) AS revenue_diff
 FROM active GROUP BY product_id""",
     "synth_orders": _with(SYNTH) + "SELECT * FROM clean",
     "synth_defects": _with(SYNTH, DEFECTS) + SYNTH_DEFECTS,
-    "microbatch_files": _with(SYNTH, DEFECTS) + f"SELECT {ORDER} FROM ({SYNTH_DEFECTS})",
+    "microbatch_files": _with(SYNTH, DEFECTS)
+    + f"SELECT {ORDER}, true AS size_kept, true AS order_kept FROM ({SYNTH_DEFECTS})",
     "synth_customers": "WITH " + SYNTH_CUSTOMERS,
     "synth_products": "WITH " + SYNTH_PRODUCTS,
 }

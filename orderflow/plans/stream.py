@@ -1,4 +1,4 @@
-"""The streaming job: four queries over one order stream."""
+"""The streaming job: a few queries over one order stream."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from orderflow import schema as S
 from orderflow.operators.aggregates import product_totals, windowed_revenue
 from orderflow.settings import session_setting
 from orderflow.sources.files import stream_orders_csv
@@ -16,8 +17,10 @@ from orderflow.streaming import sinks
 from orderflow.streaming.clean import WATERMARK_DELAY, clean_and_derive, rejected_stream
 from orderflow.streaming.progress import ProgressLog
 
-ALL_QUERIES = ("console", "windowed_revenue", "product_totals", "snapshots")
-KAFKA_QUERIES = ("console", "windowed_revenue", "product_totals")
+#: Windows are printed as they change and stored once they are closed, so they
+#: take two queries; totals are printed and stored by one.
+ALL_QUERIES = ("console", "windowed_revenue", "product_totals", "quarantine")
+KAFKA_QUERIES = (*ALL_QUERIES, "dead_letters")
 
 
 @dataclass(frozen=True)
@@ -26,10 +29,34 @@ class StreamTables:
 
     spark: SparkSession
     root: str
-    summary: DataFrame
+    summary: DataFrame | None = None
 
     def windowed_revenue(self) -> DataFrame:
-        return sinks.read_batches(self.spark, f"{self.root}/windowed_revenue", sinks.WINDOWS)
+        """Closed windows, with ``window_date``, whose filters prune directories."""
+        return sinks.read_batches(
+            self.spark,
+            f"{self.root}/windowed_revenue",
+            f"{sinks.WINDOWS}, window_date date",
+            "window_date date",
+        )
+
+    def quarantine(self) -> DataFrame:
+        """Rejected orders with their reason."""
+        return sinks.read_batches(
+            self.spark,
+            f"{self.root}/quarantine",
+            f"{S.ORDERS}, reject_reason string",
+            "reject_reason string",
+        )
+
+    def dead_letters(self) -> DataFrame:
+        """Payloads that decoding lost content of, with the reason."""
+        return sinks.read_batches(
+            self.spark,
+            f"{self.root}/dead_letters",
+            "payload string, reason string",
+            "reason string",
+        )
 
     def product_totals(self) -> DataFrame:
         """The newest snapshot."""
@@ -65,40 +92,53 @@ def start_queries(
     names: tuple[str, ...] = ALL_QUERIES,
     delay: str = WATERMARK_DELAY,
     window: str = "10 minutes",
-    thin: bool = True,
+    thin: bool = False,
     available_now: bool = False,
     state_partitions: int | None = None,
     records: DataFrame | None = None,
+    files_per_batch: int = sinks.FILES_PER_BATCH,
+    keep_snapshots: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start the named queries; each has its own checkpoint and state.
-
-    Besides the usual ones there are ``quarantine`` (rejected orders) and, for
-    orders decoded from ``records``, ``dead_letters`` (what decoding lost).
+    """Start the named queries; each has its own checkpoint, and all but
+    ``quarantine`` (rejected orders) and ``dead_letters`` (what decoding of
+    ``records`` lost) their own state.
 
     Totals and windows need no dimension columns, and dimension keys are
-    unique, so the aggregates read the orders before any lookup. ``thin``
-    guards against ids that hold much of a micro-batch.
+    unique, so the aggregates read the orders before any lookup. ``thin`` is for
+    ids that hold much of a micro-batch (see ``thin_copies``);
+    ``keep_snapshots`` deletes older snapshots of the totals.
     """
+    snapshots = sinks.store_snapshots(f"{output}/product_totals_snapshots", keep_snapshots)
+
+    def staged(name: str, *handlers: sinks.Handler) -> sinks.Handler:
+        folder = f"{checkpoint}/{name}-staging"
+        return sinks.in_turn(*handlers, staging=folder, session=orders.sparkSession)
+
     rows = clean_and_derive(orders, delay, thin)
     windows, totals = windowed_revenue(rows, window), product_totals(rows)
     known = {
-        "console": (windows, "update", sinks.show_rows(), "5 seconds"),
+        "console": (windows, "update", staged("console", sinks.show_rows()), "5 seconds"),
         "windowed_revenue": (
-            windows, "append", sinks.store_windows(f"{output}/windowed_revenue"), "10 seconds"
+            windows,
+            "append",
+            sinks.store_windows(f"{output}/windowed_revenue", files_per_batch=files_per_batch),
+            "10 seconds",
         ),
-        "product_totals": (totals, "complete", sinks.show_top_products(), "10 seconds"),
-        "snapshots": (
-            totals, "complete", sinks.store_snapshots(f"{output}/product_totals_snapshots"), "15 seconds"
+        "product_totals": (
+            totals,
+            "complete",
+            staged("product_totals", sinks.show_top_products(), snapshots),
+            "10 seconds",
         ),
         "quarantine": (
             rejected_stream(orders),
             "append",
-            sinks.store_batches(f"{output}/quarantine", "reject_reason"),
+            sinks.store_batches(f"{output}/quarantine", "reject_reason", files_per_batch),
             "10 seconds",
         ),
     }
     if records is not None:
-        lost = sinks.store_batches(f"{output}/dead_letters", "reason")
+        lost = sinks.store_batches(f"{output}/dead_letters", "reason", files_per_batch)
         known["dead_letters"] = (dead_letters(records), "append", lost, "10 seconds")
     started = []
     for name in names:

@@ -10,39 +10,44 @@ from orderflow.operators.derive import derive_columns, normalize_status
 from orderflow.operators.quality import rejected_orders, split_cancelled, valid_orders
 
 WATERMARK_DELAY = "30 minutes"
+FIRST, LAST = -(2**63), 2**63 - 1
 
 
 def thin_copies(orders: DataFrame) -> DataFrame:
-    """Thin out copies of an order that sit in the same Arrow batch of a task.
-
-    Streaming deduplication sends every copy of an id to one task. Per id and
-    batch this keeps two rows at most, the first and the one with the latest
-    event time, which bounds what a hot id sends there. The first row is the
-    one that survives anyway; should it be too late, the latest one survives,
-    which is late only if all copies are. The watermark, a maximum, stays the
-    same.
+    """Drop copies of an order that cannot survive, within an Arrow batch of a task.
+
+    Streaming deduplication sends every copy of an id to one task. A copy is
+    dropped if an earlier one of the batch has no event time (it always passes)
+    or the same or a later one: if that one is late, so is this one, else this
+    one is a repeat. The row of the latest time stays for the watermark. No
+    result changes; copies with ever later times all stay.
     """
 
-    def first_and_latest(batches: Iterator) -> Iterator:
+    def thin(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            keys = pa.table(
-                {"id": rows["order_id"], "at": rows["order_timestamp"], "row": pa.array(range(len(rows)))}
-            )
-            if pc.count_distinct(keys["id"], mode="all").as_py() < len(rows):
-                newest = keys.sort_by([("at", "descending"), ("row", "ascending")])
-                ends = [
-                    part.group_by("id", use_threads=False).aggregate([("row", "first")])["row_first"]
-                    for part in (keys, newest)
-                ]
-                kept = pc.unique(pa.chunked_array([c for end in ends for c in end.chunks]))
-                rows = rows.take(kept.take(pc.sort_indices(kept)))
-            yield from rows.to_batches()
-
-    return orders.mapInArrow(first_and_latest, orders.schema)
+            times = batch.column("order_timestamp").cast(pa.int64())
+            none = times.is_null().to_numpy(zero_copy_only=False)
+            ids = pd.Series(batch.column("order_id").to_pandas())
+            # A missing time counts as later than any other.
+            at = pd.Series(np.where(none, LAST, times.fill_null(0).to_numpy()))
+            before = at.groupby(ids, dropna=False).cummax()
+            before = before.groupby(ids, dropna=False).shift(1, fill_value=FIRST)
+            keep = (at > before).to_numpy()
+            if not none.all():
+                keep[np.argmax(np.where(none, FIRST, at))] = True
+            yield batch.filter(pa.array(keep))
+
+    return orders.mapInArrow(thin, orders.schema)
+
+
+def dedupe_stream(orders: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """The first on-time copy of each order within the watermark."""
+    marked = orders.withWatermark("order_timestamp", delay)
+    return marked.dropDuplicatesWithinWatermark(["order_id"])
 
 
 def clean_stream(
@@ -52,13 +57,13 @@ def clean_stream(
 
     The id and value filters stand below the watermark, so rejected rows never
     advance it; cancelled rows do. ``thin`` is for streams where one id may
-    hold a large share of a micro-batch (see ``thin_copies``).
+    hold a large share of a micro-batch (see ``thin_copies``); it changes no
+    result.
     """
     rows = valid_orders(orders)
     if thin:
         rows = thin_copies(rows)
-    marked = normalize_status(rows.withWatermark("order_timestamp", delay))
-    return split_cancelled(marked.dropDuplicatesWithinWatermark(["order_id"])).active
+    return split_cancelled(dedupe_stream(normalize_status(rows), delay)).active
 
 
 def clean_and_derive(orders: DataFrame, delay: str = WATERMARK_DELAY, thin: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 SUMMARY = (
     "query string, batches bigint, input_rows bigint, rows_per_batch double, "
     "rows_per_second double, late_rows bigint, min_event_time timestamp, "
-    "max_event_time timestamp, elapsed_seconds double"
+    "max_event_time timestamp, elapsed_seconds double, complete boolean"
 )
 
 
@@ -72,14 +72,15 @@ class ProgressLog(StreamingQueryListener):
         if totals is not None:
             totals.ended.set()
 
-    def wait_ended(self, run_ids, seconds: float = 10.0) -> None:
-        """Wait until the reports of ended queries have come in."""
-        for run_id in run_ids:
-            if str(run_id) in self._totals:
-                self._totals[str(run_id)].ended.wait(seconds)
+    def wait_ended(self, run_ids, seconds: float = 60.0) -> bool:
+        """Wait until the reports of ended queries have come in; whether all have
+        within the time. ``summary`` tells for each query."""
+        deadline = time.monotonic() + seconds
+        ended = [self._totals[str(i)].ended for i in run_ids if str(i) in self._totals]
+        return all([e.wait(max(0.0, deadline - time.monotonic())) for e in ended])
 
     def summary(self, spark: SparkSession) -> DataFrame:
-        """One row per query."""
+        """One row per query; ``complete`` is false while reports may be missing."""
         rows = []
         for t in self._totals.values():
             elapsed = t.last - t.started
@@ -94,6 +95,7 @@ class ProgressLog(StreamingQueryListener):
                     t.min_time,
                     t.max_time,
                     elapsed,
+                    t.ended.is_set(),
                 )
             )
         text = SUMMARY.replace("event_time timestamp", "event_time string")

@@ -1,19 +1,26 @@
 """foreachBatch handlers whose output does not change when a batch repeats.
 
 Spark may run a batch again after a failure. Every handler that stores data
-therefore owns one directory per batch id and replaces it.
+therefore owns one directory per batch id and replaces it, with nothing if the
+repeat is empty. Readers take complete directories only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.operators.aggregates import by_revenue
-from orderflow.operators.enrich import Dimension, enrich_with_dimensions
+from orderflow.operators.enrich import (
+    BROADCAST_LIMIT,
+    Dimension,
+    enrich_with_dimensions,
+    reduced_dimension,
+)
+from orderflow.schema import column_names
+from orderflow.sinks.commits import committed_batches, drop_older, newest_batch
 from orderflow.sinks.files import write_parquet
 from orderflow.sources.files import write_csv
 
@@ -26,77 +33,128 @@ WINDOWS = (
 TOTALS = "product_id string, total_orders bigint, total_revenue double"
 
 
-def when_not_empty(handle: Handler) -> Handler:
-    """Skip empty batches. The batch is kept while it is handled, so its state
-    operators run once for all of the handler's actions."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
-                handle(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    return run
+#: Files that a batch leaves per directory, at most.
+FILES_PER_BATCH = 8
 
 
-def enriching(handle: Handler, customers: Dimension, products: Dimension, **how) -> Handler:
+def enriching(
+    handle: Handler,
+    customers: Dimension,
+    products: Dimension,
+    staging: str,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    **how,
+) -> Handler:
     """Add the dimensions to each batch before it is handled.
 
-    For dimensions too large to broadcast: a batch is a static frame, so its
-    own hot keys are found and adaptive execution applies.
+    For dimensions too large to broadcast. The batch is first written below
+    ``staging``, so its state operators run once and its rows survive a lost
+    executor, and each dimension is reduced to the batch's keys, whose size
+    decides on the join. All of it runs in the dimensions' own session: the one
+    that Spark hands to a batch of a stateful query has adaptive execution
+    turned off.
     """
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        handle(enrich_with_dimensions(batch, customers, products, **how), batch_id)
-
-    return when_not_empty(enrich)
+        folder = f"batch_id={batch_id}"
+        write_parquet(batch, f"{staging}/orders/{folder}")
+        session = customers.frame.sparkSession
+        rows = session.read.schema(batch.schema).parquet(f"{staging}/orders/{folder}")
+        reduced = []
+        for dimension in (customers, products):
+            if dimension.size_bytes > broadcast_limit:
+                path = f"{staging}/{dimension.key}/{folder}"
+                dimension = reduced_dimension(dimension, rows, path)
+            reduced.append(dimension)
+        enriched = enrich_with_dimensions(rows, *reduced, broadcast_limit=broadcast_limit, **how)
+        handle(enriched, batch_id)
+        for name in ("orders", customers.key, products.key):
+            drop_older(session, f"{staging}/{name}", "batch_id=", keep=2)
+
+    return enrich
 
 
 def show_rows(n: int = 20) -> Handler:
-    """Print the first rows of each batch."""
+    """Print the first rows of each batch that has any."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        print(f"batch {batch_id}")
-        batch.show(n, truncate=False)
+        _show(batch, n, f"batch {batch_id}")
 
-    return when_not_empty(show)
+    return show
 
 
 def show_top_products(n: int = 10) -> Handler:
     """Print the best products of the totals so far."""
 
     def show(totals: DataFrame, batch_id: int) -> None:
-        print(f"batch {batch_id}: top {n} products by revenue")
-        by_revenue(totals).limit(n).show(n, truncate=False)
+        _show(by_revenue(totals), n, f"batch {batch_id}: top {n} products by revenue")
+
+    return show
+
 
-    return when_not_empty(show)
+def _show(rows: DataFrame, n: int, title: str) -> None:
+    """Reads no more than it shows, so a batch with state has to be staged first:
+    state operators must run to their end (see ``in_turn``)."""
+    first = rows.take(n)
+    if first:
+        print(title)
+        rows.sparkSession.createDataFrame(first, rows.schema).show(n, truncate=False)
 
 
-def store_batches(path: str, partition_by: str | None = None) -> Handler:
-    """Parquet under ``path/batch_id=<id>``.
+def in_turn(*handlers: Handler, staging: str, session: SparkSession) -> Handler:
+    """Several handlers for one query. The batch is written below ``staging`` and
+    read by each, so one state serves them all and its operators run once. They
+    read it in ``session``, where adaptive execution applies."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        path = f"{staging}/batch_id={batch_id}"
+        write_parquet(batch, path)
+        rows = session.read.schema(batch.schema).parquet(path)
+        for handle in handlers:
+            handle(rows, batch_id)
+        drop_older(session, staging, "batch_id=", keep=2)
 
-    A batch has as many partitions as its scan or its state; rebalancing keeps
-    it from leaving as many small files at every trigger.
+    return run
+
+
+def store_batches(
+    path: str, partition_by: str | None = None, files_per_batch: int = FILES_PER_BATCH
+) -> Handler:
+    """Parquet under ``path/batch_id=<id>``, also for an empty batch.
+
+    A batch has as many partitions as its scan or its state. They are dealt out
+    anew to ``files_per_batch`` tasks, so a batch leaves at most that many files
+    per directory, and one directory's rows are still written by all tasks.
+    Merging partitions instead would save the shuffle of the result, but Spark
+    would run the state operators in as few tasks. Adaptive execution cannot do
+    this: it is off in the batches of a stateful query.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_parquet(batch, f"{path}/batch_id={batch_id}", partition_by, rebalance=True)
+        dealt = batch.repartition(files_per_batch)
+        write_parquet(dealt, f"{path}/batch_id={batch_id}", partition_by)
 
-    return when_not_empty(store)
+    return store
 
 
-def store_windows(path: str, partition_by: str = "window_date") -> Handler:
-    """Windowed revenue by day of the window (or by ``product_id``; with many
-    products that makes many small files)."""
+def store_windows(
+    path: str, partition_by: str = "window_date", files_per_batch: int = FILES_PER_BATCH
+) -> Handler:
+    """Windowed revenue by day of the window, or by ``product_id``: then each
+    product's rows, one per window, go to one file."""
+    if partition_by == "window_date":
+        store_days = store_batches(path, partition_by, files_per_batch)
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        if partition_by == "window_date":
-            batch = batch.withColumn("window_date", F.to_date("window_start"))
-        write_parquet(batch, f"{path}/batch_id={batch_id}", partition_by, rebalance=True)
+        def by_day(batch: DataFrame, batch_id: int) -> None:
+            store_days(batch.withColumn("window_date", F.to_date("window_start")), batch_id)
 
-    return when_not_empty(store)
+        return by_day
+
+    def by_key(batch: DataFrame, batch_id: int) -> None:
+        dealt = batch.repartition(files_per_batch, partition_by)
+        write_parquet(dealt, f"{path}/batch_id={batch_id}", partition_by)
+
+    return by_key
 
 
 def store_top_products(path: str, n: int = 10) -> Handler:
@@ -105,52 +163,53 @@ def store_top_products(path: str, n: int = 10) -> Handler:
     def store(totals: DataFrame, batch_id: int) -> None:
         write_parquet(by_revenue(totals).limit(n), f"{path}/batch_id={batch_id}")
 
-    return when_not_empty(store)
+    return store
 
 
-def store_snapshots(path: str) -> Handler:
+def store_snapshots(path: str, keep: int | None = None) -> Handler:
     """Each batch's totals as CSV, best product first, in ``path/batch_<id>``.
 
     The sort leaves one file while the totals are small; larger totals are
-    spread over files whose names follow the order.
+    spread over files whose names follow the order. With ``keep``, only that
+    many complete snapshots stay; else all do.
     """
 
     def store(totals: DataFrame, batch_id: int) -> None:
         write_csv(by_revenue(totals), f"{path}/batch_{batch_id:04d}")
+        if keep is not None:
+            drop_older(totals.sparkSession, path, "batch_", keep)
 
-    return when_not_empty(store)
+    return store
 
 
-def read_batches(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """All rows stored below ``path`` by any batch."""
-    reader = spark.read.schema(ddl).option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", "*.parquet").parquet(path)
+def read_batches(spark: SparkSession, path: str, ddl: str, partition_by: str | None = None) -> DataFrame:
+    """All rows of the complete batches below ``path``.
 
-
-def latest_batch(spark: SparkSession, path: str, pattern: str) -> int | None:
-    """Highest batch id among the directories below ``path``; reads only names."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    number = F.regexp_extract("path", f"/{pattern}(\\d+)/", 1).cast("bigint")
-    return files.agg(F.max(number)).first()[0]
+    ``partition_by`` is the column definition of the directories inside a batch;
+    it and ``batch_id bigint`` may be in ``ddl`` or not. Filters on them prune
+    directories.
+    """
+    folders = committed_batches(spark, path, "batch_id=")
+    columns = column_names(ddl)
+    layout = ["batch_id bigint", *([partition_by] if partition_by else [])]
+    schema = ", ".join([ddl, *(c for c in layout if c.split()[0] not in columns)])
+    if not folders:
+        return spark.createDataFrame([], schema).select(*columns)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*folders).select(*columns)
 
 
 def read_latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest CSV snapshot; none before the first batch."""
-    newest = latest_batch(spark, path, "batch_")
+    """Rows of the newest complete CSV snapshot; none before the first batch."""
+    newest = newest_batch(spark, path, "batch_")
     if newest is None:
         return spark.createDataFrame([], TOTALS)
-    reader = spark.read.schema(TOTALS).option("header", True)
-    return reader.csv(f"{path}/batch_{newest:04d}")
+    return spark.read.schema(TOTALS).option("header", True).csv(newest)
 
 
 def read_latest_batch(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Rows of the newest Parquet batch; none before the first batch."""
-    newest = latest_batch(spark, path, "batch_id=")
+    """Rows of the newest complete Parquet batch; none before the first batch."""
+    newest = newest_batch(spark, path, "batch_id=")
     if newest is None:
         return spark.createDataFrame([], ddl)
-    return spark.read.schema(ddl).parquet(f"{path}/batch_id={newest}")
+    return spark.read.schema(ddl).parquet(newest)

@@ -14,7 +14,7 @@ from orderflow.operators import aggregates as agg
 from orderflow.operators.dedupe import dedupe_orders
 from orderflow.operators.derive import derive_columns, normalize_status
 from orderflow.operators.enrich import check_dimension, enrich_with_dimensions
-from orderflow.operators.quality import split_cancelled, valid_orders
+from orderflow.operators.quality import rejected_orders, split_cancelled, valid_orders
 from orderflow.plans.stream import (
     run_file_stream,
     run_kafka_stream,
@@ -92,23 +92,38 @@ def test_dedupe_within_the_watermark(stream, tmp_path):
     }
 
 
-def test_thinning_changes_no_result(stream, tmp_path):
-    plain = collect(clean_stream(stream), "append", tmp_path / "a", ["order_id"])
-    thinned = collect(clean_stream(stream, thin=True), "append", tmp_path / "b", ["order_id"])
-    assert filled(plain) == filled(thinned)
+def test_thinning_changes_no_result(spark, stream, tmp_path):
+    columns = S.column_names(S.ORDERS)
+    cases = [(stream, DEDUPE)]
+    # A late first copy, a second one on time, a third even later; and copies without a time.
+    tricky = [
+        [order("z", "13:01")], [order("y", "13:02")],
+        [
+            order("a", "09:00"), order("a", "12:45"), order("a", "13:10"), order("b", None), order("b", "12:50"),
+            order("c", "12:55"), order("c", None), order("d", "09:00"), order("d", None), order("e", "08:00"),
+            order("e", "07:00"), order("f", "12:59"), order("f", "12:58"), order("f", "12:59"),
+        ],
+        [order("late", "12:35"), order("last", "13:11")],
+    ]
+    cases.append((source(spark, feed(tmp_path / "tricky", tricky)), tricky))
+    for number, (rows, _) in enumerate(cases):
+        plain = collect(clean_stream(rows), "append", tmp_path / f"a{number}", columns)
+        thinned = collect(clean_stream(rows, thin=True), "append", tmp_path / f"b{number}", columns)
+        assert filled(plain) == filled(thinned)
+    assert {r[0]: r[3] for r in plain[2]} == {
+        "a": at("12:45:00"), "b": None, "c": at("12:55:00"), "d": None, "f": at("12:59:00")
+    }
 
 
-def test_thinning_keeps_the_first_and_the_latest_copy(spark):
-    rows = [order(f"o{i % 5}", f"10:{i:02d}", quantity=i + 1) for i in range(50)]
-    random.Random(3).shuffle(rows)
-    rows += [order("n", None), order("n", "09:00"), order("n", "08:00"), order("only", None)]
+def test_thinning_drops_what_cannot_survive(spark):
+    rows = [order("x", "10:05"), order("x", "10:04"), order("x", "10:05"), order("x", "10:06"), order("n", None)]
+    rows += [order("n", "11:00"), order("n", None), order("y", "10:00"), order("y", None)]
     thin = thin_copies(orders(spark, rows).coalesce(1))
-    expected = set()
-    for order_id in {r[0] for r in rows}:
-        copies = [r for r in rows if r[0] == order_id]
-        timed = [r for r in copies if r[3]]
-        expected |= {copies[0], max(timed, key=lambda r: r[3])} if timed else {copies[0]}
-    assert values(thin, *thin.columns) == sorted(expected, key=repr)
+    # 11:00 is the latest of all and stays for the watermark.
+    assert values(thin, "order_id", "order_timestamp") == sorted(
+        [("x", at("10:05:00")), ("x", at("10:06:00")), ("n", None), ("n", at("11:00:00")), ("y", at("10:00:00")), ("y", None)],
+        key=repr,
+    )
 
 
 def test_windows_in_append_mode(stream, tmp_path):
@@ -190,20 +205,76 @@ def test_restart_continues_and_replay_starts_over(spark, tmp_path):
     assert sorted(v for rows in replay.values() for v in rows) == sorted(everything)
 
 
+def window_rows(spark, *products):
+    return spark.createDataFrame(
+        [(at("10:00:00"), at("10:10:00"), p, 1, 2.0) for p in products], sinks.WINDOWS
+    )
+
+
 def test_repeated_batches_replace_their_output(spark, tmp_path):
-    rows = spark.createDataFrame(
-        [(at("10:00:00"), at("10:10:00"), "p1", 1, 2.0)], sinks.WINDOWS
+    rows = window_rows(spark, "p1")
+    for how, column in (("window_date", "window_date date"), ("product_id", "product_id string")):
+        path = str(tmp_path / how)
+        store = sinks.store_windows(path, how)
+        for batch_id in (0, 1, 1, 1):
+            store(rows, batch_id)
+        found = sinks.read_batches(spark, path, f"{sinks.WINDOWS}, batch_id bigint", column)
+        assert values(found, "batch_id", "product_id") == [(0, "p1"), (1, "p1")]
+        # An empty repeat leaves nothing behind.
+        store(rows.limit(0), 1)
+        assert values(sinks.read_batches(spark, path, sinks.WINDOWS, column), "product_id") == [("p1",)]
+    assert (tmp_path / "product_id" / "batch_id=0" / "product_id=p1").exists()
+
+
+def test_stored_reasons_come_back(spark, tmp_path):
+    rows = rejected_orders(orders(spark, [order(None), order("b", quantity=0)]))
+    sinks.store_batches(str(tmp_path / "q"), "reject_reason")(rows, 0)
+    found = sinks.read_batches(
+        spark, str(tmp_path / "q"), f"{S.ORDERS}, reject_reason string", "reject_reason string"
     )
+    assert values(found, *found.columns) == values(rows, *found.columns)
+
+
+def test_day_filters_prune_directories(spark, tmp_path):
     path = str(tmp_path / "w")
-    store = sinks.store_windows(path)
-    for batch_id in (0, 1, 1, 1):
-        store(rows, batch_id)
-    store(rows.limit(0), 2)
-    assert sinks.read_batches(spark, path, sinks.WINDOWS).count() == 2
-    assert not (tmp_path / "w" / "batch_id=2").exists()
-    by_product = str(tmp_path / "p")
-    sinks.store_windows(by_product, "product_id")(rows, 0)
-    assert (tmp_path / "p" / "batch_id=0" / "product_id=p1").exists()
+    sinks.store_windows(path)(window_rows(spark, "p1"), 0)
+    found = sinks.read_batches(spark, path, f"{sinks.WINDOWS}, window_date date", "window_date date")
+    day = found.filter("window_date = date'2026-01-01'")
+    assert "PartitionFilters: [isnotnull(window_date" in day._jdf.queryExecution().executedPlan().toString()
+    assert day.count() == 1
+
+
+def test_incomplete_batches_are_not_read(spark, tmp_path):
+    totals = spark.createDataFrame([("p1", 1, 2.0)], sinks.TOTALS)
+    for batch_id in (0, 1):
+        sinks.store_snapshots(str(tmp_path / "s"))(totals.withColumn("total_orders", F.lit(batch_id)), batch_id)
+        sinks.store_batches(str(tmp_path / "b"))(totals.withColumn("total_orders", F.lit(batch_id).cast("long")), batch_id)
+    (tmp_path / "s" / "batch_0001" / "_SUCCESS").unlink()
+    (tmp_path / "b" / "batch_id=1" / "_SUCCESS").unlink()
+    for found in (
+        sinks.read_latest_snapshot(spark, str(tmp_path / "s")),
+        sinks.read_latest_batch(spark, str(tmp_path / "b"), sinks.TOTALS),
+        sinks.read_batches(spark, str(tmp_path / "b"), sinks.TOTALS),
+    ):
+        assert [r.total_orders for r in found.collect()] == [0]
+
+
+def test_snapshots_may_be_limited(spark, tmp_path):
+    store = sinks.store_snapshots(str(tmp_path / "s"), keep=2)
+    for batch_id in range(4):
+        store(spark.createDataFrame([("p1", batch_id, 2.0)], sinks.TOTALS), batch_id)
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["batch_0002", "batch_0003"]
+
+
+def test_files_per_batch_are_bounded(spark, tmp_path):
+    rows = [[order(f"o{i}", "10:00", f"p{i % 50}") for i in range(400)] + [order("end", "18:00")], [order("x", "18:01")]]
+    frame = agg.windowed_revenue(clean_and_derive(source(spark, feed(tmp_path / "in", rows))))
+    store = sinks.store_windows(str(tmp_path / "w"), files_per_batch=3)
+    query = start_query(frame, "files", "append", store, str(tmp_path / "cp"), NOW, state_partitions=16)
+    query.awaitTermination()
+    counts = [len(list(day.glob("*.parquet"))) for day in (tmp_path / "w").glob("batch_id=*/window_date=*")]
+    # One day's rows are written by several tasks, but no more than asked for.
+    assert counts and max(counts) == 3
 
 
 def test_console_handlers_skip_empty_batches(spark, capsys):
@@ -259,13 +330,6 @@ def test_stream_equals_batch_on_one_micro_batch(spark, tmp_path):
     assert seen[0] == values(batch, *batch.columns)
 
 
-LOOKUPS = {
-    "broadcast": {},
-    "salted": {"broadcast_limit": 0},
-    "known hot keys": {"broadcast_limit": 0, "hot": {"customer_id": ["c1"], "product_id": []}},
-}
-
-
 def lookup_stream(spark, tmp_path):
     customers = spark.createDataFrame([("c1", "Ann", None, "VIP", None)], S.CUSTOMERS)
     products = spark.createDataFrame([("p1", "Lamp", "Home", "BrandA", 9.5)], S.PRODUCTS)
@@ -275,23 +339,32 @@ def lookup_stream(spark, tmp_path):
     return rows, customers, products, expected
 
 
-@pytest.mark.parametrize("how", LOOKUPS)
-def test_stream_enrichment(spark, tmp_path, how):
+def test_stream_enrichment(spark, tmp_path):
     rows, customers, products, expected = lookup_stream(spark, tmp_path)
-    frame = enrich_with_dimensions(rows, customers, products, **LOOKUPS[how])
+    frame = enrich_with_dimensions(rows, customers, products)
     assert frame.columns == S.ENRICHED_COLUMNS
     seen = collect(frame, "append", tmp_path / "cp", ["order_id", "customer_name", "product_name"])
     assert seen[0] == expected
 
 
-def test_enrichment_of_each_batch(spark, tmp_path):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_enrichment_of_each_batch(spark, tmp_path, limit):
     rows, customers, products, expected = lookup_stream(spark, tmp_path)
     dims = check_dimension(customers, "customer_id"), check_dimension(products, "product_id")
-    handler = sinks.enriching(sinks.store_batches(str(tmp_path / "out")), *dims, broadcast_limit=0)
+    store, staging = sinks.store_batches(str(tmp_path / "out")), str(tmp_path / "staging")
+    plans = []
+
+    def seen(batch, batch_id):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        store(batch, batch_id)
+
+    handler = sinks.enriching(seen, *dims, staging, broadcast_limit=limit)
     query = start_query(rows, "enriching", "append", handler, str(tmp_path / "cp"), NOW)
     query.awaitTermination()
     out = sinks.read_batches(spark, str(tmp_path / "out"), "order_id string, customer_name string, product_name string")
     assert values(out, *out.columns) == expected
+    assert plans and not any("Generate" in p for p in plans)
+    assert all("AdaptiveSparkPlan" in p for p in plans)
 
 
 def test_whole_job(spark, tmp_path, capsys):
@@ -299,19 +372,20 @@ def test_whole_job(spark, tmp_path, capsys):
     lines = []
     tables = run_file_stream(
         spark, folder, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True, log=lines.append,
-        names=("console", "windowed_revenue", "product_totals", "snapshots", "quarantine"),
     )
     assert values(tables.product_totals(), "product_id", "total_orders", "total_revenue")[1] == ("p2", 2, 68.0)
     assert tables.windowed_revenue().count() > 0
+    assert values(tables.quarantine(), "order_id", "reject_reason") == [(None, "missing_order_id")]
     summary = {r["query"]: r for r in tables.summary.collect()}
-    assert set(summary) == {"console", "windowed_revenue", "product_totals", "snapshots", "quarantine"}
+    assert set(summary) == {"console", "windowed_revenue", "product_totals", "quarantine"}
+    assert all(r.complete for r in summary.values())
     # The scan itself drops the row without an id, except for the quarantine.
     n_rows = sum(map(len, DEDUPE))
     assert {n: r.input_rows for n, r in summary.items()} == {
         n: n_rows - (n != "quarantine") for n in summary
     }
     assert "top 10 products" in capsys.readouterr().out
-    assert any("[snapshots] batch" in line for line in lines)
+    assert any("[product_totals] batch" in line for line in lines)
     assert not spark.streams.active
 
 
@@ -337,12 +411,10 @@ def test_record_stream_keeps_dead_letters(spark, tmp_path):
     )
     payloads.coalesce(1).write.parquet(str(tmp_path / "in"))
     records = spark.readStream.schema("value binary").parquet(str(tmp_path / "in"))
-    names = ("snapshots", "dead_letters")
-    run_record_stream(records, str(tmp_path / "out"), str(tmp_path / "cp"), names=names, available_now=True)
-    totals = sinks.read_latest_snapshot(spark, str(tmp_path / "out/product_totals_snapshots"))
-    assert values(totals, *totals.columns) == [("p1", 2, 5.0)]
-    lost = sinks.read_batches(spark, str(tmp_path / "out/dead_letters"), "payload string")
-    assert values(lost, "payload") == [("{bad",)]
+    tables = run_record_stream(records, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+    assert values(tables.product_totals(), *sinks.column_names(sinks.TOTALS)) == [("p1", 2, 5.0)]
+    assert values(tables.dead_letters(), "payload", "reason") == [("{bad", "malformed_json")]
+    assert values(tables.quarantine(), "reject_reason") == [("missing_order_id",)]
 
 
 def test_nothing_stored_yet(spark, tmp_path):
@@ -352,8 +424,8 @@ def test_nothing_stored_yet(spark, tmp_path):
 
 def test_triggered_queries_stop_after_the_timeout(spark, tmp_path):
     frame = source(spark, feed(tmp_path / "in", DEDUPE[:1]))
-    queries = start_queries(frame, str(tmp_path / "out"), str(tmp_path / "cp"), names=("snapshots",))
-    assert [q.name for q in queries] == ["snapshots"]
+    queries = start_queries(frame, str(tmp_path / "out"), str(tmp_path / "cp"), names=("product_totals",))
+    assert [q.name for q in queries] == ["product_totals"]
     wait_and_stop(queries, timeout=6)
     assert not spark.streams.active
 

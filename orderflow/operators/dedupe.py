@@ -27,7 +27,9 @@ def dedupe_orders(orders: DataFrame, copies: str | None = None) -> DataFrame:
 
     This is an aggregate rather than a ranking so that each map task ships at
     most one row per id: an id with a huge number of copies costs one row per
-    task in the shuffle, and the copies are counted on the way.
+    task in the shuffle, and the copies are counted on the way. The minimum of a
+    struct is a sort-based aggregate in Spark, so rows are sorted by id before
+    and after the shuffle.
     """
     rest = [c for c in orders.columns if c != "order_id"]
     aggregates = [first_row(rest).alias("_first")]

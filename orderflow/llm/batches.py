@@ -6,24 +6,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Texts are worked on in slices of about this many characters, which bounds
-#: memory whatever the size of a batch; a longer text is a slice of its own.
-SLICE_CHARS = 2_000_000
+#: Texts are worked on in slices of about this many bytes, which bounds memory
+#: whatever the size of a batch; a longer text is a slice of its own.
+SLICE_BYTES = 2_000_000
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Parts of the batch with the values of one text column."""
-    texts = batch.column(column).to_pylist()
-    start, held = 0, 0
-    for at, text in enumerate(texts):
-        size = len(text or "")
-        if at > start and held + size > SLICE_CHARS:
-            yield batch.slice(start, at - start), texts[start:at]
-            start, held = at, 0
-        held += size
-    if texts:
-        yield batch.slice(start), texts[start:]
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(sizes):
+        limit = SLICE_BYTES + (ends[start - 1] if start else 0)
+        stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
+        part = batch.slice(start, stop - start)
+        yield part, part.column(column).to_pylist()
+        start = stop
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

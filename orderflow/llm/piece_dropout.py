@@ -119,12 +119,32 @@ class Model:
                 if left is not None and right is not None:
                     merges[left * self.base + right] = i
         self.merges = merges
-        self.pairs = np.array(sorted(merges), np.int64)
-        self.joined = np.array([merges[k] for k in self.pairs.tolist()], np.int64)
+        self.bits = max(4, (4 * len(merges)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int64)
+        self.joined = np.full(1 << self.bits, -1, np.int64)
+        for key, joined in merges.items():
+            at = (key * MIX[0] & MASK) >> (64 - self.bits)
+            while self.slots[at] >= 0:
+                at = (at + 1) % len(self.slots)
+            self.slots[at], self.joined[at] = key, joined
         scores = np.array([model.get_score(i) for i in range(self.size)])
         self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
         self.pieces = pa.array(self.raw, pa.binary())
 
+    def join(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The pieces that pairs of symbols make, -1 where they make none."""
+        keys = left * self.base + right
+        at = ((keys.view(np.uint64) * np.uint64(MIX[0])) >> np.uint64(64 - self.bits)).astype(np.int64)
+        found = np.where(self.slots[at] == keys, self.joined[at], -1)
+        open_ = np.flatnonzero((self.slots[at] != keys) & (self.slots[at] >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.slots)
+            held = self.slots[at[open_]]
+            hit = held == keys[open_]
+            found[open_[hit]] = self.joined[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return found
+
     def bytes_for(self, code: int) -> np.ndarray:
         return self.byte_ids[list(chr(code).encode("utf-8", "surrogatepass"))]
 
@@ -182,37 +202,49 @@ def agenda(model: Model, codes: list[int], draw: int, drop: Dropout) -> list[tup
 
 
 def _rounds(model: Model, symbols, owner, start, draw, drop: Dropout):
-    """The agendas of many short chunks side by side, one merge each per round."""
+    """The agendas of many short chunks side by side, one merge each per round.
+
+    Every symbol knows the piece it makes with its right neighbour, -1 if none or
+    skipped; only the neighbours of a merge are looked up again.
+    """
     key, limit = drop.key(), np.uint64(drop.limit())
+
+    def offers(at: np.ndarray) -> np.ndarray:
+        left, right = symbols[at], symbols[at + 1]
+        made = np.full(len(at), -1)
+        may = np.flatnonzero((owner[at] == owner[at + 1]) & (left >= 0) & (right >= 0))
+        made[may] = model.join(left[may], right[may])
+        may = may[made[may] >= 0]
+        if limit and len(may):
+            hashed = _place_hash(key, draw[owner[at[may]]], start[at[may]], left[may], right[may])
+            made[may[hashed < limit]] = -1
+        return made
+
     done = []
-    while len(symbols):
-        left = np.flatnonzero((owner[:-1] == owner[1:]) & (symbols[:-1] >= 0) & (symbols[1:] >= 0))
-        wanted = symbols[left] * model.base + symbols[left + 1]
-        at = np.minimum(np.searchsorted(model.pairs, wanted), len(model.pairs) - 1)
-        hit = model.pairs[at] == wanted
-        left, joined = left[hit], model.joined[at[hit]]
-        kept = (
-            _place_hash(key, draw[owner[left]], start[left], symbols[left], symbols[left + 1])
-            >= limit
-        )
-        left, joined = left[kept], joined[kept]
-        if not len(left):
+    made = np.append(offers(np.arange(len(symbols) - 1)), -1)
+    while True:
+        offered = np.flatnonzero(made >= 0)
+        if not len(offered):
             done.append((owner, start, symbols))
             break
-        first = np.flatnonzero(np.r_[True, owner[left][1:] != owner[left][:-1]])
+        of = owner[offered]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         # Best rank, then leftmost: positions grow within an owner.
-        order = (model.rank[joined] << 32) | np.arange(len(left))
+        order = (model.rank[made[offered]] << 32) | offered
         best = np.minimum.reduceat(order, first) & 0xFFFFFFFF
-        active = np.zeros(int(owner.max()) + 1, bool)
-        active[owner[left[first]]] = True
-        symbols[left[best]] = joined[best]
-        stay = np.ones(len(symbols), bool)
-        stay[left[best] + 1] = False
-        busy = active[owner]
-        ended = ~busy
-        done.append((owner[ended], start[ended], symbols[ended]))
-        stay &= busy
-        symbols, owner, start = symbols[stay], owner[stay], start[stay]
+        symbols[best] = made[best]
+        busy = np.zeros(int(owner[-1]) + 1, bool)
+        busy[of[first]] = True
+        stay = busy[owner]
+        if not stay.all():
+            done.append((owner[~stay], start[~stay], symbols[~stay]))
+        stay[best + 1] = False
+        best = np.cumsum(stay)[best] - 1
+        symbols, owner, start, made = symbols[stay], owner[stay], start[stay], made[stay]
+        made[best] = -1
+        near = np.concatenate([best, best[best > 0] - 1])
+        near = near[near + 1 < len(symbols)]
+        made[near] = offers(near)
     return tuple(map(np.concatenate, zip(*done, strict=True)))
 
 
@@ -264,7 +296,7 @@ def encode_texts(model: Model, texts: list, keys: np.ndarray, drop: Dropout) ->
         ids = pieces[spread(offsets(n)[kind], n[kind])]
         ends = offsets(n[kind])[offsets(counts)]
     return pa.ListArray.from_arrays(
-        pa.array(ends.astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in texts])
+        pa.array(ends.astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in texts], pa.bool_())
     )
 
 
@@ -324,11 +356,22 @@ def decoded(
 
 
 def round_trip(docs: DataFrame, model_path: str, drop: Dropout = Dropout()) -> DataFrame:
-    """doc_id, ids, their number, and whether decoding gives the text back."""
-    rows = decoded(encoded(docs.select("doc_id", "text"), model_path, drop), model_path)
-    return rows.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_ids"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
-        "ids",
+    """doc_id, ids, their number, and whether decoding gives the text back. Encodes
+    and decodes in one pass, so texts and ids cross to Python and back once."""
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load(model_path)
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                ids = encode_texts(model, texts, part.column("__key").to_numpy(), drop)
+                back = decode_ids(model, ids).to_pylist()
+                same = pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), same, ids], ["doc_id", "lossless", "ids"]
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("__key"))
+    return rows.mapInArrow(both, f"doc_id {kind}, lossless boolean, ids array<int>").select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "lossless", "ids"
     )

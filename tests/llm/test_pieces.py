@@ -44,7 +44,7 @@ def test_rounds_equal_the_heap(monkeypatch):
 
 
 def test_seeds_and_documents_vary():
-    texts = ["the quick onions interesting another segmentation entirely"] * 3
+    texts = [" ".join(f"the quick onions interesting another{i} entirely" for i in range(30))] * 3
     one = encode(texts, Dropout(), [1, 2, 1]).to_pylist()
     assert one[0] == one[2] and one[0] != one[1]
     assert encode(texts, Dropout(seed="other"), [1, 2, 1]).to_pylist() != one

@@ -1,8 +1,8 @@
 """Exact deduplication by naming blocks.
 
 A normalised text is cut into blocks of a fixed number of bytes. The distinct
-blocks are sorted and numbered, so a block's name is an integer that no other
-block has. Adjacent names are paired, the distinct pairs are sorted and numbered
+blocks are sorted and numbered task by task, so a block's name is an integer that
+no other block has. Adjacent names are paired, the distinct pairs are numbered
 in turn, and so on until each document has one name. Two documents end with the
 same name in the same round exactly if their texts are equal; hashes only set
 aside documents that hold a block found nowhere else, which have no equal.
@@ -56,15 +56,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _numbered(values: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct values in sorted order with an integer name each, written down
-    so that a repeated task cannot give other names."""
-    ranked = values.select(*columns).distinct().repartitionByRange(*columns)
-    return stored(
-        ranked.sortWithinPartitions(*columns).withColumn(
-            "new_name", F.monotonically_increasing_id()
-        ),
-        "block-names",
-    )
+    """Distinct values with an integer name each: equal values meet in one task of
+    the ``distinct``, each task sorts its values and numbers them in a range of its
+    own. Written down, so that a repeated task cannot give other names."""
+    ranked = values.select(*columns).distinct().sortWithinPartitions(*columns)
+    return stored(ranked.withColumn("new_name", F.monotonically_increasing_id()), "block-names")
 
 
 def _pair_up(sequences: DataFrame) -> DataFrame:
@@ -103,7 +99,10 @@ def duplicate_classes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
         "block-prints",
     )
     hashed = prints.select(*KEY, F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
-    repeated = hashed.groupBy("hash").agg(F.count("*").alias("k")).where("k > 1").select("hash")
+    repeated = stored(
+        hashed.groupBy("hash").agg(F.count("*").alias("k")).where("k > 1").select("hash"),
+        "block-repeats",
+    )
     shared = stored(
         hashed.join(repeated, "hash", "left_semi")
         .groupBy(*KEY, "n")
@@ -112,8 +111,9 @@ def duplicate_classes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
         .select(*KEY, "n"),
         "block-candidates",
     )
+    # The one time that texts move: to the few rows of their key, at any size of the table.
     pieces = stored(
-        rows.join(shared, KEY)
+        rows.join(shared.hint("shuffle_hash"), KEY)
         .select(*KEY, "n", F.posexplode(cut).alias("pos", "block"))
         .distinct(),
         "block-pieces",
@@ -134,8 +134,11 @@ def duplicate_classes(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
         prints.select(*KEY, "doc_id", "n_rows"), KEY
     )
     identities = stored(identities, "block-identities")
-    classes = identities.groupBy("turn", "name").agg(
-        F.min("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size")
+    classes = stored(
+        identities.groupBy("turn", "name").agg(
+            F.min("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size")
+        ),
+        "block-classes",
     )
     members = identities.join(classes, ["turn", "name"]).select(*KEY, "keep_id", "group_size")
     return prints.join(members, KEY, "left").select(

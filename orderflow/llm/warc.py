@@ -38,7 +38,7 @@ import pyarrow as pa
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.plans.scratch import scratch_dir
@@ -274,6 +274,12 @@ def prepared(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
     )
 
 
+def _tasks(spark: SparkSession) -> int:
+    """A number of tasks that is asked for is kept; Spark would size them by the
+    narrow rows, not by the records and blocks that these stand for."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_archive(pages: DataFrame, revisit_bytes: int = 0, block_lines: int = 1000) -> Archive:
     """Writes records, index blocks and directory of (page_id, url, html) rows."""
     spark = pages.sparkSession
@@ -284,7 +290,7 @@ def write_archive(pages: DataFrame, revisit_bytes: int = 0, block_lines: int = 1
     (
         spark.read.schema(PLACES)
         .parquet(places)
-        .repartitionByRange("key", "page_id")
+        .repartitionByRange(_tasks(spark), "key", "page_id")
         .sortWithinPartitions("key", "page_id")
         .mapInArrow(_write_blocks(folder, block_lines), DIRECTORY)
         .write.parquet(directory)
@@ -343,7 +349,7 @@ def read_captures(archive: Archive, lookups: DataFrame) -> DataFrame:
         lookups.select(F.col("page_id").cast("long").alias("page_id"), "url")
         .mapInArrow(_keys, "key string, page_id long")
         .distinct()
-        .repartitionByRange("key", "page_id")
+        .repartitionByRange(_tasks(lookups.sparkSession), "key", "page_id")
         .sortWithinPartitions("key", "page_id")
         .mapInArrow(_read_records(archive), CAPTURES)
     )

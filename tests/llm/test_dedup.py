@@ -88,10 +88,10 @@ def variants(seed, groups=6, copies=12, length=60):
     return texts
 
 
-@pytest.mark.parametrize("small,levels", [(24, 3), (2, 2), (2, 0)])
-def test_near_components(spark, small, levels):
+@pytest.mark.parametrize("small,block", [(8, 512), (1, 512), (1, 3)])
+def test_near_components(spark, small, block):
     texts = TEXTS + [(i + 100, t) for i, t in variants(3)]
-    near = near_dups.Near(words=4, small=small, levels=levels)
+    near = near_dups.Near(words=4, small=small, block=block)
     rows = near_dups.near_duplicates(documents(spark, texts, extra=True), near).collect()
     expected = near_components(texts, 4, 80)
     found = [(r.doc_id, r.component_id, r.kept) for r in rows]

@@ -164,12 +164,12 @@ def test_base_spans(spark):
 def test_terms_that_give_an_entity_away(spark):
     texts = [(i, f"the agent zanzibar writes from bob@x.org the end number{i}") for i in range(4)]
     texts += [(10 + i, "the end of a story that the others tell, from here") for i in range(60)]
-    texts += [(90, "zanzibar alone")]
+    texts += [(90 + i, f"zanzibar alone {i}") for i in range(3)]
     docs = documents(spark, texts, extra=True)
     rows = {r.doc_id: r.sanitised for r in disclosure.sanitised(docs).collect()}
-    # "agent" and "writes" stand with the address only, "zanzibar" once more elsewhere.
-    assert rows[0] == "the   [TERM] the end number0".replace("   [TERM]", "  [TERM]  from [EMAIL]")
-    assert rows[10] == texts[4][1] and rows[90] == "zanzibar alone"
+    # "agent" and "writes" stand with the address only, "zanzibar" elsewhere too.
+    assert rows[0] == "the  [TERM]  from [EMAIL] the end number0"
+    assert rows[10] == texts[4][1] and rows[90] == "zanzibar alone 0"
     spans = {r.doc_id: r.s for r in disclosure.spans(docs).select("doc_id", disclosure.written(F.col("spans")).alias("s")).collect()}
     assert spans[0] == "term:4:9,term:10:18,term:19:25,email:31:40" and spans[90] == ""
 

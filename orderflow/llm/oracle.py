@@ -84,10 +84,11 @@ WITH docs AS (
                      lambda x: regexp_matches(x, '{WORD}')) AS ls
   FROM documents),
 windows AS (
-  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM docs WHERE len(w) >= 5),
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i,
+         unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS x
+  FROM docs WHERE len(w) >= 5),
 repeated AS (
-  SELECT doc_id, i, count(*) OVER (
-           PARTITION BY doc_id, list_slice(w, i, i + 4)) AS n FROM windows),
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows),
 covered AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (
     SELECT doc_id, unnest(range(i, i + 5)) AS p FROM repeated WHERE n > 1) GROUP BY doc_id),

@@ -13,13 +13,16 @@ bucket. Links are found without comparing all pairs of a bucket:
 
 1. every node is compared with its bucket's smallest node;
 2. verified links make components, and only buckets that still hold several
-   components are looked at again: of small ones all pairs across components are
+   components are looked at again. Of small ones all pairs across components are
    compared;
-3. large ones are cut into finer buckets of nodes that agree in one more band, and
-   steps 1 to 3 repeat; after ``levels`` cuts all pairs across components are left.
+3. large ones are cut into blocks, and each pair of blocks is a group of its own.
+   There a second, longer sketch of each node tells which pairs across components
+   may reach the threshold; only those are compared. A pair that shares several
+   buckets is looked at in the first.
 
 Every link is confirmed on the full sets. A pair at the threshold shares no band
-with probability (1 - least ** rows) ** bands, 5e-6 with the defaults.
+with probability (1 - least ** rows) ** bands, 5e-6 with the defaults, and falls
+``slack`` standard deviations below it in step 3 with probability 4e-6.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 links with nothing; fewer words than a shingle are one shingle; rows of equal id
@@ -51,19 +54,28 @@ EMPTY = np.uint64((1 << 64) - 1)
 @dataclass(frozen=True)
 class Near:
     """words per shingle; percent: least similarity; bands of rows coordinates each;
-    small: largest bucket whose pairs are all compared."""
+    small: largest bucket whose pairs are compared without a look at sketches; block:
+    nodes of a large bucket in one block; prints: coordinates of the second sketch."""
 
     words: int = 5
     percent: int = 80
     bands: int = 40
     rows: int = 6
-    small: int = 24
-    levels: int = 3
+    small: int = 8
+    block: int = 512
+    prints: int = 720
+    slack: float = 4.5
 
     @property
     def bins(self) -> int:
         return self.bands * self.rows
 
+    @property
+    def least_prints(self) -> int:
+        """Equal coordinates that a pair at the threshold has but for a rare error."""
+        share = self.percent / 100
+        return int(self.prints * share - self.slack * (self.prints * share * (1 - share)) ** 0.5)
+
 
 def mixed(value: np.ndarray) -> np.ndarray:
     """64-bit mix of uint64 values."""
@@ -100,8 +112,9 @@ def shingle_sets(texts: list, words: int) -> tuple[np.ndarray, np.ndarray]:
     return value[fresh], np.bincount(owner[fresh], minlength=len(texts))
 
 
-def sketches(values: np.ndarray, sizes: np.ndarray, bins: int) -> np.ndarray:
+def sketches(values: np.ndarray, sizes: np.ndarray, bins: int, seed: int = 0) -> np.ndarray:
     """One row of coordinates per set; rows of empty sets stay unfilled."""
+    values = mixed(values + np.uint64(seed)) if seed else values
     sketch = np.full(len(sizes) * bins, EMPTY)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     for turn in range(2 * bins):
@@ -175,19 +188,27 @@ def sketched(docs: DataFrame, near: Near) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
-    """node and set of the wanted (id, mark, node) rows."""
+    """Of the wanted (id, mark, node) rows: node, its set, eight bits of each coordinate
+    of a second sketch, and 32 bits of each band key."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 values, sizes = shingle_sets(texts, near.words)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), _lists(values, sizes)], ["node", "shingles"]
-                )
+                longer = mixed(sketches(values, sizes, near.prints, seed=1)).astype(np.uint8)
+                keys = band_keys(sketches(values, sizes, near.bins), near).astype(np.uint32)
+                columns = [part.column("node"), _lists(values, sizes), _packed(longer), _packed(keys)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "prints", "keys"])
+
+    schema = "node long, shingles array<long>, prints binary, keys binary"
+    key = ["id", "mark"]
+    # Texts move to the few rows wanted, at any size of the table.
+    rows = docs.select("doc_id", "text").withColumns(_row_key()).join(wanted.hint("shuffle_hash"), key)
+    return stored(rows.select("node", "text").mapInArrow(collect, schema), "near-sets")
+
 
-    rows = docs.select("doc_id", "text").withColumns(_row_key()).join(wanted, ["id", "mark"])
-    sets = rows.select("node", "text").mapInArrow(collect, "node long, shingles array<long>")
-    return stored(sets, "near-sets")
+def _packed(rows: np.ndarray) -> pa.Array:
+    return pa.array([row.tobytes() for row in rows], pa.binary())
 
 
 def linked(edges: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
@@ -237,7 +258,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _crowded(rows: DataFrame) -> DataFrame:
     """The (bucket, node) rows whose bucket has more than one node."""
     several = rows.groupBy("bucket").agg(F.count("*").alias("k"), F.min("node").alias("leader"))
-    return rows.join(several.where("k > 1"), "bucket")
+    return rows.join(stored(several.where("k > 1"), "near-several"), "bucket")
 
 
 class _Links:
@@ -280,14 +301,96 @@ def _mixed_buckets(rows: DataFrame, links: _Links) -> DataFrame:
         .where("low <> high")
         .select("bucket", "k")
     )
-    return stored(labelled.join(several, "bucket"), "near-mixed")
+    return stored(labelled.join(stored(several, "near-mixed"), "bucket"), "near-mixed")
 
 
 def _across(rows: DataFrame) -> DataFrame:
     """All pairs of a bucket that lie in different components."""
     left = rows.select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
     right = rows.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return left.join(right, "bucket").where("a < b AND la <> lb")
+    return left.join(right, "bucket").where("a < b AND la <> lb").select("a", "b")
+
+
+def _block_pairs(bucket: int, sides: tuple, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one group that may be similar: across components, in the first
+    bucket they share, and close by their second sketch."""
+    node, label, block, prints, keys = sides
+    left, right = block == block.min(), block == block.max()
+    band = int(np.flatnonzero(keys[0] == np.uint32(bucket % (1 << 32)))[0])
+    found_a, found_b = [], []
+    right_at = np.flatnonzero(right)
+    for i in np.flatnonzero(left).tolist():
+        other = right_at[label[right_at] != label[i]]
+        if block[i] == block.max():
+            other = other[other > i]
+        other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
+        if len(other):
+            other = other[(prints[other] == prints[i]).sum(axis=1) >= near.least_prints]
+            found_a.append(np.full(len(other), node[i]))
+            found_b.append(node[other])
+    none = [np.empty(0, np.int64)]
+    return np.concatenate(found_a or none), np.concatenate(found_b or none)
+
+
+def _likely(rows: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """Pairs (a, b) of large buckets that their sketches let through.
+
+    A bucket's nodes are dealt to blocks by hash, and every pair of blocks is a
+    group; tasks hold one group at a time.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in _with_end(batches):
+            if batch is not None:
+                rows = pa.Table.from_batches([batch])
+                held = rows if held is None else pa.concat_tables([held, rows])
+            if held is None or not len(held):
+                continue
+            group = np.stack([held[c].to_numpy() for c in ("bucket", "i", "j")], axis=1)
+            starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(axis=1)])
+            ends = np.r_[starts[1:], len(group)]
+            ready = len(starts) if batch is None else len(starts) - 1
+            for a, b in zip(starts[:ready].tolist(), ends[:ready].tolist(), strict=True):
+                part = held.slice(a, b - a)
+                sides = (
+                    *(part[c].to_numpy() for c in ("node", "label", "block")),
+                    np.frombuffer(b"".join(part["prints"].to_pylist()), np.uint8).reshape(b - a, -1),
+                    np.frombuffer(b"".join(part["keys"].to_pylist()), np.uint32).reshape(b - a, -1),
+                )
+                one, other = _block_pairs(int(group[a, 0]), sides, near)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(one, other)), pa.array(np.maximum(one, other))], ["a", "b"]
+                )
+            held = held.slice(starts[ready]) if ready < len(starts) else None
+
+    blocks = F.ceil(F.col("k") / near.block).cast("int")
+    block = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
+    dealt = (
+        rows.withColumn("block", block)
+        .withColumn("mate", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select(
+            "bucket",
+            F.least("block", "mate").alias("i"),
+            F.greatest("block", "mate").alias("j"),
+            "node",
+            "label",
+            "block",
+        )
+    )
+    group = ["bucket", "i", "j"]
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        dealt.join(sets.select("node", "prints", "keys"), "node")
+        .repartition(tasks, *group)
+        .sortWithinPartitions(*group)
+        .mapInArrow(compare, "a long, b long")
+    )
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
 
 
 def link_nodes(nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame | None:
@@ -297,23 +400,14 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame | Non
     wanted = nodes.select("node", "id", "mark").join(
         rows.select("node").distinct(), "node", "left_semi"
     )
-    links = _Links(full_sets(docs, wanted, near), near)
-    for level in range(near.levels + 1):
-        stars = links.label(rows.where("node <> leader"), "node", "la")
-        stars = links.label(stars, "leader", "lb").where("la <> lb")
-        links.test(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")))
-        mixed_rows = _mixed_buckets(rows, links)
-        last = level == near.levels
-        links.test(_across(mixed_rows if last else mixed_rows.where(F.col("k") <= near.small)))
-        large = mixed_rows.where(F.col("k") > near.small)
-        if last or large.isEmpty():
-            break
-        finer = (
-            large.select("bucket", "node")
-            .join(nodes.select("node", F.explode("bands").alias("other")), "node")
-            .select(F.xxhash64("bucket", "other").alias("bucket"), "node")
-        )
-        rows = stored(_crowded(finer), "near-buckets")
+    sets = full_sets(docs, wanted, near)
+    links = _Links(sets, near)
+    stars = rows.where("node <> leader")
+    links.test(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    mixed_rows = _mixed_buckets(rows, links)
+    few = _across(mixed_rows.where(F.col("k") <= near.small))
+    many = _likely(mixed_rows.where(F.col("k") > near.small), sets, near)
+    links.test(few.union(many))
     return links.labels
 
 

@@ -62,7 +62,7 @@ class Near:
     bands: int = 40
     rows: int = 6
     small: int = 8
-    block: int = 512
+    block: int = 256
     prints: int = 720
     slack: float = 4.5
 

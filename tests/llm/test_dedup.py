@@ -88,7 +88,7 @@ def variants(seed, groups=6, copies=12, length=60):
     return texts
 
 
-@pytest.mark.parametrize("small,block", [(8, 512), (1, 512), (1, 3)])
+@pytest.mark.parametrize("small,block", [(8, 256), (1, 256), (1, 3)])
 def test_near_components(spark, small, block):
     texts = TEXTS + [(i + 100, t) for i, t in variants(3)]
     near = near_dups.Near(words=4, small=small, block=block)

@@ -21,24 +21,24 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.text import stored, whole, word_count
 
-HASH_BITS = 60
+HASH_BITS = 56
 
 
 @dataclass(frozen=True)
 class Mix:
     """weights repeat over the sources in code point order; the mix holds ``share``
     times all words; no source gives more than ``most`` times its own. ``bits`` is
-    the width of one histogram level."""
+    the width of one histogram level; it divides 56."""
 
     weights: tuple[int, ...] = (5, 2, 1)
     share: float = 1.5
     most: int = 2
     seed: str = "mix"
-    bits: int = 12
+    bits: int = 8
 
 
 def id_hash(key: Column, seed: str) -> Column:
-    """60 bits of md5 over the seed and the id."""
+    """56 bits of md5 over the seed and the id."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
 

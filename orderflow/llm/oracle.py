@@ -11,7 +11,7 @@ MIXING = rf"""
 WITH docs AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '{WORD}+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 14))::BIGINT AS h
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,

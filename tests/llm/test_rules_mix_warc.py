@@ -85,7 +85,7 @@ def test_classifier_without_labels(spark):
 # --- mixing -------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("bits", [4, 12, 60])
+@pytest.mark.parametrize("bits", [4, 14, 56])
 def test_mix_meets_targets(spark, bits):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     mix = mixing.Mix(bits=bits)

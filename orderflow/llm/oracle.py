@@ -100,6 +100,7 @@ stats AS (
          (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
          coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
          len(list_filter(w, lambda x: list_contains({{stop}}, lower(rtrim(x, '.,;:'))))) AS n_stop,
+         len(list_filter(w, lambda x, i: i > 1 AND w[i - 1] = x)) AS n_echo,
          len(ls) AS n_lines,
          len(list_filter(ls, lambda x: x LIKE '%...' OR x LIKE '%…')) AS n_ellipsis,
          len(list_filter(ls, lambda x: regexp_matches(x, '^{SPACE}*[-*•]'))) AS n_bullet
@@ -109,7 +110,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words
        AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.1::DOUBLE
        AND (n_stop / n_words >= 0.02::DOUBLE OR n_words < 50)
-       AND n_capitals / word_chars <= 0.3::DOUBLE
+       AND n_capitals / word_chars <= 0.3::DOUBLE AND n_echo / n_words <= 0.2::DOUBLE
        AND (n_dup_lines / n_lines <= 0.5::DOUBLE OR n_words < 50)
        AND n_ellipsis / n_lines <= 0.3::DOUBLE AND n_bullet / n_lines <= 0.9::DOUBLE AS kept
 FROM stats

@@ -50,6 +50,7 @@ RULES = (
     Rule("symbols", "1.0 * n_symbols / n_words", most=0.1),
     Rule("stop_words", "1.0 * n_stop_words / n_words", least=0.02, from_words=50),
     Rule("capitals", "1.0 * n_capitals / word_chars", most=0.3),
+    Rule("echoes", "1.0 * n_echo_words / n_words", most=0.2),
     Rule("duplicate_lines", "1.0 * n_dup_lines / n_lines", most=0.5, from_words=50),
     Rule("ellipsis_lines", "1.0 * n_ellipsis_lines / n_lines", most=0.3),
     Rule("bullet_lines", "1.0 * n_bullet_lines / n_lines", most=0.9),
@@ -113,11 +114,17 @@ def n_stop_words(tokens: Column) -> Column:
     return _n(F.size(F.filter(tokens, lambda w: F.lower(F.rtrim(w, F.lit(".,;:"))).isin(known))))
 
 
+def n_echo_words(tokens: Column) -> Column:
+    """Words equal to the one before."""
+    return _n(F.size(F.filter(tokens, lambda w, i: (i > 0) & (F.get(tokens, i - 1) == w))))
+
+
 def _token_statistics(tokens: Column) -> Column:
     return F.struct(
         _n(F.size(tokens)).alias("n_words"),
         n_repeat_words(tokens).alias("n_repeat_words"),
         n_stop_words(tokens).alias("n_stop_words"),
+        n_echo_words(tokens).alias("n_echo_words"),
     )
 
 

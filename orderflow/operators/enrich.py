@@ -75,16 +75,21 @@ def hot_keys(orders: DataFrame, *keys: str, share: float | None = None) -> dict[
     """
     share = hot_share(orders.sparkSession) if share is None else share
     found = orders.freqItems(list(keys), share).first()
-    candidates = {k: [v for v in items if v is not None] for k, items in zip(keys, found)}
-    flags = [
-        F.count_if(F.col(key) == F.lit(value)).alias(f"n_{k}_{i}")
-        for k, key in enumerate(keys)
-        for i, value in enumerate(candidates[key])
+    candidates = {k: {str(v): v for v in items if v is not None} for k, items in zip(keys, found)}
+    # All values that are no candidates count as one, so a task sends few rows.
+    values = [
+        F.struct(
+            F.lit(key).alias("key"),
+            F.when(F.col(key).isin(list(candidates[key].values())), F.col(key).cast("string")).alias("value"),
+        )
+        for key in keys
     ]
-    counts = orders.agg(F.count(F.lit(1)).alias("n_rows"), *flags).first()
+    counted = orders.select(F.explode(F.array(*values)).alias("x")).groupBy("x.key", "x.value")
+    counts = {(r["key"], r["value"]): r["count"] for r in counted.count().collect()}
+    n_rows = sum(n for (key, _), n in counts.items() if key == keys[0])
     return {
-        key: [v for i, v in enumerate(candidates[key]) if counts[f"n_{k}_{i}"] > share * counts.n_rows]
-        for k, key in enumerate(keys)
+        key: [v for text, v in candidates[key].items() if counts.get((key, text), 0) > share * n_rows]
+        for key in keys
     }
 
 

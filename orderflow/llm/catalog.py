@@ -64,8 +64,7 @@ def quality_rules_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def pii_query(spark: SparkSession, sf: str) -> DataFrame:
-    found = disclosure.spans(_documents(spark, sf))
+def _personal_data(found: DataFrame) -> DataFrame:
     counts = [disclosure.of_kind(F.col("base"), k).alias(f"n_{k}") for k in disclosure.PATTERNS]
     return found.select(
         "doc_id",
@@ -75,6 +74,16 @@ def pii_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pii_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The spans that the SQL defines: terms that three documents show near a mention."""
+    return _personal_data(disclosure.spans(_documents(spark, sf)))
+
+
+def sanitised_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Every entity and term rated; SQL doesn't say it."""
+    return _personal_data(disclosure.spans(_documents(spark, sf), disclosure.WHOLE))
+
+
 def mixing_query(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(_documents(spark, sf)).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -119,6 +128,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_dedup": exact_dedup_query,
         "op5_quality_rules": quality_rules_query,
         "op6_pii": pii_query,
+        "op6_sanitised": sanitised_query,
         "op7_mixing": mixing_query,
         "op8_near_dedup": near_dedup_query,
         "op9_quality_classifier": quality_classifier_query,

@@ -58,6 +58,10 @@ class Disclosure:
     remove: float = 0.9
 
 
+#: Every entity and term is rated, also those of a single document.
+WHOLE = Disclosure(support=1)
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 

@@ -11,7 +11,7 @@ import pytest
 from cases import TEXTS, documents, near_components, normal, words
 from pyspark.sql import functions as F
 
-from orderflow.llm import disclosure, mixing, quality_rules, rule_ensemble, warc
+from orderflow.llm import catalog, disclosure, mixing, quality_rules, rule_ensemble, warc
 from orderflow.llm.piece_dropout import load
 
 SMALL = "/root/testdata/sf0.001"
@@ -174,6 +174,16 @@ def test_terms_that_give_an_entity_away(spark):
     assert spans[0] == "term:4:9,term:10:18,term:19:25,email:31:40" and spans[90] == ""
 
 
+def test_terms_beside_a_single_mention(spark, tmp_path):
+    texts = [(1, "the agent Zanzibar writes from bob@x.org the end")]
+    texts += [(10 + i, "the end of a story that an agent writes from here") for i in range(60)]
+    docs = documents(spark, texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = catalog.queries()["op6_sanitised"](spark, str(tmp_path))
+    spans = {r.doc_id: r.spans for r in rows.collect()}
+    assert "term:10:18" in spans.pop(1) and not any(spans.values())
+
+
 def test_sanitised_overlaps_and_no_rows(spark):
     docs = documents(spark, [(1, "+4111 1111 1111 1111 x"), (2, "🙂 a@b.co!"), (3, None), (3, None)])
     rows = [(r.doc_id, r.sanitised) for r in disclosure.sanitised(docs).collect()]

@@ -8,13 +8,18 @@ hold the term and n_et have the term near a mention, the term discloses
     log(n * n_et / (n_e * n_t)) / log(n / n_e)
 
 of the entity's information. Terms above ``remove`` are removed, terms above
-``generalise`` are replaced by their shape, both only near mentions of that entity,
-and only where at least ``support`` documents show the pair. Counts cover the whole
-corpus.
+``generalise`` are replaced by [TERM], and only where at least ``support`` documents
+show the pair. Counts cover the whole corpus.
 
-A term is a word of three or more letters, up to two marks behind it aside. It is
-near a mention if it lies, with white space on both sides, within ``reach`` code
-points of it and not beyond another match of the same pattern.
+``WHOLE`` counts by document: a term is a run of letters, marks and digits, joined by
+hyphens and apostrophes, wherever it stands, and is near every mention of its
+document; all its places there outside mentions are treated. A script without
+spaces gives one term per run.
+
+With a ``reach`` a term is a word of three or more letters, up to two marks behind
+it aside. It is near a mention if it lies, with white space on both sides, within
+``reach`` code points of it and not beyond another match of the same pattern; only
+such places are treated.
 
 Defined cases: a null text is empty; rows of equal id and text count as one
 document and get equal results; an entity in every document gives nothing away.
@@ -47,19 +52,24 @@ HINTS = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "ph
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 TERM = r"\p{L}{3,}+[.,;:!?]{0,2}+"
 NEAR_TERM = rf"(?<={SPACE}){TERM}(?={SPACE})"
+#: A term of the rule without a reach.
+_SIGN = r"[\p{L}\p{M}\p{N}]"
+TOKEN = rf"{_SIGN}++(?:[-'\u2019\u2010\u2011]{_SIGN}++)*+"
 ANY_TERM = rf"(?<![^\x20\x09-\x0D]){TERM}(?![^\x20\x09-\x0D])"
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    reach: int = 80
+    """reach: None for the whole document."""
+
+    reach: int | None = 80
     support: int = 3
     generalise: float = 0.7
     remove: float = 0.9
 
 
-#: Every entity and term is rated, also those of a single document.
-WHOLE = Disclosure(support=1)
+#: Every entity and every term of its documents is rated, also those of a single one.
+WHOLE = Disclosure(reach=None, support=1)
 
 
 def _digits(value: Column) -> Column:
@@ -111,20 +121,61 @@ def _row_key() -> dict[str, Column]:
 
 
 def mentions(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
-    """Per row: doc_id, id, mark and the mentions, ordered by start and kind."""
+    """Per row: doc_id, id, mark and the mentions, ordered by start and kind; without a
+    reach also the terms of rows with mentions, as (start, stop, term, free)."""
     text = whole("text")
-    return (
+    side = 0 if rule.reach is None else rule.reach + 1
+    rows = (
         docs.select("doc_id", "text")
         .withColumns(_row_key())
         .select(
             "doc_id",
             "id",
             "mark",
-            F.array_sort(
-                F.concat(*(_mentions(text, kind, rule.reach + 1) for kind in PATTERNS))
-            ).alias("mentions"),
+            F.array_sort(F.concat(*(_mentions(text, kind, side) for kind in PATTERNS))).alias(
+                "mentions"
+            ),
+            *([text.alias("text")] if rule.reach is None else []),
         )
     )
+    if rule.reach is not None:
+        return rows
+    none = F.array().cast("array<struct<start:int,stop:int,term:string,free:boolean>>")
+    terms = F.when(F.size("mentions") > 0, _tokens(F.col("text"), F.col("mentions")))
+    return rows.select("doc_id", "id", "mark", "mentions", F.coalesce(terms, none).alias("terms"))
+
+
+def _tokens(text: Column, found: Column) -> Column:
+    """All terms of a text: array of (start, stop, term, free); those that overlap a
+    mention are not free."""
+
+    def event(x: Column, kind: int, term: Column) -> Column:
+        return F.struct(
+            x["start"].alias("start"),
+            F.lit(kind).alias("kind"),
+            x["stop"].alias("stop"),
+            term.alias("term"),
+        )
+
+    def freed(events: Column) -> Column:
+        def token(x: Column, i: Column, reached: Column) -> Column:
+            later = F.get(events, i + 1)
+            meets = (later["kind"] == 0) & (later["start"] < x["stop"])
+            free = (F.get(reached, i) <= x["start"]) & ~F.coalesce(meets, F.lit(False))
+            return F.when(
+                x["kind"] == 1, F.struct(x["start"], x["stop"], x["term"], free.alias("free"))
+            )
+
+        stops = F.transform(events, lambda x: F.when(x["kind"] == 0, x["stop"]).otherwise(0))
+        tokens = bound(
+            running(stops, F.greatest),
+            lambda reached: F.transform(events, lambda x, i: token(x, i, reached)),
+        )
+        return F.filter(tokens, lambda x: x.isNotNull())
+
+    spoken = F.transform(located(text, TOKEN), lambda x: event(x, 1, F.lower(x["value"])))
+    named = F.transform(found, lambda x: event(x, 0, F.lit("")))
+    return bound(F.array_sort(F.concat(named, spoken)), freed)
 
 
 def _near(side: str, offset: Column) -> Column:
@@ -153,6 +204,83 @@ def contexts(found: DataFrame) -> DataFrame:
     )
 
 
+def _spoken(docs: DataFrame, found: DataFrame, words: Column) -> tuple[DataFrame, int, bool]:
+    """(term, n_t), the number of documents, and whether rows repeat."""
+    row = ["id", "mark"]
+    # Equal rows are counted once here too, through the rows they stand for.
+    repeats = found.groupBy(*row).agg(F.count("*").alias("rows"))
+    n = repeats.count()
+    extra = stored(repeats.where("rows > 1").select(*row, "rows"), "disclosure-repeats")
+    repeated = not extra.isEmpty()
+    spoken = (
+        docs.select("doc_id", "text")
+        .withColumns(_row_key())
+        .select(*row, F.array_distinct(words).alias("words"))
+    )
+    weight = F.lit(1.0)
+    if repeated:
+        spoken = spoken.join(extra, row, "left")
+        weight = 1.0 / F.coalesce("rows", F.lit(1))
+    terms = (
+        spoken.select(weight.alias("share"), F.explode("words").alias("term"))
+        .groupBy("term")
+        .agg(F.round(F.sum("share")).alias("n_t"))
+    )
+    return terms, n, repeated
+
+
+def told_by_document(docs: DataFrame, found: DataFrame, rule: Disclosure) -> DataFrame:
+    """id, mark, start, stop and removed of the terms that give an entity away, by the
+    documents that hold both."""
+    row = ["id", "mark"]
+    words = F.transform(
+        F.regexp_extract_all(whole("text"), F.lit(TOKEN), F.lit(0)), lambda x: F.lower(x)
+    )
+    terms, n, repeated = _spoken(docs, found, words)
+    held = found.where(F.size("mentions") > 0)
+    if repeated:
+        held = held.dropDuplicates(row)
+    spots = held.select(*row, F.explode("terms").alias("t")).select(*row, "t.*")
+    spots = stored(spots, "disclosure-spots")
+    named = stored(
+        held.select(*row, F.explode(F.array_distinct("mentions.entity")).alias("entity")),
+        "disclosure-named",
+    )
+    entities = named.groupBy("entity").agg(F.count("*").alias("n_e"))
+    entities = entities.where((F.col("n_e") >= rule.support) & (F.col("n_e") < n))
+    entities = stored(entities, "disclosure-entities")
+    widest = entities.agg(F.max("n_e")).head()[0] or 0
+
+    def rarest(n_e: Column) -> Column:
+        """No term of more documents tells enough, as n_et <= n_e."""
+        return F.pow(F.lit(float(n)), 1 - rule.generalise) * F.pow(n_e, rule.generalise) * 1.000001
+
+    def rated(pairs: DataFrame) -> DataFrame:
+        bits = F.log2(F.lit(n) / F.col("n_e"))
+        told = F.log2(F.lit(n) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / bits
+        return (
+            pairs.withColumn("told", told)
+            .where(F.col("told") >= rule.generalise)
+            .withColumn("removed", F.col("told") >= rule.remove)
+        )
+
+    terms = terms.where(F.col("n_t") <= rarest(F.lit(float(widest))))
+    said = stored(spots.select(*row, "term").distinct().join(terms, "term"), "disclosure-said")
+    named = named.join(entities, "entity")
+    # Entities of one document tell the same there: n_et is 1 for each of its terms.
+    single = named.where("n_e = 1").select(*row, "n_e", F.lit(1).alias("n_et")).distinct()
+    alone = rated(single.join(said, row)).select(*row, "term", "removed")
+    both = named.where("n_e > 1").join(said, row).where(F.col("n_t") <= rarest(F.col("n_e")))
+    pairs = both.groupBy("entity", "term", "n_e", "n_t").agg(F.count("*").alias("n_et"))
+    pairs = rated(pairs.where(F.col("n_et") >= rule.support))
+    shared = both.join(pairs.select("entity", "term", "removed"), ["entity", "term"])
+    told = alone.union(shared.select(*row, "term", "removed"))
+    told = told.groupBy(*row, "term").agg(F.max("removed").alias("removed"))
+    return (
+        spots.where("free").join(told, [*row, "term"]).select(*row, "start", "stop", "removed")
+    )
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, rule: Disclosure) -> DataFrame | None:
     """id, mark, start, stop and removed of the terms that give an entity away; None
     if no entity and term meet in enough documents."""
@@ -176,26 +304,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, rule: Disclosure) -> Dat
     pairs = stored(pairs, "disclosure-pairs")
     if pairs.isEmpty():
         return None
-    words = F.array_distinct(
-        F.transform(
-            F.regexp_extract_all(whole("text"), F.lit(ANY_TERM), F.lit(0)),
-            lambda x: F.lower(F.regexp_extract(x, r"^\p{L}+", 0)),
-        )
-    )
-    # Equal rows are counted once here too, through the rows they stand for.
-    repeats = found.groupBy(*row).agg(F.count("*").alias("rows"))
-    n = repeats.count()
-    extra = stored(repeats.where("rows > 1").select(*row, "rows"), "disclosure-repeats")
-    spoken = docs.select("doc_id", "text").withColumns(_row_key()).select(*row, words.alias("words"))
-    weight = F.lit(1.0)
-    if not extra.isEmpty():
-        spoken = spoken.join(extra, row, "left")
-        weight = 1.0 / F.coalesce("rows", F.lit(1))
-    terms = (
-        spoken.select(weight.alias("share"), F.explode("words").alias("term"))
-        .groupBy("term")
-        .agg(F.round(F.sum("share")).alias("n_t"))
+    words = F.transform(
+        F.regexp_extract_all(whole("text"), F.lit(ANY_TERM), F.lit(0)),
+        lambda x: F.lower(F.regexp_extract(x, r"^\p{L}+", 0)),
     )
+    terms, n, _ = _spoken(docs, found, words)
     rated = (
         pairs.join(entities, "entity")
         .join(terms, "term")
@@ -227,7 +340,8 @@ def spans(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
         ),
     )
     rows = found.select("doc_id", "id", "mark", base.alias("base"))
-    terms = disclosing_terms(docs, found, rule)
+    told = told_by_document if rule.reach is None else disclosing_terms
+    terms = told(docs, found, rule)
     if terms is None:
         return rows.withColumn("spans", F.col("base"))
     term = F.struct(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import math
 import re
 from collections import Counter
 
@@ -184,6 +185,62 @@ def test_terms_beside_a_single_mention(spark, tmp_path):
     assert "term:10:18" in spans.pop(1) and not any(spans.values())
 
 
+def test_terms_of_the_whole_document(spark):
+    far = "so on and on " * 30
+    texts = [
+        (1, f"Alice wrote a@x.com, said (Bob's) \"O'Hara-Smith\" 王芳 R2D2 so {far} Alice2 then alice."),
+        (2, "éa@y.org Carol"),
+        (3, "Dave b@z.org and b@z.org so on"),
+        (3, "Dave b@z.org and b@z.org so on"),
+        (4, "Erin b@z.org, on Dave then"),
+    ]
+    texts += [(10 + i, "so on and on wrote said then a") for i in range(60)]
+    rows = disclosure.spans(documents(spark, texts, extra=True), disclosure.WHOLE).collect()
+    found = [
+        (r.doc_id, [t[x.start : x.stop] for x in r.spans if x.kind == 4])
+        for r in rows for t in [dict(texts)[r.doc_id]]
+    ]
+    expected = [(i, []) for i, _ in texts[5:]] + [
+        (1, ["Alice", "Bob's", "O'Hara-Smith", "王芳", "R2D2", "Alice2", "alice"]),
+        (2, ["Carol"]), (3, ["Dave"]), (3, ["Dave"]), (4, ["Erin", "Dave"]),
+    ]
+    assert order(found) == order(expected)
+
+
+def plain_told(texts, rule):
+    """(row, term) that a plain reading of the rule treats."""
+    token = r"[^\W_]+(?:[-'][^\W_]+)*"
+    held = [{w.lower() for w in re.findall(token, t or "")} for _, t in texts]
+    named = []
+    for _, t in texts:
+        spans = [x.split(":") for x in base_spans(t).split(",") if x]
+        values = [(k, t[int(a) : int(b)]) for k, a, b in spans]
+        named.append({(k, v.lower() if k in ("email", "ip") else re.sub("[^0-9]", "", v)) for k, v in values})
+    n, n_t = len(texts), Counter(w for x in held for w in x)
+    n_e = Counter(e for x in named for e in x)
+    n_et = Counter((e, w) for x, y in zip(named, held, strict=True) for e in x for w in y)
+    told = lambda e, w: math.log(n * n_et[e, w] / (n_e[e] * n_t[w])) / math.log(n / n_e[e])
+    return [{w for w in y for e in x if told(e, w) >= rule.generalise} for x, y in zip(named, held, strict=True)]
+
+
+def test_whole_documents_against_plain_counts(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    kept = [(r.doc_id, r.text) for r in docs.collect()]
+    rule = disclosure.WHOLE
+    expected = dict(zip((i for i, _ in kept), plain_told(kept, rule), strict=True))
+    texts, some = dict(kept), 0
+    for r in disclosure.spans(docs, rule).collect():
+        t, base = texts[r.doc_id], [(x.start, x.stop) for x in r.base]
+        want = {
+            (m.start(), m.end())
+            for m in re.finditer(r"[^\W_]+(?:[-'][^\W_]+)*", t or "")
+            if m[0].lower() in expected[r.doc_id] and not any(a < m.end() and m.start() < b for a, b in base)
+        }
+        assert {(x.start, x.stop) for x in r.spans if x.kind == 4} == want
+        some += len(want)
+    assert some
+
+
 def test_sanitised_overlaps_and_no_rows(spark):
     docs = documents(spark, [(1, "+4111 1111 1111 1111 x"), (2, "🙂 a@b.co!"), (3, None), (3, None)])
     rows = [(r.doc_id, r.sanitised) for r in disclosure.sanitised(docs).collect()]

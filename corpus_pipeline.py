@@ -11,14 +11,15 @@ as Parquet below the session's shared checkpoint folder and read by the next.
    0.8 or more that with the smallest id stays.
 4. mix: sources are taken to their target weights; a document comes as often as
    the mix takes it, up to twice.
-5. encode: ids of each text under merge dropout.
+5. encode: ids of each text under merge dropout; copies of a document are numbered
+   and segmented apart.
 
 Nulls, empty and repeated rows and empty tables are handled as the operators say.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm import block_names, mixing, near_dups, piece_dropout, rule_ensemble
@@ -48,8 +49,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.select("doc_id", "lang", "source", "text")
-    return piece_dropout.encoded(rows, PIECE_MODEL).select(
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("lang", "source")
+    rows = docs.select("doc_id", "lang", "source", "text", F.row_number().over(same).alias("copy"))
+    return piece_dropout.encoded(rows, PIECE_MODEL, copy="copy").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids"
     )
 

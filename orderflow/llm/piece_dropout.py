@@ -2,22 +2,23 @@
 
 A merge-type model joins the adjacent pair whose joined piece scores best, the
 leftmost of equals, until no pair is a piece. With dropout a candidate merge is
-skipped when a keyed hash of the draw, its place and its two sides falls below the
-rate. The hash depends on nothing else, so a candidate is skipped every time it
-comes up and the segmentation is a function of seed, document and text.
+skipped when a keyed hash of its document, its copy, its chunk's position, its place
+and its two sides falls below the rate. The hash depends on nothing else, so a
+candidate is skipped every time it comes up and the segmentation is a function of
+seed, document, copy and text.
 
 No piece of such a model has a space after another character, so runs of spaces
-with the word behind them ("chunks") are encoded one by one. Each occurrence takes
-one of ``draws`` draws by hash of document and position; equal chunks of equal draw
-have equal pieces and are encoded once per slice. Chunks up to ``LONG`` characters
-go through the agenda together, one merge per chunk and round; longer ones have a
-heap each.
+with the word behind them ("chunks") are encoded one by one, each occurrence with a
+draw of its own. Chunks that come twice or more in a slice are encoded once without
+dropout; an occurrence that skips none of the candidates which come up there has
+these pieces, and only the others go through the agenda by themselves. Chunks up to ``LONG`` characters go
+through it together, one merge per chunk and round; longer ones have a heap each.
 
 Characters that are no piece, and U+2581, which stands for the space inside the
 model, become byte pieces, so decoding gives back every text exactly.
 
 Defined cases: null encodes to null and decodes to null, the empty text to no ids;
-repeated rows of equal id get equal ids. An empty table gives no rows.
+repeated rows of equal id, and copy if given, get equal ids. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -54,7 +55,6 @@ class Dropout:
 
     rate: float = 0.1
     seed: str = "pieces"
-    draws: int = 8
 
     def key(self) -> int:
         return int.from_bytes(hashlib.blake2b(self.seed.encode(), digest_size=8).digest(), "little")
@@ -165,8 +165,11 @@ def _place_hash(key: int, draw, start, left, right):
     return _mixed(value ^ sides) >> np.uint64(32)
 
 
-def agenda(model: Model, codes: list[int], draw: int, drop: Dropout) -> list[tuple[int, int]]:
-    """(symbol, start) of one chunk: a heap of candidate merges, best score first."""
+def agenda(
+    model: Model, codes: list[int], draw: int, drop: Dropout, seen: list | None = None
+) -> list[tuple[int, int]]:
+    """(symbol, start) of one chunk: a heap of candidate merges, best score first.
+    ``seen`` takes the candidates, (start, left, right)."""
     key, limit = drop.key(), drop.limit()
     symbols = model.chars[codes].tolist()
     n = len(symbols)
@@ -180,6 +183,8 @@ def agenda(model: Model, codes: list[int], draw: int, drop: Dropout) -> list[tup
         joined = model.merges.get(symbols[left] * model.base + symbols[right])
         if joined is not None:
             heapq.heappush(heap, (int(model.rank[joined]), left, symbols[left], symbols[right]))
+            if seen is not None:
+                seen.append((left, symbols[left], symbols[right]))
 
     for i in range(n - 1):
         offer(i)
@@ -201,8 +206,9 @@ def agenda(model: Model, codes: list[int], draw: int, drop: Dropout) -> list[tup
     return [(s, i) for i, s in enumerate(symbols) if not gone[i]]
 
 
-def _rounds(model: Model, symbols, owner, start, draw, drop: Dropout):
+def _rounds(model: Model, symbols, owner, start, draw, drop: Dropout, seen: list | None = None):
     """The agendas of many short chunks side by side, one merge each per round.
+    ``seen`` takes the candidates, arrays (owner, start, left, right).
 
     Every symbol knows the piece it makes with its right neighbour, -1 if none or
     skipped; only the neighbours of a merge are looked up again.
@@ -215,6 +221,8 @@ def _rounds(model: Model, symbols, owner, start, draw, drop: Dropout):
         may = np.flatnonzero((owner[at] == owner[at + 1]) & (left >= 0) & (right >= 0))
         made[may] = model.join(left[may], right[may])
         may = may[made[may] >= 0]
+        if seen is not None:
+            seen.append((owner[at[may]], start[at[may]], left[may], right[may]))
         if limit and len(may):
             hashed = _place_hash(key, draw[owner[at[may]]], start[at[may]], left[may], right[may])
             made[may[hashed < limit]] = -1
@@ -248,8 +256,11 @@ def _rounds(model: Model, symbols, owner, start, draw, drop: Dropout):
     return tuple(map(np.concatenate, zip(*done, strict=True)))
 
 
-def segment(model: Model, chunks: list[str], draws: np.ndarray, drop: Dropout):
-    """Ids of all chunks in one array, and how many each chunk has."""
+def segment(
+    model: Model, chunks: list[str], draws: np.ndarray, drop: Dropout, seen: list | None = None
+):
+    """Ids of all chunks in one array, and how many each chunk has; ``draws`` is a
+    64-bit key of each. ``seen`` takes the candidates, arrays (owner, start, left, right)."""
     lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
     codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
     base = offsets(lengths)[:-1]
@@ -258,9 +269,12 @@ def segment(model: Model, chunks: list[str], draws: np.ndarray, drop: Dropout):
     owner = np.repeat(np.flatnonzero(short), lengths[short])
     parts = []
     if len(at):
-        parts.append(_rounds(model, model.chars[codes[at]], owner, at - base[owner], draws, drop))
+        parts.append(_rounds(model, model.chars[codes[at]], owner, at - base[owner], draws, drop, seen))
     for i in np.flatnonzero(~short).tolist():
-        found = agenda(model, codes[base[i] : base[i] + lengths[i]].tolist(), int(draws[i]), drop)
+        met: list | None = None if seen is None else []
+        found = agenda(model, codes[base[i] : base[i] + lengths[i]].tolist(), int(draws[i]), drop, met)
+        if met:
+            seen.append((np.full(len(met), i), *np.array(met, np.int64).T))
         symbol, start = (np.array(x, np.int64) for x in zip(*found, strict=True))
         parts.append((np.full(len(symbol), i), start, symbol))
     owner, start, symbol = map(np.concatenate, zip(*parts, strict=True))
@@ -277,22 +291,83 @@ def segment(model: Model, chunks: list[str], draws: np.ndarray, drop: Dropout):
     return symbol.astype(np.int32), np.bincount(owner, minlength=len(chunks))
 
 
+#: Candidates hashed, and characters encoded, at a time.
+BLOCK = 1 << 20
+
+
+def _skipping(key_of: np.ndarray, codes: np.ndarray, seen: list, kinds: int, drop: Dropout):
+    """The occurrences that skip a candidate which comes up without dropout; ``codes``
+    are their chunks, of which there are ``kinds``."""
+    owner, start, left, right = map(np.concatenate, zip(*seen, strict=True))
+    order = np.argsort(owner, kind="stable")
+    start, left, right = start[order], left[order], right[order]
+    counts = np.bincount(owner, minlength=kinds)
+    base = offsets(counts)[:-1]
+    key, limit = drop.key(), np.uint64(drop.limit())
+    ends = np.cumsum(counts[codes])
+    skips = np.zeros(len(codes), bool)
+    first = 0
+    while first < len(codes):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+        of = codes[first:last]
+        at = spread(base[of], counts[of])
+        who = np.repeat(np.arange(first, last), counts[of])
+        hashed = _place_hash(key, key_of[who], start[at], left[at], right[at])
+        skips[who[hashed < limit]] = True
+        first = last
+    return np.flatnonzero(skips)
+
+
+def _dropped(model: Model, chunks: list[str], draws: np.ndarray, drop: Dropout):
+    """``segment`` in parts, so that memory does not follow the number of occurrences."""
+    ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+    parts, first = [], 0
+    while first < len(chunks):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+        parts.append(segment(model, chunks[first:last], draws[first:last], drop))
+        first = last
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def _drawn(model: Model, words, codes, known, draw, drop: Dropout):
+    """Segmentations, as ``segment`` gives them, and the number of each occurrence's own."""
+    often = np.bincount(codes) > 1
+    shared = np.cumsum(often) - 1
+    own, kind = ~often[codes], shared[codes]
+    parts: list = []
+    if often.any():
+        seen: list = []
+        common = known[often]
+        parts.append(segment(model, common.tolist(), np.zeros(len(common)), Dropout(0.0), seen))
+        again = np.flatnonzero(~own)
+        if seen:
+            own[again[_skipping(draw[again], kind[again], seen, len(common), drop)]] = True
+    own = np.flatnonzero(own)
+    if len(own):
+        kind[own] = int(often.sum()) + np.arange(len(own))
+        parts.append(_dropped(model, words[own].tolist(), draw[own], drop))
+    return kind, *map(np.concatenate, zip(*parts, strict=True))
+
+
 def encode_texts(model: Model, texts: list, keys: np.ndarray, drop: Dropout) -> pa.ListArray:
-    """Ids of each text; ``keys`` are 64-bit hashes of the documents' ids."""
+    """Ids of each text; ``keys`` are 64-bit hashes of the documents' ids and copies."""
     found = [CHUNK.findall(" " + t) if t else [] for t in texts]
     counts = np.fromiter(map(len, found), np.int64, len(found))
     flat = [chunk for chunks in found for chunk in chunks]
     ids, ends = np.empty(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     if flat:
-        codes, known = pd.factorize(np.array(flat, dtype=object))
-        place = spread(np.zeros(len(counts), np.int64), counts).astype(np.uint64)
-        doc = np.repeat(keys.astype(np.int64).view(np.uint64), counts)
-        draw = _mixed((doc ^ np.uint64(drop.key())) + place * np.uint64(MIX[0])) >> np.uint64(32)
-        draw = (draw % np.uint64(drop.draws)).astype(np.int64) if drop.rate else codes * 0
-        kinds, kind = np.unique(codes * drop.draws + draw, return_inverse=True)
-        pieces, n = segment(
-            model, known[kinds // drop.draws].tolist(), kinds % drop.draws, drop
-        )
+        words = np.array(flat, dtype=object)
+        codes, known = pd.factorize(words)
+        if drop.limit():
+            place = spread(np.zeros(len(counts), np.int64), counts).astype(np.uint64)
+            doc = np.repeat(keys.astype(np.int64).view(np.uint64), counts)
+            draw = _mixed((doc ^ np.uint64(drop.key())) + place * np.uint64(MIX[0]))
+            kind, pieces, n = _drawn(model, words, codes, known, draw, drop)
+        else:
+            kind = codes
+            pieces, n = segment(model, known.tolist(), np.zeros(len(known)), drop)
         ids = pieces[spread(offsets(n)[kind], n[kind])]
         ends = offsets(n[kind])[offsets(counts)]
     return pa.ListArray.from_arrays(
@@ -320,8 +395,11 @@ def encoded(
     text: str = "text",
     key: str = "doc_id",
     into: str = "ids",
+    copy: str | None = None,
 ) -> DataFrame:
-    """The documents with an array of ids; other columns unchanged, one of that name replaced."""
+    """The documents with an array of ids; other columns unchanged, one of that name
+    replaced. ``copy`` names a column with the copy's number: rows of equal key and
+    different number are segmented apart."""
     docs = docs.drop(into)
     names = docs.columns
 
@@ -335,7 +413,8 @@ def encoded(
                 yield pa.RecordBatch.from_arrays(columns, [*names, into])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
-    return docs.withColumn("__key", F.xxhash64(key)).mapInArrow(encode, schema)
+    keys = F.xxhash64(key) if copy is None else F.xxhash64(key, copy)
+    return docs.withColumn("__key", keys).mapInArrow(encode, schema)
 
 
 def decoded(

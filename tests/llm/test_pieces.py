@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 import numpy as np
 import sentencepiece
 from cases import TEXTS, documents
@@ -52,6 +53,27 @@ def test_seeds_and_documents_vary():
     assert share == sorted(share) and share[0] < share[2]
 
 
+def test_every_occurrence_draws_for_itself():
+    texts = ["interesting"] * 3000
+    rows = encode(texts, Dropout()).to_pylist()
+    alone = [encode([t], Dropout(), [k]).to_pylist()[0] for k, t in enumerate(texts[:300])]
+    assert rows[:300] == alone
+    assert len(set(map(tuple, rows))) > 8
+    for k, row in enumerate(rows[:300]):
+        draw = piece_dropout._mixed(np.array([k], np.uint64) ^ np.uint64(Dropout().key()))
+        ids, _ = piece_dropout.segment(MODEL, [" interesting"], draw, Dropout())
+        assert ids.tolist() == row
+
+
+def test_copies_are_segmented_apart(spark):
+    text = " ".join(f"the quick onions interesting another{i} entirely" for i in range(30))
+    docs = documents(spark, [(1, text), (1, text), (2, text)])
+    ids = [tuple(r.ids) for r in corpus_pipeline.encode(spark, docs, "").collect()]
+    assert len(set(ids)) == 3
+    again = [tuple(r.ids) for r in corpus_pipeline.encode(spark, docs.repartition(3), "").collect()]
+    assert sorted(again) == sorted(ids)
+
+
 def test_awkward_documents(spark):
     rows = piece_dropout.round_trip(documents(spark, extra=True), PIECE_MODEL).collect()
     assert len(rows) == len(TEXTS) and all(r.lossless for r in rows)

@@ -375,9 +375,30 @@ def of_kind(places: Column, kind: str) -> Column:
     return F.size(F.filter(places, lambda x: x["kind"] == KINDS.index(kind))).cast("long")
 
 
-def sanitised(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
-    """The documents with ``sanitised``: mentions by kind, general terms by shape,
-    telling terms removed; other columns unchanged."""
+def treated(places: Column) -> Column:
+    """As ``written``, with :removed behind the spans that are removed."""
+    names = F.array(*map(F.lit, KINDS))
+    return F.array_join(
+        F.transform(
+            places,
+            lambda x: F.concat_ws(
+                ":",
+                F.get(names, x["kind"]),
+                x["start"].cast("string"),
+                x["stop"].cast("string"),
+                F.when(x["removed"], "removed"),
+            ),
+        ),
+        ",",
+    )
+
+
+def sanitised(
+    docs: DataFrame, rule: Disclosure = Disclosure(), places: bool = False
+) -> DataFrame:
+    """The documents with ``sanitised``: mentions by kind, general terms as [TERM],
+    telling terms removed; other columns unchanged. ``places`` adds __base and __spans,
+    null for rows without any."""
     names = F.array(*(F.lit(f"[{kind.upper()}]") for kind in KINDS))
 
     def rebuilt(letters: Column) -> Column:
@@ -402,7 +423,10 @@ def sanitised(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
 
     key = {f"__{name}": value for name, value in _row_key().items()}
     found = spans(docs, rule).select(
-        F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans")
+        F.col("id").alias("__id"),
+        F.col("mark").alias("__mark"),
+        F.col("base").alias("__base"),
+        F.col("spans").alias("__spans"),
     )
     found = found.where(F.size("__spans") > 0).distinct()
     letters = F.regexp_extract_all(F.col("text"), F.lit("(?s)."), F.lit(0))
@@ -413,5 +437,5 @@ def sanitised(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
             "sanitised",
             F.when(F.col("__spans").isNull(), F.col("text")).otherwise(bound(letters, rebuilt)),
         )
-        .drop(*key, "__spans")
+        .drop(*key, *(() if places else ("__base", "__spans")))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import math
 import re
 from collections import Counter
@@ -241,6 +242,17 @@ def test_whole_documents_against_plain_counts(spark):
     assert some
 
 
+def test_query_rewrites_the_texts(spark, tmp_path):
+    texts = [(1, "🙂 the agent Zanzibar writes from bob@x.org, Zanzibar!"), (2, None)]
+    texts += [(10 + i, "the agent writes from here") for i in range(60)]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in catalog.queries()["op6_sanitised"](spark, str(tmp_path)).collect()}
+    clean = "🙂 the agent  writes from [EMAIL], !"
+    assert rows[1].sanitised_sha256 == hashlib.sha256(clean.encode()).hexdigest()
+    assert rows[1].spans == "term:12:20:removed,email:33:42,term:44:52:removed" and rows[1].n_email == 1
+    assert rows[2].sanitised_sha256 is None and rows[10].spans == "" and len(rows) == len(texts)
+
+
 def test_sanitised_overlaps_and_no_rows(spark):
     docs = documents(spark, [(1, "+4111 1111 1111 1111 x"), (2, "🙂 a@b.co!"), (3, None), (3, None)])
     rows = [(r.doc_id, r.sanitised) for r in disclosure.sanitised(docs).collect()]

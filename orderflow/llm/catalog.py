@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import (
+    bit_slices,
     block_names,
     disclosure,
     line_runs,
     mixing,
     near_dups,
+    period_tiles,
     piece_counts,
     piece_dropout,
     quality_rules,
+    rare_first,
     rule_ensemble,
     warc,
 )
@@ -127,6 +130,31 @@ def warc_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def periodic_runs_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = period_tiles.with_planted_periods(_documents(spark, sf).select("doc_id", "text"))
+    rows = period_tiles.periodic_runs(docs).withColumn("best", period_tiles.strongest(F.col("runs")))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(period_tiles.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def ngram_join_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _documents(spark, sf).select("doc_id", "text")
+    return rare_first.joined(docs, rare_first.Join(words=4, percent=85))
+
+
+def whitening_query(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding")
+    return bit_slices.whitened(vectors)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": sentencepiece_query,
@@ -140,4 +168,7 @@ def queries() -> dict[str, Query]:
         "op8_near_dedup": near_dedup_query,
         "op9_quality_classifier": quality_classifier_query,
         "op10_warc": warc_query,
+        "op11_periodic_runs": periodic_runs_query,
+        "op12_ngram_join": ngram_join_query,
+        "op13_whitening": whitening_query,
     }

@@ -200,7 +200,8 @@ SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGIN
 FROM docs LEFT JOIN lists USING (doc_id)
 """
 
-NEAR_DEDUP = rf"""
+#: Classes of linked documents; {percent} is the least similarity.
+SIMILAR = rf"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '{WORD}+') AS w FROM documents),
@@ -212,15 +213,67 @@ shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
 edges AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b
     ON a.x = b.x AND a.doc_id <> b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {{percent}} * (a.n + b.n - count(*))),
 reach AS (
   SELECT doc_id, doc_id AS r FROM docs
   UNION SELECT reach.doc_id, e.b FROM reach JOIN edges e ON reach.r = e.a),
 least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
-SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id{{more}}
 FROM sets JOIN least USING (doc_id)
 """
 
+#: The polynomial of CRC-32, reversed.
+_CRC = 3988292384
+_CRC32 = (
+    "xor(4294967295, list_reduce(flatten(list_prepend([4294967295::BIGINT], list_transform("
+    "string_split({0}, ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+    f"lambda acc, b: xor(xor(acc, b) >> 1, {_CRC} * (xor(acc, b) & 1))))"
+)
+
+PERIODIC_RUNS = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}+') AS w,
+         {_CRC32.format("doc_id::VARCHAR")} AS h FROM documents),
+planned AS (
+  SELECT *, len(w)::BIGINT AS n, (h // 10) % greatest(len(w), 1) AS a,
+         1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p FROM docs),
+texts AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i:
+           w[(CASE WHEN i >= a THEN a + (i - a) % p ELSE i END) + 1]) ELSE w END AS w FROM planned),
+periods AS (SELECT doc_id, n, w, unnest(range(1, n // 4 + 1)) AS q FROM texts),
+blocks AS (SELECT *, unnest(range(n // q - 2)) * q AS b FROM periods),
+likely AS (
+  SELECT DISTINCT doc_id, q FROM blocks
+  WHERE w[b + 1] = w[b + q + 1] AND w[b + q // 2 + 1] = w[b + q // 2 + q + 1]
+    AND w[b + q] = w[b + 2 * q] AND w[b + q + 1] = w[b + 2 * q + 1] AND w[b + 2 * q] = w[b + 3 * q]),
+breaks AS (
+  SELECT doc_id, q, list_prepend(-1::BIGINT, list_append(
+           list_filter(range(n - q), lambda x: w[x + 1] <> w[x + q + 1]), n - q)) AS x
+  FROM likely JOIN texts USING (doc_id)),
+stretches AS (
+  SELECT doc_id, q, unnest(x[:-2]) + 1 AS s, unnest(x[2:]) - unnest(x[:-2]) - 1 + q AS len FROM breaks),
+runs AS (
+  SELECT doc_id, s, len, min(q) AS q FROM stretches
+  WHERE len >= 6 AND len >= 4 * q GROUP BY doc_id, s, len),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY len::DOUBLE / q DESC, s, q) AS k FROM runs),
+lists AS (
+  SELECT doc_id, count(*) AS n_runs, max(s) FILTER (k = 1) AS s, max(len) FILTER (k = 1) AS len,
+         max(q) FILTER (k = 1) AS q, list({{'lo': s + q, 'hi': s + len}}) AS gone,
+         string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS said
+  FROM ranked GROUP BY doc_id),
+spoken AS (
+  SELECT doc_id, n_runs, s, len, q, said, CASE WHEN gone IS NULL THEN w ELSE list_transform(
+           list_filter(range(n), lambda i: NOT list_bool_or(list_transform(gone,
+             lambda r: i >= r.lo AND i < r.hi))), lambda i: w[i + 1]) END AS kept
+  FROM texts LEFT JOIN lists USING (doc_id))
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, len::BIGINT AS length,
+       q::BIGINT AS period, (1000 * len // q)::BIGINT AS exponent_milli,
+       sha256(coalesce(said, '')) AS runs_sha256,
+       sha256(array_to_string(kept, ' ')) AS collapsed_sha256
+FROM spoken
+"""
+
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
     f"((('0x' || substr(h, {5 * group + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)"
@@ -252,6 +305,8 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality_rules": QUALITY_RULES.replace("{stop}", _stop_words()),
         "op6_pii": PII,
         "op7_mixing": MIXING,
-        "op8_near_dedup": NEAR_DEDUP,
+        "op8_near_dedup": SIMILAR.format(percent=80, more=", doc_id = component_id AS kept"),
         "op10_warc": WARC,
+        "op11_periodic_runs": PERIODIC_RUNS,
+        "op12_ngram_join": SIMILAR.format(percent=85, more=""),
     }

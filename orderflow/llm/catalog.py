@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import (
@@ -22,6 +22,7 @@ from orderflow.llm import (
     rule_ensemble,
     warc,
 )
+from orderflow.llm.text import whole
 
 #: Files of public tokenizers.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -67,30 +68,15 @@ def quality_rules_query(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _personal_data(base: Column) -> list[Column]:
-    counts = [disclosure.of_kind(base, k).alias(f"n_{k}") for k in disclosure.PATTERNS]
-    return [*counts, F.sha2(disclosure.written(base), 256).alias("base_sha256")]
-
-
 def pii_query(spark: SparkSession, sf: str) -> DataFrame:
-    """The spans that the SQL defines: terms that three documents show near a mention."""
-    return disclosure.spans(_documents(spark, sf)).select(
-        "doc_id",
-        *_personal_data(F.col("base")),
-        disclosure.written(F.col("spans")).alias("spans"),
-    )
-
-
-def sanitised_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Every entity and term rated, and the texts rewritten; SQL doesn't say it."""
-    docs = _documents(spark, sf).select("doc_id", "text")
-    rows = disclosure.sanitised(docs, disclosure.WHOLE, places=True)
-    none = F.array().cast("array<struct<start:int,kind:int,stop:int,removed:boolean>>")
+    rows = disclosure.sanitised(_documents(spark, sf).select("doc_id", "text"))
+    counts = [disclosure.of_kind(F.col("base"), k).alias(f"n_{k}") for k in disclosure.PATTERNS]
     return rows.select(
         "doc_id",
-        *_personal_data(F.coalesce("__base", none)),
-        disclosure.treated(F.coalesce("__spans", none)).alias("spans"),
-        F.sha2("sanitised", 256).alias("sanitised_sha256"),
+        *counts,
+        F.sha2(disclosure.written(F.col("base")), 256).alias("base_sha256"),
+        disclosure.written(F.col("spans")).alias("spans"),
+        F.sha2(whole("sanitised"), 256).alias("sanitised_sha256"),
     )
 
 
@@ -163,7 +149,6 @@ def queries() -> dict[str, Query]:
         "op4_exact_dedup": exact_dedup_query,
         "op5_quality_rules": quality_rules_query,
         "op6_pii": pii_query,
-        "op6_sanitised": sanitised_query,
         "op7_mixing": mixing_query,
         "op8_near_dedup": near_dedup_query,
         "op9_quality_classifier": quality_classifier_query,

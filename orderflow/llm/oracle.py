@@ -130,73 +130,88 @@ _LUHN = (
     f"[[0,1,2,3,4,5,6,7,8,9],[0,2,4,6,8,1,3,5,7,9]][1 + (i + 1) % 2]"
     f"[1 + substr({_DIGITS}, (len({_DIGITS}) - i + 1)::INT, 1)::INT])) % 10 = 0"
 )
+_PATTERNS["secret"] = (
+    r"""(?i:token|secret|password|passwd|key)["'']?[\x20]?[:=][\x20]?["'']?[A-Za-z0-9+/_-]{16,}"""
+)
 _MATCHES = " UNION ALL ".join(
     f"SELECT doc_id, {k} AS kind_no, '{kind}' AS kind, t, regexp_extract_all(t, '{pattern}') AS found, "
     f"string_split_regex(t, '{pattern}') AS between FROM docs WHERE regexp_matches(t, '{pattern}')"
     for k, (kind, pattern) in enumerate(_PATTERNS.items())
 )
-_TERM = r"^\p{L}{3,}[.,;:!?]{0,2}$"
+_SIGN = r"[\p{L}\p{M}\p{N}]"
+_TOKEN = rf"{_SIGN}+(?:[-''\x{{2019}}\x{{2010}}\x{{2011}}]{_SIGN}+)*"
 
 PII = rf"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 matches AS ({_MATCHES}),
 each AS (
-  SELECT doc_id, kind_no, kind, unnest(found) AS v, unnest(range(1, len(found) + 1)) AS i,
+  SELECT doc_id, kind_no, kind, unnest(found) AS v,
          unnest(list_transform(range(1, len(found) + 1), lambda k:
            list_sum(list_transform(between[:k], lambda x: length(x)))
            + coalesce(list_sum(list_transform(found[:k - 1], lambda x: length(x))), 0)))::BIGINT AS s
   FROM matches),
 placed AS (
-  SELECT *, s + length(v) AS e,
-         coalesce(lag(s + length(v)) OVER kinds, 0) AS lo, lead(s) OVER kinds AS hi
-  FROM each WINDOW kinds AS (PARTITION BY doc_id, kind ORDER BY i)),
-base AS (
-  SELECT *, kind || ':' || CASE WHEN kind IN ('email', 'ip') THEN lower(v) ELSE {_DIGITS} END AS entity
+  SELECT doc_id, kind_no, kind, s + length(v) AS e,
+         CASE kind WHEN 'secret' THEN regexp_extract(v, '[A-Za-z0-9+/_-]+$') ELSE v END AS v FROM each),
+mentions AS (
+  SELECT doc_id, kind_no, kind, e - length(v) AS s, e, kind || ':' || CASE
+           WHEN kind IN ('email', 'ip') THEN lower(v) WHEN kind = 'secret' THEN v ELSE {_DIGITS} END AS entity
   FROM placed
-  WHERE CASE kind WHEN 'email' THEN true
+  WHERE CASE kind WHEN 'email' THEN true WHEN 'secret' THEN true
     WHEN 'ip' THEN regexp_full_match(v, '{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}')
     WHEN 'card' THEN length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}
     ELSE length({_DIGITS}) BETWEEN 10 AND 15 END),
-words AS (
-  SELECT doc_id, unnest(regexp_extract_all(t, '{WORD}+')) AS w,
-         unnest(string_split_regex(t, '{WORD}+')[:len(regexp_extract_all(t, '{WORD}+'))]) AS gap,
-         unnest(range(1, len(regexp_extract_all(t, '{WORD}+')) + 1)) AS i, length(t) AS n
-  FROM docs),
+total AS (SELECT count(*)::DOUBLE AS n FROM docs),
+named AS (SELECT DISTINCT doc_id, entity FROM mentions),
+known AS (SELECT entity, count(*) AS n_e FROM named GROUP BY entity),
+held AS (SELECT * FROM docs WHERE doc_id IN (SELECT doc_id FROM mentions)),
+spoken AS (
+  SELECT term, count(*) AS n_t FROM (
+    SELECT unnest(list_distinct(list_transform(regexp_extract_all(t, '{_TOKEN}'), lambda x: lower(x)))) AS term
+    FROM docs) GROUP BY term),
+tokens AS (
+  SELECT doc_id, unnest(regexp_extract_all(t, '{_TOKEN}')) AS w,
+         unnest(string_split_regex(t, '{_TOKEN}')[:len(regexp_extract_all(t, '{_TOKEN}'))]) AS gap,
+         unnest(range(1, len(regexp_extract_all(t, '{_TOKEN}')) + 1)) AS i
+  FROM held),
 spots AS (
-  SELECT doc_id, w, n, sum(length(w) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM words),
-terms AS (
-  SELECT doc_id, lower(regexp_extract(w, '^\p{{L}}+')) AS term, e - length(w) AS s, e, n,
-         e - length(w) + length(regexp_extract(w, '^\p{{L}}+')) AS stop
-  FROM spots WHERE regexp_matches(w, '{_TERM}')),
-known AS (
-  SELECT entity, count(DISTINCT doc_id) AS n_e FROM base GROUP BY entity
-  HAVING count(DISTINCT doc_id) >= 3),
-near AS (
-  SELECT DISTINCT b.doc_id, b.entity, t.term, t.s, t.stop
-  FROM base b JOIN known USING (entity) JOIN terms t ON b.doc_id = t.doc_id
-  WHERE (t.s - 1 >= greatest(b.lo, b.s - 81) AND t.s > 0 AND t.e + 1 <= b.s)
-     OR (t.s - 1 >= b.e AND t.e + 1 <= least(coalesce(b.hi, t.n), b.e + 81))),
+  SELECT doc_id, lower(w) AS term, length(w) AS n,
+         sum(length(w) + length(gap)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM tokens),
+said AS (SELECT DISTINCT doc_id, term FROM spots),
 pairs AS (
-  SELECT entity, term, count(DISTINCT doc_id) AS n_et FROM near GROUP BY ALL
-  HAVING count(DISTINCT doc_id) >= 3),
-spoken AS (SELECT term, count(DISTINCT doc_id) AS n_t FROM terms GROUP BY term),
-total AS (SELECT count(*)::DOUBLE AS n FROM docs),
+  SELECT entity, term, count(*) AS n_et FROM named JOIN said USING (doc_id) GROUP BY entity, term),
 rated AS (
-  SELECT entity, term FROM pairs JOIN known USING (entity) JOIN spoken USING (term), total
-  WHERE n > n_e AND log2(n * n_et / (n_e * n_t)) / log2(n / n_e) >= 0.7::DOUBLE),
-told AS (SELECT DISTINCT doc_id, s, stop FROM near JOIN rated USING (entity, term)),
+  SELECT entity, term, log2(n * n_et / (n_e * n_t)) / log2(n / n_e) AS told
+  FROM pairs JOIN known USING (entity) JOIN spoken USING (term), total WHERE n_e < n),
+told AS (
+  SELECT doc_id, term, max(told) >= 0.9::DOUBLE AS removed
+  FROM named JOIN rated USING (entity) JOIN said USING (doc_id, term)
+  WHERE told >= 0.7::DOUBLE GROUP BY doc_id, term),
+free AS (
+  SELECT doc_id, 5 AS kind_no, 'term' AS kind, (e - n)::BIGINT AS s, e::BIGINT AS e, removed
+  FROM spots JOIN told USING (doc_id, term)
+  WHERE NOT EXISTS (SELECT 1 FROM mentions m
+                    WHERE m.doc_id = spots.doc_id AND m.s < spots.e AND spots.e - spots.n < m.e)),
 spans AS (
-  SELECT doc_id, kind_no, kind, s, e FROM base
-  UNION ALL SELECT doc_id, 4, 'term', s::BIGINT, stop::BIGINT FROM told),
+  SELECT doc_id, kind_no, kind, s, e, false AS removed FROM mentions UNION ALL SELECT * FROM free),
+reached AS (
+  SELECT *, coalesce(max(e) OVER (PARTITION BY doc_id ORDER BY s, kind_no
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM spans),
+parts AS (
+  SELECT r.*, substr(t, done + 1, greatest(s - done, 0))
+              || CASE WHEN s < done OR removed THEN '' ELSE '[' || upper(kind) || ']' END AS part
+  FROM reached r JOIN docs USING (doc_id)),
 lists AS (
   SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
          count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
          string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_no) FILTER (kind_no < 4) AS base,
-         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_no) AS spans
-  FROM spans GROUP BY doc_id)
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, kind_no) AS spans,
+         string_agg(part, '' ORDER BY s, kind_no) AS head, max(e) AS upto
+  FROM parts GROUP BY doc_id)
 SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
        coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       sha256(coalesce(head, '') || substr(t, coalesce(upto, 0) + 1)) AS sanitised_sha256
 FROM docs LEFT JOIN lists USING (doc_id)
 """
 

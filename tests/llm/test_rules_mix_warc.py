@@ -156,34 +156,51 @@ ODD = [
 ]
 
 
+SECRETS = [
+    'say token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"### so', "PASSWORD: hunter2hunter2hunter2/x+", "key=short",
+    "token=token=aaaaaaaaaaaaaaaasecret=bbbbbbbbbbbbbbbbb", "🙂 key: 4111111111111111",
+]
+
+
+def places(found):
+    return [(x.start, x.stop) for x in found]
+
+
 def test_base_spans(spark):
-    texts = TEXTS + [(100 + i, t) for i, t in enumerate(ODD)]
-    rows = disclosure.spans(documents(spark, texts, extra=True))
+    texts = TEXTS + [(100 + i, t) for i, t in enumerate(ODD + SECRETS)]
+    rows = disclosure.sanitised(documents(spark, texts, extra=True))
     found = [(r.doc_id, r.s) for r in rows.select("doc_id", disclosure.written(F.col("base")).alias("s")).collect()]
     assert order(found) == order([(i, base_spans(t)) for i, t in texts])
 
 
+def test_secrets_are_entities(spark):
+    texts = list(enumerate(SECRETS)) + [(50 + i, "say so of the key or token") for i in range(60)]
+    rows = {r.doc_id: r for r in disclosure.sanitised(documents(spark, texts)).collect()}
+    secret = disclosure.KINDS.index("secret")
+    found = {i: [SECRETS[i][x.start : x.stop] for x in rows[i].spans if x.kind == secret] for i in range(5)}
+    assert found == {
+        0: ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff"], 1: ["hunter2hunter2hunter2/x+"], 2: [],
+        3: ["aaaaaaaaaaaaaaaasecret"], 4: ["4111111111111111"],
+    }
+    assert rows[0].sanitised == 'say token = "[SECRET]"### so' and not rows[0].base
+    # The card number starts at the same place and is named first.
+    assert rows[4].sanitised == "🙂 key: [CARD]" and len(rows[4].spans) == 2
+
+
 def test_terms_that_give_an_entity_away(spark):
     texts = [(i, f"the agent zanzibar writes from bob@x.org the end number{i}") for i in range(4)]
     texts += [(10 + i, "the end of a story that the others tell, from here") for i in range(60)]
     texts += [(90 + i, f"zanzibar alone {i}") for i in range(3)]
     docs = documents(spark, texts, extra=True)
-    rows = {r.doc_id: r.sanitised for r in disclosure.sanitised(docs).collect()}
+    found = disclosure.sanitised(docs)
+    assert set(found.columns) == {*docs.columns, "base", "spans", "sanitised"}
+    rows = {r.doc_id: r for r in found.collect()}
     # "agent" and "writes" stand with the address only, "zanzibar" elsewhere too.
-    assert rows[0] == "the  [TERM]  from [EMAIL] the end number0"
-    assert rows[10] == texts[4][1] and rows[90] == "zanzibar alone 0"
-    spans = {r.doc_id: r.s for r in disclosure.spans(docs).select("doc_id", disclosure.written(F.col("spans")).alias("s")).collect()}
-    assert spans[0] == "term:4:9,term:10:18,term:19:25,email:31:40" and spans[90] == ""
-
-
-def test_terms_beside_a_single_mention(spark, tmp_path):
-    texts = [(1, "the agent Zanzibar writes from bob@x.org the end")]
-    texts += [(10 + i, "the end of a story that an agent writes from here") for i in range(60)]
-    docs = documents(spark, texts)
-    docs.write.parquet(f"{tmp_path}/documents.parquet")
-    rows = catalog.queries()["op6_sanitised"](spark, str(tmp_path))
-    spans = {r.doc_id: r.spans for r in rows.collect()}
-    assert "term:10:18" in spans.pop(1) and not any(spans.values())
+    assert rows[0].sanitised == "the  [TERM]  from [EMAIL] the end "
+    assert rows[10].sanitised == texts[4][1] and rows[90].sanitised == "zanzibar alone 0"
+    assert places(rows[0].spans) == [(4, 9), (10, 18), (19, 25), (31, 40), (49, 56)] and not rows[90].spans
+    doubted = disclosure.sanitised(docs, disclosure.Disclosure(doubt=40.0)).where("doc_id = 0").head()
+    assert doubted.sanitised == "the agent zanzibar writes from [EMAIL] the end number0"
 
 
 def test_terms_of_the_whole_document(spark):
@@ -196,9 +213,9 @@ def test_terms_of_the_whole_document(spark):
         (4, "Erin b@z.org, on Dave then"),
     ]
     texts += [(10 + i, "so on and on wrote said then a") for i in range(60)]
-    rows = disclosure.spans(documents(spark, texts, extra=True), disclosure.WHOLE).collect()
+    rows = disclosure.sanitised(documents(spark, texts, extra=True)).collect()
     found = [
-        (r.doc_id, [t[x.start : x.stop] for x in r.spans if x.kind == 4])
+        (r.doc_id, [t[x.start : x.stop] for x in r.spans if x.kind == disclosure.TERM_KIND])
         for r in rows for t in [dict(texts)[r.doc_id]]
     ]
     expected = [(i, []) for i, _ in texts[5:]] + [
@@ -208,57 +225,82 @@ def test_terms_of_the_whole_document(spark):
     assert order(found) == order(expected)
 
 
-def plain_told(texts, rule):
+def plain_told(texts, rule, entities):
     """(row, term) that a plain reading of the rule treats."""
     token = r"[^\W_]+(?:[-'][^\W_]+)*"
     held = [{w.lower() for w in re.findall(token, t or "")} for _, t in texts]
-    named = []
-    for _, t in texts:
-        spans = [x.split(":") for x in base_spans(t).split(",") if x]
-        values = [(k, t[int(a) : int(b)]) for k, a, b in spans]
-        named.append({(k, v.lower() if k in ("email", "ip") else re.sub("[^0-9]", "", v)) for k, v in values})
     n, n_t = len(texts), Counter(w for x in held for w in x)
-    n_e = Counter(e for x in named for e in x)
-    n_et = Counter((e, w) for x, y in zip(named, held, strict=True) for e in x for w in y)
+    n_e = Counter(e for x in entities for e in x)
+    n_et = Counter((e, w) for x, y in zip(entities, held, strict=True) for e in x for w in y)
     told = lambda e, w: math.log(n * n_et[e, w] / (n_e[e] * n_t[w])) / math.log(n / n_e[e])
-    return [{w for w in y for e in x if told(e, w) >= rule.generalise} for x, y in zip(named, held, strict=True)]
+    return [{w for w in y for e in x if told(e, w) >= rule.generalise} for x, y in zip(entities, held, strict=True)]
+
+
+def named_entities(text):
+    spans = [x.split(":") for x in base_spans(text).split(",") if x]
+    values = [(k, text[int(a) : int(b)]) for k, a, b in spans]
+    named = {(k, v.lower() if k in ("email", "ip") else re.sub("[^0-9]", "", v)) for k, v in values}
+    return named | {("secret", m[1]) for m in re.finditer(r'token = "([0-9a-f]{16,})', text or "")}
 
 
 def test_whole_documents_against_plain_counts(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     kept = [(r.doc_id, r.text) for r in docs.collect()]
-    rule = disclosure.WHOLE
-    expected = dict(zip((i for i, _ in kept), plain_told(kept, rule), strict=True))
+    told = plain_told(kept, disclosure.Disclosure(), [named_entities(t) for _, t in kept])
+    expected = dict(zip((i for i, _ in kept), told, strict=True))
     texts, some = dict(kept), 0
-    for r in disclosure.spans(docs, rule).collect():
-        t, base = texts[r.doc_id], [(x.start, x.stop) for x in r.base]
+    for r in disclosure.sanitised(docs).collect():
+        t, named = texts[r.doc_id], [(x.start, x.stop) for x in r.spans if x.kind != disclosure.TERM_KIND]
         want = {
             (m.start(), m.end())
             for m in re.finditer(r"[^\W_]+(?:[-'][^\W_]+)*", t or "")
-            if m[0].lower() in expected[r.doc_id] and not any(a < m.end() and m.start() < b for a, b in base)
+            if m[0].lower() in expected[r.doc_id] and not any(a < m.end() and m.start() < b for a, b in named)
         }
-        assert {(x.start, x.stop) for x in r.spans if x.kind == 4} == want
+        assert {(x.start, x.stop) for x in r.spans if x.kind == disclosure.TERM_KIND} == want
         some += len(want)
     assert some
 
 
+def test_many_entities_and_terms_meet_as_groups(spark):
+    """400 addresses and 2,000 words, all in the same two documents, are one pair."""
+    text = " ".join([f"a{i}@x.org" for i in range(400)] + [f"word{i}x" for i in range(2_000)])
+    docs = documents(spark, [(1, text), (2, text), *((10 + i, "so on") for i in range(60))])
+    rows = disclosure.sanitised(docs).where("doc_id < 3").collect()
+    assert [len(r.spans) for r in rows] == [2_400, 2_400]
+    assert {r.sanitised for r in rows} == {"[EMAIL] " * 400 + " " * 1_999}
+    held = docs.where("doc_id < 3").withColumns(disclosure._row_key())
+    terms = held.select(*disclosure.ROW, F.explode(F.split("text", " ")).alias("term"))
+    groups, _ = disclosure._grouped(terms.withColumn("n_t", F.lit(2)), "term", "n_t")
+    assert groups.count() == 2
+
+
 def test_query_rewrites_the_texts(spark, tmp_path):
     texts = [(1, "🙂 the agent Zanzibar writes from bob@x.org, Zanzibar!"), (2, None)]
     texts += [(10 + i, "the agent writes from here") for i in range(60)]
     documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
-    rows = {r.doc_id: r for r in catalog.queries()["op6_sanitised"](spark, str(tmp_path)).collect()}
+    rows = {r.doc_id: r for r in catalog.queries()["op6_pii"](spark, str(tmp_path)).collect()}
     clean = "🙂 the agent  writes from [EMAIL], !"
-    assert rows[1].sanitised_sha256 == hashlib.sha256(clean.encode()).hexdigest()
-    assert rows[1].spans == "term:12:20:removed,email:33:42,term:44:52:removed" and rows[1].n_email == 1
-    assert rows[2].sanitised_sha256 is None and rows[10].spans == "" and len(rows) == len(texts)
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert rows[1].sanitised_sha256 == digest(clean) and rows[2].sanitised_sha256 == digest("")
+    assert rows[1].spans == "term:12:20,email:33:42,term:44:52" and rows[1].n_email == 1
+    assert rows[10].spans == "" and len(rows) == len(texts)
+
+
+def test_long_texts_are_cut_at_span_borders(spark):
+    parts = [("é🙂" * 300 + " ", "a@b.co"), (" " + "x" * 255 + " ", "c@d.co"), ("", " e@f.co"), (" " + "y" * 512, "")]
+    text = "".join(a + b for a, b in parts)
+    docs = documents(spark, [(1, text), *((2 + i, "so") for i in range(200))])
+    rows = [r for r in disclosure.sanitised(docs, disclosure.Disclosure(2.0, 2.0)).collect() if r.doc_id == 1]
+    assert rows[0].sanitised == re.sub(r"[a-z]@[a-z]\.co", "[EMAIL]", text)
 
 
 def test_sanitised_overlaps_and_no_rows(spark):
     docs = documents(spark, [(1, "+4111 1111 1111 1111 x"), (2, "🙂 a@b.co!"), (3, None), (3, None)])
     rows = [(r.doc_id, r.sanitised) for r in disclosure.sanitised(docs).collect()]
-    assert order(rows) == order([(1, rows[0][1]), (2, "🙂 [EMAIL]!"), (3, None), (3, None)])
-    assert rows[0][1].endswith(" x") and "1111" not in rows[0][1]
-    assert disclosure.spans(documents(spark, [])).count() == 0
+    one = next(t for i, t in rows if i == 1)
+    assert order(rows) == order([(1, one), (2, "🙂 [EMAIL]!"), (3, None), (3, None)])
+    assert one.endswith("[CARD] ") and "1111" not in one
+    assert disclosure.sanitised(documents(spark, [])).count() == 0
 
 
 # --- WARC ---------------------------------------------------------------------

@@ -4,12 +4,11 @@ Entries become whole numbers x = floor(scale * c). Every distinct vector counts
 
 1. The distinct vectors are written with row numbers. 64 consecutive rows are a block,
    and bit p of dimension d over the block's rows, all shifted by the smallest entry so
-   that none is negative, is one 64-bit word: a plane. One more plane marks the rows
-   that are there, as a dimension that is always 1.
+   that none is negative, is one 64-bit word: a plane. One more dimension is always 1.
 2. The sum over rows of y_i * y_j is the sum over blocks and bits p, q of
    2**(p + q) * popcount(plane(i, p) AND plane(j, q)). Each plane of a block is one row
    that meets all planes of the block; sums are taken by dimension before the shuffle,
-   so a task sends one row per dimension. The plane that is always 1 gives the number of
+   so a task sends one row per dimension. The one that is always 1 gives the number of
    rows and the sums.
 3. n * sum(x_i x_j) - S_i * S_j are whole numbers, free of the shift, and n**2 times the
    covariance. Only that matrix, of dimensions squared, comes to the driver for eigh.
@@ -92,19 +91,26 @@ def fit_list(rows: DataFrame) -> DataFrame:
     )
 
 
-def planes(fit: DataFrame, dims: int, bits: int, low: int) -> DataFrame:
-    """One row per block: ``planes``, by dimension and bit, and last the one of rows."""
-    lane = F.col("row").bitwiseAND(F.lit(LANES - 1)).cast("int")
-
-    def plane(d: int, p: int) -> Column:
-        shifted = F.shiftright(F.get("x", F.lit(d)) - F.lit(low), p)
-        return F.bit_or(F.call_function("shiftleft", shifted.bitwiseAND(F.lit(1)), lane))
+def planes(fit: DataFrame, bits: int, low: int) -> DataFrame:
+    """One row per block: ``planes`` by dimension and bit, the last dimension being the
+    one that is always 1."""
+    lane = F.col("row").bitwiseAND(F.lit(LANES - 1)).cast("int").alias("lane")
+    one = F.array(F.lit(low + 1).cast("long"))
+    each = fit.select(
+        F.shiftright("row", 6).alias("block"), lane, F.posexplode(F.concat("x", one)).alias("dim", "v")
+    )
 
-    words = [plane(d, p) for d in range(dims) for p in range(bits)]
-    words.append(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), lane)))
-    block = F.shiftright("row", 6).alias("block")
-    return fit.groupBy(block).agg(*(w.alias(f"w{k}") for k, w in enumerate(words))).select(
-        F.array(*(f"w{k}" for k in range(len(words)))).alias("planes")
+    def plane(p: int) -> Column:
+        bit = F.shiftright(F.col("v") - F.lit(low), p).bitwiseAND(F.lit(1).cast("long"))
+        return F.bit_or(F.call_function("shiftleft", bit, F.col("lane"))).alias(f"w{p}")
+
+    words = F.array(*(f"w{p}" for p in range(bits))).alias("words")
+    return (
+        each.groupBy("block", "dim")
+        .agg(*map(plane, range(bits)))
+        .groupBy("block")
+        .agg(F.sort_array(F.collect_list(F.struct("dim", words))).alias("dims"))
+        .select(F.flatten("dims.words").alias("planes"))
     )
 
 
@@ -121,16 +127,13 @@ def scatter(fit: DataFrame) -> Scatter | None:
         raise ValueError("entries are too far apart for exact sums")
     # Sums of weighted counts stay below rows * 4**bits.
     narrow = rows.bit_length() + 2 * bits < 63
-    # The plane of rows is dimension ``dims``, with one bit.
-    of = [(d, p) for d in range(dims) for p in range(bits)] + [(dims, 0)]
-    at = {key: k for k, key in enumerate(of)}
-    widths = [bits] * dims + [1]
 
     def product(j: int) -> Column:
+        # The dimension that is always 1 has its only bits in its first plane.
         counts = [
-            F.bit_count(F.col("plane").bitwiseAND(F.get("planes", F.lit(at[j, q])))).cast("long")
+            F.bit_count(F.col("plane").bitwiseAND(F.get("planes", F.lit(j * bits + q)))).cast("long")
             * F.lit(1 << q).cast("long")
-            for q in range(widths[j])
+            for q in range(bits if j < dims else 1)
         ]
         value = total(counts)
         value = value if narrow else value.cast("decimal(38,0)")
@@ -138,18 +141,20 @@ def scatter(fit: DataFrame) -> Scatter | None:
 
     weight = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("k", F.lit(bits)))
     each = (
-        planes(fit, dims, bits, low)
+        planes(fit, bits, low)
         .select("planes", F.posexplode("planes").alias("k", "plane"))
+        .where("plane <> 0")
         .withColumn("i", F.floor(F.col("k") / bits).cast("int"))
         .withColumn("weight", weight if narrow else weight.cast("decimal(20,0)"))
     )
     found = each.groupBy("i").agg(*(product(j) for j in range(dims + 1))).collect()
-    sums = {r["i"]: [None if v is None else int(v) for v in r[1:]] for r in found}
-    n = sums[dims][dims]
-    shifted = [sums[i][dims] for i in range(dims)]
+    # A dimension whose entries are all the lowest one has no row here.
+    sums = {(r["i"], j): int(v) for r in found for j, v in enumerate(r[1:]) if v is not None}
+    n = sums[dims, dims]
+    shifted = [sums.get((i, dims), 0) for i in range(dims)]
     centred = [[0] * dims for _ in range(dims)]
     for i, j in combinations_with_replacement(range(dims), 2):
-        centred[i][j] = centred[j][i] = n * sums[i][j] - shifted[i] * shifted[j]
+        centred[i][j] = centred[j][i] = n * sums.get((i, j), 0) - shifted[i] * shifted[j]
     return Scatter(n, low, high, [s + n * low for s in shifted], centred)
 
 

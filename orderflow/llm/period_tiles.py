@@ -5,10 +5,10 @@ periods and ``least`` words long. Word x matches for q if it equals word x + q;
 is a stretch of at least 3 q matches that no neighbour extends.
 
 1. Octave k holds the periods from P = 2**k to 2 P - 1. Every 2 P words there is a
-   boundary c, and its tile is the words from c - 2 P to c + 5 P. A run of the octave
-   holds the block of P words at a boundary and again q words later, so a document is
-   exploded into the tiles whose block comes again in the octave's reach; other tiles
-   hold nothing.
+   boundary c. A run of the octave has so many matches that the B = P + 1 words (more in
+   the first octaves) from some boundary on lie in it and come again q words later. The
+   tile of c is the words from c - 2 P to c + 4 P + B, and a document is exploded into
+   the tiles whose block comes again in the octave's reach; other tiles hold nothing.
 2. Tiles are solved one by one. The Z-function of the words from the boundary on tells
    for every period how far the matches go right, that of the words before it, read
    backwards, how far they go left. A period is kept if its word is no power of a
@@ -60,6 +60,17 @@ class RunRules:
         if self.repeats < 4:
             raise ValueError("tiles meet runs of four periods or more only")
 
+    def matches(self, q: int) -> int:
+        """Fewest matches of a run."""
+        return max((self.repeats - 1) * q, self.least - q)
+
+    def block(self, p: int) -> int:
+        """Words from the first boundary in a run's matches on that match too."""
+        # ``matches`` falls up to about this period and rises after it.
+        turn = self.least // self.repeats
+        periods = {min(max(q, p), 2 * p - 1) for q in (p, turn, turn + 1, 2 * p - 1)}
+        return min(map(self.matches, periods)) - (2 * p - 1)
+
 
 def coded(numbers: np.ndarray) -> bytes:
     """Word numbers as codes."""
@@ -70,13 +81,14 @@ def coded(numbers: np.ndarray) -> bytes:
     return parts.tobytes()
 
 
-def promising(codes: bytes, n: int, repeats: int) -> Iterator[tuple[int, int]]:
-    """(octave, boundary) of the tiles whose first block comes again in reach."""
+def promising(codes: bytes, n: int, rules: RunRules) -> Iterator[tuple[int, int]]:
+    """(octave, boundary) of the tiles whose block comes again in reach."""
     octave, p = 0, 1
-    while repeats * p <= n:
-        for c in range(0, n - 2 * p + 1, 2 * p):
-            block = codes[WIDTH * c : WIDTH * (c + p)]
-            if codes.find(block, WIDTH * (c + p), WIDTH * (c + 3 * p - 1)) >= 0:
+    while rules.repeats * p <= n:
+        width = rules.block(p)
+        for c in range(0, n - width - p + 1, 2 * p):
+            block = codes[WIDTH * c : WIDTH * (c + width)]
+            if codes.find(block, WIDTH * (c + p), WIDTH * (c + 2 * p - 1 + width)) >= 0:
                 yield octave, c
         octave, p = octave + 1, 2 * p
 
@@ -97,14 +109,14 @@ def z_values(seq: list, upto: int) -> list[int]:
     return z
 
 
-def solved(tile: list, pivot: int, p: int) -> list[tuple[int, int, int]]:
+def solved(tile: list, pivot: int, p: int, width: int) -> list[tuple[int, int, int]]:
     """(period, first match, end of matches) around the pivot of a tile, for periods
-    of the octave whose matches cover the block at the pivot."""
+    of the octave whose matches cover the block of this width at the pivot."""
     periods = min(2 * p, len(tile) - pivot)
     ahead = z_values(tile[pivot:], periods)
     found = []
     for q in range(p, periods):
-        if ahead[q] >= p and not any(ahead[d] >= q - d for d in _divisors(q)):
+        if ahead[q] >= width and not any(ahead[d] >= q - d for d in _divisors(q)):
             found.append(q)
     if not found or not pivot:
         return [(q, pivot, pivot + ahead[q]) for q in found]
@@ -155,9 +167,9 @@ def exploded(docs: DataFrame, rules: RunRules) -> DataFrame:
                 for i in range(len(texts)):
                     n = int(ends[i + 1] - ends[i])
                     own = codes[WIDTH * int(ends[i]) : WIDTH * int(ends[i + 1])]
-                    for octave, c in promising(own, n, rules.repeats):
+                    for octave, c in promising(own, n, rules):
                         p = 1 << octave
-                        low, high = max(0, c - 2 * p), min(n, c + 5 * p)
+                        low, high = max(0, c - 2 * p), min(n, c + 4 * p + rules.block(p))
                         cells = (octave, low, c - low, high == n, own[WIDTH * low : WIDTH * high])
                         held.append((i, *cells))
                         counts[i] += 1
@@ -187,7 +199,7 @@ def exploded(docs: DataFrame, rules: RunRules) -> DataFrame:
 
     schema = f"{row}, words string, n_words long, n_tiles long, {tile}"
     rows = docs.select("doc_id", "text").withColumns(_row_key())
-    return stored(rows.mapInArrow(cut, schema), "period-tiles")
+    return stored(rows.mapInArrow(cut, schema), "period-tiles", compression="zstd")
 
 
 _TILE = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
@@ -202,9 +214,9 @@ def fragments(tiles: DataFrame, rules: RunRules) -> DataFrame:
             cells = [batch.column(c).to_pylist() for c in ("octave", "at", "pivot", "ends", "codes")]
             for i, (octave, at, pivot, ends, codes) in enumerate(zip(*cells, strict=True)):
                 tile = np.frombuffer(codes, f"<u{WIDTH}").tolist()
-                for q, start, stop in solved(tile, pivot, 1 << octave):
+                for q, start, stop in solved(tile, pivot, 1 << octave, rules.block(1 << octave)):
                     closed = (start > 0 or at == 0) and (stop + q < len(tile) or ends)
-                    if closed and stop - start < max((rules.repeats - 1) * q, rules.least - q):
+                    if closed and stop - start < rules.matches(q):
                         continue
                     rows.append((i, q, at + start, at + stop))
             owner, *numbers = zip(*rows, strict=True) if rows else [[]] * 4

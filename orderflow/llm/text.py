@@ -37,11 +37,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WORD}++"), F.lit(0))
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """The frame written below the shared checkpoint folder and read again."""
     spark = frame.sparkSession
     path = scratch_dir(spark, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

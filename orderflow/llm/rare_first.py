@@ -3,27 +3,31 @@
 A document's set is its distinct word n-grams as 64-bit hashes; equal sets are one class.
 Two classes link if the Jaccard similarity of their sets reaches ``percent``.
 
-1. Every distinct set of a task gives one posting (n-gram, class) per n-gram. They are
-   shuffled by n-gram, which tells how common each one is. An n-gram of one class can
-   be in no overlap, so only shared ones go on, to their class. In the order of all
-   n-grams, by frequency and then hash, those of one class come first.
-2. A class's prefix is its first n - ceil(t n) + 1 n-grams in that order. Linked classes
+1. A class that links shares all but n - ceil(t n) of its n-grams. So a part of the
+   n-grams, those with the smallest hashes, is shuffled first: a class with more than
+   that many n-grams of its own in this part cannot link and goes no further. Of an
+   n-gram of many classes two postings a slice are enough to know it as shared.
+2. One text of each class left moves to give its set, and one posting (n-gram, class)
+   per n-gram is shuffled by n-gram, which tells how common each one is. Only shared
+   ones go on, to their class. In the order of all n-grams, by frequency and then hash,
+   those of one class come first.
+3. A class's prefix is its first n - ceil(t n) + 1 n-grams in that order. Linked classes
    share an n-gram of both prefixes. A class with less than t n shared n-grams has none
    in its prefix and goes no further.
-3. Classes that share a prefix n-gram are candidates if their lengths allow the
+4. Classes that share a prefix n-gram are candidates if their lengths allow the
    similarity, if the n-grams left after the shared one do (positional filter), and if
    those do by eight parts of the hash range: the overlap is at most the sum over parts
    of the lesser number of n-grams (suffix filter). In the smaller class the shared one
    must lie where even a class of the same length could still be reached.
-4. A candidate pair is verified once, on all shared n-grams. Only components are asked
+5. A candidate pair is verified once, on all shared n-grams. Only components are asked
    for, so not all pairs of a posting list are made: each class meets the first one of
    its list, links make components, and then only classes of different components of a
    list meet, those outside its largest component with all others.
 
-An n-gram that very many tasks see would fill one task. Counters kept by each task
+An n-gram of very many classes would fill one task in step 2. Counters kept by each task
 (Misra and Gries) find all n-grams with more than some 2 / ``counters`` of all postings;
 there are at most twice as many as counters, so their list may be sent to all tasks.
-Their postings need no count: they stand last in the order, and are dealt by class.
+Their postings need no count: they stand last in the order, and are dealt by class too.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links
 with nothing; fewer words than an n-gram are one n-gram; rows of equal id or text count
@@ -42,8 +46,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.batches import offsets, slices, spread
-from orderflow.llm.near_dups import components, mixed, shingle_sets
-from orderflow.llm.text import stored
+from orderflow.llm.near_dups import components, shingle_sets
+from orderflow.llm.text import stored, whole
 
 #: Parts of the hash range in the suffix filter.
 PARTS = 8
@@ -56,12 +60,18 @@ BATCH_ROWS = 500_000
 @dataclass(frozen=True)
 class Join:
     """words of an n-gram; percent: least similarity; counters of a task; crowd: fewest
-    postings of an n-gram that is left uncounted."""
+    postings of an n-gram that is left uncounted; width: part of the n-grams looked at
+    first, as a multiple of those that a class may have alone."""
 
     words: int = 5
     percent: int = 80
     counters: int = 65_536
     crowd: int = 10_000
+    width: float = 1.4
+
+    @property
+    def sample(self) -> float:
+        return self.width * (1 - self.percent / 100)
 
 
 class Frequent:
@@ -117,88 +127,136 @@ def _taken(values: np.ndarray, sizes: np.ndarray, some: np.ndarray) -> np.ndarra
     return values[spread(offsets(sizes)[:-1][some], sizes[some])]
 
 
+def _row_key() -> dict[str, Column]:
+    return {
+        "id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        "mark": F.xxhash64(whole("text")),
+    }
+
+
 def classed(docs: DataFrame, join: Join) -> tuple[DataFrame, np.ndarray]:
-    """Per row: doc_id, n and its class (s1, s2); and the n-grams left uncounted."""
+    """Per row: doc_id, id, mark, n, its class (s1, s2) and whether its task met the class
+    for the first time; and the n-grams left uncounted."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n", "s1", "s2", "gram", "hits", "seen"]
+    names = ["doc_id", "id", "mark", "n", "s1", "s2", "fresh", "gram", "hits", "seen"]
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, fresh, id_type = Frequent(join.counters), _Fresh(), None
+        frequent, fresh, types = Frequent(join.counters), _Fresh(), None
         for batch in batches:
-            id_type = batch.schema.field("doc_id").type
             for part, texts in slices(batch, "text"):
                 values, sizes = shingle_sets(texts, join.words)
                 named = _named(values, sizes)
-                some = np.flatnonzero(fresh(named, sizes))
-                frequent.add(_taken(values, sizes, some))
+                first = fresh(named, sizes)
+                frequent.add(_taken(values, sizes, np.flatnonzero(first)))
+                keys = [part.column(c) for c in names[:3]]
+                keys += map(pa.array, (sizes, named[:, 0], named[:, 1], first))
+                types = [k.type for k in keys]
                 blank = [pa.nulls(len(sizes), pa.int64())] * 3
-                columns = [part.column("doc_id"), *map(pa.array, (sizes, named[:, 0], named[:, 1]))]
-                yield pa.RecordBatch.from_arrays([*columns, *blank], names)
+                yield pa.RecordBatch.from_arrays([*keys, *blank], names)
         if frequent.seen:
             grams, hits = frequent.largest()
             # The task's number of postings rides on a row of its own.
             seen = np.r_[np.zeros(len(grams), np.int64), frequent.seen]
-            blank = [pa.nulls(len(seen), t) for t in (id_type, *[pa.int64()] * 3)]
+            blank = [pa.nulls(len(seen), t) for t in types]
             columns = [np.r_[grams.view(np.int64), 0], np.r_[hits, 0], seen]
             yield pa.RecordBatch.from_arrays([*blank, *map(pa.array, columns)], names)
 
-    schema = f"doc_id {kind}, " + ", ".join(f"{name} long" for name in names[1:])
-    rows = stored(docs.select("doc_id", "text").mapInArrow(classify, schema), "join-classes")
+    schema = (
+        f"doc_id {kind}, id string, mark long, n long, s1 long, s2 long, fresh boolean, "
+        "gram long, hits long, seen long"
+    )
+    rows = docs.select("doc_id", "text").withColumns(_row_key()).mapInArrow(classify, schema)
+    rows = stored(rows, "join-classes")
     counted = rows.where("gram IS NOT NULL")
     seen = counted.agg(F.sum("seen")).head()[0] or 0
     least = max(join.crowd, seen // (2 * join.counters))
     hot = counted.groupBy("gram").agg(F.sum("hits").alias("hits")).where(F.col("hits") >= least)
     grams = np.array([r.gram for r in hot.select("gram").collect()], np.int64)
-    return rows.where("n IS NOT NULL").select(names[:4]), np.sort(grams)
+    return rows.where("n IS NOT NULL").select(names[:7]), np.sort(grams)
 
 
-def postings(docs: DataFrame, hot: np.ndarray, join: Join) -> DataFrame:
-    """(gram, s1, s2, n) of each task's distinct sets, whether the n-gram is hot, and the
-    key by which the posting is dealt."""
-    names = ["deal", "gram", "s1", "s2", "n", "hot"]
+def lonely(docs: DataFrame, join: Join) -> DataFrame:
+    """(s1, alone): how many n-grams of the smallest hashes no other class has."""
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh = _Fresh()
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh, limit = _Fresh(), np.uint64(min(join.sample, 1.0) * ((1 << 64) - 2**11))
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 values, sizes = shingle_sets(texts, join.words)
                 named = _named(values, sizes)
                 some = np.flatnonzero(fresh(named, sizes))
-                grams = _taken(values, sizes, some).view(np.int64)
-                owner = np.repeat(some, sizes[some])
-                crowded = np.isin(grams, hot)
-                own = mixed(grams.view(np.uint64) ^ named[owner, 0].view(np.uint64)).view(np.int64)
-                columns = [np.where(crowded, own, grams), grams, *named[owner].T, sizes[owner], crowded]
-                columns = [pa.array(np.ascontiguousarray(c)) for c in columns]
+                grams, owner = _taken(values, sizes, some), np.repeat(some, sizes[some])
+                low = np.flatnonzero(grams <= limit)
+                order = low[np.argsort(grams[low], kind="stable")]
+                found = grams[order]
+                # All but the first two classes of an n-gram tell nothing more.
+                third = np.zeros(len(found), bool)
+                third[2:] = found[2:] == found[:-2]
+                stay = np.sort(order[~third])
+                columns = [grams[stay].view(np.int64), named[owner[stay], 0]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "s1"])
+
+    postings = docs.select("text").mapInArrow(sample, "gram long, s1 long").repartition("gram")
+    classes = postings.groupBy("gram").agg(F.min("s1").alias("s1"), F.max("s1").alias("other"))
+    return classes.where("s1 = other").groupBy("s1").agg(F.count("*").alias("alone"))
+
+
+def wanted_classes(rows: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
+    """node, s1, s2, n and one row (id, mark) of each class that may have a link."""
+    classes = (
+        rows.where("fresh").groupBy("s1", "s2").agg(F.first(F.struct("id", "mark", "n")).alias("row"))
+    )
+    classes = classes.select("s1", "s2", "row.*").join(lonely(docs, join), "s1", "left")
+    own = 100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= join.percent * F.col("n")
+    return stored(
+        classes.where(own).select(
+            F.monotonically_increasing_id().alias("node"), "s1", "s2", "n", "id", "mark"
+        ),
+        "join-wanted",
+    )
+
+
+def postings(docs: DataFrame, wanted: DataFrame, hot: np.ndarray, join: Join) -> DataFrame:
+    """(gram, node) of the wanted classes, with the node again if the n-gram is hot."""
+    names = ["gram", "node", "apart"]
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of equal id and text meet in one task.
+        known: set[int] = set()
+        for batch in batches:
+            for part, texts in slices(batch, "text"):
+                nodes = part.column("node").to_numpy()
+                fresh = [n not in known and not known.add(n) for n in nodes.tolist()]
+                texts = [t for t, new in zip(texts, fresh, strict=True) if new]
+                values, sizes = shingle_sets(texts, join.words)
+                owner = np.repeat(nodes[np.array(fresh, bool)], sizes)
+                grams = values.view(np.int64)
+                counted = ~np.isin(grams, hot)
+                columns = [pa.array(grams), pa.array(owner), pa.array(owner, mask=counted)]
                 for k in range(0, len(grams), BATCH_ROWS):
-                    some_rows = [c.slice(k, BATCH_ROWS) for c in columns]
-                    yield pa.RecordBatch.from_arrays(some_rows, names)
+                    yield pa.RecordBatch.from_arrays([c.slice(k, BATCH_ROWS) for c in columns], names)
 
-    schema = "deal long, gram long, s1 long, s2 long, n long, hot boolean"
-    return docs.select("text").mapInArrow(explode, schema)
+    rows = docs.select("doc_id", "text").withColumns(_row_key())
+    rows = rows.join(wanted.select("id", "mark", "node").hint("shuffle_hash"), ["id", "mark"])
+    return rows.select("node", "text").mapInArrow(explode, "gram long, node long, apart long")
 
 
-def class_lists(posted: DataFrame, join: Join) -> DataFrame:
-    """Classes that may have a link: node, s1, s2, n and their shared n-grams in order."""
-    same = "OVER (PARTITION BY deal, gram)"
+def class_lists(posted: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
+    """Classes that may have a link: node, n and their shared n-grams in order."""
+    same = "OVER (PARTITION BY gram, apart)"
+    hot = F.col("apart").isNotNull()
     shared = (
-        posted.withColumn("frequency", F.expr(f"count(*) {same}"))
-        .withColumn(
-            "several",
-            F.expr(f"min(s1) {same} <> max(s1) {same} OR min(s2) {same} <> max(s2) {same}"),
-        )
-        .where("several OR hot")
-        .withColumn("frequency", F.when(F.col("hot"), F.lit(LAST)).otherwise(F.col("frequency")))
+        posted.withColumn("classes", F.expr(f"count(*) {same}"))
+        .where(hot | (F.col("classes") > 1))
+        .select("node", "gram", F.when(hot, F.lit(LAST)).otherwise(F.col("classes")).alias("classes"))
     )
-    lists = shared.groupBy("s1", "s2", "n").agg(
-        F.sort_array(F.collect_set(F.struct("frequency", "gram"))).alias("grams")
+    lists = shared.groupBy("node").agg(
+        F.sort_array(F.collect_set(F.struct("classes", "gram"))).alias("grams")
     )
+    lists = lists.join(wanted.select("node", "n"), "node")
     enough = 100 * F.size("grams") >= join.percent * F.col("n")
     return stored(
-        lists.where(enough).select(
-            F.monotonically_increasing_id().alias("node"), "s1", "s2", "n", F.col("grams.gram").alias("grams")
-        ),
-        "join-lists",
+        lists.where(enough).select("node", "n", F.col("grams.gram").alias("grams")), "join-lists"
     )
 
 
@@ -327,12 +385,12 @@ def links(lists: DataFrame, join: Join) -> DataFrame | None:
 def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id."""
     rows, hot = classed(docs, join)
-    lists = class_lists(postings(docs, hot, join), join)
-    labels = links(lists, join)
+    wanted = wanted_classes(rows, docs, join)
+    labels = links(class_lists(postings(docs, wanted, hot, join), wanted, join), join)
     key = ["s1", "s2"]
     smallest = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("component_id"))
     if labels is not None:
-        label = lists.select("node", *key).join(labels, "node").select(*key, "label")
+        label = wanted.select("node", *key).join(labels, "node").select(*key, "label")
         linked = smallest.join(label, key)
         least = linked.groupBy("label").agg(F.min("component_id").alias("least"))
         least = linked.join(least, "label").select(*key, "least")

@@ -105,7 +105,7 @@ def test_planted_periods(spark):
 @pytest.mark.parametrize("length,percent", [(60, 85), (25, 80)])
 def test_join(spark, counters, crowd, length, percent):
     texts = TEXTS + [(i + 100, t) for i, t in variants(percent, length=length)]
-    join = rare_first.Join(4, percent, counters, crowd)
+    join = rare_first.Join(4, percent, counters, crowd, width=1.4 if crowd > 5 else 4.0)
     rows = rare_first.joined(documents(spark, texts, extra=True), join).collect()
     expected = near_components(texts, 4, percent)
     expected = [(i, len(shingles(t, 4)), c) for (i, t), c in zip(texts, expected, strict=True)]
@@ -122,9 +122,13 @@ def test_a_passage_that_all_share_makes_no_pairs(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     texts = [(i, passage + " " + " ".join(f"u{i}x{k}" for k in range(20))) for i in range(80)]
     join = rare_first.Join(4, 85)
-    rows, hot = rare_first.classed(documents(spark, texts), join)
-    lists = rare_first.class_lists(rare_first.postings(documents(spark, texts), hot, join), join)
-    assert lists.count() == 0 and rows.count() == 80
+    docs = documents(spark, texts)
+    rows, hot = rare_first.classed(docs, join)
+    wanted = rare_first.wanted_classes(rows, docs, rare_first.Join(4, 85, width=0.0))
+    posted = rare_first.postings(docs, wanted, hot, join)
+    assert rare_first.class_lists(posted, wanted, join).count() == 0 and wanted.count() == 80
+    # Their own n-grams among those of the smallest hashes tell already.
+    assert rare_first.wanted_classes(rows, docs, rare_first.Join(4, 85, width=7.0)).count() == 0
 
 
 def test_counters_find_every_frequent_value():

@@ -25,9 +25,10 @@ Two classes link if the Jaccard similarity of their sets reaches ``percent``.
    list meet, those outside its largest component with all others.
 
 An n-gram of very many classes would fill one task in step 2. Counters kept by each task
-(Misra and Gries) find all n-grams with more than some 2 / ``counters`` of all postings;
-there are at most twice as many as counters, so their list may be sent to all tasks.
-Their postings need no count: they stand last in the order, and are dealt by class too.
+(Misra and Gries) find all n-grams with more postings than ``crowd``, ``noticed`` per
+task and some 2 / ``counters`` of all together; there are at most twice as many as
+counters, so their list may be sent to all tasks. Their postings need no count: they
+stand last in the order, and are dealt by class too.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links
 with nothing; fewer words than an n-gram are one n-gram; rows of equal id or text count
@@ -60,13 +61,15 @@ BATCH_ROWS = 500_000
 @dataclass(frozen=True)
 class Join:
     """words of an n-gram; percent: least similarity; counters of a task; crowd: fewest
-    postings of an n-gram that is left uncounted; width: part of the n-grams looked at
-    first, as a multiple of those that a class may have alone."""
+    postings of an n-gram that is left uncounted; noticed: fewest of them that a task
+    reports; width: part of the n-grams looked at first, as a multiple of those that a
+    class may have alone."""
 
     words: int = 5
     percent: int = 80
     counters: int = 65_536
     crowd: int = 10_000
+    noticed: int = 16
     width: float = 1.4
 
     @property
@@ -92,9 +95,10 @@ class Frequent:
             stay = self.counts > 0
             self.values, self.counts = self.values[stay], self.counts[stay]
 
-    def largest(self) -> tuple[np.ndarray, np.ndarray]:
-        """Without those that all tasks together could miss at little loss."""
-        stay = 4 * self.most * self.counts > self.seen
+    def largest(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those counted ``least`` times, and not so few that all tasks together could
+        miss them at little loss."""
+        stay = (self.counts >= least) & (4 * self.most * self.counts > self.seen)
         return self.values[stay], self.counts[stay]
 
 
@@ -154,7 +158,7 @@ def classed(docs: DataFrame, join: Join) -> tuple[DataFrame, np.ndarray]:
                 blank = [pa.nulls(len(sizes), pa.int64())] * 3
                 yield pa.RecordBatch.from_arrays([*keys, *blank], names)
         if frequent.seen:
-            grams, hits = frequent.largest()
+            grams, hits = frequent.largest(join.noticed)
             # The task's number of postings rides on a row of its own.
             seen = np.r_[np.zeros(len(grams), np.int64), frequent.seen]
             blank = [pa.nulls(len(seen), t) for t in types]
@@ -336,7 +340,8 @@ def first_of_lists(entries: DataFrame, join: Join) -> DataFrame:
     first = entries.groupBy("gram").agg(
         F.min(F.struct(*(c for c in _ENTRY if c != "gram"))).alias("first"), F.count("*").alias("k")
     )
-    first = first.where("k > 1").select("gram", "first.*")
+    # Stored, so that the join below may split the entries of a crowded list.
+    first = stored(first.where("k > 1").select("gram", "first.*"), "join-first")
     matches = _side(entries, "a").join(_side(first, "b"), "gram").where("node_a <> node_b")
     return candidates(matches, join)
 

@@ -105,7 +105,8 @@ def test_planted_periods(spark):
 @pytest.mark.parametrize("length,percent", [(60, 85), (25, 80)])
 def test_join(spark, counters, crowd, length, percent):
     texts = TEXTS + [(i + 100, t) for i, t in variants(percent, length=length)]
-    join = rare_first.Join(4, percent, counters, crowd, width=1.4 if crowd > 5 else 4.0)
+    noticed = 16 if crowd > 5 else 1
+    join = rare_first.Join(4, percent, counters, crowd, noticed, 1.4 * (5 - noticed // 4))
     rows = rare_first.joined(documents(spark, texts, extra=True), join).collect()
     expected = near_components(texts, 4, percent)
     expected = [(i, len(shingles(t, 4)), c) for (i, t), c in zip(texts, expected, strict=True)]
@@ -138,7 +139,7 @@ def test_counters_find_every_frequent_value():
     frequent = rare_first.Frequent(50)
     for part in np.array_split(values, 13):
         frequent.add(part)
-    found = dict(zip(*(x.tolist() for x in frequent.largest()), strict=True))
+    found = dict(zip(*(x.tolist() for x in frequent.largest(16)), strict=True))
     assert 900 - len(values) / 51 <= found[7] <= 900 and len(frequent.values) <= 50
 
 

@@ -19,9 +19,12 @@ from orderflow.plans.batch import BatchTables, run_batch
 from orderflow.plans.scratch import scratch_dir
 from orderflow.plans.stream import (
     StreamTables,
+    kept_state,
+    replay_batches,
     run_record_stream,
     run_stream,
     start_query,
+    start_table,
     wait_and_stop,
 )
 from orderflow.sinks.files import (
@@ -31,7 +34,7 @@ from orderflow.sinks.files import (
     write_quarantine,
 )
 from orderflow.sources import files, kafka, retail
-from orderflow.streaming import sinks
+from orderflow.streaming import deltas, sinks, tables
 from orderflow.streaming.clean import (
     clean_and_derive,
     clean_stream,
@@ -262,11 +265,27 @@ def _run_to_table(
     return path
 
 
-def _streamed(frame: DataFrame, name: str) -> DataFrame:
-    """Rows of an append-mode stream, stored batch by batch."""
-    path = _run_to_table(frame, name, "append", sinks.store_batches)
+def _append(frame: DataFrame, name: str, path: str, checkpoint: str, **how) -> None:
+    """Run one query that appends all available input to a table."""
+    query = start_table(
+        frame,
+        name,
+        path,
+        checkpoint,
+        {"availableNow": True},
+        state_partitions=frame.sparkSession.sparkContext.defaultParallelism,
+        **how,
+    )
+    wait_and_stop([query], all_must_end=True)
+
+
+def _streamed(frame: DataFrame, name: str, **how) -> DataFrame:
+    """Rows of an append-mode stream, stored through the file sink and read back."""
+    spark = frame.sparkSession
+    root = scratch_dir(spark, name)
+    _append(frame, name, f"{root}/out", f"{root}/checkpoint", **how)
     ddl = ", ".join(f"{n} {t}" for n, t in frame.dtypes)
-    return sinks.read_batches(frame.sparkSession, path, ddl)
+    return tables.read_table(spark, f"{root}/out", ddl)
 
 
 def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,8 +293,8 @@ def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_clean_thinned(spark: SparkSession, sf: str) -> DataFrame:
-    """Same rows with copies thinned out before the stateful step."""
-    rows = clean_stream(retail.event_orders_stream(spark, sf), thin=True)
+    """Same rows with copies first thinned out within four parts of each id."""
+    rows = clean_stream(retail.event_orders_stream(spark, sf), parts=4)
     return _streamed(rows, "stream-thinned")
 
 
@@ -325,21 +344,20 @@ def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(enriched, "stream-enrich")
 
 
+def _event_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return aggregates.windowed_revenue(clean_and_derive(retail.event_orders_stream(spark, sf)))
+
+
 def stream_windowed_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
-    frame = aggregates.windowed_revenue(rows)
-    path = _run_to_table(frame, "stream-windows", "append", sinks.store_windows)
-    return sinks.read_batches(spark, path, sinks.WINDOWS, "window_date date")
+    """Closed windows, stored by day."""
+    rows = _event_windows(spark, sf).withColumn("window_date", F.to_date("window_start"))
+    return _streamed(rows, "stream-windows", partition_by="window_date").drop("window_date")
 
 
 def stream_windows_by_product(spark: SparkSession, sf: str) -> DataFrame:
     """The same windows stored in a directory per product."""
-    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
-    frame = aggregates.windowed_revenue(rows)
-    path = _run_to_table(
-        frame, "stream-products", "append", lambda p: sinks.store_windows(p, "product_id")
-    )
-    return sinks.read_batches(spark, path, sinks.WINDOWS, "product_id string")
+    rows = _event_windows(spark, sf)
+    return _streamed(rows, "stream-products", partition_by="product_id", together=True)
 
 
 def _stream_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,6 +406,17 @@ def stream_job_windows(spark: SparkSession, sf: str) -> DataFrame:
     return _job(spark, sf).windowed_revenue().drop("window_date")
 
 
+def stream_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """The same job with snapshots of all totals; returns the last one."""
+    return _job(spark, sf, names=("snapshots",)).latest_snapshot()
+
+
+def stream_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """The table that the reports read; returns its active orders."""
+    rows = _job(spark, sf, names=("clean",)).cleaned()
+    return rows.where(F.col("order_class") == S.ACTIVE).select(*S.column_names(S.ORDERS))
+
+
 def stream_quarantine_stored(spark: SparkSession, sf: str) -> DataFrame:
     """Rejects as the job stores them by reason."""
     return _job(spark, sf, names=("quarantine",)).quarantine()
@@ -411,6 +440,7 @@ SLICE_SECONDS = 3 * 86_400
 LAST_SLICE = 9
 FILES_PER_SLICE = 4
 DELAYED_SHARE = 0.1
+REPEATED_SHARE = 0.1
 #: The batch at which the restarted stream goes on.
 RESTART_AT = 6
 
@@ -421,6 +451,7 @@ def _deliveries(orders: DataFrame) -> DataFrame:
     start = F.unix_seconds(F.lit("2026-01-01").cast("timestamp"))
     place = F.floor((F.unix_seconds("arrival_time") - start) / SLICE_SECONDS)
     key = [F.col("order_id"), F.unix_micros("arrival_time")]
+    key += [F.col("copy")] if "copy" in orders.columns else []
     delayed = draw_chance(42, "delayed", DELAYED_SHARE, *key)
     return orders.withColumn(
         "delivery", (F.least(place, F.lit(LAST_SLICE)) + F.when(delayed, 2).otherwise(0)).cast("int")
@@ -434,13 +465,22 @@ def _deliver(deliveries: DataFrame, directory: str, batches: range) -> None:
         files.write_csv(rows.repartition(FILES_PER_SLICE), f"{directory}/b{batch:02d}")
 
 
+def _late_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return synth.inject_late(synth.inject_negative(synth_orders(spark, sf), "quantity"))
+
+
 def _with_repeats(spark: SparkSession, sf: str) -> DataFrame:
-    return _stored_deliveries(synth_defects(spark, sf))
+    """Late rows, missing ids, and orders that are delivered twice, each copy on its
+    own way. Copies are equal, so which of them comes first makes no difference."""
+    rows = _late_orders(spark, sf)
+    key = [F.col("order_id"), F.unix_micros("arrival_time")]
+    twice = draw_chance(42, "repeat", REPEATED_SHARE, *key)
+    copies = F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return _stored_deliveries(synth.inject_missing_id(rows.withColumn("copy", F.explode(copies))))
 
 
 def _without_repeats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = synth.inject_negative(synth_orders(spark, sf), "quantity")
-    return _stored_deliveries(synth.inject_late(rows))
+    return _stored_deliveries(_late_orders(spark, sf))
 
 
 def _stored_deliveries(orders: DataFrame) -> DataFrame:
@@ -450,68 +490,124 @@ def _stored_deliveries(orders: DataFrame) -> DataFrame:
     return orders.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _clean_runs(spark: SparkSession, sf: str, parts: list[range], fresh: bool) -> DataFrame:
-    """Orders that a cleaned stream lets through, fed part by part; each part is a
-    new start of the query. With ``fresh``, a last start from nothing reads all."""
-    root = scratch_dir(spark, "stream-parts")
-    deliveries = _with_repeats(spark, sf)
-    orders = None
+ALL_BATCHES = range(LAST_SLICE + 3)
+IN_PARTS = [ALL_BATCHES[:RESTART_AT], ALL_BATCHES[RESTART_AT:]]
 
-    def start(out: str) -> None:
-        query = start_query(
-            clean_stream(orders),
-            "stream-parts",
-            "append",
-            sinks.store_batches(f"{root}/{out}"),
-            f"{root}/checkpoint-{out}",
-            {"availableNow": True},
-            state_partitions=spark.sparkContext.defaultParallelism,
-        )
-        wait_and_stop([query], all_must_end=True)
 
+def _arrivals(spark: SparkSession, deliveries: DataFrame, parts: list[range], run) -> str:
+    """Delivers the batches part by part and calls ``run(orders, root)`` after each."""
+    root = scratch_dir(spark, "stream-parts")
     for part in parts:
         _deliver(deliveries, f"{root}/in", part)
-        orders = files.stream_orders_csv(spark, f"{root}/in/*", FILES_PER_SLICE)
-        start("out")
-    if fresh:
-        start("replayed")
-    found = sinks.read_batches(spark, f"{root}/{'replayed' if fresh else 'out'}", S.ORDERS)
-    # Which copy of an order comes first within a batch is open; they differ in time only.
-    return found.drop("order_timestamp").distinct()
+        run(files.stream_orders_csv(spark, f"{root}/in/*", FILES_PER_SLICE), root)
+    return root
 
 
-ALL_BATCHES = range(LAST_SLICE + 3)
+def _emitted(rows: DataFrame) -> DataFrame:
+    """How often each order came out; anything but 1 is a repeat."""
+    return rows.groupBy(*S.column_names(S.ORDERS)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _cleaned_in_parts(spark: SparkSession, sf: str, parts: list[range]) -> DataFrame:
+    """Orders that a cleaned stream lets through; each part is a new start of it."""
+
+    def run(orders: DataFrame, root: str) -> None:
+        _append(clean_stream(orders), "stream-parts", f"{root}/out", f"{root}/checkpoint")
+
+    root = _arrivals(spark, _with_repeats(spark, sf), parts, run)
+    return _emitted(tables.read_table(spark, f"{root}/out", S.ORDERS))
 
 
 def stream_late_dropped(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream with rows that arrive too late."""
-    return _clean_runs(spark, sf, [ALL_BATCHES], fresh=False)
+    """A stream with rows that arrive too late and orders that arrive twice."""
+    return _cleaned_in_parts(spark, sf, [ALL_BATCHES])
 
 
 def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     """The same stream, stopped and started again on its checkpoint."""
-    parts = [ALL_BATCHES[:RESTART_AT], ALL_BATCHES[RESTART_AT:]]
-    return _clean_runs(spark, sf, parts, fresh=False)
+    return _cleaned_in_parts(spark, sf, IN_PARTS)
 
 
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
-    """The restarted stream's files read once more from the beginning."""
-    parts = [ALL_BATCHES[:RESTART_AT], ALL_BATCHES[RESTART_AT:]]
-    return _clean_runs(spark, sf, parts, fresh=True)
+    """The restarted stream's files read once more from the beginning, into the folder
+    that holds its batches."""
+    cores = spark.sparkContext.defaultParallelism
+
+    def run(orders: DataFrame, root: str) -> None:
+        handler, now = sinks.store_batches(f"{root}/out"), {"availableNow": True}
+        query = start_query(
+            clean_stream(orders), "stream-parts", "append", handler, f"{root}/checkpoint", now, cores
+        )
+        wait_and_stop([query], all_must_end=True)
 
+    root = _arrivals(spark, _with_repeats(spark, sf), IN_PARTS, run)
+    orders = files.stream_orders_csv(spark, f"{root}/in/*", FILES_PER_SLICE)
+    replay_batches(clean_stream(orders), "replay", f"{root}/out", f"{root}/replayed", cores)
+    return _emitted(sinks.read_batches(spark, f"{root}/out", S.ORDERS))
 
-def stream_windows_update(spark: SparkSession, sf: str) -> DataFrame:
-    """The last state of every window that update mode reports, late rows dropped."""
+
+def stream_state(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stopped stream holds in its state until it is started again."""
+
+    def run(orders: DataFrame, root: str) -> None:
+        _append(clean_stream(orders), "stream-parts", f"{root}/out", f"{root}/checkpoint")
+
+    root = _arrivals(spark, _with_repeats(spark, sf), IN_PARTS[:1], run)
+    return kept_state(spark, f"{root}/checkpoint", "stream-parts")
+
+
+def _job_over_arrivals(spark: SparkSession, sf: str, **options) -> StreamTables:
+    done = []
+
+    def run(orders: DataFrame, root: str) -> None:
+        cores = spark.sparkContext.defaultParallelism
+        options.update(available_now=True, state_partitions=cores)
+        done.append(run_stream(orders, f"{root}/job", f"{root}/checkpoint", **options))
+
+    _arrivals(spark, _with_repeats(spark, sf), [ALL_BATCHES], run)
+    return done[0]
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows behind the watermark, as the job stores them."""
+    return _job_over_arrivals(spark, sf, names=("late_orders",)).late_orders()
+
+
+def stream_batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows received, rejected and kept in each batch, as Spark observed them."""
+    return _job_over_arrivals(spark, sf, names=("clean",)).batches.drop("query")
+
+
+def _windows_of_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     directory = f"{scratch_dir(spark, 'stream-updates')}/in"
     _deliver(_without_repeats(spark, sf), directory, ALL_BATCHES)
     orders = files.stream_orders_csv(spark, f"{directory}/*", FILES_PER_SLICE)
-    frame = aggregates.windowed_revenue(clean_and_derive(orders))
-    path = _run_to_table(frame, "stream-updates", "update", sinks.store_batches)
-    rows = sinks.read_batches(spark, path, f"{sinks.WINDOWS}, batch_id bigint")
-    return rows.groupBy("window_start", "window_end", "product_id").agg(
-        F.max_by("orders_count", "batch_id").alias("orders_count"),
-        F.max_by("total_revenue", "batch_id").alias("total_revenue"),
-    )
+    return clean_and_derive(orders)
+
+
+def stream_windows_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows in update mode, late rows dropped, merged into the days they belong to."""
+    frame = aggregates.windowed_revenue(_windows_of_arrivals(spark, sf))
+    frame = frame.withColumn("window_date", F.to_date("window_start"))
+    ddl = f"{sinks.WINDOWS}, window_date date"
+    key = ["window_date", "window_start", "product_id"]
+
+    def handler(path: str) -> sinks.Handler:
+        return deltas.store_upserts(path, f"{path}-staging", spark, ddl, key, "window_date")
+
+    path = _run_to_table(frame, "stream-updates", "update", handler)
+    return spark.read.schema(ddl).parquet(path).drop("window_date")
+
+
+def stream_totals_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals in update mode: the changed products of each batch, merged in levels."""
+    frame = aggregates.product_totals(_windows_of_arrivals(spark, sf))
+
+    def handler(path: str) -> sinks.Handler:
+        return deltas.store_deltas(path, spark, sinks.TOTALS, ["product_id"], fanout=3)
+
+    path = _run_to_table(frame, "stream-deltas", "update", handler)
+    return deltas.read_deltas(spark, path, sinks.TOTALS, ["product_id"])
 
 
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
@@ -627,6 +723,12 @@ QUERIES: dict[str, Query] = {
     "stream_late_dropped": stream_late_dropped,
     "stream_restart": stream_restart,
     "stream_replay": stream_replay,
+    "stream_state": stream_state,
+    "stream_late_rows": stream_late_rows,
+    "stream_batch_metrics": stream_batch_metrics,
+    "stream_totals_deltas": stream_totals_deltas,
+    "stream_cleaned": stream_cleaned,
+    "stream_snapshots": stream_snapshots,
     "stream_product_totals": stream_product_totals,
     "stream_top_products": stream_top_products,
     "snapshot_latest": snapshot_latest,

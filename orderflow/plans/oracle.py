@@ -229,38 +229,62 @@ FROM drawn"""
 
 # --- streams of several batches ---------------------------------------------
 
-_DELIVERY = f"""least(floor((epoch(arrival_time) - epoch(TIMESTAMP '2026-01-01')) / 259200), 9)::INT
-  + CASE WHEN {_chance('delayed', 0.1, 'order_id', 'epoch_us(arrival_time)')} THEN 2 ELSE 0 END"""
+def _delivery(*key: str) -> str:
+    return f"""least(floor((epoch(arrival_time) - epoch(TIMESTAMP '2026-01-01')) / 259200), 9)::INT
+  + CASE WHEN {_chance('delayed', 0.1, 'order_id', 'epoch_us(arrival_time)', *key)} THEN 2 ELSE 0 END"""
+
+
 _SINGLE = f"""single AS (
   SELECT * REPLACE (CASE WHEN {_chance('negative_quantity', 0.05, *_ROW)} THEN -abs(quantity)
                          ELSE quantity END AS quantity) FROM clean)"""
 _SINGLE_LATE = f"""SELECT * REPLACE (CASE WHEN {_chance('late', 0.05, *_ROW)}
   THEN order_timestamp - to_seconds(60 * {_int('late_minutes', 1, 60, *_ROW)})
   ELSE order_timestamp END AS order_timestamp), order_timestamp AS arrival_time FROM single"""
+_REPEATED = f"""moved AS ({_SINGLE_LATE}),
+repeated AS (
+  SELECT *, unnest(CASE WHEN {_chance('repeat', 0.1, 'order_id', 'epoch_us(arrival_time)')}
+    THEN [0, 1] ELSE [0] END) AS copy FROM moved)"""
+_ANONYMOUS = f"""SELECT * REPLACE (CASE WHEN {_chance('missing_id', 0.01, *_ROW)} THEN NULL
+  ELSE order_id END AS order_id) FROM repeated"""
 
 
-def _on_time(rows: str, restart: int | None = None) -> str:
+def _on_time(rows: str, *key: str, restart: int | None = None) -> str:
     """Valid rows not behind the watermark. A batch drops by the watermark of the one
     before, so by what arrived two batches ago. A start on a checkpoint comes after a
     batch without rows, which has caught up by one."""
     back = f"CASE WHEN r.b = {restart} THEN 1 ELSE 2 END" if restart else "2"
-    return f"""delivered AS (SELECT *, {_DELIVERY} AS b FROM ({rows})),
+    return f"""delivered AS (SELECT *, {_delivery(*key)} AS b FROM ({rows})),
 raw AS (SELECT * FROM delivered),
 {TAGGED},
 good AS (
   SELECT * REPLACE (CASE WHEN lower(trim(status, ' ')) IN ('complete', 'done') THEN 'completed'
               WHEN lower(trim(status, ' ')) = 'canceled' THEN 'cancelled'
-              ELSE lower(trim(status, ' ')) END AS status)
+              ELSE lower(trim(status, ' ')) END AS status), status AS raw_status
   FROM tagged WHERE reject_reason IS NULL),
 marks AS (SELECT b, max(order_timestamp) AS latest FROM good GROUP BY b),
+judged AS (
+  SELECT r.*, coalesce(order_timestamp <= (
+    SELECT max(latest) FROM marks WHERE marks.b <= r.b - {back}) - INTERVAL '30 minutes', false) AS late
+  FROM good r),
 active AS (
-  SELECT r.* EXCLUDE (b, reject_reason, arrival_time), quantity * price AS total_amount
-  FROM good r
-  WHERE status <> 'cancelled' AND coalesce(order_timestamp > (
-    SELECT max(latest) FROM marks WHERE marks.b <= r.b - {back}) - INTERVAL '30 minutes', true))"""
-
-
-_LATE = "SELECT DISTINCT order_id, customer_id, product_id, quantity, price, status FROM active"
+  SELECT {ORDER}, quantity * price AS total_amount FROM judged WHERE status <> 'cancelled' AND NOT late)"""
+
+
+_DELIVERED_TWICE = (SYNTH, _SINGLE, _REPEATED)
+_TWICE = _with(*_DELIVERED_TWICE, _on_time(_ANONYMOUS, "copy"))
+_ONCE = f"SELECT {ORDER}, 1::BIGINT AS n_rows FROM active GROUP BY ALL"
+_STATE = """, stopped AS (SELECT max(latest) - INTERVAL '30 minutes' AS mark FROM marks WHERE b < 6)
+SELECT DISTINCT order_id, order_timestamp + INTERVAL '30 minutes' AS expires_at FROM judged, stopped
+WHERE NOT late AND b < 6 AND order_timestamp + INTERVAL '30 minutes' > mark"""
+_BATCHES = """, firsts AS (
+  SELECT b, count(*) AS kept FROM (
+    SELECT order_id, min(b) AS b FROM judged WHERE NOT late GROUP BY order_id) GROUP BY b)
+SELECT tagged.b::BIGINT AS batch_id, count(*) AS rows_in,
+       count(*) FILTER (reject_reason = 'missing_order_id') AS missing_order_id,
+       count(*) FILTER (reject_reason = 'invalid_values') AS invalid_values,
+       count(*) FILTER (reject_reason = 'indeterminate_values') AS indeterminate_values,
+       any_value(coalesce(kept, 0))::BIGINT AS kept
+FROM tagged LEFT JOIN firsts USING (b) GROUP BY tagged.b"""
 
 _ACTIVE = _with(*LINES)
 _ENRICHED = _with(*LINES, CUSTOMERS, PRODUCTS)
@@ -333,9 +357,16 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
     "stream_windowed_revenue": _STREAM + CLOSED_WINDOWS,
     "stream_windows_by_product": _STREAM + CLOSED_WINDOWS,
     "stream_windows_update": _with(SYNTH, _SINGLE, _on_time(_SINGLE_LATE)) + WINDOWS,
-    "stream_late_dropped": _with(SYNTH, DEFECTS, _on_time(SYNTH_DEFECTS)) + _LATE,
-    "stream_restart": _with(SYNTH, DEFECTS, _on_time(SYNTH_DEFECTS, restart=6)) + _LATE,
-    "stream_replay": _with(SYNTH, DEFECTS, _on_time(SYNTH_DEFECTS)) + _LATE,
+    "stream_totals_deltas": _with(SYNTH, _SINGLE, _on_time(_SINGLE_LATE)) + _revenue("product_id"),
+    "stream_late_dropped": _TWICE + _ONCE,
+    "stream_restart": _with(*_DELIVERED_TWICE, _on_time(_ANONYMOUS, "copy", restart=6)) + _ONCE,
+    "stream_replay": _TWICE + _ONCE,
+    "stream_state": _TWICE.rstrip() + _STATE,
+    "stream_late_rows": _TWICE
+    + f"SELECT {ORDER.replace('status', 'raw_status AS status')} FROM judged WHERE late",
+    "stream_batch_metrics": _TWICE.rstrip() + _BATCHES,
+    "stream_cleaned": _STREAM_CLEAN,
+    "stream_snapshots": _TOTALS,
     "stream_product_totals": _TOTALS,
     "stream_top_products": _TOTALS + " ORDER BY sum(total_amount) DESC, product_id LIMIT 10",
     "snapshot_latest": _TOTALS,

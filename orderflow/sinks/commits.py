@@ -34,8 +34,39 @@ def _numbered(spark: SparkSession, root: str, prefix: str) -> dict[int, str]:
 
 
 def _is_committed(spark: SparkSession, folder: str) -> bool:
-    marker = _path(spark, f"{folder}/{_MARKER}")
-    return _store(spark, marker).exists(marker)
+    return exists(spark, f"{folder}/{_MARKER}")
+
+
+def exists(spark: SparkSession, text: str) -> bool:
+    path = _path(spark, text)
+    return _store(spark, path).exists(path)
+
+
+def make_folder(spark: SparkSession, text: str) -> None:
+    path = _path(spark, text)
+    _store(spark, path).mkdirs(path)
+
+
+def delete(spark: SparkSession, text: str) -> None:
+    path = _path(spark, text)
+    _store(spark, path).delete(path, True)
+
+
+def folders_matching(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Names of the complete folders below root that match a pattern."""
+    path = _path(spark, root)
+    store = _store(spark, path)
+    if not store.exists(path):
+        return []
+    names = sorted(status.getPath().getName() for status in store.listStatus(path))
+    return [n for n in names if re.fullmatch(pattern, n) and _is_committed(spark, f"{root}/{n}")]
+
+
+def drop_newer(spark: SparkSession, root: str, prefix: str, last: int) -> None:
+    """Delete the batches after ``last``: what a replay did not reach."""
+    for number, name in _numbered(spark, root, prefix).items():
+        if number > last:
+            delete(spark, f"{root}/{name}")
 
 
 def committed_batches(spark: SparkSession, root: str, prefix: str) -> list[str]:
@@ -60,5 +91,4 @@ def drop_older(spark: SparkSession, root: str, prefix: str, keep: int) -> None:
         return
     for number, name in names:
         if number < complete[-1]:
-            path = _path(spark, f"{root}/{name}")
-            _store(spark, path).delete(path, True)
+            delete(spark, f"{root}/{name}")

@@ -2,72 +2,76 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from orderflow.operators.derive import derive_columns, normalize_status
+from orderflow import schema as S
+from orderflow.functions import orders as fn
+from orderflow.operators.derive import classify_orders, derive_columns, normalize_status
 from orderflow.operators.quality import rejected_orders, split_cancelled, valid_orders
 
 WATERMARK_DELAY = "30 minutes"
-FIRST, LAST = -(2**63), 2**63 - 1
 
+#: Columns of cleaned orders.
+CLEANED = f"{S.ORDERS}, {S.DERIVED}, order_class string"
+REASONS = (S.MISSING_ORDER_ID, S.INVALID_VALUES, S.INDETERMINATE_VALUES)
 
-def thin_copies(orders: DataFrame) -> DataFrame:
-    """Drop copies of an order that cannot survive, within an Arrow batch of a task.
 
-    Streaming deduplication sends every copy of an id to one task. A copy is
-    dropped if an earlier one of the batch has no event time (it always passes)
-    or the same or a later one: if that one is late, so is this one, else this
-    one is a repeat. The row of the latest time stays for the watermark. No
-    result changes; copies with ever later times all stay.
-    """
+def observed(orders: DataFrame) -> DataFrame:
+    """Counts the rows of each batch that come in, and those rejected, by reason. Filters
+    stay above the count, so the scan drops nothing before it."""
+    reason = fn.reject_reason()
+    rejected = [F.count_if(F.coalesce(reason == r, F.lit(False))).alias(r) for r in REASONS]
+    return orders.observe("received", F.count(F.lit(1)).alias("rows_in"), *rejected)
+
 
-    def thin(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-        import pyarrow as pa
-
-        for batch in batches:
-            times = batch.column("order_timestamp").cast(pa.int64())
-            none = times.is_null().to_numpy(zero_copy_only=False)
-            ids = pd.Series(batch.column("order_id").to_pandas())
-            # A missing time counts as later than any other.
-            at = pd.Series(np.where(none, LAST, times.fill_null(0).to_numpy()))
-            before = at.groupby(ids, dropna=False).cummax()
-            before = before.groupby(ids, dropna=False).shift(1, fill_value=FIRST)
-            keep = (at > before).to_numpy()
-            if not none.all():
-                keep[np.argmax(np.where(none, FIRST, at))] = True
-            yield batch.filter(pa.array(keep))
-
-    return orders.mapInArrow(thin, orders.schema)
-
-
-def dedupe_stream(orders: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """The first on-time copy of each order within the watermark."""
+def dedupe_stream(orders: DataFrame, delay: str = WATERMARK_DELAY, parts: int = 1) -> DataFrame:
+    """The first on-time copy of each order within the watermark.
+
+    Deduplication sends all copies of an id to one task. With ``parts`` above 1 they are
+    first deduplicated within as many parts, by the task that read them, so that a hot
+    id is spread over as many tasks and each sends on one copy. This takes a second
+    state. Copies that agree in time, or whose times differ by less than the delay, give
+    the same rows. If they differ by more, a copy that plain deduplication would let
+    through again, after the first one's state has ended, may be held back by one in
+    between.
+    """
     marked = orders.withWatermark("order_timestamp", delay)
+    if parts > 1:
+        part = F.pmod(F.spark_partition_id(), F.lit(parts))
+        marked = marked.withColumn("_part", part)
+        marked = marked.dropDuplicatesWithinWatermark(["order_id", "_part"]).drop("_part")
     return marked.dropDuplicatesWithinWatermark(["order_id"])
 
 
-def clean_stream(
-    orders: DataFrame, delay: str = WATERMARK_DELAY, thin: bool = False
-) -> DataFrame:
-    """Valid, deduplicated, not cancelled orders of a stream.
+def cleaned_stream(orders: DataFrame, delay: str = WATERMARK_DELAY, parts: int = 1) -> DataFrame:
+    """Valid, deduplicated orders of every class, with derived columns.
 
-    The id and value filters stand below the watermark, so rejected rows never
-    advance it; cancelled rows do. ``thin`` is for streams where one id may
-    hold a large share of a micro-batch (see ``thin_copies``); it changes no
-    result.
+    The id and value filters stand below the watermark, so rejected rows never advance
+    it.
     """
-    rows = valid_orders(orders)
-    if thin:
-        rows = thin_copies(rows)
-    return split_cancelled(dedupe_stream(normalize_status(rows), delay)).active
+    rows = dedupe_stream(normalize_status(valid_orders(orders)), delay, parts)
+    return classify_orders(derive_columns(rows))
+
+
+def clean_stream(orders: DataFrame, delay: str = WATERMARK_DELAY, parts: int = 1) -> DataFrame:
+    """Valid, deduplicated, not cancelled orders of a stream; cancelled rows advance the
+    watermark."""
+    rows = dedupe_stream(normalize_status(valid_orders(orders)), delay, parts)
+    return split_cancelled(rows).active
+
+
+def clean_and_derive(orders: DataFrame, delay: str = WATERMARK_DELAY, parts: int = 1) -> DataFrame:
+    return derive_columns(clean_stream(orders, delay, parts))
 
 
-def clean_and_derive(orders: DataFrame, delay: str = WATERMARK_DELAY, thin: bool = False) -> DataFrame:
-    return derive_columns(clean_stream(orders, delay, thin))
+def active_only(cleaned: DataFrame) -> DataFrame:
+    """Cleaned orders of which only active ones count in an aggregate. The others stay,
+    as they advance the watermark."""
+    active = F.col("order_class") == S.ACTIVE
+    return cleaned.withColumns(
+        {c: F.when(active, F.col(c)) for c in ("order_id", "total_amount")}
+    )
 
 
 def rejected_stream(orders: DataFrame) -> DataFrame:

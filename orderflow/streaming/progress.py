@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 import time
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,12 @@ SUMMARY = (
     "max_event_time timestamp, elapsed_seconds double, complete boolean"
 )
 
+#: What ``observed`` and the cleaning query count in each batch.
+BATCHES = (
+    "query string, batch_id bigint, rows_in bigint, missing_order_id bigint, "
+    "invalid_values bigint, indeterminate_values bigint, kept bigint"
+)
+
 
 @dataclass
 class _Totals:
@@ -35,12 +42,14 @@ class ProgressLog(StreamingQueryListener):
 
     Counts are rows that leave the source scan (a scan that filters by itself
     leaves out what it drops), and event times are those Spark saw for the
-    watermark. One small record per query is kept, however long it runs.
+    watermark. One small record per query is kept, however long it runs, and the
+    observed counts of the last ``batches`` batches.
     """
 
-    def __init__(self, log=None):
+    def __init__(self, log=None, batches: int = 10_000):
         self._log = log
         self._totals: dict[str, _Totals] = {}
+        self._observed: deque[tuple] = deque(maxlen=batches)
 
     def onQueryStarted(self, event):
         self._totals[str(event.runId)] = _Totals(event.name or str(event.id))
@@ -54,6 +63,11 @@ class ProgressLog(StreamingQueryListener):
         totals.last = time.monotonic()
         totals.input_rows += progress.numInputRows
         totals.late_rows += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        observed = {k: v for row in progress.observedMetrics.values() for k, v in row.asDict().items()}
+        if observed.get("rows_in"):
+            names = [column.split()[0] for column in BATCHES.split(", ")[2:]]
+            counts = [observed.get(name) for name in names]
+            self._observed.append((totals.name, progress.batchId, *counts))
         times = progress.eventTime
         if progress.numInputRows and "min" in times:
             totals.min_time = min(filter(None, (totals.min_time, times["min"])))
@@ -79,6 +93,11 @@ class ProgressLog(StreamingQueryListener):
         ended = [self._totals[str(i)].ended for i in run_ids if str(i) in self._totals]
         return all([e.wait(max(0.0, deadline - time.monotonic())) for e in ended])
 
+    def batches(self, spark: SparkSession) -> DataFrame:
+        """Observed counts of each batch that had rows. A batch that was repeated may
+        be there twice, with the same numbers."""
+        return spark.createDataFrame(list(self._observed), BATCHES)
+
     def summary(self, spark: SparkSession) -> DataFrame:
         """One row per query; ``complete`` is false while reports may be missing."""
         rows = []

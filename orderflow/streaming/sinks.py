@@ -2,7 +2,9 @@
 
 Spark may run a batch again after a failure. Every handler that stores data
 therefore owns one directory per batch id and replaces it, with nothing if the
-repeat is empty. Readers take complete directories only.
+repeat is empty. Readers take complete directories only. They are for batches that
+need more than one write, and for complete mode; rows that are only appended go
+through Spark's file sink (see ``tables``).
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from orderflow.schema import column_names
 from orderflow.sinks.commits import committed_batches, drop_older, newest_batch
 from orderflow.sinks.files import write_parquet
 from orderflow.sources.files import write_csv
+from orderflow.streaming.deltas import read_deltas
+from orderflow.streaming.tables import dealt, default_writers
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -33,10 +37,6 @@ WINDOWS = (
 TOTALS = "product_id string, total_orders bigint, total_revenue double"
 
 
-#: Files that a batch leaves per directory, at most.
-FILES_PER_BATCH = 8
-
-
 def enriching(
     handle: Handler,
     customers: Dimension,
@@ -75,88 +75,55 @@ def enriching(
 
 
 def show_rows(n: int = 20) -> Handler:
-    """Print the first rows of each batch that has any."""
+    """Print the first rows of each batch that has any, in order of their columns."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        _show(batch, n, f"batch {batch_id}")
+        _show(batch.orderBy(*batch.columns), n, f"batch {batch_id}")
 
     return show
 
 
-def show_top_products(n: int = 10) -> Handler:
-    """Print the best products of the totals so far."""
+def show_top_products(n: int = 10, stored: str | None = None) -> Handler:
+    """Print the best products of the totals so far: the batch's, or those stored as
+    deltas if batches hold changed products only."""
 
     def show(totals: DataFrame, batch_id: int) -> None:
+        if stored is not None:
+            totals = read_deltas(totals.sparkSession, stored, TOTALS, ["product_id"])
         _show(by_revenue(totals), n, f"batch {batch_id}: top {n} products by revenue")
 
     return show
 
 
-def _show(rows: DataFrame, n: int, title: str) -> None:
-    """Reads no more than it shows, so a batch with state has to be staged first:
-    state operators must run to their end (see ``in_turn``)."""
-    first = rows.take(n)
+def _show(ordered: DataFrame, n: int, title: str) -> None:
+    """The first rows of all tasks are found in one job that reads every row, so state
+    operators run to their end and no more than n rows of a task go to the driver."""
+    first = ordered.limit(n).collect()
     if first:
         print(title)
-        rows.sparkSession.createDataFrame(first, rows.schema).show(n, truncate=False)
+        ordered.sparkSession.createDataFrame(first, ordered.schema).show(n, truncate=False)
 
 
-def in_turn(*handlers: Handler, staging: str, session: SparkSession) -> Handler:
-    """Several handlers for one query. The batch is written below ``staging`` and
-    read by each, so one state serves them all and its operators run once. They
-    read it in ``session``, where adaptive execution applies."""
+def after(*handlers: Handler) -> Handler:
+    """Handlers one after the other, for batches of which only the first reads rows."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        path = f"{staging}/batch_id={batch_id}"
-        write_parquet(batch, path)
-        rows = session.read.schema(batch.schema).parquet(path)
         for handle in handlers:
-            handle(rows, batch_id)
-        drop_older(session, staging, "batch_id=", keep=2)
+            handle(batch, batch_id)
 
     return run
 
 
-def store_batches(
-    path: str, partition_by: str | None = None, files_per_batch: int = FILES_PER_BATCH
-) -> Handler:
-    """Parquet under ``path/batch_id=<id>``, also for an empty batch.
-
-    A batch has as many partitions as its scan or its state. They are dealt out
-    anew to ``files_per_batch`` tasks, so a batch leaves at most that many files
-    per directory, and one directory's rows are still written by all tasks.
-    Merging partitions instead would save the shuffle of the result, but Spark
-    would run the state operators in as few tasks. Adaptive execution cannot do
-    this: it is off in the batches of a stateful query.
-    """
+def store_batches(path: str, partition_by: str | None = None, writers: int | None = None) -> Handler:
+    """Parquet under ``path/batch_id=<id>``, also for an empty batch."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        dealt = batch.repartition(files_per_batch)
-        write_parquet(dealt, f"{path}/batch_id={batch_id}", partition_by)
+        rows = dealt(batch, writers or default_writers(batch.sparkSession))
+        write_parquet(rows, f"{path}/batch_id={batch_id}", partition_by)
 
     return store
 
 
-def store_windows(
-    path: str, partition_by: str = "window_date", files_per_batch: int = FILES_PER_BATCH
-) -> Handler:
-    """Windowed revenue by day of the window, or by ``product_id``: then each
-    product's rows, one per window, go to one file."""
-    if partition_by == "window_date":
-        store_days = store_batches(path, partition_by, files_per_batch)
-
-        def by_day(batch: DataFrame, batch_id: int) -> None:
-            store_days(batch.withColumn("window_date", F.to_date("window_start")), batch_id)
-
-        return by_day
-
-    def by_key(batch: DataFrame, batch_id: int) -> None:
-        dealt = batch.repartition(files_per_batch, partition_by)
-        write_parquet(dealt, f"{path}/batch_id={batch_id}", partition_by)
-
-    return by_key
-
-
 def store_top_products(path: str, n: int = 10) -> Handler:
     """The best products of each batch's totals, as Parquet."""
 

@@ -16,17 +16,23 @@ from orderflow.operators.derive import derive_columns, normalize_status
 from orderflow.operators.enrich import check_dimension, enrich_with_dimensions
 from orderflow.operators.quality import rejected_orders, split_cancelled, valid_orders
 from orderflow.plans.stream import (
+    ALL_QUERIES,
+    kept_state,
+    replay_batches,
     run_file_stream,
     run_kafka_stream,
     run_record_stream,
+    run_stream,
     start_queries,
     start_query,
+    start_table,
     wait_and_stop,
 )
 from orderflow.sources.files import stream_orders_csv
 from orderflow.sources.kafka import encode_orders
-from orderflow.streaming import sinks
-from orderflow.streaming.clean import clean_and_derive, clean_stream, rejected_stream, thin_copies
+from orderflow.streaming import deltas, sinks, tables
+from orderflow.streaming.clean import clean_and_derive, clean_stream, rejected_stream
+from orderflow.streaming.late import store_late_rows
 from orderflow.streaming.progress import ProgressLog
 
 NOW = {"availableNow": True}
@@ -92,38 +98,39 @@ def test_dedupe_within_the_watermark(stream, tmp_path):
     }
 
 
-def test_thinning_changes_no_result(spark, stream, tmp_path):
+def test_dedupe_in_parts_changes_no_result(spark, stream, tmp_path):
     columns = S.column_names(S.ORDERS)
-    cases = [(stream, DEDUPE)]
-    # A late first copy, a second one on time, a third even later; and copies without a time.
-    tricky = [
-        [order("z", "13:01")], [order("y", "13:02")],
-        [
-            order("a", "09:00"), order("a", "12:45"), order("a", "13:10"), order("b", None), order("b", "12:50"),
-            order("c", "12:55"), order("c", None), order("d", "09:00"), order("d", None), order("e", "08:00"),
-            order("e", "07:00"), order("f", "12:59"), order("f", "12:58"), order("f", "12:59"),
-        ],
-        [order("late", "12:35"), order("last", "13:11")],
-    ]
-    cases.append((source(spark, feed(tmp_path / "tricky", tricky)), tricky))
-    for number, (rows, _) in enumerate(cases):
-        plain = collect(clean_stream(rows), "append", tmp_path / f"a{number}", columns)
-        thinned = collect(clean_stream(rows, thin=True), "append", tmp_path / f"b{number}", columns)
-        assert filled(plain) == filled(thinned)
-    assert {r[0]: r[3] for r in plain[2]} == {
-        "a": at("12:45:00"), "b": None, "c": at("12:55:00"), "d": None, "f": at("12:59:00")
-    }
-
-
-def test_thinning_drops_what_cannot_survive(spark):
-    rows = [order("x", "10:05"), order("x", "10:04"), order("x", "10:05"), order("x", "10:06"), order("n", None)]
-    rows += [order("n", "11:00"), order("n", None), order("y", "10:00"), order("y", None)]
-    thin = thin_copies(orders(spark, rows).coalesce(1))
-    # 11:00 is the latest of all and stays for the watermark.
-    assert values(thin, "order_id", "order_timestamp") == sorted(
-        [("x", at("10:05:00")), ("x", at("10:06:00")), ("n", None), ("n", at("11:00:00")), ("y", at("10:00:00")), ("y", None)],
-        key=repr,
-    )
+    plain = collect(clean_stream(stream), "append", tmp_path / "a", columns)
+    parted = collect(clean_stream(stream, parts=3), "append", tmp_path / "b", columns)
+    # Of copies within a batch any one may stay; they differ in time only.
+    drop_time = lambda seen: {k: sorted((*r[:3], *r[4:]) for r in v) for k, v in filled(seen).items()}
+    assert drop_time(plain) == drop_time(parted)
+
+
+def test_a_hot_id_is_spread_over_tasks(spark, tmp_path):
+    # 16 files, each with 50 copies of one order, read by as many tasks.
+    files = [[order("hot", "10:00")] * 50 + [order(f"o{i}", "10:01")] for i in range(16)]
+    rows = source(spark, feed(tmp_path / "in", files), per_trigger=16)
+    with_parts = clean_stream(rows, parts=8)
+    settings = {"spark.sql.files.openCostInBytes": str(128 << 20), "spark.sql.files.minPartitionNum": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        counts = {}
+        query = start_query(
+            with_parts, "hot", "append", lambda b, i: counts.update({i: values(b, "order_id")}),
+            str(tmp_path / "cp"), NOW, state_partitions=8,
+        )
+        query.awaitTermination()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(counts[0]) == 17 and counts[0].count(("hot",)) == 1
+    state = lambda operator: spark.read.format("statestore").option("operatorId", operator).load(str(tmp_path / "cp" / "hot"))
+    held = {n: state(n).where("key.order_id = 'hot'").select("partition_id").distinct().count() for n in (0, 1)}
+    # The copies went through several tasks, and the last one saw one from each.
+    assert sorted(held.values())[0] == 1 and sorted(held.values())[1] >= 4
 
 
 def test_windows_in_append_mode(stream, tmp_path):
@@ -205,6 +212,68 @@ def test_restart_continues_and_replay_starts_over(spark, tmp_path):
     assert sorted(v for rows in replay.values() for v in rows) == sorted(everything)
 
 
+def test_replay_into_the_same_folder(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    frame = clean_stream(source(spark, feed(folder, DEDUPE[:2])))
+    for _ in range(2):
+        query = start_query(frame, "first", "append", sinks.store_batches(out), str(tmp_path / "cp"), NOW)
+        query.awaitTermination()
+        feed(folder, DEDUPE[2:], first=2)
+    # A batch that no replay reaches.
+    sinks.store_batches(out)(orders(spark, [order("stale")]), 99)
+    replay_batches(frame, "again", out, str(tmp_path / "cp2"))
+    found = values(sinks.read_batches(spark, out, S.ORDERS), "order_id", "product_id", "price")
+    fresh = collect(frame, "append", tmp_path / "cp3", ["order_id", "product_id", "price"])
+    assert found == sorted((v for rows in fresh.values() for v in rows), key=repr) and len(found) == 10
+
+
+def test_state_survives_a_restart(spark, tmp_path):
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    frame = clean_stream(source(spark, feed(folder, [[order("a", "10:00"), order("b", "10:20")]])))
+    collect(frame, "append", checkpoint, ["order_id"], name="held")
+    held = kept_state(spark, checkpoint, "held")
+    assert values(held, "order_id", "expires_at") == [("a", at("10:30:00")), ("b", at("10:50:00"))]
+    feed(folder, [[order("b", "10:21"), order("c", "10:55")]], first=1)
+    seen = collect(frame, "append", checkpoint, ["order_id"], name="held")
+    assert [v for rows in filled(seen).values() for v in rows] == [("c",)]
+    assert values(kept_state(spark, checkpoint, "held"), "order_id") == [("a",), ("b",), ("c",)]
+
+
+def append(frame, tmp_path, name="rows", **how):
+    path = str(tmp_path / f"{name}-out")
+    start_table(frame, name, path, str(tmp_path / "cp"), NOW, **how).awaitTermination()
+    return path
+
+
+def test_tables_take_each_batch_once(spark, tmp_path):
+    folder = tmp_path / "in"
+    frame = rejected_stream(source(spark, feed(folder, [[order(None), order("b", quantity=0)]])))
+    path = append(frame, tmp_path, partition_by="reject_reason")
+    # The commit of the last batch is lost: it runs again and must add nothing.
+    (tmp_path / "cp" / "rows" / "commits" / "0").unlink()
+    for crc in (tmp_path / "cp" / "rows" / "commits").glob(".0.crc"):
+        crc.unlink()
+    feed(folder, [[order("c", quantity=-1)]], first=1)
+    append(frame, tmp_path, partition_by="reject_reason")
+    # Files that the log does not name do not count.
+    orders(spark, [order("ghost")]).write.parquet(f"{path}/reject_reason=invalid_values/x")
+    ddl = f"{S.ORDERS}, reject_reason string"
+    found = tables.read_table(spark, path, ddl, "reject_reason string")
+    expected = [("b", "invalid_values"), ("c", "invalid_values"), (None, "missing_order_id")]
+    assert values(found, "order_id", "reject_reason") == sorted(expected, key=repr)
+    pruned = found.where("reject_reason = 'invalid_values'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reject_reason" in pruned
+    again = tables.stream_table(spark, path, ddl)
+    assert [len(v) for v in filled(collect(again, "append", tmp_path / "cp3", ["order_id"])).values()] == [3]
+
+
+def test_nothing_appended_yet(spark, tmp_path):
+    none = tables.read_table(spark, str(tmp_path / "none"), S.ORDERS)
+    assert none.count() == 0 and none.columns == S.column_names(S.ORDERS)
+    later = tables.stream_table(spark, str(tmp_path / "later"), S.ORDERS)
+    assert filled(collect(later, "append", tmp_path / "cp", ["order_id"])) == {}
+
+
 def window_rows(spark, *products):
     return spark.createDataFrame(
         [(at("10:00:00"), at("10:10:00"), p, 1, 2.0) for p in products], sinks.WINDOWS
@@ -213,17 +282,93 @@ def window_rows(spark, *products):
 
 def test_repeated_batches_replace_their_output(spark, tmp_path):
     rows = window_rows(spark, "p1")
-    for how, column in (("window_date", "window_date date"), ("product_id", "product_id string")):
-        path = str(tmp_path / how)
-        store = sinks.store_windows(path, how)
-        for batch_id in (0, 1, 1, 1):
-            store(rows, batch_id)
-        found = sinks.read_batches(spark, path, f"{sinks.WINDOWS}, batch_id bigint", column)
-        assert values(found, "batch_id", "product_id") == [(0, "p1"), (1, "p1")]
-        # An empty repeat leaves nothing behind.
-        store(rows.limit(0), 1)
-        assert values(sinks.read_batches(spark, path, sinks.WINDOWS, column), "product_id") == [("p1",)]
-    assert (tmp_path / "product_id" / "batch_id=0" / "product_id=p1").exists()
+    path = str(tmp_path / "out")
+    store = sinks.store_batches(path, "product_id")
+    for batch_id in (0, 1, 1, 1):
+        store(rows, batch_id)
+    ddl, column = f"{sinks.WINDOWS}, batch_id bigint", "product_id string"
+    found = sinks.read_batches(spark, path, ddl, column)
+    assert values(found, "batch_id", "product_id") == [(0, "p1"), (1, "p1")]
+    # An empty repeat leaves nothing behind.
+    store(rows.limit(0), 1)
+    assert values(sinks.read_batches(spark, path, sinks.WINDOWS, column), "product_id") == [("p1",)]
+    assert (tmp_path / "out" / "batch_id=0" / "product_id=p1").exists()
+
+
+def totals_of(spark, **n):
+    return spark.createDataFrame([(p, k, float(k)) for p, k in n.items()], sinks.TOTALS)
+
+
+def test_deltas_are_merged_in_levels(spark, tmp_path):
+    path = str(tmp_path / "totals")
+    store = deltas.store_deltas(path, spark, sinks.TOTALS, ["product_id"], fanout=3)
+    read = lambda: values(deltas.read_deltas(spark, path, sinks.TOTALS, ["product_id"]), "product_id", "total_orders")
+    assert read() == []
+    expected = {}
+    for batch_id in range(11):
+        changed = {f"p{batch_id % 4}": batch_id, "p9": 100 + batch_id}
+        expected |= changed
+        for _ in range(1 + batch_id % 2):
+            store(totals_of(spark, **changed), batch_id)
+        assert dict(read()) == expected
+    runs = sorted(p.name for p in (tmp_path / "totals").iterdir())
+    assert runs == ["run_000000000000_000000000008", "run_000000000009_000000000009", "run_000000000010_000000000010"]
+    # A batch that is in a merged run already, and a merge that ended before its parts went.
+    store(totals_of(spark, p9=-1), 5)
+    sinks.write_parquet(totals_of(spark, p9=-1), f"{path}/run_000000000003_000000000005")
+    assert dict(read()) == expected
+
+
+def test_deltas_write_what_changed(spark, tmp_path):
+    path = str(tmp_path / "totals")
+    store = deltas.store_deltas(path, spark, sinks.TOTALS, ["product_id"])
+    store(spark.range(50_000).selectExpr("concat('p', id) product_id", "id total_orders", "rand() total_revenue"), 0)
+    size = lambda: sum(f.stat().st_size for f in (tmp_path / "totals").rglob("*.parquet"))
+    whole = size()
+    store(totals_of(spark, p7=1), 1)
+    assert size() - whole < whole / 50
+
+
+def test_upserts_replace_the_days_they_touch(spark, tmp_path):
+    path, ddl = str(tmp_path / "days"), "day date, product_id string, n bigint"
+    store = lambda: deltas.store_upserts(path, str(tmp_path / "staging"), spark, ddl, ["day", "product_id"], "day")
+    batch = lambda *rows: spark.createDataFrame(rows, "d string, product_id string, n bigint").selectExpr(
+        "CAST(d AS date) AS day", "product_id", "n"
+    )
+    read = lambda: values(spark.read.schema(ddl).parquet(path).selectExpr("string(day) d", "product_id", "n"), "d", "product_id", "n")
+    store()(batch(("2026-01-01", "a", 1), ("2026-01-02", "a", 2)), 0)
+    untouched = {f.name for f in (tmp_path / "days" / "day=2026-01-01").glob("*.parquet")}
+    for _ in range(2):
+        store()(batch(("2026-01-02", "a", 5), ("2026-01-02", "b", 6)), 1)
+    assert read() == [("2026-01-01", "a", 1), ("2026-01-02", "a", 5), ("2026-01-02", "b", 6)]
+    assert {f.name for f in (tmp_path / "days" / "day=2026-01-01").glob("*.parquet")} == untouched
+    # The batch ended between taking the old day away and putting the new one in place.
+    for f in (tmp_path / "days" / "day=2026-01-02").iterdir():
+        f.unlink()
+    store()(batch(("2026-01-02", "a", 5), ("2026-01-02", "b", 6)), 1)
+    store()(batch(("2026-01-03", "c", 1)).limit(0), 2)
+    assert read() == [("2026-01-01", "a", 1), ("2026-01-02", "a", 5), ("2026-01-02", "b", 6)]
+
+
+def test_late_rows_are_stored(spark, tmp_path):
+    batches = [[order(i, t)] for i, t in (
+        ("a", "10:00"), ("b", "12:00"), ("c", "12:01"), ("late", "11:29"), ("edge", "11:30"), ("f", "12:02"),
+    )]
+    frame = source(spark, feed(tmp_path / "in", batches))
+    path = str(tmp_path / "late")
+    store = store_late_rows(path, spark, "30 minutes")
+    calls = []
+
+    def twice(batch, batch_id):
+        for _ in range(2):
+            calls.append(batch_id)
+            store(batch, batch_id)
+
+    start_query(frame, "late", "append", twice, str(tmp_path / "cp"), NOW).awaitTermination()
+    kept = collect(clean_stream(frame), "append", tmp_path / "cp2", ["order_id"])
+    late = ids(sinks.read_batches(spark, f"{path}/rows", S.ORDERS))
+    assert late == ["edge", "late"] and max(calls) == 5
+    assert sorted(late + [v for rows in kept.values() for (v,) in rows]) == ["a", "b", "c", "edge", "f", "late"]
 
 
 def test_stored_reasons_come_back(spark, tmp_path):
@@ -235,15 +380,6 @@ def test_stored_reasons_come_back(spark, tmp_path):
     assert values(found, *found.columns) == values(rows, *found.columns)
 
 
-def test_day_filters_prune_directories(spark, tmp_path):
-    path = str(tmp_path / "w")
-    sinks.store_windows(path)(window_rows(spark, "p1"), 0)
-    found = sinks.read_batches(spark, path, f"{sinks.WINDOWS}, window_date date", "window_date date")
-    day = found.filter("window_date = date'2026-01-01'")
-    assert "PartitionFilters: [isnotnull(window_date" in day._jdf.queryExecution().executedPlan().toString()
-    assert day.count() == 1
-
-
 def test_incomplete_batches_are_not_read(spark, tmp_path):
     totals = spark.createDataFrame([("p1", 1, 2.0)], sinks.TOTALS)
     for batch_id in (0, 1):
@@ -269,12 +405,14 @@ def test_snapshots_may_be_limited(spark, tmp_path):
 def test_files_per_batch_are_bounded(spark, tmp_path):
     rows = [[order(f"o{i}", "10:00", f"p{i % 50}") for i in range(400)] + [order("end", "18:00")], [order("x", "18:01")]]
     frame = agg.windowed_revenue(clean_and_derive(source(spark, feed(tmp_path / "in", rows))))
-    store = sinks.store_windows(str(tmp_path / "w"), files_per_batch=3)
-    query = start_query(frame, "files", "append", store, str(tmp_path / "cp"), NOW, state_partitions=16)
-    query.awaitTermination()
-    counts = [len(list(day.glob("*.parquet"))) for day in (tmp_path / "w").glob("batch_id=*/window_date=*")]
+    frame = frame.withColumn("window_date", F.to_date("window_start"))
+    path = append(frame, tmp_path, partition_by="window_date", writers=3, state_partitions=16)
     # One day's rows are written by several tasks, but no more than asked for.
-    assert counts and max(counts) == 3
+    assert [len(list((tmp_path / "rows-out").glob("window_date=*/*.parquet")))] == [3]
+    assert tables.read_table(spark, path, sinks.WINDOWS).count() == 50
+    append(frame.drop("window_date"), tmp_path, "together", partition_by="product_id", writers=3, together=True)
+    assert {len(list(d.glob("*.parquet"))) for d in (tmp_path / "together-out").glob("product_id=*")} == {1}
+    assert tables.default_writers(spark) >= 8
 
 
 def test_console_handlers_skip_empty_batches(spark, capsys):
@@ -370,25 +508,67 @@ def test_enrichment_of_each_batch(spark, tmp_path, limit):
 def test_whole_job(spark, tmp_path, capsys):
     folder = feed(tmp_path / "in", DEDUPE)
     lines = []
-    tables = run_file_stream(
-        spark, folder, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True, log=lines.append,
+    job = run_file_stream(
+        spark, folder, str(tmp_path / "out"), str(tmp_path / "cp"), max_files_per_trigger=1,
+        names=(*ALL_QUERIES, "current_windows", "snapshots"), available_now=True, log=lines.append,
     )
-    assert values(tables.product_totals(), "product_id", "total_orders", "total_revenue")[1] == ("p2", 2, 68.0)
-    assert tables.windowed_revenue().count() > 0
-    assert values(tables.quarantine(), "order_id", "reject_reason") == [(None, "missing_order_id")]
-    summary = {r["query"]: r for r in tables.summary.collect()}
-    assert set(summary) == {"console", "windowed_revenue", "product_totals", "quarantine"}
+    columns = ["product_id", "total_orders", "total_revenue"]
+    assert values(job.product_totals(), *columns) == [("p1", 8, 642.0), ("p2", 2, 68.0)]
+    assert values(job.latest_snapshot(), *columns) == values(job.product_totals(), *columns)
+    assert job.cleaned().count() == 10
+    closed = values(job.windowed_revenue(), "window_start", "product_id", "orders_count")
+    assert set(closed) < set(values(job.current_windows(), "window_start", "product_id", "orders_count"))
+    assert values(job.quarantine(), "order_id", "reject_reason") == [(None, "missing_order_id")]
+    # As dropped by the cleaning query: every row is in one of the tables.
+    assert job.late_orders().count() == 0
+    counts = {r.batch_id: r for r in job.batches.where("query = 'clean'").collect()}
+    assert [(counts[i].rows_in, counts[i].missing_order_id, counts[i].kept) for i in range(5)] == [
+        (5, 1, 3), (2, 0, 1), (3, 0, 3), (1, 0, 1), (2, 0, 2)
+    ]
+    summary = {r["query"]: r for r in job.summary.collect()}
+    assert set(summary) == {*ALL_QUERIES, "current_windows", "snapshots"}
     assert all(r.complete for r in summary.values())
-    # The scan itself drops the row without an id, except for the quarantine.
+    # The reports read the table of cleaned orders, the input was scanned for "clean" once.
     n_rows = sum(map(len, DEDUPE))
-    assert {n: r.input_rows for n, r in summary.items()} == {
-        n: n_rows - (n != "quarantine") for n in summary
+    assert {n: summary[n].input_rows for n in ("clean", "quarantine", "windowed_revenue")} == {
+        "clean": n_rows, "quarantine": n_rows, "windowed_revenue": 10
     }
-    assert "top 10 products" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "top 10 products" in printed and "batch 0" in printed
     assert any("[product_totals] batch" in line for line in lines)
     assert not spark.streams.active
 
 
+def test_one_query_deduplicates(spark, tmp_path):
+    folder = feed(tmp_path / "in", DEDUPE)
+    started = start_queries(
+        source(spark, folder), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True
+    )
+    wait_and_stop(started, all_must_end=True)
+    state = {
+        query.name: {op["operatorName"] for p in query.recentProgress for op in p.stateOperators}
+        for query in started
+    }
+    assert {n for n, ops in state.items() if any("dedupe" in op for op in ops)} == {"clean"}
+    assert {n for n, ops in state.items() if ops} == {"clean", "console", "windowed_revenue", "product_totals"}
+
+
+def test_a_restarted_job_repeats_nothing(spark, tmp_path):
+    folder, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    for first, last in ((0, 3), (3, 5)):
+        rows = source(spark, feed(folder, DEDUPE[first:last], first))
+        job = run_stream(rows, out, checkpoint, available_now=True)
+    assert values(job.product_totals(), "product_id", "total_orders") == [("p1", 8), ("p2", 2)]
+    assert sorted(r.order_id for r in job.cleaned().collect()).count("o3") == 1
+    windows = job.windowed_revenue().groupBy("window_start", "product_id").count()
+    assert windows.where("count > 1").count() == 0 and windows.count() > 0
+
+
+def test_unknown_queries_are_refused(spark, stream, tmp_path):
+    with pytest.raises(ValueError, match="nonsense"):
+        start_queries(stream, str(tmp_path / "o"), str(tmp_path / "c"), names=("nonsense",))
+
+
 def test_state_is_spread_as_asked(spark, stream, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     frame = clean_stream(stream)
@@ -425,7 +605,8 @@ def test_nothing_stored_yet(spark, tmp_path):
 def test_triggered_queries_stop_after_the_timeout(spark, tmp_path):
     frame = source(spark, feed(tmp_path / "in", DEDUPE[:1]))
     queries = start_queries(frame, str(tmp_path / "out"), str(tmp_path / "cp"), names=("product_totals",))
-    assert [q.name for q in queries] == ["product_totals"]
+    # The totals read the cleaned orders.
+    assert [q.name for q in queries] == ["clean", "product_totals"]
     wait_and_stop(queries, timeout=6)
     assert not spark.streams.active
 

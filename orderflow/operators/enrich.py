@@ -133,7 +133,8 @@ def left_lookup(
 
     ``only`` restricts which orders are looked up at all. ``hot`` holds the
     result of ``hot_keys`` if the caller has it; without it a large dimension
-    costs extra passes over the key column. It affects speed, never the result.
+    costs extra passes over the key column, so write orders that are costly to make
+    first, as the batch job does. It affects speed, never the result.
 
     A stream cannot be looked up in a large dimension directly: its batches are
     (``streaming.sinks.enriching``), each against the dimension rows it needs.

@@ -1,7 +1,15 @@
-"""The batch job: raw orders in, clean tables and revenue reports out."""
+"""The batch job: raw orders in, clean tables and revenue reports out.
+
+A run writes all its tables into a folder of its own. Only when they are complete does a
+small file that names the folder change, at once, so a reader finds the tables of one
+run, whatever happens to the next.
+"""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +29,7 @@ from orderflow.operators.enrich import (
 from orderflow.operators.metrics import long_form
 from orderflow.operators.quality import rejected_orders, valid_orders
 from orderflow.settings import session_setting
+from orderflow.sinks.commits import delete, folder_names, publish, published
 from orderflow.sinks.files import (
     read_parquet,
     read_quarantine,
@@ -43,6 +52,11 @@ _KEY_TYPES = "order_date date, product_id string, hour_of_day int"
 ROLLUP_TABLE = f"order_class string, {_KEY_TYPES}, {_TOTALS}, n_copies bigint, revenue_key string"
 
 
+#: File that names the current run.
+CURRENT = "CURRENT"
+_RUN = r"run-\d{20}-[0-9a-f]{8}"
+
+
 @dataclass(frozen=True)
 class BatchTables:
     """Where one run of the batch job keeps its results."""
@@ -149,8 +163,11 @@ def run_batch(
     shuffle_partitions: int | None = None,
     hot: dict[str, list] | None = None,
     min_partition_size: str | None = None,
+    keep_runs: int = 2,
 ) -> BatchTables:
-    """Run the whole job and return its tables.
+    """Run the whole job and return its tables, which then are those that
+    ``open_batch(spark, output)`` finds. The run before stays too, so its readers are
+    not cut off at once; ``keep_runs`` may be more. Runs that ended half-way go.
 
     ``shuffle_partitions`` replaces the session's number while the job runs.
     The deduplication cannot split a partition, so plan for a few GB each at
@@ -162,10 +179,34 @@ def run_batch(
     """
     spark = orders.sparkSession
     partitions = None if shuffle_partitions is None else str(shuffle_partitions)
+    run = f"run-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     with session_setting(spark, "spark.sql.shuffle.partitions", partitions):
-        return _run_batch(
-            orders, customers, products, output, broadcast_limit, hot, min_partition_size
+        tables = _run_batch(
+            orders, customers, products, f"{output}/{run}", broadcast_limit, hot, min_partition_size
         )
+    before = _current(spark, output)
+    runs = [run, *(before["runs"] if before else [])][: max(1, keep_runs)]
+    current = {"runs": runs, "customers": tables.n_customers, "products": tables.n_products}
+    publish(spark, output, CURRENT, json.dumps(current))
+    for name in folder_names(spark, output, _RUN):
+        # A newer one may be another run at work.
+        if name not in runs and name < run:
+            delete(spark, f"{output}/{name}")
+    return tables
+
+
+def _current(spark: SparkSession, output: str) -> dict | None:
+    text = published(spark, output, CURRENT)
+    return None if text is None else json.loads(text)
+
+
+def open_batch(spark: SparkSession, output: str) -> BatchTables | None:
+    """The tables of the last run that was completed; None before the first."""
+    current = _current(spark, output)
+    if current is None:
+        return None
+    root = f"{output}/{current['runs'][0]}"
+    return BatchTables(spark, root, current["customers"], current["products"])
 
 
 def _run_batch(

@@ -177,8 +177,11 @@ def enrich_dimensions(spark: SparkSession, sf: str) -> DataFrame:
 
 def enrich_large_dimensions(spark: SparkSession, sf: str) -> DataFrame:
     """The same result by the joins for dimensions too large to broadcast, with
-    few hot keys and many others."""
-    active = _active(spark, sf)
+    few hot keys and many others. The orders are written first: they are read for the
+    hot keys and for the joins."""
+    active, path = _active(spark, sf), scratch_dir(spark, "active")
+    write_parquet(active, path)
+    active = spark.read.schema(active.schema).parquet(path)
     hot = enrich.hot_keys(active, "customer_id", "product_id", share=HOT_SHARE)
     return enrich.enrich_with_dimensions(
         active,
@@ -640,25 +643,47 @@ ROWS_PER_FILE = 100
 
 def microbatch_files(spark: SparkSession, sf: str) -> DataFrame:
     """Defective orders split into files by time and read back, with two flags:
-    whether the row's file is within its size and whether no earlier file, by
-    name, holds a later time."""
+    whether the row's file has its exact size (the last one may be short) and whether no
+    earlier file, by name, holds a later time.
+
+    Names give a task and a number within the task, so files are compared within their
+    task and tasks, few of them, with each other.
+    """
     path = scratch_dir(spark, "microbatches")
     synth.split_microbatches(
         synth_defects(spark, sf), path, rows_per_file=ROWS_PER_FILE, order_by="order_timestamp"
     )
-    rows = files.read_orders_csv(spark, path).withColumn("file", F.col("_metadata.file_name"))
-    per_file = rows.groupBy("file").agg(
+    name = F.col("_metadata.file_name")
+    rows = files.read_orders_csv(spark, path).withColumns(
+        {
+            "task": F.regexp_extract(name, r"part-(\d+)-", 1).cast("int"),
+            "file": F.regexp_extract(name, r"-c(\d+)\.", 1).cast("int"),
+        }
+    )
+    per_file = rows.groupBy("task", "file").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min("order_timestamp").alias("first"),
         F.max("order_timestamp").alias("last"),
     )
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    flags = per_file.select(
+    before, after = Window.unboundedPreceding, Window.unboundedFollowing
+    tasks = Window.orderBy("task")
+    per_task = per_file.groupBy("task").agg(F.max("last").alias("last"), F.max("file").alias("files"))
+    per_task = per_task.select(
+        "task",
+        "files",
+        F.max("last").over(tasks.rowsBetween(before, -1)).alias("passed"),
+        (F.max("task").over(tasks.rowsBetween(before, after)) == F.col("task")).alias("is_last"),
+    )
+    earlier = Window.partitionBy("task").orderBy("file").rowsBetween(before, -1)
+    latest = F.greatest(F.max("last").over(earlier), F.col("passed"))
+    short = F.col("is_last") & (F.col("file") == F.col("files")) & (F.col("n_rows") < ROWS_PER_FILE)
+    flags = per_file.join(per_task, "task").select(
+        "task",
         "file",
-        (F.col("n_rows") <= ROWS_PER_FILE).alias("size_kept"),
-        F.coalesce(F.max("last").over(earlier) <= F.col("first"), F.lit(True)).alias("order_kept"),
+        ((F.col("n_rows") == ROWS_PER_FILE) | short).alias("size_kept"),
+        F.coalesce(latest <= F.col("first"), F.lit(True)).alias("order_kept"),
     )
-    return rows.join(flags, "file").drop("file")
+    return rows.join(flags, ["task", "file"]).drop("task", "file")
 
 
 def synth_customers(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,6 +8,7 @@ those that matter.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +63,39 @@ def folders_matching(spark: SparkSession, root: str, pattern: str) -> list[str]:
     return [n for n in names if re.fullmatch(pattern, n) and _is_committed(spark, f"{root}/{n}")]
 
 
+def publish(spark: SparkSession, root: str, name: str, text: str) -> None:
+    """Put a small file in place at once: readers see the old text or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path, draft = _path(spark, f"{root}/{name}"), _path(spark, f"{root}/.{name}.{uuid.uuid4().hex}")
+    stream = _store(spark, draft).create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), conf).rename(draft, path, options)
+
+
+def published(spark: SparkSession, root: str, name: str) -> str | None:
+    """The text of a published file; None if there is none."""
+    path = _path(spark, f"{root}/{name}")
+    store = _store(spark, path)
+    if not store.exists(path):
+        return None
+    stream = store.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folder_names(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Names of the folders below root that match a pattern, complete or not."""
+    path = _path(spark, root)
+    names = [status.getPath().getName() for status in _store(spark, path).listStatus(path)]
+    return sorted(n for n in names if re.fullmatch(pattern, n))
+
+
 def drop_newer(spark: SparkSession, root: str, prefix: str, last: int) -> None:
     """Delete the batches after ``last``: what a replay did not reach."""
     for number, name in _numbered(spark, root, prefix).items():

@@ -154,8 +154,8 @@ def test_microbatch_files_follow_arrival(spark, made, tmp_path):
     parts = [read_orders_csv(spark, str(path)).filter(F.col("_metadata.file_name") == f.name) for f in files]
     sizes = [p.count() for p in parts]
     assert sum(sizes) == 2_000 and max(sizes) == 150
-    # Only the last file of a range may be short.
-    assert sum(size < 150 for size in sizes) <= 4
+    # Only the very last file is short.
+    assert sizes == [150] * 13 + [50]
     ends = [p.agg(F.max("order_timestamp"), F.min("order_timestamp")).first() for p in parts]
     latest = [e[0] for e in ends]
     assert latest == sorted(latest)
@@ -165,4 +165,5 @@ def test_microbatch_files_follow_arrival(spark, made, tmp_path):
 def test_one_shared_time_is_still_split(spark, tmp_path):
     same = synth.synth_orders(spark.range(600)).withColumn("arrival_time", F.lit(at("10:00:00")))
     synth.split_microbatches(same, str(tmp_path / "s"), rows_per_file=100)
-    assert len(list((tmp_path / "s").glob("part-*.csv"))) >= 6
+    sizes = [len(f.read_text().splitlines()) - 1 for f in (tmp_path / "s").glob("part-*.csv")]
+    assert sizes == [100] * 6

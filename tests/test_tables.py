@@ -20,7 +20,8 @@ from orderflow.operators.enrich import (
 from orderflow.operators.metrics import stage_counts
 from orderflow.operators.quality import rejected_orders
 from orderflow.operators.reconcile import reconcile
-from orderflow.plans.batch import run_batch
+from orderflow.plans import batch
+from orderflow.plans.batch import open_batch, run_batch
 from orderflow.plans.scratch import scratch_dir
 from orderflow.settings import session_setting
 from orderflow.sinks.files import read_quarantine, write_cancelled_orders, write_parquet, write_quarantine
@@ -307,3 +308,33 @@ def test_second_run_replaces_the_first(spark, customers, products, tmp_path):
     assert values(tables.orders(), "order_id") == [("only",)]
     assert tables.quarantine().count() == 0 and tables.cancelled().count() == 0
     assert enriched_layout(tables.orders()).count() == 1
+
+
+def test_readers_see_the_tables_of_one_run(spark, customers, products, tmp_path, monkeypatch):
+    output = str(tmp_path / "out")
+    assert open_batch(spark, output) is None
+    run_batch(orders(spark, RAW), customers, products, output)
+    before = open_batch(spark, output)
+    expected = values(before.orders(), "order_id"), values(before.stage_counts(), "stage", "n_rows")
+    written = []
+
+    def breaks(frame, path, *rest, **how):
+        written.append(path)
+        if path.endswith("daily_revenue"):
+            raise RuntimeError("the cluster is gone")
+        write_parquet(frame, path, *rest, **how)
+
+    # The order table and the roll-up of this run are written, the reports are not.
+    monkeypatch.setattr(batch, "write_parquet", breaks)
+    with pytest.raises(RuntimeError):
+        run_batch(orders(spark, [order("only")]), customers, products, output)
+    assert any(path.endswith("revenue_rollup") for path in written)
+    found = open_batch(spark, output)
+    assert (values(found.orders(), "order_id"), values(found.stage_counts(), "stage", "n_rows")) == expected
+    monkeypatch.undo()
+    run_batch(orders(spark, [order("only")]), customers, products, output)
+    assert values(open_batch(spark, output).orders(), "order_id") == [("only",)]
+    # The tables that a reader holds are still there, those of the broken run are not.
+    assert values(found.orders(), "order_id") == expected[0]
+    assert len(list((tmp_path / "out").glob("run-*"))) == 2
+    assert {p.name for p in (tmp_path / "out").iterdir() if p.is_file() and not p.name.startswith(".")} == {"CURRENT"}

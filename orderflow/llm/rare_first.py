@@ -16,13 +16,14 @@ Two classes link if the Jaccard similarity of their sets reaches ``percent``.
    in its prefix and goes no further.
 4. Classes that share a prefix n-gram are candidates if their lengths allow the
    similarity, if the n-grams left after the shared one do (positional filter), and if
-   those do by eight parts of the hash range: the overlap is at most the sum over parts
+   those do by 16 parts of the hash range: the overlap is at most the sum over parts
    of the lesser number of n-grams (suffix filter). In the smaller class the shared one
    must lie where even a class of the same length could still be reached.
 5. A candidate pair is verified once, on all shared n-grams. Only components are asked
    for, so not all pairs of a posting list are made: each class meets the first one of
-   its list, links make components, and then only classes of different components of a
-   list meet, those outside its largest component with all others.
+   its list, and links make components. In some ``rounds`` more, the classes outside a
+   list's largest component meet one member of it, another one in each list and round.
+   Then those still outside meet all others of their list.
 
 An n-gram of very many classes would fill one task in step 2. Counters kept by each task
 (Misra and Gries) find all n-grams with more postings than ``crowd``, ``noticed`` per
@@ -39,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,7 @@ from orderflow.llm.near_dups import components, shingle_sets
 from orderflow.llm.text import stored, whole
 
 #: Parts of the hash range in the suffix filter.
-PARTS = 8
+PARTS = 16
 #: Frequency of n-grams that are not counted.
 LAST = (1 << 62) - 1
 #: Postings leave a task in batches of about this many rows.
@@ -63,7 +65,7 @@ class Join:
     """words of an n-gram; percent: least similarity; counters of a task; crowd: fewest
     postings of an n-gram that is left uncounted; noticed: fewest of them that a task
     reports; width: part of the n-grams looked at first, as a multiple of those that a
-    class may have alone."""
+    class may have alone; rounds: see step 5."""
 
     words: int = 5
     percent: int = 80
@@ -71,6 +73,7 @@ class Join:
     crowd: int = 10_000
     noticed: int = 16
     width: float = 1.4
+    rounds: int = 3
 
     @property
     def sample(self) -> float:
@@ -285,7 +288,7 @@ def prefixes(lists: DataFrame, join: Join) -> DataFrame:
             place = starts[:-1][owner] + at
             columns = [batch.column("node").take(pa.array(owner)), flat[place], n[owner], at]
             columns.append(sizes[owner] - at - 1)
-            part = (flat.view(np.uint64) >> np.uint64(61)).astype(np.int64)
+            part = (flat.view(np.uint64) >> np.uint64(60)).astype(np.int64)
             for k in range(PARTS):
                 upto = offsets(part == k)
                 columns.append(upto[starts[1:]][owner] - upto[place + 1])
@@ -308,23 +311,31 @@ def _least_overlap(sizes: Column, percent: int) -> Column:
     return ((percent * sizes - rest) / (100 + percent)).cast("long") + (rest > 0).cast("long")
 
 
-def candidates(matches: DataFrame, join: Join) -> DataFrame:
-    """Pairs (a, b) of matches that all filters let through."""
-    t = join.percent
-    need = _least_overlap(F.col("n_a") + F.col("n_b"), t)
-    before = F.least("at_a", "at_b")
-    by_place = before + 1 + F.least("rest_a", "rest_b")
-    by_part = before + 1 + sum(F.least(f"part{k}_a", f"part{k}_b") for k in range(PARTS))
+def _need(join: Join) -> Column:
+    return _least_overlap(F.col("n_a") + F.col("n_b"), join.percent)
+
+
+def matching(a: DataFrame, b: DataFrame, join: Join, also: Column) -> DataFrame:
+    """Entries of two classes that share an n-gram and pass all filters."""
+    before = F.least("at_a", "at_b") + 1
+    by_part = sum(F.least(f"part{k}_a", f"part{k}_b") for k in range(PARTS))
     return (
-        matches.where(100 * F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b"))
-        .where(by_place >= need)
-        .groupBy(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-        .agg(F.min(by_part - need).alias("slack"))
-        .where("slack >= 0")
-        .select("a", "b")
+        _side(a, "a")
+        .join(_side(b, "b"), "gram")
+        .where(also)
+        .where(100 * F.least("n_a", "n_b") >= join.percent * F.greatest("n_a", "n_b"))
+        .where(before + F.least("rest_a", "rest_b") >= _need(join))
+        .where(before + by_part >= _need(join))
     )
 
 
+def pairs_of(matches: DataFrame) -> DataFrame:
+    """Each pair (a, b) of the matches once."""
+    return matches.select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+    ).distinct()
+
+
 def verified(pairs: DataFrame, lists: DataFrame, join: Join) -> DataFrame:
     """The pairs whose sets are similar enough."""
     left = lists.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
@@ -335,56 +346,74 @@ def verified(pairs: DataFrame, lists: DataFrame, join: Join) -> DataFrame:
     return stored(found, "join-links")
 
 
-def first_of_lists(entries: DataFrame, join: Join) -> DataFrame:
-    """Candidates that pair each class with the first one of each of its lists."""
-    first = entries.groupBy("gram").agg(
-        F.min(F.struct(*(c for c in _ENTRY if c != "gram"))).alias("first"), F.count("*").alias("k")
+def _leaders(entries: DataFrame, rank: Column) -> DataFrame:
+    """The lowest entry of each list; stored, so that a join with the entries may split
+    those of a crowded list."""
+    found = entries.groupBy("gram").agg(
+        F.min(F.struct(rank.alias("rank"), *(c for c in _ENTRY if c != "gram"))).alias("first"),
+        F.count("*").alias("k"),
     )
-    # Stored, so that the join below may split the entries of a crowded list.
-    first = stored(first.where("k > 1").select("gram", "first.*"), "join-first")
-    matches = _side(entries, "a").join(_side(first, "b"), "gram").where("node_a <> node_b")
-    return candidates(matches, join)
+    first = [f"first.{c}" for c in _ENTRY if c != "gram"]
+    return stored(found.select("gram", "k", *first), "join-leaders")
 
 
-def across(entries: DataFrame, labels: DataFrame, join: Join) -> DataFrame:
-    """Candidates of different components, in lists that hold several."""
-    labelled = (
-        entries.join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
+def several_components(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of lists that hold several components, with their label and whether it
+    is the one of most entries."""
+    labelled = entries.join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node")
     )
     groups = labelled.groupBy("gram", "label").agg(F.count("*").alias("k"))
-    several = (
+    mains = (
         groups.groupBy("gram")
         .agg(F.max(F.struct("k", "label")).alias("top"), F.count("*").alias("labels"))
         .where("labels > 1")
         .select("gram", F.col("top.label").alias("main"))
     )
-    rows = stored(labelled.join(several, "gram"), "join-several")
+    rows = labelled.join(stored(mains, "join-mains"), "gram")
+    return stored(rows.withColumn("main", F.col("label") == F.col("main")), "join-several")
+
+
+def across(rows: DataFrame, join: Join) -> DataFrame:
+    """Matches of different components, at least one of them outside the largest one."""
     # The smaller class of a pair still needs this many n-grams from the shared one on.
     early = rows.where(F.col("rest") + 1 >= _least_overlap(2 * F.col("n"), join.percent))
-    minor, major = F.col("label") != F.col("main"), F.col("label") == F.col("main")
     smaller = F.struct("n_a", "node_a") < F.struct("n_b", "node_b")
-    matches = [
-        _side(a, "a").join(_side(b, "b"), "gram").where((F.col("label_a") != F.col("label_b")) & smaller)
-        for a, b in ((early.where(minor), rows), (early.where(major), rows.where(minor)))
-    ]
-    return candidates(matches[0].union(matches[1]), join)
+    apart = (F.col("label_a") != F.col("label_b")) & smaller
+    outside = matching(early.where("NOT main"), rows, join, apart)
+    return outside.union(matching(early.where("main"), rows.where("NOT main"), join, apart))
 
 
 def links(lists: DataFrame, join: Join) -> DataFrame | None:
     """Components (node, label) of the classes; None without any link."""
     entries = prefixes(lists, join)
-    pairs = stored(first_of_lists(entries, join), "join-pairs")
-    found = verified(pairs, lists, join)
+    tested: list[DataFrame] = []
+    found: list[DataFrame] = []
     labels = lists.select("node", F.col("node").alias("label")).limit(0)
-    if not found.isEmpty():
-        labels = components(found)
-    more = across(entries, labels, join).join(pairs, ["a", "b"], "left_anti")
-    more = verified(more, lists, join)
-    found = found.union(more)
-    if more.isEmpty():
-        return None if found.isEmpty() else labels
-    return components(found)
+
+    def test(matches: DataFrame) -> None:
+        nonlocal labels
+        pairs = pairs_of(matches)
+        for old in tested:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        tested.append(stored(pairs, "join-pairs"))
+        linked = verified(tested[-1], lists, join)
+        if not linked.isEmpty():
+            found.append(linked)
+            labels = components(reduce(DataFrame.union, found))
+
+    other = F.col("node_a") != F.col("node_b")
+    test(matching(entries, _leaders(entries, F.col("node")).where("k > 1"), join, other))
+    for turn in range(join.rounds + 1):
+        rows = several_components(entries, labels)
+        if rows.isEmpty():
+            break
+        if turn == join.rounds:
+            test(across(rows, join))
+            break
+        leaders = _leaders(rows.where("main"), F.xxhash64("node", "gram", F.lit(turn)))
+        test(matching(rows.where("NOT main"), leaders, join, other))
+    return labels if found else None
 
 
 def joined(docs: DataFrame, join: Join = Join()) -> DataFrame:

@@ -101,12 +101,12 @@ def test_planted_periods(spark):
     assert changed > 5
 
 
-@pytest.mark.parametrize("counters,crowd", [(65_536, 10_000), (16, 5)])
+@pytest.mark.parametrize("counters,crowd,rounds", [(65_536, 10_000, 3), (16, 5, 0)])
 @pytest.mark.parametrize("length,percent", [(60, 85), (25, 80)])
-def test_join(spark, counters, crowd, length, percent):
+def test_join(spark, counters, crowd, rounds, length, percent):
     texts = TEXTS + [(i + 100, t) for i, t in variants(percent, length=length)]
     noticed = 16 if crowd > 5 else 1
-    join = rare_first.Join(4, percent, counters, crowd, noticed, 1.4 * (5 - noticed // 4))
+    join = rare_first.Join(4, percent, counters, crowd, noticed, 1.4 * (5 - noticed // 4), rounds)
     rows = rare_first.joined(documents(spark, texts, extra=True), join).collect()
     expected = near_components(texts, 4, percent)
     expected = [(i, len(shingles(t, 4)), c) for (i, t), c in zip(texts, expected, strict=True)]

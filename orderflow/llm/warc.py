@@ -4,13 +4,19 @@ Writing: each task writes the records of its partition to one archive file, one
 gzip member per record, and returns where they lie. Index: rows of reversed-host
 URL key, page and place are sorted by range; each task packs its lines into
 compressed blocks of ``block_lines`` lines, and one directory row per block keeps
-its first and last key and its place. Reading: lookups are sorted by the same key,
-a task loads the directory rows of its own key range, finds the block of each
-lookup by binary search, then the line, and reads just that record.
+its first and last (key, page) and its place. Reading: lookups are sorted in the same
+order, a task loads the directory rows of its own range, finds the block of each
+lookup by binary search, then the line, and reads just that record. As pages are part
+of the order, one URL with very many captures is looked up like any others.
+
+What is read back is checked: the block digest of every record, and size and digest of
+a response's payload, which are measured on the payload itself. A record that differs
+from its headers raises DamagedRecord. A revisit has no payload; its header counts.
 
 File names hold the task attempt and only files of committed attempts appear in
 the written place tables, so a repeated task leaves an unused file at worst. Files
-lie below the session's shared checkpoint folder, reached through pyarrow.
+lie below the session's shared checkpoint folder, on the file system that Spark finds it
+on, and tasks reach them through pyarrow.
 
 Of records with equal payloads of at least ``revisit_bytes`` bytes that with the
 smallest page_id is the response; the others are revisits that refer to it and
@@ -48,13 +54,23 @@ CAPTURED = "1970-01-01T00:00:00Z"
 RECORD_ID = "<urn:x-page:{}>"
 
 PLACES = "key string, page_id long, file string, at long, length long"
-DIRECTORY = "first string, last string, file string, at long, length long"
+DIRECTORY = (
+    "first string, first_id long, last string, last_id long, file string, at long, length long"
+)
 CAPTURES = (
     "page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
     "record_type string, refers_to long"
 )
 
 
+#: Place of a null page among the others, as Spark sorts it.
+NO_PAGE = -(2**63)
+
+
+class DamagedRecord(ValueError):
+    """A record that differs from its headers."""
+
+
 @dataclass(frozen=True)
 class Archive:
     """An archive on shared storage: record files and their index directory."""
@@ -113,18 +129,27 @@ def _number(value: str | None) -> int | None:
 
 
 def parsed(raw: bytes) -> dict:
-    """The capture in one uncompressed record."""
+    """The capture in one uncompressed record, checked against its headers."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    http, _, payload = rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")
+    block = rest[: int(fields["Content-Length"])]
+    http, _, payload = block.partition(b"\r\n\r\n")
     revisit = fields["WARC-Type"] == "revisit"
     size = int(re.search(rb"Content-Length: (\d+)", http)[1])
+    digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+    if base32_sha1(block) != fields["WARC-Block-Digest"].removeprefix("sha1:"):
+        raise DamagedRecord(f"block of {fields['WARC-Record-ID']}")
+    if not revisit:
+        found = len(payload), base32_sha1(payload)
+        if found != (size, digest):
+            raise DamagedRecord(f"payload of {fields['WARC-Record-ID']}")
+        size, digest = found
     return {
         "page_id": _number(fields["WARC-Record-ID"]),
         "url": fields["WARC-Target-URI"],
         "payload": None if revisit else payload,
         "payload_bytes": size,
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
+        "payload_digest": digest,
         "record_type": fields["WARC-Type"],
         "refers_to": _number(fields.get("WARC-Refers-To")),
     }
@@ -136,7 +161,7 @@ class _Appender:
     def __init__(self, folder: str, kind: str):
         task = TaskContext.get()
         self.name = f"{kind}-{task.partitionId():06d}-{task.taskAttemptId()}.gz"
-        store, path = pafs.FileSystem.from_uri(f"{_uri(folder)}/{self.name}")
+        store, path = pafs.FileSystem.from_uri(f"{folder}/{self.name}")
         store.create_dir(path.rpartition("/")[0], recursive=True)
         self.stream, self.at = store.open_output_stream(path, compression=None), 0
 
@@ -147,15 +172,19 @@ class _Appender:
         return start, len(packed)
 
 
-def _uri(folder: str) -> str:
-    return folder if re.match(r"[a-z][a-z0-9+.-]*:", folder) else f"file://{folder}"
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the file system that Spark finds it on, so that tasks write where
+    Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub("^file:/+", "file:///", store.makeQualified(path).toString())
 
 
 class _Reader:
     """Range reads; keeps the files it has opened."""
 
     def __init__(self, folder: str):
-        self.folder = _uri(folder)
+        self.folder = folder
         self.open = lru_cache(64)(self._open)
 
     def _open(self, name: str):
@@ -177,7 +206,15 @@ _PLACES = pa.schema(
     [("key", "string"), ("page_id", "int64"), ("file", "string"), ("at", "int64"), ("length", "int64")]
 )
 _DIRECTORY = pa.schema(
-    [("first", "string"), ("last", "string"), ("file", "string"), ("at", "int64"), ("length", "int64")]
+    [
+        ("first", "string"),
+        ("first_id", "int64"),
+        ("last", "string"),
+        ("last_id", "int64"),
+        ("file", "string"),
+        ("at", "int64"),
+        ("length", "int64"),
+    ]
 )
 _CAPTURES = pa.schema(
     [
@@ -222,6 +259,10 @@ def _write_records(folder: str):
     return write
 
 
+def _rank(page_id: int | None) -> int:
+    return NO_PAGE if page_id is None else page_id
+
+
 def _line(row: dict) -> str:
     return json.dumps([row["key"], row["page_id"], row["file"], row["at"], row["length"]])
 
@@ -234,7 +275,8 @@ def _write_blocks(folder: str, block_lines: int):
             nonlocal out
             out = out or _Appender(folder, "index")
             place = out.add("\n".join(map(_line, held)).encode())
-            made.append((held[0]["key"], held[-1]["key"], out.name, *place))
+            ends = [(x["key"], _rank(x["page_id"])) for x in (held[0], held[-1])]
+            made.append((*ends[0], *ends[1], out.name, *place))
             held.clear()
 
         for batch in batches:
@@ -252,26 +294,31 @@ def _write_blocks(folder: str, block_lines: int):
 
 
 def prepared(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
-    """One row per record to write. Digests come before the join, and the payload
-    rides along only once, to the task that writes it."""
+    """One row per record to write. Which rows are revisits is found on digests alone;
+    payloads then move once, by page, so that copies of one payload are not brought
+    together."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
+        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page"),
         "url",
         payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("size"),
         F.sha1(payload).alias("sha1"),
     )
-    firsts = rows.groupBy("sha1").agg(F.min("page_id").alias("refers_to"))
+    digests = rows.select("page", "page_id", "sha1")
+    firsts = digests.groupBy("sha1").agg(F.min("page_id").alias("refers_to"))
+    known = digests.distinct().join(firsts, "sha1")
+    known = known.select("page", "sha1", "refers_to")
     same = F.col("page_id").eqNullSafe(F.col("refers_to"))
     revisit = (F.col("size") >= revisit_bytes) & ~same
-    return rows.join(firsts, "sha1").withColumns(
+    return rows.join(known, ["page", "sha1"]).withColumns(
         {
             "revisit": revisit,
             "refers_to": F.when(revisit, F.col("refers_to")),
             "payload": F.when(~revisit, F.col("payload")),
         }
-    )
+    ).drop("page")
 
 
 def _tasks(spark: SparkSession) -> int:
@@ -283,7 +330,7 @@ def _tasks(spark: SparkSession) -> int:
 def write_archive(pages: DataFrame, revisit_bytes: int = 0, block_lines: int = 1000) -> Archive:
     """Writes records, index blocks and directory of (page_id, url, html) rows."""
     spark = pages.sparkSession
-    folder = scratch_dir(spark, "warc")
+    folder = _qualified(spark, scratch_dir(spark, "warc"))
     places = f"{folder}/places"
     prepared(pages, revisit_bytes).mapInArrow(_write_records(folder), PLACES).write.parquet(places)
     directory = f"{folder}/directory"
@@ -298,43 +345,51 @@ def write_archive(pages: DataFrame, revisit_bytes: int = 0, block_lines: int = 1
     return Archive(folder, directory)
 
 
-def _slice(directory: str, low: str, high: str) -> list[dict]:
-    """The directory rows whose blocks may hold keys of [low, high], by key."""
-    store, path = pafs.FileSystem.from_uri(_uri(directory))
-    found = ds.dataset(path, schema=_DIRECTORY, filesystem=store, format="parquet").to_table(
-        filter=(ds.field("first") <= high) & (ds.field("last") >= low)
-    )
-    return sorted(found.to_pylist(), key=lambda x: (x["first"], x["last"], x["file"], x["at"]))
+def _slice(directory: ds.Dataset, low: tuple, high: tuple) -> list[dict]:
+    """The directory rows whose blocks may hold something of [low, high], in order."""
+    key, page = ds.field, ds.scalar
+    starts = (key("first") < high[0]) | ((key("first") == high[0]) & (key("first_id") <= page(high[1])))
+    ends = (key("last") > low[0]) | ((key("last") == low[0]) & (key("last_id") >= page(low[1])))
+    found = directory.to_table(filter=starts & ends)
+    order = [f.name for f in _DIRECTORY]
+    return sorted(found.to_pylist(), key=lambda x: [x[name] for name in order])
+
+
+def blocks_of(entries: list[dict], lasts: list[tuple], want: tuple) -> Iterator[int]:
+    """Numbers of the blocks that may hold a (key, page), by binary search."""
+    at = bisect.bisect_left(lasts, want)
+    while at < len(entries) and (entries[at]["first"], entries[at]["first_id"]) <= want:
+        yield at
+        at += 1
 
 
 def _read_records(archive: Archive):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files = _Reader(archive.folder)
-        loaded: tuple[int, list] = (-1, [])
+        files, directory = _Reader(archive.folder), None
         for batch in batches:
-            wanted = batch.to_pylist()
+            wanted = [(x["key"], _rank(x["page_id"])) for x in batch.to_pylist()]
             if not wanted:
                 continue
-            entries = _slice(archive.directory, wanted[0]["key"], wanted[-1]["key"])
-            lasts = [x["last"] for x in entries]
-            loaded = (-1, [])
+            if directory is None:
+                store, path = pafs.FileSystem.from_uri(archive.directory)
+                directory = ds.dataset(path, schema=_DIRECTORY, filesystem=store, format="parquet")
+            entries = _slice(directory, wanted[0], wanted[-1])
+            lasts = [(x["last"], x["last_id"]) for x in entries]
+            loaded: tuple[int, list] = (-1, [])
             rows, held = [], 0
             for want in wanted:
-                at = bisect.bisect_left(lasts, want["key"])
-                while at < len(entries) and entries[at]["first"] <= want["key"]:
+                for at in blocks_of(entries, lasts, want):
                     if loaded[0] != at:
                         e = entries[at]
                         block = files.read(e["file"], e["at"], e["length"]).decode()
                         loaded = (at, list(map(json.loads, block.split("\n"))))
                     lines = loaded[1]
-                    i = bisect.bisect_left(lines, want["key"], key=lambda x: x[0])
-                    while i < len(lines) and lines[i][0] == want["key"]:
-                        if lines[i][1] == want["page_id"]:
-                            capture = parsed(files.read(*lines[i][2:]))
-                            rows.append(tuple(capture[f.name] for f in _CAPTURES))
-                            held += len(capture["payload"] or b"")
+                    i = bisect.bisect_left(lines, want, key=lambda x: (x[0], _rank(x[1])))
+                    while i < len(lines) and (lines[i][0], _rank(lines[i][1])) == want:
+                        capture = parsed(files.read(*lines[i][2:]))
+                        rows.append(tuple(capture[f.name] for f in _CAPTURES))
+                        held += len(capture["payload"] or b"")
                         i += 1
-                    at += 1
                 if held > 32_000_000:
                     yield _batch(rows, _CAPTURES)
                     rows, held = [], 0

@@ -22,7 +22,8 @@ bucket. Links are found without comparing all pairs of a bucket:
 
 Every link is confirmed on the full sets. A pair at the threshold shares no band
 with probability (1 - least ** rows) ** bands, 5e-6 with the defaults, and falls
-``slack`` standard deviations below it in step 3 with probability 4e-6.
+``slack`` standard deviations below it in step 3 with probability 4e-6. ``prints=0``
+leaves the second sketch out: all pairs across components of a bucket are confirmed.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 links with nothing; fewer words than a shingle are one shingle; rows of equal id
@@ -55,7 +56,8 @@ EMPTY = np.uint64((1 << 64) - 1)
 class Near:
     """words per shingle; percent: least similarity; bands of rows coordinates each;
     small: largest bucket whose pairs are compared without a look at sketches; block:
-    nodes of a large bucket in one block; prints: coordinates of the second sketch."""
+    nodes of a large bucket in one block; prints: coordinates of the second sketch, none to
+    confirm all pairs of large buckets too."""
 
     words: int = 5
     percent: int = 80
@@ -130,7 +132,7 @@ def sketches(values: np.ndarray, sizes: np.ndarray, bins: int, seed: int = 0) ->
         unfilled = (sketch.reshape(-1, bins) == EMPTY).any(axis=1)
         stay = unfilled[owner]
         values, owner = values[stay], owner[stay]
-    return sketch.reshape(-1, bins)
+    return sketch.reshape(len(sizes), bins)
 
 
 def band_keys(sketch: np.ndarray, near: Near) -> np.ndarray:
@@ -192,8 +194,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
     of a second sketch, and 32 bits of each band key."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of equal id and text meet in one task; one of them will do.
+        known: set[int] = set()
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            nodes = batch.column("node").to_pylist()
+            fresh = [node not in known and not known.add(node) for node in nodes]
+            for part, texts in slices(batch.filter(pa.array(fresh)), "text"):
                 values, sizes = shingle_sets(texts, near.words)
                 longer = mixed(sketches(values, sizes, near.prints, seed=1)).astype(np.uint8)
                 keys = band_keys(sketches(values, sizes, near.bins), near).astype(np.uint32)
@@ -325,7 +331,8 @@ def _block_pairs(bucket: int, sides: tuple, near: Near) -> tuple[np.ndarray, np.
             other = other[other > i]
         other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
         if len(other):
-            other = other[(prints[other] == prints[i]).sum(axis=1) >= near.least_prints]
+            if near.prints:
+                other = other[(prints[other] == prints[i]).sum(axis=1) >= near.least_prints]
             found_a.append(np.full(len(other), node[i]))
             found_b.append(node[other])
     none = [np.empty(0, np.int64)]
@@ -355,8 +362,8 @@ def _likely(rows: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
                 part = held.slice(a, b - a)
                 sides = (
                     *(part[c].to_numpy() for c in ("node", "label", "block")),
-                    np.frombuffer(b"".join(part["prints"].to_pylist()), np.uint8).reshape(b - a, -1),
-                    np.frombuffer(b"".join(part["keys"].to_pylist()), np.uint32).reshape(b - a, -1),
+                    np.frombuffer(b"".join(part["prints"].to_pylist()), np.uint8).reshape(b - a, near.prints),
+                    np.frombuffer(b"".join(part["keys"].to_pylist()), np.uint32).reshape(b - a, near.bands),
                 )
                 one, other = _block_pairs(int(group[a, 0]), sides, near)
                 yield pa.RecordBatch.from_arrays(

@@ -5,22 +5,29 @@ a node is a rule, a conjunction of threshold tests. Lasso logistic regression ov
 the rules keeps few of them with weights, and the score is compiled into one
 column expression, so scoring is a projection that Spark evaluates by itself.
 
+The bounded sample is one partition, so the weights are found in one task: Newton steps,
+each solved by coordinate descent over the weighted products of the rules, until no
+weight moves.
+
 Labels come from rows outside the held-out fold only. The fit uses at most
 ``sample_rows`` labelled rows, those of smallest hash, which is the one bound here;
 scores cover every text.
 
 Defined cases: a null text is scored as an empty one; repeated rows get equal
-scores; labelled ids without a document, null labels and null ids are not learned
-from; with no labelled rows of either class the score is (n1 + 1) / (n + 2).
+scores; labelled ids without a document, null ids and labels other than 0 and 1 are not
+learned from; with no labelled rows of either class the score is (n1 + 1) / (n + 2).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from math import log
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,7 +157,7 @@ def sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
     broadcast and the texts stay where they are.
     """
     chosen = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
         .where(~held_out(F.col("doc_id")))
         .select(F.col("doc_id").alias("__id"), F.col("quality").cast("double").alias("label"))
         .orderBy(F.xxhash64(F.lit(fit.seed), "__id"), "__id", "label")
@@ -186,10 +193,80 @@ def _logit(share: float) -> float:
     return log(share / (1 - share))
 
 
+def _loss(margin: np.ndarray, labels: np.ndarray) -> float:
+    return float(np.mean(np.logaddexp(0, margin) - labels * margin))
+
+
+def lasso_weights(
+    flags: np.ndarray, labels: np.ndarray, penalty: float, steps: int = 100, tol: float = 1e-8
+) -> tuple[float, np.ndarray]:
+    """Bias and weights that minimise the mean logistic loss plus ``penalty`` times the
+    sum of weights, each counted in standard deviations of its flag."""
+    spread = flags.std(axis=0)
+    some = np.flatnonzero(spread > 0)
+    # A column of ones for the bias, which is not penalised.
+    x = np.column_stack([np.ones(len(labels)), flags[:, some] / spread[some]])
+    cost = np.r_[0.0, np.full(len(some), penalty)]
+    w = np.zeros(x.shape[1])
+    w[0] = _logit(float(labels.mean()))
+    value = _loss(x @ w, labels) + float(cost @ np.abs(w))
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        weight = np.maximum(p * (1 - p), 1e-6)
+        products = (x * weight[:, None]).T @ x / len(labels)
+        aim = products @ w + x.T @ (labels - p) / len(labels)
+        new = w.copy()
+        for _ in range(1000):
+            moved = 0.0
+            for j in range(len(new)):
+                pull = aim[j] - products[j] @ new + products[j, j] * new[j]
+                to = np.sign(pull) * max(abs(pull) - cost[j], 0.0) / products[j, j]
+                moved = max(moved, abs(to - new[j]))
+                new[j] = to
+            if moved < tol:
+                break
+        # Half the step until the aim itself gets better.
+        step = new - w
+        for _ in range(30):
+            found = _loss(x @ (w + step), labels) + float(cost @ np.abs(w + step))
+            if found <= value + 1e-15:
+                break
+            step /= 2
+        w, gain, value = w + step, value - found, found
+        if gain < tol * 1e-2:
+            break
+    weights = np.zeros(flags.shape[1])
+    weights[some] = w[1:] / spread[some]
+    return float(w[0]), weights
+
+
+def _fitted(flags: DataFrame, penalty: float) -> tuple[float, list[float]]:
+    """Bias and weights for the rows (label, flags) of one partition."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = list(batches)
+        if not found:
+            return
+        rows = pa.Table.from_batches(found)
+        values = np.column_stack([rows.column(c).to_numpy() for c in rows.column_names[1:]])
+        bias, weights = lasso_weights(values.astype(float), rows.column(0).to_numpy(), penalty)
+        yield pa.RecordBatch.from_arrays([pa.array([bias]), pa.array([weights.tolist()])], ["b", "w"])
+
+    row = flags.mapInArrow(fit, "b double, w array<double>").head()
+    return row["b"], list(row["w"])
+
+
 def fit_ensemble(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Ensemble:
     """Trees, their paths as rules, and lasso weights. The sample is bounded and
     put in one order, so refits agree."""
     rows = sample(docs, labels, fit).repartition(1).sortWithinPartitions("doc_id", "__features").cache()
+    try:
+        return _fit(rows, fit)
+    finally:
+        rows.unpersist()
+
+
+def _fit(rows: DataFrame, fit: Fit) -> Ensemble:
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         share = (counts.get(1.0, 0) + 1) / (sum(counts.values()) + 2)
@@ -210,16 +287,9 @@ def fit_ensemble(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Ensemb
     )
     if not rules:
         return Ensemble(_logit(counts[1.0] / sum(counts.values())), ())
-    flags = rows.select(
-        "label", *(holds(rule).cast("double").alias(f"r{i}") for i, rule in enumerate(rules))
-    )
-    data = VectorAssembler(inputCols=flags.columns[1:], outputCol="x").transform(flags)
-    lasso = LogisticRegression(
-        featuresCol="x", elasticNetParam=1.0, regParam=fit.lasso, maxIter=200, tol=1e-7
-    ).fit(data.select("x", "label"))
-    rows.unpersist()
-    weights = zip(rules, map(float, lasso.coefficients.toArray()), strict=True)
-    return Ensemble(float(lasso.intercept), tuple((r, w) for r, w in weights if w))
+    flags = rows.select("label", *(holds(rule).alias(f"r{i}") for i, rule in enumerate(rules)))
+    bias, weights = _fitted(flags, fit.lasso)
+    return Ensemble(bias, tuple((r, w) for r, w in zip(rules, weights, strict=True) if w))
 
 
 def scored(docs: DataFrame, ensemble: Ensemble) -> DataFrame:

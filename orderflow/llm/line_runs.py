@@ -68,10 +68,18 @@ def _entries(text: Column, min_chars: int) -> Column:
     )
 
 
-def _row_key() -> dict[str, Column]:
-    """id and mark tell rows apart; equal rows share them and their lines."""
+def _row_key(docs: DataFrame) -> dict[str, Column]:
+    """id and mark tell rows apart; equal rows share them and their lines. Ids that are
+    no whole numbers are compared as text; a null one is below all others."""
+    whole_number = docs.schema["doc_id"].dataType.simpleString() in (
+        "tinyint",
+        "smallint",
+        "int",
+        "bigint",
+    )
+    kind, least = ("long", F.lit(-(2**63))) if whole_number else ("string", F.lit(""))
     return {
-        "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))),
+        "__id": F.coalesce(F.col("doc_id").cast(kind), least),
         "__mark": F.xxhash64(whole("text")),
     }
 
@@ -166,7 +174,7 @@ def repeated_lines(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame
     spark = docs.sparkSession
     path = scratch_dir(spark, "lines")
     lines = (
-        docs.withColumns(_row_key())
+        docs.withColumns(_row_key(docs))
         .select(
             F.col("__id").alias("id"),
             F.col("__mark").alias("mark"),
@@ -201,7 +209,7 @@ def without_repeated_lines(docs: DataFrame, rules: LineRules = LineRules()) -> D
 
     kept = F.when(F.col("__positions").isNull(), text).otherwise(bound(split_lines(text), keep))
     return (
-        docs.withColumns(_row_key())
+        docs.withColumns(_row_key(docs))
         .join(gone, ["__id", "__mark"], "left")
         .withColumns(
             {

@@ -229,7 +229,7 @@ def told_terms(docs: DataFrame, held: DataFrame, rule: Disclosure) -> DataFrame:
     spots = held.select(*ROW, F.explode("__terms").alias("t")).select(*ROW, "t.*")
     spots = stored(spots, "disclosure-spots")
     said = spots.select(*ROW, "term").distinct().join(terms, "term")
-    said, groups = _grouped(said, "term", "n_t")
+    said, groups = _grouped(stored(said, "disclosure-said"), "term", "n_t")
 
     both = named.withColumnRenamed("group", "e").join(said.withColumnRenamed("group", "t"), ROW)
     both = both.where(F.col("t.n_t") <= rarest(F.col("e.rows")))

@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with the
 columns of ``documents``; the last returns them encoded. A stage's result is written
-as Parquet below the session's shared checkpoint folder and read by the next.
+as Parquet below the session's shared checkpoint folder and read by the next. The mix
+adds the number of each copy, by which the copies are encoded apart.
 
 1. quality: documents scored below ``LEAST_SCORE`` by the rule ensemble go. It
    learns from the labels of the stage's own input.
@@ -19,7 +20,7 @@ Nulls, empty and repeated rows and empty tables are handled as the operators say
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import block_names, mixing, near_dups, piece_dropout, rule_ensemble
@@ -45,12 +46,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs).select(COLUMNS)
+    return mixing.mixed(docs, copy="copy").select(*COLUMNS, "copy")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("lang", "source")
-    rows = docs.select("doc_id", "lang", "source", "text", F.row_number().over(same).alias("copy"))
+    number = F.col("copy") if "copy" in docs.columns else F.lit(1).alias("copy")
+    rows = docs.select("doc_id", "lang", "source", "text", number)
     return piece_dropout.encoded(rows, PIECE_MODEL, copy="copy").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_ids"), "ids"
     )

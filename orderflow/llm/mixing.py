@@ -181,8 +181,9 @@ def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, columns unchanged."""
+def mixed(docs: DataFrame, mix: Mix = Mix(), copy: str | None = None) -> DataFrame:
+    """The documents of the mix, each as often as it is taken, columns unchanged;
+    ``copy`` names a column for the copy's number, from 1."""
     plan = thresholds(stored(sized(docs, mix), "mix-sizes"), mix).select(
         F.struct("source", "passes", "threshold").alias("__mix")
     )
@@ -190,7 +191,6 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     times = F.col("__mix.passes") + (
         id_hash(docs["doc_id"], mix.seed) < F.col("__mix.threshold")
     ).cast("int")
-    return (
-        rows.withColumn("__copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
-        .drop("__copy", "__mix")
-    )
+    taken = rows.withColumn("__copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times))))
+    number = [] if copy is None else [F.col("__copy").alias(copy)]
+    return taken.select(*(F.col(c) for c in docs.columns if c != copy), *number)

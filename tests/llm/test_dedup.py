@@ -56,6 +56,15 @@ def test_lines(spark, batches):
     assert sum(x[2] for x in found) > 0
 
 
+def test_lines_of_documents_with_text_ids(spark):
+    line = "This line is long enough to be counted as a repeated one"
+    rows = [(f"d{i}", line) for i in range(6)] + [(None, line), ("d10", "short")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {r.doc_id: (r.n_dropped, r.kept_text) for r in line_runs.without_repeated_lines(docs).collect()}
+    assert found["d5"] == (0, line) and found["d10"] == (0, "short")
+    assert all(found[i] == (1, "") for i in (None, "d0", "d4"))
+
+
 def test_lines_of_no_documents(spark):
     assert line_runs.without_repeated_lines(documents(spark, [])).count() == 0
 
@@ -109,6 +118,28 @@ def test_near_rows_of_equal_id_and_other_text(spark):
     assert near_dups.without_near_duplicates(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("prints", [0, 720])
+def test_large_buckets_exactly_and_by_sketch(spark, prints):
+    texts = variants(7, groups=2, copies=40)
+    near = near_dups.Near(words=4, small=1, block=5, prints=prints)
+    rows = near_dups.near_duplicates(documents(spark, texts), near).collect()
+    found = order((r.doc_id, r.component_id) for r in rows)
+    assert found == order(zip((i for i, _ in texts), near_components(texts, 4, 80), strict=True))
+
+
+def test_repeated_rows_have_one_set(spark):
+    texts = [(i, t) for i, t in variants(9, groups=1, copies=6) for _ in range(50)]
+    docs = documents(spark, texts)
+    near = near_dups.Near(words=4)
+    rows = docs.select("doc_id", "text").withColumns(near_dups._row_key())
+    nodes = rows.dropDuplicates(["id", "mark"]).selectExpr("id", "mark", "monotonically_increasing_id() AS node")
+    assert near_dups.full_sets(docs, nodes, near).count() == 6
+    found = near_dups.near_duplicates(docs, near).collect()
+    assert order((r.doc_id, r.component_id) for r in found) == order(
+        zip((i for i, _ in texts), near_components(texts, 4, 80), strict=True)
+    )
+
+
 def test_sketches_fill_and_estimate():
     draw = np.random.default_rng(1)
     near = near_dups.Near()

@@ -10,6 +10,8 @@ import sentencepiece
 from cases import TEXTS, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from orderflow.llm import piece_counts, piece_dropout
 from orderflow.llm.catalog import PIECE_MODEL, WORD_VOCABULARY
@@ -68,6 +70,7 @@ def test_every_occurrence_draws_for_itself():
 def test_copies_are_segmented_apart(spark):
     text = " ".join(f"the quick onions interesting another{i} entirely" for i in range(30))
     docs = documents(spark, [(1, text), (1, text), (2, text)])
+    docs = docs.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("source")))
     ids = [tuple(r.ids) for r in corpus_pipeline.encode(spark, docs, "").collect()]
     assert len(set(ids)) == 3
     again = [tuple(r.ids) for r in corpus_pipeline.encode(spark, docs.repartition(3), "").collect()]
@@ -122,3 +125,62 @@ def test_any_vocabulary(pieces, words):
     automaton = piece_counts.Automaton(sorted(pieces))
     known = {*pieces, (piece_counts.END,)}
     assert automaton.lengths(words).tolist() == [greedy(None, known, w) for w in words]
+
+
+def plain_agenda(chunk, key, drop):
+    """Pieces of one chunk: at each step the best pair that was not skipped is merged;
+    a pair is judged once for the symbols it is made of."""
+    symbols = [(int(MODEL.chars[ord(c)]) if ord(c) < len(MODEL.chars) else -1, i) for i, c in enumerate(chunk)]
+    judged = {}
+
+    def skipped(left, right):
+        pair = (left[1], left[0], right[0])
+        if pair not in judged:
+            hashed = piece_dropout._place_hash(
+                drop.key(), np.array([key], np.uint64), np.array([left[1]]), np.array([left[0]]), np.array([right[0]])
+            )
+            judged[pair] = bool(hashed[0] < np.uint64(drop.limit()))
+        return judged[pair]
+
+    while True:
+        best = None
+        for k, (left, right) in enumerate(zip(symbols, symbols[1:], strict=False)):
+            if left[0] < 0 or right[0] < 0:
+                continue
+            made = int(MODEL.join(np.array([left[0]]), np.array([right[0]]))[0])
+            if made >= 0 and not skipped(left, right):
+                best = min(best or (1 << 60, 0, 0), (int(MODEL.rank[made]), k, made))
+        if best is None:
+            return [s for s, _ in symbols]
+        _, k, made = best
+        symbols[k : k + 2] = [(made, symbols[k][1])]
+
+
+def test_dropout_on_real_texts_against_a_plain_agenda(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    texts = [(r.text or "")[:400] for r in rows[:40]]
+    drop = Dropout(rate=0.2)
+    keys = np.arange(len(texts)) * 977 + 5
+    found = encode(texts, drop, keys).to_pylist()
+    changed = 0
+    for text, key, ids in zip(texts, keys.tolist(), found, strict=True):
+        expected = []
+        for place, chunk in enumerate(piece_dropout.CHUNK.findall(" " + text) if text else []):
+            start = np.uint64(key) ^ np.uint64(drop.key())
+            step = np.uint64(place * int(piece_dropout.MIX[0]) % (1 << 64))
+            draw = piece_dropout._mixed(np.array([(int(start) + int(step)) % (1 << 64)], np.uint64))[0]
+            for symbol, c in zip(*_with_letters(plain_agenda(chunk, draw, drop), chunk), strict=True):
+                expected += [symbol] if 0 <= symbol < MODEL.size else list(MODEL.bytes_for(ord(c)))
+        assert ids == expected
+        changed += ids != PLAIN.encode(text.replace("▁", ""))
+    assert changed > 20
+
+
+def _with_letters(symbols, chunk):
+    """The symbols, and for those without a piece the letter that they stand for."""
+    letters, at = [], 0
+    for symbol in symbols:
+        known = 0 <= symbol < MODEL.size
+        letters.append(chunk[at])
+        at += len(MODEL.raw[symbol].decode().replace("▁", " ")) if known else 1
+    return symbols, letters

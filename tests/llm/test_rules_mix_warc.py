@@ -5,10 +5,12 @@ from __future__ import annotations
 import gzip
 import hashlib
 import math
+import os
 import re
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from cases import TEXTS, documents, near_components, normal, words
 from pyspark.sql import functions as F
@@ -75,11 +77,66 @@ def test_classifier_reads_nothing_but_the_text(spark):
     assert by_id[1] == by_id[2]
 
 
+def test_scores_equal_the_rules_and_the_sigmoid(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    ensemble = rule_ensemble.fit_ensemble(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    frame = rule_ensemble.features(docs).select("doc_id", "__features.*")
+    plain = {}
+    for r in frame.collect():
+        total = ensemble.bias
+        for rule, weight in ensemble.rules:
+            if all(r[t.feature] > t.threshold if t.above else r[t.feature] <= t.threshold for t in rule):
+                total += weight
+        plain[r.doc_id] = 1 / (1 + math.exp(-total))
+    found = {r.doc_id: r.score for r in rule_ensemble.scored(docs, ensemble).collect()}
+    assert found.keys() == plain.keys()
+    assert max(abs(found[i] - plain[i]) for i in plain) < 1e-12
+    assert 0.3 < sum(s > 0.5 for s in plain.values()) / len(plain) < 0.999
+
+
+def test_statistics_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in rule_ensemble.features(docs).select("doc_id", "__features.*").collect():
+        t, w = texts[r.doc_id], words(texts[r.doc_id])
+        solid = max(sum(map(len, w)), 1)
+        assert r.log_words == pytest.approx(math.log1p(len(w)))
+        assert r.mean_word == pytest.approx(sum(map(len, w)) / max(len(w), 1))
+        assert r.capitals == pytest.approx(len(re.findall("[A-Z]", t)) / solid)
+        assert r.digits == pytest.approx(len(re.findall("[0-9]", t)) / solid)
+        assert r.distinct_words == pytest.approx(len(set(w)) / max(len(w), 1))
+
+
+def test_lasso_meets_its_conditions():
+    draw = np.random.default_rng(8)
+    flags = (draw.random((3_000, 12)) < draw.random(12)).astype(float)
+    flags[:, 11] = flags[:, 3]
+    truth = np.array([2.0, -1.5, 0, 0, 1.0, 0, 0, 0, 0, 0, 0, 0])
+    labels = (draw.random(3_000) < 1 / (1 + np.exp(-(flags @ truth - 0.3)))).astype(float)
+    penalty = 0.01
+    bias, weights = rule_ensemble.lasso_weights(flags, labels, penalty)
+    spread = flags.std(axis=0)
+    slope = flags.T @ (1 / (1 + np.exp(-(bias + flags @ weights))) - labels) / len(labels) / spread
+    for g, w in zip(slope, weights, strict=True):
+        # The slope of the loss balances the penalty of a weight, or stays below it.
+        assert abs(g + penalty * np.sign(w)) < 1e-6 if w else abs(g) <= penalty + 1e-6
+    assert weights[0] > 1 and weights[1] < -0.8 and np.count_nonzero(weights) < 8
+    assert abs(np.mean(1 / (1 + np.exp(-(bias + flags @ weights))) - labels)) < 1e-6
+
+
+def test_lasso_on_separable_flags():
+    flags = np.array([[1.0, 0.0, 1.0]] * 50 + [[0.0, 1.0, 1.0]] * 50)
+    labels = np.r_[np.ones(50), np.zeros(50)]
+    bias, weights = rule_ensemble.lasso_weights(flags, labels, 0.002)
+    assert np.isfinite(weights).all() and weights[2] == 0
+    assert ((bias + flags @ weights > 0) == labels).all()
+
+
 def test_classifier_without_labels(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert rule_ensemble.fit_ensemble(docs, none) == rule_ensemble.Ensemble(0.0, ())
-    odd = spark.createDataFrame([(None, 1), (4, None), (99, 1), (5, 1)], "doc_id long, quality int")
+    odd = spark.createDataFrame([(None, 1), (4, None), (99, 1), (5, 1), (6, 2)], "doc_id long, quality int")
     scored = rule_ensemble.scored(docs, rule_ensemble.fit_ensemble(docs, odd))
     assert {round(r.score, 6) for r in scored.collect()} <= {0.5, round(2 / 3, 6)}
 
@@ -318,6 +375,66 @@ PAGES = [
 ]
 
 
+def damaged(raw, old, new):
+    assert raw.count(old) == 1
+    return raw.replace(old, new)
+
+
+def test_damaged_records_are_noticed():
+    html = b"<p>" + b"letters " * 100 + b"</p>"
+    raw = warc.record(7, "http://a.org/", html, len(html), warc.base32_sha1(html), None, False)
+    assert warc.parsed(raw)["payload_bytes"] == len(html)
+    # The same block length, a changed letter; then with a block digest that fits.
+    changed = raw.replace(b"letters " * 100, b"letters " * 99 + b"lettres ")
+    with pytest.raises(warc.DamagedRecord, match="block"):
+        warc.parsed(changed)
+    block = changed.partition(b"\r\n\r\n")[2][:-4]
+    mended = re.sub(rb"(WARC-Block-Digest: sha1:)\w+", rb"\g<1>" + warc.base32_sha1(block).encode(), changed)
+    with pytest.raises(warc.DamagedRecord, match="payload"):
+        warc.parsed(mended)
+    short = warc.record(7, "http://a.org/", html[:-9], len(html), warc.base32_sha1(html), None, False)
+    with pytest.raises(warc.DamagedRecord, match="payload"):
+        warc.parsed(short)
+    revisit = warc.record(8, None, b"", 55, "X" * 32, 7, True)
+    assert warc.parsed(revisit)["refers_to"] == 7 and warc.parsed(revisit)["payload"] is None
+
+
+def test_a_damaged_archive_is_not_read(spark, tmp_path):
+    # Archive files are gzip members: change one and pack it again at the same place.
+    archive = warc.write_archive(pages(spark, [(1, "http://a.org/", "x" * 400)]))
+    folder = archive.folder.removeprefix("file://")
+    (name,) = [f for f in os.listdir(folder) if f.startswith("warc")]
+    with open(f"{folder}/{name}", "rb") as file:
+        raw = gzip.decompress(file.read())
+    packed = gzip.compress(damaged(raw, b"x" * 400, b"x" * 399 + b"y"), 6, mtime=0)
+    places = spark.read.schema(warc.PLACES).parquet(f"{folder}/places").collect()
+    with open(f"{folder}/{name}", "wb") as file:
+        file.write(packed.ljust(places[0].length, b"\0")[: places[0].length])
+    with pytest.raises(Exception, match="DamagedRecord|error|Error"):
+        warc.read_captures(archive, pages(spark, [(1, "http://a.org/", "")])).collect()
+
+
+@pytest.mark.parametrize("block", [7, 50])
+def test_one_url_with_many_captures(spark, block):
+    rows = [(i, "http://hot.org/" if i % 3 else f"http://h{i}.org/", f"page {i % 40}") for i in range(900)]
+    rows += [(None, "http://hot.org/", "none"), (5, "http://hot.org/", "page 5")]
+    archive = warc.write_archive(pages(spark, rows), block_lines=block)
+    found = warc.read_captures(archive, pages(spark, rows).select("page_id", "url")).collect()
+    assert Counter((r.page_id, r.payload_bytes) for r in found) == Counter((i, len(h)) for i, _, h in rows)
+    entries = [r.asDict() for r in spark.read.schema(warc.DIRECTORY).parquet(archive.directory).collect()]
+    entries.sort(key=lambda x: (x["first"], x["first_id"]))
+    assert len(entries) >= 900 // block
+    lasts = [(x["last"], x["last_id"]) for x in entries]
+    # A lookup touches the block that holds it, however many its URL has.
+    touched = [len(list(warc.blocks_of(entries, lasts, (warc.surt("http://hot.org/"), i)))) for i in range(900)]
+    assert max(touched) <= 2 and sum(touched) <= 1.3 * 900
+
+
+def test_folders_get_the_file_system_of_the_session(spark, tmp_path):
+    assert warc._qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert warc._qualified(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+
+
 def pages(spark, rows):
     return spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, sha1 string, key string")
 
@@ -392,8 +509,14 @@ def test_stages_against_plain_versions(spark):
     plan = {r.doc_id: r.copies for r in mixing.mix_plan(apart).collect()}
     mix = stage["mix"](spark, apart, SMALL).cache()
     assert Counter(r.doc_id for r in mix.collect()) == +Counter(plan)
-    for frame in (good, single, apart, mix):
+    for frame in (good, single, apart):
         assert frame.columns == docs.columns
+    # The mix numbers the copies, so that encoding needs no shuffle to tell them apart.
+    assert mix.columns == [*docs.columns, "copy"]
+    numbers = Counter((r.doc_id, r.copy) for r in mix.collect())
+    assert set(numbers.values()) == {1} and set(numbers) == {(i, k + 1) for i, n in plan.items() for k in range(n)}
+    stored = spark.createDataFrame([], mix.schema)
+    assert "Exchange" not in stage["encode"](spark, stored, SMALL)._jdf.queryExecution().executedPlan().toString()
 
     texts = {r.doc_id: r.text for r in mix.collect()}
     model = load(corpus_pipeline.PIECE_MODEL)
@@ -409,7 +532,7 @@ def test_stages_on_awkward_and_no_rows(spark, tmp_path):
         docs = documents(spark, texts, extra=True)
         for _, stage in corpus_pipeline.STAGES[:-1]:
             rows = stage(spark, docs, str(tmp_path))
-            assert rows.columns == corpus_pipeline.COLUMNS and rows.count() <= 2 * len(texts)
+            assert rows.columns[:5] == corpus_pipeline.COLUMNS and rows.count() <= 2 * len(texts)
         assert corpus_pipeline.encode(spark, docs, str(tmp_path)).count() == len(texts)
 
 

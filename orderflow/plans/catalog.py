@@ -315,6 +315,27 @@ def stream_clean_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(clean_stream(orders), "stream-csv")
 
 
+def stream_triggered(spark: SparkSession, sf: str) -> DataFrame:
+    """Same rows when a query that runs on, with a trigger at an interval, is stopped
+    once it has used up its input."""
+    root = scratch_dir(spark, "stream-triggered")
+    rows = clean_stream(retail.event_orders_stream(spark, sf))
+    cores = spark.sparkContext.defaultParallelism
+    query = start_table(
+        rows,
+        "stream-triggered",
+        f"{root}/out",
+        f"{root}/checkpoint",
+        {"processingTime": "1 second"},
+        state_partitions=cores,
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return tables.read_table(spark, f"{root}/out", S.ORDERS)
+
+
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Watermark and deduplication alone, on rows with an id."""
     rows = quality.split_missing_id(retail.event_orders_stream(spark, sf)).valid
@@ -576,6 +597,14 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _job_over_arrivals(spark, sf, names=("late_orders",)).late_orders()
 
 
+def stream_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What the job's summary says of its cleaning query, but for times."""
+    summary = _job_over_arrivals(spark, sf, names=("clean",)).summary
+    return summary.select(
+        "query", "input_rows", "late_rows", "min_event_time", "max_event_time", "complete"
+    )
+
+
 def stream_batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Rows received, rejected and kept in each batch, as Spark observed them."""
     return _job_over_arrivals(spark, sf, names=("clean",)).batches.drop("query")
@@ -751,6 +780,8 @@ QUERIES: dict[str, Query] = {
     "stream_state": stream_state,
     "stream_late_rows": stream_late_rows,
     "stream_batch_metrics": stream_batch_metrics,
+    "stream_summary": stream_summary,
+    "stream_triggered": stream_triggered,
     "stream_totals_deltas": stream_totals_deltas,
     "stream_cleaned": stream_cleaned,
     "stream_snapshots": stream_snapshots,

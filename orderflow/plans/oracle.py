@@ -365,6 +365,11 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
     "stream_late_rows": _TWICE
     + f"SELECT {ORDER.replace('status', 'raw_status AS status')} FROM judged WHERE late",
     "stream_batch_metrics": _TWICE.rstrip() + _BATCHES,
+    "stream_summary": _TWICE
+    + """SELECT 'clean' AS query, (SELECT count(*) FROM raw) AS input_rows,
+  count(*) FILTER (late) AS late_rows, min(order_timestamp) AS min_event_time,
+  max(order_timestamp) AS max_event_time, true AS complete FROM judged""",
+    "stream_triggered": _STREAM_CLEAN,
     "stream_cleaned": _STREAM_CLEAN,
     "stream_snapshots": _TOTALS,
     "stream_product_totals": _TOTALS,

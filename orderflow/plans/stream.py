@@ -33,7 +33,7 @@ from orderflow.streaming.clean import (
     rejected_stream,
 )
 from orderflow.streaming.deltas import read_deltas, store_deltas, store_upserts
-from orderflow.streaming.late import store_late_rows
+from orderflow.streaming.late import read_late_rows, store_late_rows
 from orderflow.streaming.progress import ProgressLog
 
 #: Queries over the incoming orders, and reports over the cleaned ones. Windows are
@@ -81,7 +81,7 @@ class StreamTables:
 
     def late_orders(self) -> DataFrame:
         """Valid orders that came behind the watermark."""
-        return sinks.read_batches(self.spark, f"{self.root}/late_orders/rows", S.ORDERS)
+        return read_late_rows(self.spark, f"{self.root}/late_orders")
 
     def dead_letters(self) -> DataFrame:
         """Payloads that decoding lost content of, with the reason."""

@@ -1,13 +1,12 @@
-"""Tables that a stream in update mode keeps up to date.
+"""Tables that a stream's batches add up to.
 
-Update mode hands over the rows that a batch changed, with their new values. Two ways
-to keep the table:
-
-- ``store_deltas`` writes them as a run of their own and merges runs in levels, so what
-  a batch writes follows the rows that it changed, and each row is rewritten once per
-  level, not once per batch.
-- ``store_upserts`` merges them into the directories they belong to and replaces just
-  those directories.
+- ``store_deltas`` writes what a batch hands over as a run of its own and merges runs in
+  levels. In update mode these are the rows that the batch changed, with their new
+  values: what a batch writes follows them, and each row is rewritten once per level,
+  not once per batch. Without a key, rows are only collected. Either way the number of
+  runs grows with the logarithm of the number of batches, so readers list few folders.
+- ``store_upserts`` merges changed rows into the directories they belong to and replaces
+  just those directories.
 
 Both may repeat a batch.
 """
@@ -48,8 +47,10 @@ def _folder(path: str, run: tuple[int, int]) -> str:
     return f"{path}/run_{run[0]:012d}_{run[1]:012d}"
 
 
-def _newest(spark: SparkSession, path: str, runs: list, ddl: str, key: list[str]) -> DataFrame:
-    """The newest row of each key in the runs."""
+def _newest(
+    spark: SparkSession, path: str, runs: list, ddl: str, key: list[str] | None
+) -> DataFrame:
+    """The newest row of each key in the runs; all rows without a key."""
     parts = [
         spark.read.schema(ddl).parquet(_folder(path, run)).withColumn("_batch", F.lit(run[1]))
         for run in runs
@@ -58,12 +59,16 @@ def _newest(spark: SparkSession, path: str, runs: list, ddl: str, key: list[str]
     for part in parts[1:]:
         rows = rows.union(part)
     columns = column_names(ddl)
+    if key is None:
+        return rows.select(*columns)
     rest = [c for c in columns if c not in key]
     newest = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "_batch").alias("_row"))
     return newest.select(*(F.col(c) if c in key else F.col(f"_row.{c}") for c in columns))
 
 
-def read_deltas(spark: SparkSession, path: str, ddl: str, key: list[str]) -> DataFrame:
+def read_deltas(
+    spark: SparkSession, path: str, ddl: str, key: list[str] | None = None
+) -> DataFrame:
     """The table as of the last batch; empty before the first."""
     runs = _runs(spark, path)
     if not runs:
@@ -72,9 +77,9 @@ def read_deltas(spark: SparkSession, path: str, ddl: str, key: list[str]) -> Dat
 
 
 def store_deltas(
-    path: str, session: SparkSession, ddl: str, key: list[str], fanout: int = 8
+    path: str, session: SparkSession, ddl: str, key: list[str] | None = None, fanout: int = 8
 ) -> Handler:
-    """Each batch's changed rows as a run; ``fanout`` runs of a level become one of the
+    """Each batch's rows as a run; ``fanout`` runs of a level become one of the
     next. A level's runs span ``fanout`` times as many batches as those below."""
 
     def span(run: tuple[int, int]) -> int:

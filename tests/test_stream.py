@@ -32,7 +32,7 @@ from orderflow.sources.files import stream_orders_csv
 from orderflow.sources.kafka import encode_orders
 from orderflow.streaming import deltas, sinks, tables
 from orderflow.streaming.clean import clean_and_derive, clean_stream, rejected_stream
-from orderflow.streaming.late import store_late_rows
+from orderflow.streaming.late import read_late_rows, store_late_rows
 from orderflow.streaming.progress import ProgressLog
 
 NOW = {"availableNow": True}
@@ -366,7 +366,7 @@ def test_late_rows_are_stored(spark, tmp_path):
 
     start_query(frame, "late", "append", twice, str(tmp_path / "cp"), NOW).awaitTermination()
     kept = collect(clean_stream(frame), "append", tmp_path / "cp2", ["order_id"])
-    late = ids(sinks.read_batches(spark, f"{path}/rows", S.ORDERS))
+    late = ids(read_late_rows(spark, path))
     assert late == ["edge", "late"] and max(calls) == 5
     assert sorted(late + [v for rows in kept.values() for (v,) in rows]) == ["a", "b", "c", "edge", "f", "late"]
 

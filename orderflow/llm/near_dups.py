@@ -13,16 +13,22 @@ bucket. Links are found without comparing all pairs of a bucket:
 
 1. every node is compared with its bucket's smallest node;
 2. verified links make components, and only buckets that still hold several
-   components are looked at again. Of small ones all pairs across components are
-   compared;
-3. large ones are cut into blocks, and each pair of blocks is a group of its own.
-   There a second, longer sketch of each node tells which pairs across components
-   may reach the threshold; only those are compared. A pair that shares several
-   buckets is looked at in the first.
+   components are looked at again. In some ``rounds``, a node outside its bucket's
+   largest component is compared with a member of it, another one in each bucket and
+   round, for a few of its buckets;
+3. of small buckets all pairs across components are then compared;
+4. of large ones the nodes outside the largest component, and all nodes, are cut into
+   blocks, and each pair of such blocks is a group of its own. There a second, longer
+   sketch of each node tells which pairs across components may reach the threshold;
+   only those are compared. A pair that shares several buckets is looked at in the
+   first.
+
+So a bucket of k nodes of which m are outside its largest component is dealt out as some
+2 k m / block rows. Many pages of one template that do not link have m near k.
 
 Every link is confirmed on the full sets. A pair at the threshold shares no band
 with probability (1 - least ** rows) ** bands, 5e-6 with the defaults, and falls
-``slack`` standard deviations below it in step 3 with probability 4e-6. ``prints=0``
+``slack`` standard deviations below it in step 4 with probability 4e-6. ``prints=0``
 leaves the second sketch out: all pairs across components of a bucket are confirmed.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
@@ -41,7 +47,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.batches import offsets, slices, spread
@@ -55,7 +61,7 @@ EMPTY = np.uint64((1 << 64) - 1)
 @dataclass(frozen=True)
 class Near:
     """words per shingle; percent: least similarity; bands of rows coordinates each;
-    small: largest bucket whose pairs are compared without a look at sketches; block:
+    rounds and their buckets a node: see step 2; small: largest bucket whose pairs are compared without a look at sketches; block:
     nodes of a large bucket in one block; prints: coordinates of the second sketch, none to
     confirm all pairs of large buckets too."""
 
@@ -63,6 +69,8 @@ class Near:
     percent: int = 80
     bands: int = 40
     rows: int = 6
+    rounds: int = 3
+    buckets: int = 4
     small: int = 8
     block: int = 256
     prints: int = 720
@@ -299,15 +307,37 @@ class _Links:
 
 
 def _mixed_buckets(rows: DataFrame, links: _Links) -> DataFrame:
-    """Rows (bucket, node, label, k) of buckets that hold several components."""
+    """Rows (bucket, node, label, k, outside, main) of buckets of k nodes that hold
+    several components; main tells the nodes of the largest one, outside counts the
+    others."""
     labelled = links.label(rows.select("bucket", "node"), "node", "label")
+    groups = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     several = (
-        labelled.groupBy("bucket")
-        .agg(F.count("*").alias("k"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low <> high")
-        .select("bucket", "k")
+        groups.groupBy("bucket")
+        .agg(
+            F.sum("n").alias("k"),
+            F.max(F.struct("n", "label")).alias("top"),
+            F.count("*").alias("labels"),
+        )
+        .where("labels > 1")
+        .select(
+            "bucket", "k", (F.col("k") - F.col("top.n")).alias("outside"), F.col("top.label").alias("main")
+        )
+    )
+    found = labelled.join(stored(several, "near-mixed"), "bucket")
+    return stored(found.withColumn("main", F.col("label") == F.col("main")), "near-mixed")
+
+
+def _with_members(rows: DataFrame, turn: int, near: Near) -> DataFrame:
+    """Pairs (a, b) of nodes outside the largest component of a bucket with a member."""
+    rank = F.xxhash64("node", "bucket", F.lit(turn))
+    members = rows.where("main").groupBy("bucket").agg(F.min(F.struct(rank, "node")).alias("member"))
+    own = Window.partitionBy("node").orderBy(F.xxhash64("bucket", F.lit(turn)), "bucket")
+    outside = rows.where("NOT main").withColumn("turn", F.row_number().over(own))
+    met = outside.where(F.col("turn") <= near.buckets).join(members, "bucket")
+    return met.select(
+        F.least("node", "member.node").alias("a"), F.greatest("node", "member.node").alias("b")
     )
-    return stored(labelled.join(stored(several, "near-mixed"), "bucket"), "near-mixed")
 
 
 def _across(rows: DataFrame) -> DataFrame:
@@ -320,15 +350,13 @@ def _across(rows: DataFrame) -> DataFrame:
 def _block_pairs(bucket: int, sides: tuple, near: Near) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one group that may be similar: across components, in the first
     bucket they share, and close by their second sketch."""
-    node, label, block, prints, keys = sides
-    left, right = block == block.min(), block == block.max()
+    node, label, seeks, main, prints, keys = sides
     band = int(np.flatnonzero(keys[0] == np.uint32(bucket % (1 << 32)))[0])
     found_a, found_b = [], []
-    right_at = np.flatnonzero(right)
-    for i in np.flatnonzero(left).tolist():
-        other = right_at[label[right_at] != label[i]]
-        if block[i] == block.max():
-            other = other[other > i]
+    met = np.flatnonzero(~seeks)
+    for i in np.flatnonzero(seeks).tolist():
+        # Of two nodes that both seek, the smaller one finds the other.
+        other = met[(label[met] != label[i]) & (main[met] | (node[met] > node[i]))]
         other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
         if len(other):
             if near.prints:
@@ -342,8 +370,8 @@ def _block_pairs(bucket: int, sides: tuple, near: Near) -> tuple[np.ndarray, np.
 def _likely(rows: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
     """Pairs (a, b) of large buckets that their sketches let through.
 
-    A bucket's nodes are dealt to blocks by hash, and every pair of blocks is a
-    group; tasks hold one group at a time.
+    The nodes outside a bucket's largest component are dealt to blocks by hash, and so
+    are all its nodes; every pair of such blocks is a group. Tasks hold one at a time.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +389,7 @@ def _likely(rows: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
             for a, b in zip(starts[:ready].tolist(), ends[:ready].tolist(), strict=True):
                 part = held.slice(a, b - a)
                 sides = (
-                    *(part[c].to_numpy() for c in ("node", "label", "block")),
+                    *(part[c].to_numpy() for c in ("node", "label", "seeks", "main")),
                     np.frombuffer(b"".join(part["prints"].to_pylist()), np.uint8).reshape(b - a, near.prints),
                     np.frombuffer(b"".join(part["keys"].to_pylist()), np.uint32).reshape(b - a, near.bands),
                 )
@@ -371,24 +399,28 @@ def _likely(rows: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
                 )
             held = held.slice(starts[ready]) if ready < len(starts) else None
 
-    blocks = F.ceil(F.col("k") / near.block).cast("int")
-    block = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
-    dealt = (
-        rows.withColumn("block", block)
-        .withColumn("mate", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
+    place = F.xxhash64("node", "bucket")
+
+    def dealt(some: DataFrame, own: str, other: str, into: tuple[str, str], seeks: bool) -> DataFrame:
+        """Each row for its own block of one kind and all blocks of the other."""
+        sizes = [F.ceil(F.col(c) / near.block).cast("int") for c in (own, other)]
+        return some.select(
             "bucket",
-            F.least("block", "mate").alias("i"),
-            F.greatest("block", "mate").alias("j"),
+            F.pmod(place, sizes[0]).cast("int").alias(into[0]),
+            F.explode(F.sequence(F.lit(0), sizes[1] - 1)).alias(into[1]),
             "node",
             "label",
-            "block",
+            F.lit(seeks).alias("seeks"),
+            "main",
         )
+
+    dealt_rows = dealt(rows.where("NOT main"), "outside", "k", ("i", "j"), True).unionByName(
+        dealt(rows, "k", "outside", ("j", "i"), False)
     )
     group = ["bucket", "i", "j"]
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        dealt.join(sets.select("node", "prints", "keys"), "node")
+        dealt_rows.join(sets.select("node", "prints", "keys"), "node")
         .repartition(tasks, *group)
         .sortWithinPartitions(*group)
         .mapInArrow(compare, "a long, b long")
@@ -412,6 +444,11 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame | Non
     stars = rows.where("node <> leader")
     links.test(stars.select(F.col("leader").alias("a"), F.col("node").alias("b")))
     mixed_rows = _mixed_buckets(rows, links)
+    for turn in range(near.rounds):
+        if mixed_rows.isEmpty():
+            break
+        links.test(_with_members(mixed_rows, turn, near))
+        mixed_rows = _mixed_buckets(rows, links)
     few = _across(mixed_rows.where(F.col("k") <= near.small))
     many = _likely(mixed_rows.where(F.col("k") > near.small), sets, near)
     links.test(few.union(many))

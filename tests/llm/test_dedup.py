@@ -97,10 +97,10 @@ def variants(seed, groups=6, copies=12, length=60):
     return texts
 
 
-@pytest.mark.parametrize("small,block", [(8, 256), (1, 256), (1, 3)])
-def test_near_components(spark, small, block):
+@pytest.mark.parametrize("small,block,rounds", [(8, 256, 3), (1, 256, 0), (1, 3, 1)])
+def test_near_components(spark, small, block, rounds):
     texts = TEXTS + [(i + 100, t) for i, t in variants(3)]
-    near = near_dups.Near(words=4, small=small, block=block)
+    near = near_dups.Near(words=4, small=small, block=block, rounds=rounds, buckets=2)
     rows = near_dups.near_duplicates(documents(spark, texts, extra=True), near).collect()
     expected = near_components(texts, 4, 80)
     found = [(r.doc_id, r.component_id, r.kept) for r in rows]
@@ -121,7 +121,7 @@ def test_near_rows_of_equal_id_and_other_text(spark):
 @pytest.mark.parametrize("prints", [0, 720])
 def test_large_buckets_exactly_and_by_sketch(spark, prints):
     texts = variants(7, groups=2, copies=40)
-    near = near_dups.Near(words=4, small=1, block=5, prints=prints)
+    near = near_dups.Near(words=4, small=1, block=5, prints=prints, rounds=0)
     rows = near_dups.near_duplicates(documents(spark, texts), near).collect()
     found = order((r.doc_id, r.component_id) for r in rows)
     assert found == order(zip((i for i, _ in texts), near_components(texts, 4, 80), strict=True))

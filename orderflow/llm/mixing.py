@@ -7,6 +7,9 @@ summed by source and hash bucket, and only the bucket that crosses the budget is
 looked at again with finer buckets, until it holds one hash. Nothing is sorted
 and each pass reads a narrow table of ids, sizes and hashes.
 
+The sources themselves, one row each, are ordered in one task: tens of thousands of them
+are fine, sources as fine as hosts are not what this is for.
+
 Defined cases: a null text has size 0, the null source is a source of its own and
 comes last, documents of equal id share a hash and are taken together, a null id
 is hashed as the empty string, and an empty table gives an empty mix.

@@ -20,7 +20,7 @@ from orderflow import schema as S
 from orderflow.operators.aggregates import product_totals, windowed_revenue
 from orderflow.operators.quality import valid_orders
 from orderflow.settings import session_setting
-from orderflow.sinks.commits import drop_newer
+from orderflow.sinks.commits import drop_newer, exists
 from orderflow.sources.files import stream_orders_csv
 from orderflow.sources.kafka import dead_letters, decode_orders, stream_records
 from orderflow.streaming import sinks, tables
@@ -69,9 +69,10 @@ class StreamTables:
 
     def current_windows(self) -> DataFrame:
         """All windows as of the last batch, open ones too."""
-        return self.spark.read.schema(f"{sinks.WINDOWS}, window_date date").parquet(
-            f"{self.root}/current_windows"
-        )
+        ddl, path = f"{sinks.WINDOWS}, window_date date", f"{self.root}/current_windows"
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(path)
 
     def quarantine(self) -> DataFrame:
         """Rejected orders with their reason."""

@@ -17,6 +17,7 @@ from orderflow.operators.enrich import check_dimension, enrich_with_dimensions
 from orderflow.operators.quality import rejected_orders, split_cancelled, valid_orders
 from orderflow.plans.stream import (
     ALL_QUERIES,
+    StreamTables,
     kept_state,
     replay_batches,
     run_file_stream,
@@ -270,6 +271,9 @@ def test_tables_take_each_batch_once(spark, tmp_path):
 def test_nothing_appended_yet(spark, tmp_path):
     none = tables.read_table(spark, str(tmp_path / "none"), S.ORDERS)
     assert none.count() == 0 and none.columns == S.column_names(S.ORDERS)
+    job = StreamTables(spark, str(tmp_path / "none"))
+    for rows in (job.cleaned(), job.late_orders(), job.current_windows(), job.product_totals(), job.latest_snapshot()):
+        assert rows.count() == 0
     later = tables.stream_table(spark, str(tmp_path / "later"), S.ORDERS)
     assert filled(collect(later, "append", tmp_path / "cp", ["order_id"])) == {}
 

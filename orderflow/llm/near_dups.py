@@ -13,9 +13,9 @@ bucket. Links are found without comparing all pairs of a bucket:
 
 1. every node is compared with its bucket's smallest node;
 2. verified links make components, and only buckets that still hold several
-   components are looked at again. In some ``rounds``, a node outside its bucket's
-   largest component is compared with a member of it, another one in each bucket and
-   round, for a few of its buckets;
+   components are looked at again. In some ``rounds``, as long as they find links, a
+   node outside its bucket's largest component is compared with a member of it, another
+   one in each bucket and round, for a few of its buckets;
 3. of small buckets all pairs across components are then compared;
 4. of large ones the nodes outside the largest component, and all nodes, are cut into
    blocks, and each pair of such blocks is a group of its own. There a second, longer
@@ -293,17 +293,19 @@ class _Links:
             into, F.coalesce("__label", node)
         ).drop("__label")
 
-    def test(self, edges: DataFrame) -> None:
-        """Verifies edges that were not tested before."""
+    def test(self, edges: DataFrame) -> bool:
+        """Verifies edges that were not tested before; whether any is a link."""
         edges = edges.select("a", "b").distinct()
-        for old in self.tested:
-            edges = edges.join(old, ["a", "b"], "left_anti")
+        if self.tested:
+            edges = edges.join(reduce(DataFrame.union, self.tested), ["a", "b"], "left_anti")
         edges = stored(edges, "near-candidates")
         self.tested.append(edges)
         found = stored(linked(edges, self.sets, self.near), "near-links")
-        if not found.isEmpty():
-            self.verified.append(found)
-            self.labels = components(reduce(DataFrame.union, self.verified))
+        if found.isEmpty():
+            return False
+        self.verified.append(found)
+        self.labels = components(reduce(DataFrame.union, self.verified))
+        return True
 
 
 def _mixed_buckets(rows: DataFrame, links: _Links) -> DataFrame:
@@ -447,7 +449,8 @@ def link_nodes(nodes: DataFrame, docs: DataFrame, near: Near) -> DataFrame | Non
     for turn in range(near.rounds):
         if mixed_rows.isEmpty():
             break
-        links.test(_with_members(mixed_rows, turn, near))
+        if not links.test(_with_members(mixed_rows, turn, near)):
+            break
         mixed_rows = _mixed_buckets(rows, links)
     few = _across(mixed_rows.where(F.col("k") <= near.small))
     many = _likely(mixed_rows.where(F.col("k") > near.small), sets, near)

@@ -631,6 +631,23 @@ def stream_windows_update(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(path).drop("window_date")
 
 
+def stream_console(spark: SparkSession, sf: str) -> DataFrame:
+    """What the console shows of the changed windows: the first rows of each batch, and
+    nothing of a batch without rows."""
+    frame = aggregates.windowed_revenue(_windows_of_arrivals(spark, sf))
+    shown = []
+
+    def show(title: str, rows: DataFrame) -> None:
+        batch_id = F.lit(int(title.removeprefix("batch "))).cast("bigint")
+        shown.append(rows.withColumn("batch_id", batch_id))
+
+    _run_to_table(frame, "stream-console", "update", lambda path: sinks.show_rows(show=show))
+    rows = shown[0]
+    for more in shown[1:]:
+        rows = rows.unionByName(more)
+    return rows
+
+
 def stream_totals_deltas(spark: SparkSession, sf: str) -> DataFrame:
     """Totals in update mode: the changed products of each batch, merged in levels."""
     frame = aggregates.product_totals(_windows_of_arrivals(spark, sf))
@@ -781,6 +798,7 @@ QUERIES: dict[str, Query] = {
     "stream_late_rows": stream_late_rows,
     "stream_batch_metrics": stream_batch_metrics,
     "stream_summary": stream_summary,
+    "stream_console": stream_console,
     "stream_triggered": stream_triggered,
     "stream_totals_deltas": stream_totals_deltas,
     "stream_cleaned": stream_cleaned,

@@ -276,6 +276,17 @@ _ONCE = f"SELECT {ORDER}, 1::BIGINT AS n_rows FROM active GROUP BY ALL"
 _STATE = """, stopped AS (SELECT max(latest) - INTERVAL '30 minutes' AS mark FROM marks WHERE b < 6)
 SELECT DISTINCT order_id, order_timestamp + INTERVAL '30 minutes' AS expires_at FROM judged, stopped
 WHERE NOT late AND b < 6 AND order_timestamp + INTERVAL '30 minutes' > mark"""
+_SHOWN = """, on_time AS (
+  SELECT *, time_bucket(INTERVAL '10 minutes', order_timestamp) AS w, quantity * price AS amount
+  FROM judged WHERE status <> 'cancelled' AND NOT late),
+changed AS (SELECT DISTINCT b, w, product_id FROM on_time),
+shown AS (
+  SELECT c.b::BIGINT AS batch_id, c.w AS window_start, c.w + INTERVAL '10 minutes' AS window_end,
+         c.product_id, count(*) AS orders_count, round(sum(amount), 2) AS total_revenue,
+         row_number() OVER (PARTITION BY c.b ORDER BY c.w, c.product_id) AS k
+  FROM changed c JOIN on_time o ON o.w = c.w AND o.product_id = c.product_id AND o.b <= c.b
+  GROUP BY c.b, c.w, c.product_id)
+SELECT * EXCLUDE (k) FROM shown WHERE k <= 20"""
 _BATCHES = """, firsts AS (
   SELECT b, count(*) AS kept FROM (
     SELECT order_id, min(b) AS b FROM judged WHERE NOT late GROUP BY order_id) GROUP BY b)
@@ -370,6 +381,7 @@ FROM active GROUP BY GROUPING SETS ((order_date), (product_id), (hour_of_day))""
   count(*) FILTER (late) AS late_rows, min(order_timestamp) AS min_event_time,
   max(order_timestamp) AS max_event_time, true AS complete FROM judged""",
     "stream_triggered": _STREAM_CLEAN,
+    "stream_console": _with(SYNTH, _SINGLE, _on_time(_SINGLE_LATE)).rstrip() + _SHOWN,
     "stream_cleaned": _STREAM_CLEAN,
     "stream_snapshots": _TOTALS,
     "stream_product_totals": _TOTALS,

@@ -29,6 +29,8 @@ from orderflow.streaming.deltas import read_deltas
 from orderflow.streaming.tables import dealt, default_writers
 
 Handler = Callable[[DataFrame, int], None]
+#: Takes a title and the few rows to show.
+Show = Callable[[str, DataFrame], None]
 
 WINDOWS = (
     "window_start timestamp, window_end timestamp, product_id string, "
@@ -74,34 +76,38 @@ def enriching(
     return enrich
 
 
-def show_rows(n: int = 20) -> Handler:
-    """Print the first rows of each batch that has any, in order of their columns."""
+def print_rows(title: str, rows: DataFrame) -> None:
+    print(title)
+    rows.show(rows.count(), truncate=False)
 
-    def show(batch: DataFrame, batch_id: int) -> None:
-        _show(batch.orderBy(*batch.columns), n, f"batch {batch_id}")
 
-    return show
+def show_rows(n: int = 20, show: Show = print_rows) -> Handler:
+    """Show the first rows of each batch that has any, in order of their columns."""
 
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _show(batch.orderBy(*batch.columns), n, f"batch {batch_id}", show)
 
-def show_top_products(n: int = 10, stored: str | None = None) -> Handler:
-    """Print the best products of the totals so far: the batch's, or those stored as
+    return handle
+
+
+def show_top_products(n: int = 10, stored: str | None = None, show: Show = print_rows) -> Handler:
+    """Show the best products of the totals so far: the batch's, or those stored as
     deltas if batches hold changed products only."""
 
-    def show(totals: DataFrame, batch_id: int) -> None:
+    def handle(totals: DataFrame, batch_id: int) -> None:
         if stored is not None:
             totals = read_deltas(totals.sparkSession, stored, TOTALS, ["product_id"])
-        _show(by_revenue(totals), n, f"batch {batch_id}: top {n} products by revenue")
+        _show(by_revenue(totals), n, f"batch {batch_id}: top {n} products by revenue", show)
 
-    return show
+    return handle
 
 
-def _show(ordered: DataFrame, n: int, title: str) -> None:
+def _show(ordered: DataFrame, n: int, title: str, show: Show) -> None:
     """The first rows of all tasks are found in one job that reads every row, so state
     operators run to their end and no more than n rows of a task go to the driver."""
     first = ordered.limit(n).collect()
     if first:
-        print(title)
-        ordered.sparkSession.createDataFrame(first, ordered.schema).show(n, truncate=False)
+        show(title, ordered.sparkSession.createDataFrame(first, ordered.schema))
 
 
 def after(*handlers: Handler) -> Handler:

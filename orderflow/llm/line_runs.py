@@ -10,8 +10,8 @@ the few repeats give the lines found in enough documents.
 
 Hashes are 128-bit md5 of the line's key. Defined cases: a null or empty text is
 one empty line; each row counts as a document, and a line once per row; rows of
-the largest id all keep their line; a null id counts as the smallest; a key below
-``min_chars`` is never dropped. An empty table gives no rows.
+the largest id all keep their line; a null id counts as the smallest, and ids that are
+no whole numbers are compared as text; a key below ``min_chars`` is never dropped. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -342,30 +342,48 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(dedupe_stream(rows), "stream-dedupe")
 
 
-def stream_enrich_large(spark: SparkSession, sf: str) -> DataFrame:
-    """Batches enriched one by one, as for dimensions too large to broadcast."""
-    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
-    dimensions = (
-        enrich.check_dimension(retail.customers(spark, sf), "customer_id"),
-        enrich.check_dimension(retail.products(spark, sf), "product_id"),
-    )
+def _enriched_by_batch(
+    rows: DataFrame, customers: enrich.Dimension, products: enrich.Dimension, name: str, **how
+) -> DataFrame:
+    """Each batch of a stream enriched against the dimension rows that it needs."""
 
     def handler(path: str) -> sinks.Handler:
         store = sinks.store_batches(path)
-        return sinks.enriching(store, *dimensions, f"{path}-staging", broadcast_limit=0)
+        return sinks.enriching(store, customers, products, f"{path}-staging", **how)
 
-    path = _run_to_table(rows, "stream-enrich-large", "append", handler)
+    path = _run_to_table(rows, name, "append", handler)
     ddl = f"{S.ORDERS}, {S.DERIVED}, {S.CUSTOMERS}, {S.PRODUCTS}"
     fields = {field.split()[0]: field for field in ddl.split(", ")}
-    return sinks.read_batches(spark, path, ", ".join(fields[c] for c in S.ENRICHED_COLUMNS))
+    ddl = ", ".join(fields[c] for c in S.ENRICHED_COLUMNS)
+    return sinks.read_batches(rows.sparkSession, path, ddl)
 
 
-def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
-    enriched = enrich.enrich_with_dimensions(
-        rows, retail.customers(spark, sf), retail.products(spark, sf)
+def _event_dimensions(spark: SparkSession, sf: str) -> tuple[enrich.Dimension, enrich.Dimension]:
+    return (
+        enrich.check_dimension(retail.customers(spark, sf), "customer_id"),
+        enrich.check_dimension(retail.products(spark, sf), "product_id"),
     )
-    return _streamed(enriched, "stream-enrich")
+
+
+def stream_enrich_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches enriched one by one, as for dimensions too large to broadcast."""
+    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
+    dimensions = _event_dimensions(spark, sf)
+    return _enriched_by_batch(rows, *dimensions, "stream-enrich-large", broadcast_limit=0)
+
+
+def stream_enrich(
+    spark: SparkSession, sf: str, broadcast_limit: int = enrich.BROADCAST_LIMIT
+) -> DataFrame:
+    """Dimensions joined to the stream itself; batch by batch if one is too large for
+    that."""
+    rows = clean_and_derive(retail.event_orders_stream(spark, sf))
+    dimensions = _event_dimensions(spark, sf)
+    if any(d.size_bytes > broadcast_limit for d in dimensions):
+        return _enriched_by_batch(
+            rows, *dimensions, "stream-enrich", broadcast_limit=broadcast_limit
+        )
+    return _streamed(enrich.enrich_with_dimensions(rows, *dimensions), "stream-enrich")
 
 
 def _event_windows(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,7 @@ from orderflow.operators.dedupe import dedupe_orders
 from orderflow.operators.derive import derive_columns, normalize_status
 from orderflow.operators.enrich import check_dimension, enrich_with_dimensions
 from orderflow.operators.quality import rejected_orders, split_cancelled, valid_orders
+from orderflow.plans import catalog
 from orderflow.plans.stream import (
     ALL_QUERIES,
     StreamTables,
@@ -509,6 +510,13 @@ def test_enrichment_of_each_batch(spark, tmp_path, limit):
     assert all("AdaptiveSparkPlan" in p for p in plans)
 
 
+def test_stream_meets_dimensions_of_any_size(spark):
+    sf = "/root/testdata/sf0.001"
+    small, large = catalog.stream_enrich(spark, sf), catalog.stream_enrich(spark, sf, broadcast_limit=0)
+    assert small.columns == large.columns
+    assert values(large, *large.columns) == values(small, *small.columns)
+
+
 def test_whole_job(spark, tmp_path, capsys):
     folder = feed(tmp_path / "in", DEDUPE)
     lines = []

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
+from orderflow.plans.scratch import scratch_dir
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
@@ -121,6 +122,26 @@ def reduced_dimension(dim: Dimension, orders: DataFrame, path: str) -> Dimension
     return check_dimension(frame, dim.key)
 
 
+def _with_hot_keys(
+    orders: DataFrame, dims: list[Dimension], broadcast_limit: int, hot: dict[str, list] | None
+) -> tuple[DataFrame, dict[str, list] | None]:
+    """The orders, and the hot keys of the dimensions that are too large to broadcast.
+
+    Unless the caller has the hot keys, the orders are written first: they are read for
+    the counts and by both branches of each join, and would be made anew each time.
+    """
+    large = [d for d in dims if d.size_bytes > broadcast_limit]
+    if large and orders.isStreaming:
+        names = " and ".join(d.key for d in large)
+        raise ValueError(f"the dimension of {names} is too large for a stream; enrich its batches")
+    if not large or hot is not None:
+        return orders, hot
+    spark, path = orders.sparkSession, scratch_dir(orders.sparkSession, "lookup-orders")
+    orders.write.option("compression", "zstd").parquet(path)
+    stored = spark.read.schema(orders.schema).parquet(path)
+    return stored, hot_keys(stored, *(d.key for d in large))
+
+
 def left_lookup(
     orders: DataFrame,
     dimension: DataFrame | Dimension,
@@ -132,9 +153,9 @@ def left_lookup(
     """Add a dimension's columns; orders without a match keep NULLs.
 
     ``only`` restricts which orders are looked up at all. ``hot`` holds the
-    result of ``hot_keys`` if the caller has it; without it a large dimension
-    costs extra passes over the key column, so write orders that are costly to make
-    first, as the batch job does. It affects speed, never the result.
+    result of ``hot_keys`` if the caller has it; without it the orders that meet a
+    large dimension are first written below ``spark.checkpoint.dir`` and their key
+    column is read for it. It affects speed, never the result.
 
     A stream cannot be looked up in a large dimension directly: its batches are
     (``streaming.sinks.enriching``), each against the dimension rows it needs.
@@ -142,10 +163,8 @@ def left_lookup(
     dim = _checked(dimension, key)
     if dim.size_bytes <= broadcast_limit:
         joined = _join(orders, F.broadcast(dim.frame), key, only)
-    elif orders.isStreaming:
-        raise ValueError(f"the dimension of {key} is too large for a stream; enrich its batches")
     else:
-        hot = hot_keys(orders, key) if hot is None else hot
+        orders, hot = _with_hot_keys(orders, [dim], broadcast_limit, hot)
         joined = _join_large(orders, dim, only, hot[key])
     added = [c for c in dim.frame.columns if c != key]
     rest = [c for c in orders.columns if c != key]
@@ -164,9 +183,15 @@ def enrich_with_dimensions(
     orders: DataFrame,
     customers: DataFrame | Dimension,
     products: DataFrame | Dimension,
-    **how,
+    only: Column | None = None,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    hot: dict[str, list] | None = None,
 ) -> DataFrame:
-    """Both lookups, for static and for streaming orders."""
+    """Both lookups, for static and for streaming orders. Hot keys of both come from the
+    same written orders."""
+    customers, products = _checked(customers, "customer_id"), _checked(products, "product_id")
+    orders, hot = _with_hot_keys(orders, [customers, products], broadcast_limit, hot)
+    how = {"only": only, "broadcast_limit": broadcast_limit, "hot": hot}
     return enrich_with_products(enrich_with_customers(orders, customers, **how), products, **how)
 
 

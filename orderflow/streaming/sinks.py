@@ -19,6 +19,7 @@ from orderflow.operators.enrich import (
     BROADCAST_LIMIT,
     Dimension,
     enrich_with_dimensions,
+    hot_keys,
     reduced_dimension,
 )
 from orderflow.schema import column_names
@@ -45,6 +46,7 @@ def enriching(
     products: Dimension,
     staging: str,
     broadcast_limit: int = BROADCAST_LIMIT,
+    hot: dict[str, list] | None = None,
     **how,
 ) -> Handler:
     """Add the dimensions to each batch before it is handled.
@@ -68,7 +70,14 @@ def enriching(
                 path = f"{staging}/{dimension.key}/{folder}"
                 dimension = reduced_dimension(dimension, rows, path)
             reduced.append(dimension)
-        enriched = enrich_with_dimensions(rows, *reduced, broadcast_limit=broadcast_limit, **how)
+        large = [d.key for d in reduced if d.size_bytes > broadcast_limit]
+        found = hot
+        if large and hot is None:
+            # The rows are written already, so they are not written again for it.
+            found = hot_keys(rows, *large)
+        enriched = enrich_with_dimensions(
+            rows, *reduced, broadcast_limit=broadcast_limit, hot=found, **how
+        )
         handle(enriched, batch_id)
         for name in ("orders", customers.key, products.key):
             drop_older(session, f"{staging}/{name}", "batch_id=", keep=2)

@@ -115,6 +115,18 @@ def test_hot_rows_stay_out_of_the_shuffle(spark):
     assert "isnotnull" in cold.lower() or "IN (c7)" in cold or "= c7" in cold
 
 
+def test_orders_of_large_lookups_are_made_once(spark, customers, products):
+    frame = lookup_rows(spark).distinct()
+    both = enrich_with_dimensions(frame, customers, products)
+    assert "HashAggregate" in plan_of(both)
+    for large in (
+        enrich_with_dimensions(frame, customers, products, broadcast_limit=0),
+        enrich_with_customers(frame, customers, broadcast_limit=0),
+    ):
+        assert "HashAggregate" not in plan_of(large)
+        assert values(large, "order_id") == values(both, "order_id")
+
+
 def test_large_dimension_of_a_stream_is_refused(spark, customers):
     stream = spark.readStream.format("rate").load().select(F.lit("c1").alias("customer_id"))
     with pytest.raises(ValueError, match="enrich its batches"):

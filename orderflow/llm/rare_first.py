@@ -54,6 +54,9 @@ from orderflow.llm.text import stored, whole
 
 #: Parts of the hash range in the suffix filter.
 PARTS = 16
+#: Rounds go on up to this multiple of those asked for, as long as one finds a link for
+#: every so many classes outside.
+LONGER, FEW = 4, 50
 #: Frequency of n-grams that are not counted.
 LAST = (1 << 62) - 1
 #: Postings leave a task in batches of about this many rows.
@@ -346,14 +349,14 @@ def verified(pairs: DataFrame, lists: DataFrame, join: Join) -> DataFrame:
     return stored(found, "join-links")
 
 
-def _leaders(entries: DataFrame, rank: Column) -> DataFrame:
-    """The lowest entry of each list; stored, so that a join with the entries may split
-    those of a crowded list."""
-    found = entries.groupBy("gram").agg(
-        F.min(F.struct(rank.alias("rank"), *(c for c in _ENTRY if c != "gram"))).alias("first"),
-        F.count("*").alias("k"),
+def _leaders(entries: DataFrame, rank: Column, *apart: str) -> DataFrame:
+    """The lowest entry of each list, or of each part of it that ``apart`` tells; stored,
+    so that a join with the entries may split those of a crowded list."""
+    held = [c for c in [*_ENTRY, "label"] if c in entries.columns and c != "gram"]
+    found = entries.groupBy("gram", *apart).agg(
+        F.min(F.struct(rank.alias("rank"), *held)).alias("first"), F.count("*").alias("k")
     )
-    first = [f"first.{c}" for c in _ENTRY if c != "gram"]
+    first = [f"first.{c}" for c in held]
     return stored(found.select("gram", "k", *first), "join-leaders")
 
 
@@ -391,28 +394,32 @@ def links(lists: DataFrame, join: Join) -> DataFrame | None:
     found: list[DataFrame] = []
     labels = lists.select("node", F.col("node").alias("label")).limit(0)
 
-    def test(matches: DataFrame) -> None:
+    def test(matches: DataFrame) -> int:
         nonlocal labels
         pairs = pairs_of(matches)
         for old in tested:
             pairs = pairs.join(old, ["a", "b"], "left_anti")
         tested.append(stored(pairs, "join-pairs"))
         linked = verified(tested[-1], lists, join)
-        if not linked.isEmpty():
+        fresh = linked.count()
+        if fresh:
             found.append(linked)
             labels = components(reduce(DataFrame.union, found))
+        return fresh
 
-    other = F.col("node_a") != F.col("node_b")
-    test(matching(entries, _leaders(entries, F.col("node")).where("k > 1"), join, other))
-    for turn in range(join.rounds + 1):
+    other, apart = F.col("node_a") != F.col("node_b"), F.col("label_a") != F.col("label_b")
+    fresh = test(matching(entries, _leaders(entries, F.col("node")).where("k > 1"), join, other))
+    for turn in range(LONGER * join.rounds + 1):
         rows = several_components(entries, labels)
         if rows.isEmpty():
             break
-        if turn == join.rounds:
+        outside = rows.where("NOT main")
+        late = turn >= join.rounds and FEW * fresh <= outside.select("node").distinct().count()
+        if late or turn == LONGER * join.rounds:
             test(across(rows, join))
             break
-        leaders = _leaders(rows.where("main"), F.xxhash64("node", "gram", F.lit(turn)))
-        test(matching(rows.where("NOT main"), leaders, join, other))
+        leaders = _leaders(rows, F.xxhash64("node", "gram", F.lit(turn)), "main")
+        fresh = test(matching(outside, leaders, join, apart))
     return labels if found else None
 
 

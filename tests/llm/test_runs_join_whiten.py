@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 from cases import TEXTS, documents, near_components, shingles, words
+from pyspark.sql import functions as F
 from test_dedup import order, variants
 
 from orderflow.llm import bit_slices, period_tiles, rare_first
@@ -207,3 +208,12 @@ def test_whitening_without_variance_or_rows(spark):
     found = bit_slices.whitened(vectors(spark, line)).collect()
     assert {(r.component, r.whitened is None) for r in found} == {(1, False), (2, True), (3, True)}
     assert {round(r.explained, 9) for r in found if r.component == 1} == {1.0}
+
+
+def test_rounds_have_a_leader_outside_the_main_component(spark):
+    names = [c for c in rare_first._ENTRY if c not in ("node", "gram")]
+    rows = spark.range(12).selectExpr(
+        "id AS node", "id % 2 AS gram", *(f"1L AS {c}" for c in names), "id % 3 AS label", "id % 3 = 0 AS main"
+    )
+    found = rare_first._leaders(rows, F.col("node"), "main").select("gram", "node", "label", "k").collect()
+    assert sorted(map(tuple, found)) == [(0, 0, 0, 2), (0, 2, 2, 4), (1, 1, 1, 4), (1, 3, 0, 2)]

@@ -27,6 +27,7 @@ from orderflow.plans.stream import (
     start_table,
     wait_and_stop,
 )
+from orderflow.settings import session_setting
 from orderflow.sinks.files import (
     read_quarantine,
     write_cancelled_orders,
@@ -703,6 +704,8 @@ def synth_defects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ROWS_PER_FILE = 100
+#: What opening one of these files is worth, in bytes read.
+SMALL_FILE = "64KB"
 
 
 def microbatch_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -718,12 +721,17 @@ def microbatch_files(spark: SparkSession, sf: str) -> DataFrame:
         synth_defects(spark, sf), path, rows_per_file=ROWS_PER_FILE, order_by="order_timestamp"
     )
     name = F.col("_metadata.file_name")
-    rows = files.read_orders_csv(spark, path).withColumns(
+    named = files.read_orders_csv(spark, path).withColumns(
         {
             "task": F.regexp_extract(name, r"part-(\d+)-", 1).cast("int"),
             "file": F.regexp_extract(name, r"-c(\d+)\.", 1).cast("int"),
         }
     )
+    # The many files are opened once, thousands by a task, and not again for the join.
+    staged = scratch_dir(spark, "microbatch-read")
+    with session_setting(spark, "spark.sql.files.openCostInBytes", SMALL_FILE):
+        named.write.parquet(staged)
+    rows = spark.read.schema(named.schema).parquet(staged)
     per_file = rows.groupBy("task", "file").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min("order_timestamp").alias("first"),

@@ -39,12 +39,15 @@ def stream_orders_csv(
     return reader.csv(directory)
 
 
-def write_csv(frame: DataFrame, path: str, rows_per_file: int = 0) -> None:
-    """Write CSV with a header, with at most ``rows_per_file`` rows a file if set.
+def write_csv(
+    frame: DataFrame, path: str, rows_per_file: int = 0, options: dict[str, str] | None = None
+) -> None:
+    """Write CSV with a header, with at most ``rows_per_file`` rows a file if set;
+    ``options`` are further options of the writer.
 
     Times are written as text like ``2026-01-01 10:00:00``, with a fraction only
     where there is one; the writer's own format would cut them to milliseconds."""
     times = {n: F.col(n).cast("string") for n, t in frame.dtypes if t == "timestamp"}
     text = frame.withColumns(times) if times else frame
-    writer = text.write.mode("overwrite").options(**CSV_OPTIONS)
+    writer = text.write.mode("overwrite").options(**CSV_OPTIONS, **(options or {}))
     writer.option("maxRecordsPerFile", rows_per_file).csv(path)

@@ -529,7 +529,8 @@ def _without_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def _stored_deliveries(orders: DataFrame) -> DataFrame:
     path = scratch_dir(orders.sparkSession, "deliveries")
     rows = _deliveries(orders)
-    rows.write.parquet(path)
+    # A folder per batch: each is delivered without reading the others.
+    rows.write.partitionBy("delivery").parquet(path)
     return orders.sparkSession.read.schema(rows.schema).parquet(path)
 
 

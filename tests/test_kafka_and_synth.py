@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orderflow import schema as S
 from orderflow.operators import synth
+from orderflow.plans import catalog
 from orderflow.sources import kafka
 from orderflow.sources.files import read_orders_csv
 
@@ -167,3 +168,16 @@ def test_one_shared_time_is_still_split(spark, tmp_path):
     synth.split_microbatches(same, str(tmp_path / "s"), rows_per_file=100)
     sizes = [len(f.read_text().splitlines()) - 1 for f in (tmp_path / "s").glob("part-*.csv")]
     assert sizes == [100] * 6
+
+
+def test_microbatch_files_are_opened_once(spark):
+    rows = catalog.microbatch_files(spark, "/root/testdata/sf0.001")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Scan csv" not in plan and "csv" not in plan.lower()
+    assert rows.where("size_kept AND order_kept").count() == rows.count() > 0
+
+
+def test_a_batch_is_delivered_from_its_own_folder(spark):
+    stored = catalog._stored_deliveries(catalog._late_orders(spark, "/root/testdata/sf0.001"))
+    plan = stored.where("delivery = 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(delivery" in plan

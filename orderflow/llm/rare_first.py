@@ -332,11 +332,20 @@ def matching(a: DataFrame, b: DataFrame, join: Join, also: Column) -> DataFrame:
     )
 
 
-def pairs_of(matches: DataFrame) -> DataFrame:
-    """Each pair (a, b) of the matches once."""
-    return matches.select(
-        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
-    ).distinct()
+def untested(matches: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    """Each pair (a, b) of the matches once, without those tested before.
+
+    One grouping of both: an anti-join per round would read the matches again for each,
+    and Spark may put it before they are made distinct.
+    """
+    pairs = matches.select(
+        F.least("node_a", "node_b").alias("a"),
+        F.greatest("node_a", "node_b").alias("b"),
+        F.lit(False).alias("old"),
+    )
+    for known in tested:
+        pairs = pairs.union(known.select("a", "b", F.lit(True)))
+    return pairs.groupBy("a", "b").agg(F.bool_or("old").alias("old")).where("NOT old").select("a", "b")
 
 
 def verified(pairs: DataFrame, lists: DataFrame, join: Join) -> DataFrame:
@@ -396,10 +405,7 @@ def links(lists: DataFrame, join: Join) -> DataFrame | None:
 
     def test(matches: DataFrame) -> int:
         nonlocal labels
-        pairs = pairs_of(matches)
-        for old in tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        tested.append(stored(pairs, "join-pairs"))
+        tested.append(stored(untested(matches, tested), "join-pairs"))
         linked = verified(tested[-1], lists, join)
         fresh = linked.count()
         if fresh:

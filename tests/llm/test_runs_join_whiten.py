@@ -217,3 +217,14 @@ def test_rounds_have_a_leader_outside_the_main_component(spark):
     )
     found = rare_first._leaders(rows, F.col("node"), "main").select("gram", "node", "label", "k").collect()
     assert sorted(map(tuple, found)) == [(0, 0, 0, 2), (0, 2, 2, 4), (1, 1, 1, 4), (1, 3, 0, 2)]
+
+
+def test_pairs_of_later_rounds_meet_the_matches_once(spark):
+    pairs = [(1, 2), (2, 1), (1, 2), (3, 4), (5, 6), (6, 5), (8, 7)]
+    matches = spark.createDataFrame(pairs, "node_a long, node_b long")
+    earlier = [spark.createDataFrame(rows, "a long, b long") for rows in ([(1, 2)], [(5, 6), (9, 10)], [])]
+    found = rare_first.untested(matches, earlier)
+    assert order(map(tuple, found.collect())) == [(3, 4), (7, 8)]
+    # An anti-join per round gave the matches again for each one before it.
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert order(map(tuple, rare_first.untested(matches, []).collect())) == [(1, 2), (3, 4), (5, 6), (7, 8)]

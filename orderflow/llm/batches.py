@@ -13,13 +13,15 @@ import pyarrow.compute as pc
 SLICE_BYTES = 2_000_000
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Parts of the batch with the values of one text column."""
+def slices(
+    batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Parts of the batch with the values of one text column, of ``most`` bytes or one text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
     ends = np.cumsum(sizes, dtype=np.int64)
     start = 0
     while start < len(sizes):
-        limit = SLICE_BYTES + (ends[start - 1] if start else 0)
+        limit = most + (ends[start - 1] if start else 0)
         stop = max(start + 1, int(np.searchsorted(ends, limit, side="right")))
         part = batch.slice(start, stop - start)
         yield part, part.column(column).to_pylist()

@@ -45,6 +45,8 @@ SPACE = "▁"
 LONG = 64
 CHUNK = re.compile(" +[^ ]*")
 MASK = (1 << 64) - 1
+#: Bytes of text worked on at a time: its chunks, as strings and as arrays, take many times that.
+SLICE_BYTES = 1_000_000
 #: Odd multipliers of a 64-bit mixing function.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -291,8 +293,8 @@ def segment(
     return symbol.astype(np.int32), np.bincount(owner, minlength=len(chunks))
 
 
-#: Candidates hashed, and characters encoded, at a time.
-BLOCK = 1 << 20
+#: Candidates hashed, and characters encoded, at a time. Many arrays of that length stand side by side.
+BLOCK = 1 << 16
 
 
 def _skipping(key_of: np.ndarray, codes: np.ndarray, seen: list, kinds: int, drop: Dropout):
@@ -406,7 +408,7 @@ def encoded(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
         for batch in batches:
-            for part, texts in slices(batch, text):
+            for part, texts in slices(batch, text, SLICE_BYTES):
                 keys = part.column("__key").to_numpy()
                 columns = [part.column(n) for n in names]
                 columns.append(encode_texts(model, texts, keys, drop))
@@ -441,7 +443,7 @@ def round_trip(docs: DataFrame, model_path: str, drop: Dropout = Dropout()) -> D
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", SLICE_BYTES):
                 ids = encode_texts(model, texts, part.column("__key").to_numpy(), drop)
                 back = decode_ids(model, ids).to_pylist()
                 same = pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import corpus_pipeline
 import numpy as np
@@ -184,3 +185,14 @@ def _with_letters(symbols, chunk):
         letters.append(chunk[at])
         at += len(MODEL.raw[symbol].decode().replace("▁", " ")) if known else 1
     return symbols, letters
+
+
+def test_memory_does_not_follow_the_length_of_a_text():
+    draw = random.Random(5)
+    text = " ".join("".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(75_000))
+    tracemalloc.start()
+    encode([text], Dropout())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 69 MB when a block held all of the text's 488,011 characters.
+    assert peak < 40e6

@@ -97,20 +97,23 @@ def hot_keys(orders: DataFrame, *keys: str, share: float | None = None) -> dict[
 def _join_large(orders: DataFrame, dim: Dimension, only: Column | None, hot: list) -> DataFrame:
     """Join a dimension that is too large to broadcast.
 
-    Orders of a hot key, or of none, stay where they are and meet a broadcast of
-    the hot keys' dimension rows, one per key; all others are shuffled by key.
-    Both branches read the same source, so an exchange below is computed once.
+    Orders of a hot key, or of none, and those that ``only`` leaves out stay where they
+    are and meet a broadcast of the hot keys' dimension rows, one per key; all others
+    are shuffled by key. Both branches read the same source, so an exchange below is
+    computed once.
     """
     key = F.col(dim.key)
+    # Rows without a key, or not looked up, match nothing; they need no shuffle either.
+    stays = key.isNull()
+    if only is not None:
+        stays = stays | ~F.coalesce(only, F.lit(False))
     if not hot:
-        # Rows without a key match nothing; they need no shuffle either.
-        is_hot = key.isNull()
         hot_rows = dim.frame.limit(0)
     else:
-        is_hot = key.isNull() | key.isin(hot)
+        stays = stays | key.isin(hot)
         hot_rows = dim.frame.filter(key.isin(hot))
-    cold = _join(orders.filter(~is_hot), dim.frame.hint("shuffle_merge"), dim.key, only)
-    return cold.unionByName(_join(orders.filter(is_hot), F.broadcast(hot_rows), dim.key, only))
+    cold = _join(orders.filter(~stays), dim.frame.hint("shuffle_merge"), dim.key, None)
+    return cold.unionByName(_join(orders.filter(stays), F.broadcast(hot_rows), dim.key, only))
 
 
 def reduced_dimension(dim: Dimension, orders: DataFrame, path: str) -> Dimension:

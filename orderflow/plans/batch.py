@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow import schema as S
+from orderflow.functions.orders import derived_columns, order_class
 from orderflow.operators.aggregates import REVENUE_KEYS, by_revenue, revenue_rollup, rollup_part
 from orderflow.operators.dedupe import dedupe_orders
 from orderflow.operators.derive import classify_orders, derive_columns, normalize_status
@@ -235,32 +236,25 @@ def _run_batch(
     write_quarantine(rejected_orders(orders), f"{output}/quarantine")
 
     kept = dedupe_orders(normalize_status(valid_orders(orders)), copies="n_copies")
-    kept = derive_columns(classify_orders(kept))
-    is_small = max(customers_dim.size_bytes, products_dim.size_bytes) <= broadcast_limit
-    if is_small:
+    is_active = order_class(F.col("status")) == S.ACTIVE
+    how = {"only": is_active, "broadcast_limit": broadcast_limit}
+    if max(customers_dim.size_bytes, products_dim.size_bytes) <= broadcast_limit:
         # Lay rows out for the writer first: broadcast joins keep the layout
         # and the shuffle carries no dimension columns.
-        kept = rebalanced(kept, _LAYOUT)
+        kept = rebalanced(derive_columns(classify_orders(kept)), _LAYOUT)
+        enriched = enrich_with_dimensions(kept, customers_dim, products_dim, hot=hot, **how)
     else:
-        write_parquet(kept, f"{output}/kept")
+        write_parquet(kept, f"{output}/kept", compression="zstd")
         kept = spark.read.schema(kept.schema).parquet(f"{output}/kept")
-        active = kept.filter(F.col("order_class") == S.ACTIVE)
-        hot = hot_keys(active, "customer_id", "product_id") if hot is None else hot
-    enriched = enrich_with_dimensions(
-        kept,
-        customers_dim,
-        products_dim,
-        only=F.col("order_class") == S.ACTIVE,
-        broadcast_limit=broadcast_limit,
-        hot=hot,
-    )
+        hot = hot_keys(kept.filter(is_active), "customer_id", "product_id") if hot is None else hot
+        enriched = enrich_with_dimensions(kept, customers_dim, products_dim, hot=hot, **how)
+        # Only the day goes through the shuffles; what else follows from an order's own
+        # columns is derived where the order is written.
+        by_day = enriched.withColumn("order_date", derived_columns()["order_date"])
+        enriched = derive_columns(classify_orders(rebalanced(by_day, ["order_date"])))
     columns = S.column_names(ORDERS_TABLE)
     write_parquet(
-        enriched.select(*columns),
-        tables.orders_path,
-        _LAYOUT,
-        rebalance=not is_small,
-        min_partition_size=min_partition_size,
+        enriched.select(*columns), tables.orders_path, _LAYOUT, min_partition_size=min_partition_size
     )
 
     copies = F.sum("n_copies").alias("n_copies")

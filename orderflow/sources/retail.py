@@ -40,14 +40,22 @@ def orders_raw(spark: SparkSession, directory: str) -> DataFrame:
     spelling = ((key + line) % len(LINE_STATUSES) + 1).cast("int")
 
     owners = table(spark, directory, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, directory, "lineitem")
+    # The supplier only sets a sign: the join need not carry it.
+    lines = table(spark, directory, "lineitem").select(
+        key,
+        line,
+        part,
+        "l_shipdate",
+        _negated_if(F.col("l_quantity").cast("int"), part % 20 == 3).alias("quantity"),
+        _negated_if(F.col("l_extendedprice"), supplier % 20 == 7).alias("price"),
+    )
     return lines.join(owners, key == F.col("o_orderkey"), "left").select(
         F.when(~missing, F.concat(F.lit("o"), key, F.lit("-"), line)).alias("order_id"),
         _numbered("c", F.col("o_custkey")).alias("customer_id"),
         _numbered("p", part).alias("product_id"),
         F.timestamp_micros(shipped + seconds * 1_000_000).alias("order_timestamp"),
-        _negated_if(F.col("l_quantity").cast("int"), part % 20 == 3).alias("quantity"),
-        _negated_if(F.col("l_extendedprice"), supplier % 20 == 7).alias("price"),
+        "quantity",
+        "price",
         F.element_at(F.array(*[F.lit(s) for s in LINE_STATUSES]), spelling).alias("status"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from helpers import at, order, orders, values
 from pyspark.sql import functions as F
@@ -24,8 +26,15 @@ from orderflow.plans import batch
 from orderflow.plans.batch import open_batch, run_batch
 from orderflow.plans.scratch import scratch_dir
 from orderflow.settings import session_setting
-from orderflow.sinks.files import read_quarantine, write_cancelled_orders, write_parquet, write_quarantine
+from orderflow.sinks.files import (
+    read_quarantine,
+    rebalanced,
+    write_cancelled_orders,
+    write_parquet,
+    write_quarantine,
+)
 from orderflow.sources.files import read_customers_csv, read_orders_csv, read_products_csv, write_csv
+from orderflow.sources.retail import LINE_STATUSES, orders_raw
 
 CUSTOMERS = [("c1", "Ann", "a@x", "VIP", "2025-01-01"), ("c2", "Bob", None, "Basic", None), (None, "?", None, None, None)]
 PRODUCTS = [("p1", "Lamp", "Home", "BrandA", 9.5), ("p2", "Pen", "Office", "BrandB", 1.0)]
@@ -115,6 +124,19 @@ def test_hot_rows_stay_out_of_the_shuffle(spark):
     assert "isnotnull" in cold.lower() or "IN (c7)" in cold or "= c7" in cold
 
 
+def test_rows_that_are_not_looked_up_stay_out_of_the_shuffle(spark):
+    frame = spark.range(400).select("id", F.concat(F.lit("c"), F.col("id") % 9).alias("customer_id"))
+    dim = spark.createDataFrame([(f"c{i}", f"n{i}") for i in range(8)], "customer_id string, customer_name string")
+    only = F.when(F.col("id") % 5 != 0, F.col("id") % 2 == 0)
+    for hot in ([], ["c7"]):
+        how = {"only": only, "hot": {"customer_id": hot}}
+        small, large = enrich_with_customers(frame, dim, **how), enrich_with_customers(frame, dim, broadcast_limit=0, **how)
+        assert values(large, *large.columns) == values(small, *small.columns)
+        # The condition is met by every row that the sorted join gets.
+        joins = [line for line in plan_of(large).splitlines() if "SortMergeJoin" in line]
+        assert len(joins) == 1 and "% 2" not in joins[0]
+
+
 def test_orders_of_large_lookups_are_made_once(spark, customers, products):
     frame = lookup_rows(spark).distinct()
     both = enrich_with_dimensions(frame, customers, products)
@@ -307,6 +329,40 @@ def test_batch_job(spark, customers, products, tmp_path, limit):
     assert counts["input"] == len(RAW) and counts["duplicates"] == 1
 
 
+def test_large_lookups_move_no_column_that_can_be_derived(spark, customers, products, tmp_path, monkeypatch):
+    moved = []
+
+    def lay_out(frame, keys):
+        moved.extend(frame.columns)
+        return rebalanced(frame, keys)
+
+    monkeypatch.setattr(batch, "rebalanced", lay_out)
+    tables = run_batch(orders(spark, RAW), customers, products, str(tmp_path), broadcast_limit=0)
+    derived = {"order_day_of_week", "hour_of_day", "total_amount", "order_class"}
+    assert "brand" in moved and not derived & set(moved)
+    kept = spark.read.parquet(*map(str, tmp_path.glob("run-*/kept"))).columns
+    assert sorted(kept) == sorted([*S.column_names(S.ORDERS), "n_copies"])
+    written = tables.all_orders()
+    again = derive_columns(written.drop(*S.column_names(S.DERIVED)))
+    assert values(again, *written.columns) == values(written, *written.columns)
+
+
+def test_order_lines_meet_their_owner_without_the_supplier(spark, tmp_path):
+    line = (1, 2, 3, 7, date(1995, 3, 4), 5.0, 20.0)
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate date, l_quantity double, l_extendedprice double"
+    lines = spark.createDataFrame([line, (8, 1, 4, 8, None, 2.0, 9.0)], columns)
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    owners = spark.createDataFrame([(1, 6)], "o_orderkey long, o_custkey long")
+    owners.write.parquet(str(tmp_path / "orders.parquet"))
+    raw = orders_raw(spark, str(tmp_path))
+    assert values(raw, "order_id", "customer_id", "quantity", "price", "status") == [
+        ("o1-2", "c6", -5, -20.0, LINE_STATUSES[3]), ("o8-1", None, 2, 9.0, LINE_STATUSES[9]),
+    ]
+    above, below = raw._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")
+    # The sign is set below the join.
+    assert "AS price" in below and "l_suppkey" not in above
+
+
 def test_batch_job_without_any_order(spark, customers, products, tmp_path):
     tables = run_batch(orders(spark, []), customers, products, str(tmp_path))
     counts = dict(values(tables.stage_counts(), "stage", "n_rows"))
